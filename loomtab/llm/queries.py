@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, decontaminate, exact_dedup, mixing, token_counts, token_output
+from . import common, decontaminate, exact_dedup, language_id, mixing, quality_crf, token_counts, token_output
 
 
 def _path(name: str) -> str:
@@ -24,6 +24,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(common.tables(spark, sf_dir, "documents"), common.tables(spark, sf_dir, "benchmark"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(common.tables(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.report(common.tables(spark, sf_dir, "documents"), common.tables(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(common.tables(spark, sf_dir, "documents"))
 
@@ -39,6 +47,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_decontamination": op2_decontamination,
+    "op3_language_id": op3_language_id,
+    "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
