@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, decontaminate, exact_dedup, language_id, mixing, quality_crf, token_counts, token_output
+from . import common, decontaminate, exact_dedup, html_extract, language_id, mixing, near_dedup, ngram_lm, quality_crf, token_counts, token_output
 
 
 def _path(name: str) -> str:
@@ -44,6 +44,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.prefix_counts(common.tables(spark, sf_dir, "documents"), _path("piece_bpe_32k.model")).drop("prefix_table")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.report(common.tables(spark, sf_dir, "documents"))
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.report(common.tables(spark, sf_dir, "documents"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(common.tables(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_decontamination": op2_decontamination,
@@ -52,6 +64,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_lm_scoring": op8_lm_scoring,
+    "op9_near_dedup": op9_near_dedup,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 #: Word and space classes as DuckDB's regular expressions write them.
