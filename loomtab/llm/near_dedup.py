@@ -7,7 +7,8 @@ coordinates make buckets; a pair of similarity 0.85 shares no bucket with probab
 Documents with equal shingle sets form a class, and one member stands for it from there on, so copies never multiply.
 Within buckets pairs are verified on full sets in three rounds, each leaving out what the rounds before have connected:
 each class with the first class of its buckets; each bucket's first class with members of other components; then, in
-buckets that still hold several components, members outside the bucket's largest component with all of other components.
+buckets that still hold several components, members outside the bucket's largest component with those of other components
+that could be similar enough, judging by the number of shingles each set has in common with any other.
 No pair that shares a bucket is left unverified unless it is connected already, and no group is expanded into all pairs.
 Hubs are salted by their number of pairs. Components come from alternating large-star and small-star steps.
 
@@ -147,6 +148,21 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return full.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
+def _shareable(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, shares: how many of a set's shingles occur in another set of these nodes too."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, data in zip(batch.column("node").to_pylist(), batch.column("shingles"), strict=True):
+                own = np.frombuffer(data.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node)), pa.array(own)], ["node", "h"])
+
+    rows = common.table(sets.join(nodes, "node", "left_semi").select("node", "shingles").mapInArrow(explode, "node long, h long"), "open_shingles")
+    twice = rows.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    shared = rows.join(twice, "h", "left_semi").groupBy("node").agg(F.count("*").alias("shares"))
+    return nodes.join(shared, "node", "left").select("node", F.coalesce("shares", F.lit(0)).alias("shares"))
+
+
 def components(edges: DataFrame, tag: str = "stars") -> DataFrame:
     """(node, label) for all nodes of edges (a, b): label is the smallest node reached."""
     stars = common.table(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), tag)
@@ -198,9 +214,12 @@ def link_classes(signs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> t
     counts = known.groupBy("key", "label").agg(F.count("*").alias("n"))
     main = counts.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels")).filter("labels > 1").select("key", "main")
     open_ = common.table(known.join(main, "key").select("key", "node", "size", "label", (F.col("label") == F.col("main")).alias("is_main")), "open")
+    open_ = common.table(open_.join(_shareable(sets, open_.select("node").distinct()), "node"), "open_shares")
     left, right = open_.filter("NOT is_main").alias("x"), open_.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & (F.col("y.is_main") | (F.col("x.node") < F.col("y.node")))
-    near = 100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")
+    # Two sets share at most what each shares with any set here: an exact bound, and most of a group's far ends fail it.
+    most = F.least("x.shares", "y.shares")
+    near = 100 * most >= percent * (F.col("x.size") + F.col("y.size") - most)
     pairs = left.join(right, apart & near).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     edges3 = common.table(verified(common.table(pairs, "pairs3"), sets, percent), "edges3")
     if not edges3.isEmpty():
