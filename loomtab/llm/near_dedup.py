@@ -6,9 +6,10 @@ coordinates make buckets; a pair of similarity 0.85 shares no bucket with probab
 
 Documents with equal shingle sets form a class, and one member stands for it from there on, so copies never multiply.
 Within buckets pairs are verified on full sets in three rounds, each leaving out what the rounds before have connected:
-each class with the first class of its buckets; each bucket's first class with members of other components; then, in
-buckets that still hold several components, members outside the bucket's largest component with those of other components
-that could be similar enough, judging by the number of shingles each set has in common with any other.
+each class with the best hub among its buckets' (a hub is a bucket's member with most company in its own buckets); each
+bucket's hub with members of other components; then, in buckets that still hold several components, members outside the
+bucket's largest component with those of other components that could be similar enough, judging by the number of
+shingles each set has in common with any other.
 No pair that shares a bucket is left unverified unless it is connected already, and no group is expanded into all pairs.
 Hubs are salted by their number of pairs. Components come from alternating large-star and small-star steps.
 
@@ -186,14 +187,20 @@ def link_classes(signs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> t
     classes = common.table(signs.filter("class IS NOT NULL").groupBy("class").agg(F.min("uid").alias("node"), F.count("*").alias("n")), "classes")
     heads = signs.join(classes.select("node"), F.col("uid") == F.col("node"), "left_semi")
     keyed = heads.select(F.explode("bands").alias("key"), F.col("uid").alias("node"), F.col("n_shingles").alias("size"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    members = common.table(keyed.join(shared, "key").select("key", "node", "size", "hub"), "members")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    sharing = common.table(keyed.join(shared, "key"), "sharing")
+    # A bucket's hub is its member with most company: in a group of near copies the one that the others come from.
+    company = sharing.groupBy("node").agg(F.sum("n").alias("company"))
+    sharing = sharing.join(company, "node")
+    hubs = sharing.groupBy("key").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("best"))
+    members = sharing.join(hubs, "key").select("key", "node", "size", (-F.col("best.minus")).alias("hub"), F.col("best.company").alias("hub_company"))
+    members = common.table(members, "members")
     wanted = members.select("node").distinct()
     wanted = heads.join(wanted, F.col("uid") == F.col("node"), "left_semi").select(F.col("uid").alias("node"), "doc_id", "class")
     sets = common.table(_sets(rows, wanted), "sets")
 
-    # Round 1: each class with the first class among its buckets' hubs.
-    pairs = members.groupBy("node").agg(F.min("hub").alias("a")).filter("a <> node").select("a", F.col("node").alias("b"))
+    # Round 1: each class with the best of its buckets' hubs.
+    pairs = members.groupBy("node").agg(F.max_by("hub", F.struct("hub_company", "hub")).alias("a")).filter("a <> node").select("a", F.col("node").alias("b"))
     edges = common.table(verified(pairs, sets, percent), "edges1")
     labels = components(edges)
 
@@ -214,13 +221,15 @@ def link_classes(signs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> t
     counts = known.groupBy("key", "label").agg(F.count("*").alias("n"))
     main = counts.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels")).filter("labels > 1").select("key", "main")
     open_ = common.table(known.join(main, "key").select("key", "node", "size", "label", (F.col("label") == F.col("main")).alias("is_main")), "open")
-    open_ = common.table(open_.join(_shareable(sets, open_.select("node").distinct()), "node"), "open_shares")
+    buckets = open_.groupBy("node").agg(F.collect_set("key").alias("keys"))  # BANDS at most
+    open_ = common.table(open_.join(_shareable(sets, buckets.select("node")), "node").join(buckets, "node"), "open_shares")
     left, right = open_.filter("NOT is_main").alias("x"), open_.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & (F.col("y.is_main") | (F.col("x.node") < F.col("y.node")))
     # Two sets share at most what each shares with any set here: an exact bound, and most of a group's far ends fail it.
     most = F.least("x.shares", "y.shares")
     near = 100 * most >= percent * (F.col("x.size") + F.col("y.size") - most)
-    pairs = left.join(right, apart & near).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key")  # a pair comes from one of its buckets
+    pairs = left.join(right, apart & near & once).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     edges3 = common.table(verified(common.table(pairs, "pairs3"), sets, percent), "edges3")
     if not edges3.isEmpty():
         labels = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionByName(edges3))
