@@ -12,9 +12,11 @@ per row, ordered by text; an empty table makes an empty manifest.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +29,11 @@ from . import common
 
 BLOCK = 128
 PERCENTILE = 0.9
-SHARD_IDS = 4_000_000
-CACHE_WORDS = 600_000
+SHARD_IDS = 2_000_000
+CACHE_WORDS = 300_000
+#: ASCII marks that part from a letter or digit before them; without those of contractions and of special tokens.
+_TAIL = re.compile(r"(.*[^\W_])([!-&(-/:;=-@\[-^`{}~]+)", re.S)
+_LOWER = {c: c + 32 for c in range(65, 91)}
 _HEAD = struct.Struct("<4sIQQQ")
 _BLOCK_HEAD = struct.Struct("<IBB")
 
@@ -139,7 +144,8 @@ class WordTokens:
     """Ids of texts by way of their words between ASCII white space.
 
     The tokenizer's pre-tokenizer never joins characters across white space and its normaliser works within words, so a
-    text's ids are those of its words in order. Each distinct word is encoded by the library once and remembered.
+    text's ids are those of its words in order. It lowers case and parts letters and digits from marks too, so a word is
+    looked up by its lower-case stem and its tail of marks. Each distinct stem is encoded by the library once and remembered.
     """
 
     def __init__(self, path: str):
@@ -148,6 +154,40 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {"": b""}
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+
+    def _parts(self, word: str) -> tuple[str, str]:
+        if "<|" in word:  # may hold a special token, which is found before anything else
+            return word, ""
+        word = word.lower() if word.isascii() else word.translate(_LOWER)
+        return m.groups() if (m := _TAIL.fullmatch(word)) else (word, "")
+
+    def _encode(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
+            self.stems[w] = array("I", e.ids).tobytes()
+
+    def _encode_plain(self, words: list[str]) -> None:
+        """Words of lower-case letters alone: in one text each is one unit of the tokenizer, and its last id says so."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        last = np.nonzero(self.ends[ids])[0] + 1
+        if len(last) != len(words):  # a tokenizer without word ends, or characters that fall apart
+            return self._encode(words)
+        raw, at = ids.tobytes(), (4 * np.concatenate([[0], last])).tolist()
+        self.stems.update(zip(words, [raw[a:b] for a, b in zip(at, at[1:])], strict=True))
+
+    def _learn(self, words: list[str]) -> None:
+        parts = [self._parts(w) for w in words]
+        if new := list({p for pair in parts for p in pair} - self.stems.keys()):
+            if len(self.stems) > CACHE_WORDS:
+                self.stems = {"": b""}
+                new = list({p for pair in parts for p in pair} - {""})
+            plain = [w for w in new if w.isalpha() and w == w.lower()]
+            for a in range(0, len(plain), 5000):
+                self._encode_plain(plain[a : a + 5000])
+            self._encode([w for w in new if w not in self.stems])
+        self.known.update((w, self.stems[a] + self.stems[b]) for w, (a, b) in zip(words, parts, strict=True))
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of ids of each text."""
@@ -157,8 +197,7 @@ class WordTokens:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         if new := [w for w in distinct if w not in self.known]:
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+            self._learn(new)
         parts = [self.known[w] for w in distinct]
         flat = np.frombuffer(b"".join(parts), "<u4")
         size = np.array([len(p) for p in parts], np.int64) // 4
