@@ -44,19 +44,20 @@ def letters(text: pa.Array) -> pa.Array:
 def fit(labelled: DataFrame, seed: int = 5) -> list[tuple[str, bytes]]:
     """Dictionaries by language, those with more labelled texts first. labelled: (doc_id, text, lang)."""
     rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled; name them in fewer labels or raise MAX_LANGUAGES")
+    counts = F.broadcast(rows.sparkSession.createDataFrame(counts, "lang string, n long"))  # at most MAX_LANGUAGES rows
     luck = F.xxhash64(F.lit(seed), "doc_id")
     # A hash threshold leaves a few hundred rows of each language, however many there are; then the first FIT_PIECES.
     share = F.pmod("luck", F.lit(1 << 30)) * F.col("n") < F.lit(4.0 * FIT_PIECES * (1 << 30))
-    start = F.pmod(luck, F.greatest(F.length("text") - PIECE_CHARS, F.lit(1))) + 1
-    few = rows.select("doc_id", "lang", luck.alias("luck"), F.substr("text", start.cast("int"), F.lit(PIECE_CHARS)).alias("piece")).join(counts, "lang").filter(share)
+    start = F.pmod("luck", F.greatest(F.length("text") - PIECE_CHARS, F.lit(1))) + 1
+    few = rows.withColumn("luck", luck).join(counts, "lang").filter(share).select("doc_id", "lang", "n", "luck", F.substr("text", start.cast("int"), F.lit(PIECE_CHARS)).alias("piece"))
     ranked = few.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("luck", "doc_id", "piece"))).filter(F.col("nth") <= FIT_PIECES)
-    found = ranked.orderBy(F.desc("n"), "lang", "nth").select("lang", "piece").limit(FIT_PIECES * (MAX_LANGUAGES + 1)).collect()
+    found = ranked.orderBy(F.desc("n"), "lang", "nth").select("lang", "piece").collect()  # MAX_LANGUAGES * FIT_PIECES at most
     pieces: dict[str, list[str]] = {}
     for r in found:
         pieces.setdefault(r.lang, []).append(r.piece)
-    if len(pieces) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled; name them in fewer labels or raise MAX_LANGUAGES")
     return [(lang, " ".join(letters(pa.array(p)).to_pylist()).encode()[:DICT_BYTES]) for lang, p in pieces.items()]
 
 
