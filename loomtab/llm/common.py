@@ -46,6 +46,14 @@ def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that no column of df has, nor begins with."""
+    name = f"__{name}"
+    while any(c.lower().startswith(name) for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Deal a small control table over all cores; its rows stand for much work each."""
     return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *cols)

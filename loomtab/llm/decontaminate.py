@@ -149,36 +149,35 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str,
         yield block
 
 
-_HITS = "n_words long, spans array<int>, items array<string>"
+def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, prefix: str = "") -> DataFrame:
+    """docs with n_words, spans (starts and ends of hit words, in turn) and items (ids of items found, sorted).
 
-
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """docs with n_words, spans (starts and ends of hit words, in turn) and items (ids of items found, sorted)."""
-    out = docs.withColumns({"n_words": F.lit(-1).cast("long"), "spans": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
+    The three names take a prefix where docs has columns of these names."""
+    out = docs.withColumns({f"{prefix}n_words": F.lit(-1).cast("long"), f"{prefix}spans": F.array().cast("array<int>"), f"{prefix}items": F.array().cast("array<string>")})
     blocks = iter(_blocks(benchmark, block_words))
     block, count = next(blocks, []), 0
     while block is not None:
         out = common.table(out, "hits") if count else out
-        out, count, block = _pass(out, block, window), count + 1, next(blocks, None)
+        out, count, block = _pass(out, block, window, prefix), count + 1, next(blocks, None)
     return out
 
 
-def _pass(docs: DataFrame, block: list[tuple[str, list[bytes]]], window: int) -> DataFrame:
+def _pass(docs: DataFrame, block: list[tuple[str, list[bytes]]], window: int, prefix: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(Automaton(block, window)))
-    own = ("n_words", "spans", "items")
+    own = [prefix + c for c in ("n_words", "spans", "items")]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = pickle.loads(shared.value)
         for batch in batches:
             for piece in common.chunks(batch, "text"):
                 n, spans, items = [], [], []
-                for text, old, keys in zip(common.texts(piece.column("text")).to_pylist(), piece.column("spans").to_pylist(), piece.column("items").to_pylist(), strict=True):
+                for text, old, keys in zip(common.texts(piece.column("text")).to_pylist(), piece.column(own[1]).to_pylist(), piece.column(own[2]).to_pylist(), strict=True):
                     read = words(text)
                     got, found = automaton.scan(read)
                     n.append(len(read))
                     spans.append(_merge(got, old))
                     items.append(sorted({*keys, *found}))
-                new = {"n_words": pa.array(n, pa.int64()), "spans": pa.array(spans, pa.list_(pa.int32())), "items": pa.array(items, pa.list_(pa.string()))}
+                new = dict(zip(own, (pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))), strict=True))
                 yield pa.RecordBatch.from_arrays([new[c] if c in own else piece.column(c) for c in piece.schema.names], piece.schema.names)
 
     return docs.mapInArrow(scan, docs.schema)
@@ -218,13 +217,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_span:
     Documents without a hit pass unchanged, byte for byte; of others the spans are cut from the first character of the
     first hit word to the last of the last one. Columns are those of docs.
     """
-    names = docs.columns
-    schema = docs.schema
+    names, prefix = docs.columns, common.free_name(docs, "hit_")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, text = [], []
-            for t, n, spans in zip(batch.column("text").to_pylist(), batch.column("__n").to_pylist(), batch.column("__spans").to_pylist(), strict=True):
+            for t, n, spans in zip(batch.column("text").to_pylist(), batch.column(f"{prefix}n_words").to_pylist(), batch.column(f"{prefix}spans").to_pylist(), strict=True):
                 longest = max((b - a for a, b in zip(spans[::2], spans[1::2])), default=0)
                 total = sum(b - a for a, b in zip(spans[::2], spans[1::2]))
                 keep.append(longest <= max_span and total <= max_coverage * n)
@@ -232,11 +230,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_span:
             new = pa.array(text, pa.string())
             yield pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in names], names).filter(pa.array(keep))
 
-    # The caller's own columns may be called as ours: ours live under other names here.
-    packed = docs.select(F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
-    found = find_hits(packed, benchmark, window)
-    flat = found.select(*[F.col("row").getField(c).alias(c) for c in names], F.col("n_words").alias("__n"), F.col("spans").alias("__spans"))
-    return flat.mapInArrow(cut, schema)
+    return find_hits(docs, benchmark, window, prefix=prefix).mapInArrow(cut, docs.schema)
 
 
 def cut_spans(text: str, spans: list[int]) -> str:

@@ -87,6 +87,10 @@ class Classifier:
         return self.languages[size.index(best)], 1 / sum(2.0 ** -min(s - best, 60) for s in size), (rest - best) / best
 
 
+def _refused(language: str, score: float, gap: float, margin: float) -> bool:
+    return language == UNDETERMINED or gap < margin
+
+
 def classify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], margin: float = MARGIN) -> DataFrame:
     """docs with lang_pred, score, margin and rejected at the end. Columns so named must not be in docs."""
     names = docs.columns
@@ -99,7 +103,7 @@ def classify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], margin: flo
             for piece in common.chunks(batch, "text"):
                 got = [classifier.classify(t.encode()) for t in letters(common.texts(piece.column(at))).to_pylist()]
                 lang, score, gap = (list(x) for x in zip(*got, strict=True)) if got else ([], [], [])
-                refused = [x == UNDETERMINED or g < margin for x, g in zip(lang, gap, strict=True)]
+                refused = [_refused(*x, margin) for x in got]
                 new = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(gap, pa.float64()), pa.array(refused, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*piece.columns, *new], [*piece.schema.names, "lang_pred", "score", "margin", "rejected"])
 
@@ -120,8 +124,14 @@ def report(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
 
 def keep_identified(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
     """docs without the rejected ones; columns are those of docs."""
-    names = docs.columns
     model = fit(docs.filter(~held_out()).select("doc_id", "text", "lang"))
-    packed = docs.select(F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
-    kept = classify(packed, model, margin).filter("NOT rejected")
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in names])
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classifier = Classifier(shared.value)
+        for batch in batches:
+            for piece in common.chunks(batch, "text"):
+                keep = [not _refused(*classifier.classify(t.encode()), margin) for t in letters(common.texts(piece.column(at))).to_pylist()]
+                yield piece.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
