@@ -26,7 +26,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 BLOCK_WORDS = 20_000
 SHARD_BLOCKS = 64
-FILLS = 3
+CANDIDATES = 8
 SEED = 17
 
 
@@ -118,15 +118,13 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = MA
     placed = placed.select("p.uid", "p.doc_id", "p.source", "p.size", "p.luck", (F.col("start") + F.col("base")).alias("start"))
     placed = placed.alias("p").join(goal.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source"))).select("p.*", "source_size", "target")
     # A document is taken once for each whole run along the line, and once more if it ends before the target does.
-    full = F.floor(F.col("target") / F.col("source_size"))
+    full = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0))  # a source may have no words
     rest = F.col("target") - full * F.col("source_size")
     more = (F.col("start") + F.col("size") <= rest).cast("long")
     per_run = F.ceil(F.col("source_size") / block_words)
     placed = placed.withColumns({"copies": F.when(F.col("size") == 0, 0).otherwise(full + more).cast("long"), "blocks": (full * per_run + F.ceil(rest / block_words)).cast("long"), "per_run": per_run.cast("long"), "full": full})
     documents = common.table(placed, "placed")
-    for _ in range(FILLS):
-        documents = _fill(documents, epochs)
-    documents = common.table(documents, "filled")
+    documents = common.table(_fill(documents, epochs), "filled")
 
     # Exact block quotas: blocks are numbered along the line, run after run.
     quotas = documents.filter("size > 0").groupBy("source").agg(F.max("blocks").alias("blocks"))
@@ -135,11 +133,25 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = MA
 
 
 def _fill(documents: DataFrame, epochs: int) -> DataFrame:
-    """Take, of each source, the largest document beyond the target's end that still fits into what is missing."""
+    """Fill what a source misses of its target with documents beyond the target's end, large ones first, and at last the
+    one that comes nearest. A few of each size class (power of two) are enough to choose from, so a group stays small."""
     gap = documents.groupBy("source").agg((F.first("target") - F.sum(F.col("size") * F.col("copies"))).alias("gap"))
     left = documents.alias("d").join(gap.alias("g"), F.col("d.source").eqNullSafe(F.col("g.source"))).select("d.*", "gap")
-    left = left.filter((F.col("size") > 0) & (F.col("size") <= F.col("gap")) & (F.col("copies") == F.col("full")) & (F.col("copies") < epochs))
-    best = left.groupBy("source").agg(F.max(F.struct("size", "luck", "uid"))["uid"].alias("uid")).select("uid", F.lit(1).alias("extra"))
+    left = left.filter((F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")) & (F.col("copies") == F.col("full")) & (F.col("copies") < epochs))
+    by_class = Window.partitionBy("source", F.floor(F.log2("size"))).orderBy("luck", "doc_id", "uid")
+    few = left.withColumn("nth", F.row_number().over(by_class)).filter(F.col("nth") <= CANDIDATES).select("source", "uid", "luck", "size", "gap")
+
+    def choose(group: pd.DataFrame) -> pd.DataFrame:
+        gap, taken = float(group["gap"].iloc[0]), []
+        rest = group.sort_values(["size", "luck", "uid"], ascending=[False, True, True])[["uid", "size"]].to_numpy().tolist()
+        for uid, size in list(rest):
+            if size <= gap:
+                gap -= size
+                taken.append(uid)
+        near = min(((abs(gap - size), uid) for uid, size in rest if uid not in taken), default=(gap, None))
+        return pd.DataFrame({"uid": taken + [near[1]] * (near[0] < gap), "extra": 1}).astype({"uid": "int64"})
+
+    best = few.groupBy("source").applyInPandas(choose, "uid long, extra long")
     out = documents.join(best, "uid", "left")
     return out.select(*[(F.col("copies") + F.coalesce("extra", F.lit(0))).alias(c) if c == "copies" else c for c in documents.columns])
 
@@ -178,9 +190,9 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """docs mixed: every copy taken is a row, in shard order and random order within a shard. Columns are those of docs."""
-    names = docs.columns
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
-    rows = common.table(rows.select("uid", "doc_id", "source", "text", "row"), "rows")
-    _, draws = plan(rows.select("uid", "doc_id", "source", "text"), **options)
-    out = rows.select("uid", "row").join(draws, "uid").repartitionByRange("shard").sortWithinPartitions("shard", "place")
-    return out.select(*[F.col("row").getField(c).alias(c) for c in names])
+    uid = common.free_name(docs, "uid")
+    rows = common.table(docs.withColumn(uid, F.monotonically_increasing_id()), "rows")
+    _, draws = plan(rows.select(F.col(uid).alias("uid"), "doc_id", "source", "text"), **options)
+    out = rows.join(draws.select(F.col("uid").alias(uid), F.col("shard").alias(f"{uid}_shard"), F.col("place").alias(f"{uid}_place")), uid)
+    out = out.repartitionByRange(f"{uid}_shard").sortWithinPartitions(f"{uid}_shard", f"{uid}_place")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
