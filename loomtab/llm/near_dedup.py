@@ -8,8 +8,8 @@ Documents with equal shingle sets form a class, and one member stands for it fro
 Within buckets pairs are verified on full sets in three rounds, each leaving out what the rounds before have connected:
 each class with the best hub among its buckets' (a hub is a bucket's member with most company in its own buckets); each
 bucket's hub with members of other components; then, in buckets that still hold several components, members outside the
-bucket's largest component with those of other components that could be similar enough, judging by the number of
-shingles each set has in common with any other.
+bucket's largest component with those of other components that could be similar enough, judging by what each set has in
+common with the bucket's hub and, beyond it, with any other set.
 No pair that shares a bucket is left unverified unless it is connected already, and no group is expanded into all pairs.
 Hubs are salted by their number of pairs. Components come from alternating large-star and small-star steps.
 
@@ -149,8 +149,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return full.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def _shareable(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, shares: how many of a set's shingles occur in another set of these nodes too."""
+def _bounds(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, hub, inside, outside. nodes: (node, hub). inside: shingles a set has in common with the hub's set; outside: of
+    its others, those that another set of these nodes has too. Two sets share at most the lesser of each, added up."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,10 +159,13 @@ def _shareable(sets: DataFrame, nodes: DataFrame) -> DataFrame:
                 own = np.frombuffer(data.as_buffer(), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node)), pa.array(own)], ["node", "h"])
 
-    rows = common.table(sets.join(nodes, "node", "left_semi").select("node", "shingles").mapInArrow(explode, "node long, h long"), "open_shingles")
-    twice = rows.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    shared = rows.join(twice, "h", "left_semi").groupBy("node").agg(F.count("*").alias("shares"))
-    return nodes.join(shared, "node", "left").select("node", F.coalesce("shares", F.lit(0)).alias("shares"))
+    wanted = nodes.select("node").union(nodes.select("hub")).distinct()
+    rows = common.table(sets.join(wanted, "node", "left_semi").select("node", "shingles").mapInArrow(explode, "node long, h long"), "open_shingles")
+    own = rows.join(nodes.select("node").distinct(), "node", "left_semi")
+    twice = own.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h", F.lit(True).alias("shared"))
+    hubs = rows.withColumnRenamed("node", "hub").join(nodes.select("hub").distinct(), "hub", "left_semi").withColumn("of_hub", F.lit(True))
+    met = nodes.join(own.join(twice, "h", "left"), "node").join(hubs, ["hub", "h"], "left")
+    return met.groupBy("node", "hub").agg(F.count("of_hub").alias("inside"), F.count_if(F.col("of_hub").isNull() & F.col("shared").isNotNull()).alias("outside"))
 
 
 def components(edges: DataFrame, tag: str = "stars") -> DataFrame:
@@ -220,13 +224,13 @@ def link_classes(signs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> t
     known = common.table(labelled(labels).filter("node <> hub"), "members3")
     counts = known.groupBy("key", "label").agg(F.count("*").alias("n"))
     main = counts.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels")).filter("labels > 1").select("key", "main")
-    open_ = common.table(known.join(main, "key").select("key", "node", "size", "label", (F.col("label") == F.col("main")).alias("is_main")), "open")
+    open_ = common.table(known.join(main, "key").select("key", "node", "hub", "size", "label", (F.col("label") == F.col("main")).alias("is_main")), "open")
     buckets = open_.groupBy("node").agg(F.collect_set("key").alias("keys"))  # BANDS at most
-    open_ = common.table(open_.join(_shareable(sets, buckets.select("node")), "node").join(buckets, "node"), "open_shares")
+    open_ = common.table(open_.join(_bounds(sets, open_.select("node", "hub").distinct()), ["node", "hub"]).join(buckets, "node"), "open_bounds")
     left, right = open_.filter("NOT is_main").alias("x"), open_.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & (F.col("y.is_main") | (F.col("x.node") < F.col("y.node")))
-    # Two sets share at most what each shares with any set here: an exact bound, and most of a group's far ends fail it.
-    most = F.least("x.shares", "y.shares")
+    # An exact bound of what the two can share, by way of the bucket's hub: nearly all pairs that are no link fail it.
+    most = F.least("x.inside", "y.inside") + F.least("x.outside", "y.outside")
     near = 100 * most >= percent * (F.col("x.size") + F.col("y.size") - most)
     once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key")  # a pair comes from one of its buckets
     pairs = left.join(right, apart & near & once).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
