@@ -28,6 +28,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         named = "file://" + tempfile.mkdtemp(prefix="loomtab-")
         spark.conf.set("spark.loomtab.shared.dir", named)
+    if "://" not in named:  # a bare path lies in the default file system, for Spark's writers and for ours
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        named = ("file://" if default.startswith("file:") else default.rstrip("/")) + "/" + named.removeprefix("file:").lstrip("/")
     return named.rstrip("/")
 
 
