@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one step inside a task works on at once; bounds the task's memory whatever the batch holds.
 CHUNK_BYTES = 4 << 20
+BATCH_BYTES = 16 << 20
 
 #: White space of the corpus contracts, as a Java regular expression class.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -57,6 +61,28 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """mapInArrow over batches of at most BATCH_BYTES: a task holds two batches at a time, in the JVM and in Python."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make):
+    """What a Python worker keeps from task to task. Only the last operator's is kept, so that the workers of a long
+    session, which serve all operators in turn, do not gather them all."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Deal a small control table over all cores; its rows stand for much work each."""
     return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *cols)

@@ -149,20 +149,22 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str,
         yield block
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, prefix: str = "") -> DataFrame:
+def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, prefix: str = "", finish=None) -> DataFrame:
     """docs with n_words, spans (starts and ends of hit words, in turn) and items (ids of items found, sorted).
 
-    The three names take a prefix where docs has columns of these names."""
+    The three names take a prefix where docs has columns of these names. finish(batch, n_words, spans) may make the last
+    block's pass give batches of docs' own columns instead."""
     out = docs.withColumns({f"{prefix}n_words": F.lit(-1).cast("long"), f"{prefix}spans": F.array().cast("array<int>"), f"{prefix}items": F.array().cast("array<string>")})
     blocks = iter(_blocks(benchmark, block_words))
     block, count = next(blocks, []), 0
     while block is not None:
         out = common.table(out, "hits") if count else out
-        out, count, block = _pass(out, block, window, prefix), count + 1, next(blocks, None)
+        after = next(blocks, None)
+        out, count, block = _pass(out, block, window, prefix, docs.schema, finish if after is None else None), count + 1, after
     return out
 
 
-def _pass(docs: DataFrame, block: list[tuple[str, list[bytes]]], window: int, prefix: str) -> DataFrame:
+def _pass(docs: DataFrame, block: list[tuple[str, list[bytes]]], window: int, prefix: str, schema, finish) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(Automaton(block, window)))
     own = [prefix + c for c in ("n_words", "spans", "items")]
 
@@ -177,10 +179,13 @@ def _pass(docs: DataFrame, block: list[tuple[str, list[bytes]]], window: int, pr
                     n.append(len(read))
                     spans.append(_merge(got, old))
                     items.append(sorted({*keys, *found}))
+                if finish:
+                    yield finish(piece, n, spans)
+                    continue
                 new = dict(zip(own, (pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))), strict=True))
                 yield pa.RecordBatch.from_arrays([new[c] if c in own else piece.column(c) for c in piece.schema.names], piece.schema.names)
 
-    return docs.mapInArrow(scan, docs.schema)
+    return docs.transform(common.map_batches, scan, schema if finish else docs.schema)
 
 
 def _merge(spans: list[tuple[int, int]], old: list[int]) -> list[int]:
@@ -219,18 +224,16 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_span:
     """
     names, prefix = docs.columns, common.free_name(docs, "hit_")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, text = [], []
-            for t, n, spans in zip(batch.column("text").to_pylist(), batch.column(f"{prefix}n_words").to_pylist(), batch.column(f"{prefix}spans").to_pylist(), strict=True):
-                longest = max((b - a for a, b in zip(spans[::2], spans[1::2])), default=0)
-                total = sum(b - a for a, b in zip(spans[::2], spans[1::2]))
-                keep.append(longest <= max_span and total <= max_coverage * n)
-                text.append(cut_spans(t, spans) if spans and keep[-1] else t)
-            new = pa.array(text, pa.string())
-            yield pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in names], names).filter(pa.array(keep))
-
-    return find_hits(docs, benchmark, window, prefix=prefix).mapInArrow(cut, docs.schema)
+    def cut(batch: pa.RecordBatch, n_words: list[int], spans: list[list[int]]) -> pa.RecordBatch:
+        keep, text = [], []
+        for t, n, own in zip(batch.column("text").to_pylist(), n_words, spans, strict=True):
+            hit = [b - a for a, b in zip(own[::2], own[1::2])]
+            keep.append(max(hit, default=0) <= max_span and sum(hit) <= max_coverage * n)
+            text.append(cut_spans(t, own) if hit and keep[-1] else t)
+        new = pa.array(text, pa.string())
+        return pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in names], names).filter(pa.array(keep, pa.bool_()))
+
+    return find_hits(docs, benchmark, window, prefix=prefix, finish=cut)
 
 
 def cut_spans(text: str, spans: list[int]) -> str:

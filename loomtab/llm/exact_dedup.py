@@ -40,7 +40,7 @@ def misra_gries(digests: DataFrame, column: str, counters: int = COUNTERS) -> Da
                 held = {k: v - cut for k, v in held.items() if v > cut}
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], [column, "low"])
 
-    return digests.select(column).mapInArrow(sketch, f"{column} binary, low long").groupBy(column).agg(F.sum("low").alias("low"))
+    return digests.select(column).transform(common.map_batches, sketch, f"{column} binary, low long").groupBy(column).agg(F.sum("low").alias("low"))
 
 
 def dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:

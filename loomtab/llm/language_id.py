@@ -108,7 +108,7 @@ def classify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], margin: flo
                 yield pa.RecordBatch.from_arrays([*piece.columns, *new], [*piece.schema.names, "lang_pred", "score", "margin", "rejected"])
 
     extra = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("margin", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *extra]))
+    return docs.transform(common.map_batches, run, T.StructType([*docs.schema.fields, *extra]))
 
 
 def held_out(column: str = "doc_id") -> Column:
@@ -134,4 +134,4 @@ def keep_identified(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
                 keep = [not _refused(*classifier.classify(t.encode()), margin) for t in letters(common.texts(piece.column(at))).to_pylist()]
                 yield piece.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(common.map_batches, run, docs.schema)

@@ -80,15 +80,11 @@ def _class_key(hashes: np.ndarray) -> bytes:
     return np.array([a, b ^ np.uint64(len(hashes))], "<u8").tobytes()
 
 
-_CIRCULANT: list[Circulant] = []
-
-
 def signatures(rows: DataFrame) -> DataFrame:
     """uid, doc_id, n_shingles, class (null without shingles), bands. rows: (uid, doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not _CIRCULANT:
-            _CIRCULANT.append(Circulant())
+        circulant = common.kept("circulant", Circulant)
         for batch in batches:
             for piece in common.chunks(batch, "text"):
                 hashes, n = shingle_hashes(common.texts(piece.column("text")))
@@ -99,11 +95,11 @@ def signatures(rows: DataFrame) -> DataFrame:
                     sizes[i] = len(own)
                     keys.append(_class_key(own) if len(own) else None)
                     if len(own):
-                        signs[i] = _CIRCULANT[0].signature(own)
+                        signs[i] = circulant.signature(own)
                 keyed = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), pa.array(bands(signs).ravel()))
                 yield pa.RecordBatch.from_arrays([piece.column("uid"), piece.column("doc_id"), pa.array(sizes), pa.array(keys, pa.binary()), keyed], ["uid", "doc_id", "n_shingles", "class", "bands"])
 
-    return rows.select("uid", "doc_id", "text").mapInArrow(run, "uid long, doc_id long, n_shingles long, class binary, bands array<long>")
+    return rows.select("uid", "doc_id", "text").transform(common.map_batches, run, "uid long, doc_id long, n_shingles long, class binary, bands array<long>")
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -120,7 +116,7 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
     # The row that gave the class its set is found by doc_id; rows of equal doc_id and another set are filtered out.
     hit = rows.select("doc_id", "text").join(wanted.withColumnRenamed("doc_id", "wanted_id"), F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-    return hit.select("node", "class", "text").mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
+    return hit.select("node", "class", "text").transform(common.map_batches, run, "node long, shingles binary").dropDuplicates(["node"])
 
 
 def _attach(pairs: DataFrame, sets: DataFrame, side: str, other: str) -> DataFrame:
@@ -146,7 +142,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     full = _attach(_attach(pairs, sets, "a", "b"), sets, "b", "a")
-    return full.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return full.select("a", "b", "set_a", "set_b").transform(common.map_batches, run, "a long, b long")
 
 
 def _bounds(sets: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -160,7 +156,7 @@ def _bounds(sets: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node)), pa.array(own)], ["node", "h"])
 
     wanted = nodes.select("node").union(nodes.select("hub")).distinct()
-    rows = common.table(sets.join(wanted, "node", "left_semi").select("node", "shingles").mapInArrow(explode, "node long, h long"), "open_shingles")
+    rows = common.table(sets.join(wanted, "node", "left_semi").select("node", "shingles").transform(common.map_batches, explode, "node long, h long"), "open_shingles")
     own = rows.join(nodes.select("node").distinct(), "node", "left_semi")
     twice = own.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h", F.lit(True).alias("shared"))
     hubs = rows.withColumnRenamed("node", "hub").join(nodes.select("hub").distinct(), "hub", "left_semi").withColumn("of_hub", F.lit(True))

@@ -318,15 +318,9 @@ def unpack(data: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), first)
 
 
-_OPEN: dict[str, tuple[Vocabulary, dict[int, Successors]]] = {}
-
-
 def _opened(model: Model) -> tuple[Vocabulary, dict[int, Successors]]:
     """The model's levels, mapped once in a Python worker; those of earlier models are let go."""
-    if model.key not in _OPEN:
-        _OPEN.clear()
-        _OPEN[model.key] = (Vocabulary(model), {})
-    return _OPEN[model.key]
+    return common.kept(f"trie {model.key}", lambda: (Vocabulary(model), {}))
 
 
 def _pairs(ids: np.ndarray, places: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -361,7 +355,7 @@ def count_words(rows: DataFrame) -> DataFrame:
         if keys:
             yield out()
 
-    return rows.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    return rows.select("text").transform(common.map_batches, run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
 def fit(rows: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
@@ -384,7 +378,7 @@ def fit(rows: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
 
     ordered = counts.repartitionByRange("h").sortWithinPartitions("h")
     # A line for each shard of the vocabulary: as many as the shuffle has partitions.
-    for r in sorted(common.table(ordered.mapInArrow(write_words, "first long, path string, n long"), "shards").collect()):
+    for r in sorted(common.table(ordered.transform(common.map_batches, write_words, "first long, path string, n long"), "shards").collect()):
         model.bases.append(sum(model.bases[-1:]) + (last if model.words else 0))
         model.words.append((r.first, r.path))
         last = r.n
@@ -429,7 +423,7 @@ def fit(rows: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
         hot = np.isin(own, np.array(sorted(model.hot), np.int64))
         return pa.table({"shard": [part.column("shard")[0].as_py()], "path": [path], "hot": pa.array([own[hot].tolist()], pa.list_(pa.int64())), "kinds": pa.array([number[hot].tolist()], pa.list_(pa.int64()))})
 
-    pairs = rows.select("text").mapInArrow(pair_counts, "shard long, keys binary, counts binary")
+    pairs = rows.select("text").transform(common.map_batches, pair_counts, "shard long, keys binary, counts binary")
     built = common.table(pairs.groupBy("shard").applyInArrow(write_pairs, "shard long, path string, hot array<long>, kinds array<long>"), "pairs")
     after = dict.fromkeys(model.hot, 0)
     for r in built.collect():  # a line for each shard
@@ -455,7 +449,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *map(pa.array, _score(model, vocabulary, shards, np.append(h, END), places, n))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return rows.transform(common.map_batches, run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
 def _score(model: Model, vocabulary: Vocabulary, shards: dict[int, Successors], h: np.ndarray, places: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:

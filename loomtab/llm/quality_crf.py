@@ -206,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 11) -> Field | float:
                     lengths.append(len(part))
                 yield pa.RecordBatch.from_arrays([piece.column("luck"), piece.column("label"), pa.array(lengths, pa.int32()), pa.array(matrices, pa.binary())], ["luck", "label", "lines", "features"])
 
-    got = sorted((r.luck, r.label, r.lines, bytes(r.features)) for r in rows.select("luck", "label", "text").mapInArrow(measure, "luck long, label int, lines int, features binary").collect())
+    got = sorted((r.luck, r.label, r.lines, bytes(r.features)) for r in rows.select("luck", "label", "text").transform(common.map_batches, measure, "luck long, label int, lines int, features binary").collect())
     label = np.array([r[1] for r in got], np.int64)
     if len(set(label.tolist())) < 2:
         return float(label.mean()) if len(label) else 0.5
@@ -238,7 +238,7 @@ def score(docs: DataFrame, field: Field | float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(got, pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double")
+    return rows.transform(common.map_batches, run, "doc_id long, score double")
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

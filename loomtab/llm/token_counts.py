@@ -135,20 +135,11 @@ def longest_within(table: bytes, budget: int) -> int:
     return int(ok[-1]) + 1 if len(ok) else 0
 
 
-_COUNTERS: dict[str, PrefixCounter] = {}
-
-
-def _counter(path: str) -> PrefixCounter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = PrefixCounter(path)
-    return _COUNTERS[path]
-
-
 def prefix_counts(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit, within_limit (characters of the longest prefix under the limit), prefix_table binary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(model)
+        counter = common.kept(f"counts {model}", lambda: PrefixCounter(model))
         for batch in batches:
             for piece in common.chunks(batch, "text"):
                 text = common.texts(piece.column("text"))
@@ -160,4 +151,4 @@ def prefix_counts(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, within_limit long, prefix_table binary")
+    return rows.transform(common.map_batches, count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, within_limit long, prefix_table binary")
