@@ -30,7 +30,7 @@ from . import common
 BLOCK = 128
 PERCENTILE = 0.9
 SHARD_IDS = 2_000_000
-CACHE_WORDS = 300_000
+CACHE_STEMS = 200_000
 #: ASCII marks that part from a letter or digit before them; without those of contractions and of special tokens.
 _TAIL = re.compile(r"(.*[^\W_])([!-&(-/:;=-@\[-^`{}~]+)", re.S)
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -153,8 +153,9 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        # Two generations: what the older one holds and is asked for moves to the newer one, the rest is let go.
         self.stems: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
 
@@ -177,28 +178,24 @@ class WordTokens:
         raw, at = ids.tobytes(), (4 * np.concatenate([[0], last])).tolist()
         self.stems.update(zip(words, [raw[a:b] for a, b in zip(at, at[1:])], strict=True))
 
-    def _learn(self, words: list[str]) -> None:
-        parts = [self._parts(w) for w in words]
-        if new := list({p for pair in parts for p in pair} - self.stems.keys()):
-            if len(self.stems) > CACHE_WORDS:
-                self.stems = {"": b""}
-                new = list({p for pair in parts for p in pair} - {""})
-            plain = [w for w in new if w.isalpha() and w == w.lower()]
-            for a in range(0, len(plain), 5000):
-                self._encode_plain(plain[a : a + 5000])
-            self._encode([w for w in new if w not in self.stems])
-        self.known.update((w, self.stems[a] + self.stems[b]) for w, (a, b) in zip(words, parts, strict=True))
+    def _learn(self, stems: set[str]) -> None:
+        if len(self.stems) > CACHE_STEMS:
+            self.stems, self.older = {"": b""}, self.stems
+        missing = stems - self.stems.keys()
+        self.stems.update((w, self.older[w]) for w in missing & self.older.keys())
+        new = list(missing - self.older.keys())
+        plain = [w for w in new if w.isalpha() and w == w.lower()]
+        for a in range(0, len(plain), 5000):
+            self._encode_plain(plain[a : a + 5000])
+        self._encode([w for w in new if w not in self.stems])
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of ids of each text."""
         words, counts = common.space_words(text, lower=False)
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        if new := [w for w in distinct if w not in self.known]:
-            self._learn(new)
-        parts = [self.known[w] for w in distinct]
+        split = [self._parts(w) for w in coded.dictionary.to_pylist()]
+        self._learn({p for pair in split for p in pair})
+        parts = [self.stems[a] + self.stems[b] for a, b in split]
         flat = np.frombuffer(b"".join(parts), "<u4")
         size = np.array([len(p) for p in parts], np.int64) // 4
         start, use = np.cumsum(size) - size, coded.indices.to_numpy()
@@ -209,16 +206,6 @@ class WordTokens:
         return ids, np.diff(ends[word_ends])
 
 
-_ENCODERS: dict[str, WordTokens] = {}
-
-
-def _encoder(path: str) -> WordTokens:
-    """One per Python worker: what it remembers serves the worker's later tasks too."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordTokens(path)
-    return _ENCODERS[path]
-
-
 def _with_end(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     out = np.full(len(ids) + len(sizes), end, np.uint32)
     places = np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)
@@ -234,7 +221,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 1, partitions: i
     spark, folder = docs.sparkSession, common.fresh_dir(docs.sparkSession, "tokens")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, (part, seq) = _encoder(tokenizer), (TaskContext.get().partitionId(), 0)
+        encoder, (part, seq) = common.kept(f"tokens {tokenizer}", lambda: WordTokens(tokenizer)), (TaskContext.get().partitionId(), 0)
         keys: list[int | None] = []
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -258,7 +245,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 1, partitions: i
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.repartitionByRange(*([partitions] if partitions else []), "doc_id").sortWithinPartitions("doc_id", "text")
-    shards = common.table(rows.mapInArrow(write, "part int, seq int, path string, n_docs long, n_ids long"), "manifest")
+    shards = common.table(rows.transform(common.map_batches, write, "part int, seq int, path string, n_docs long, n_ids long"), "manifest")
     # Prefix sums in two steps: over tasks, then over the shards of each task.
     whole = shards.groupBy("part").agg(F.sum("n_ids").alias("ids"))
     before = whole.select("part", (F.sum("ids").over(Window.orderBy("part")) - F.col("ids")).alias("base"))
@@ -288,4 +275,4 @@ def _read(manifest: DataFrame, schema: str, of) -> DataFrame:
                 values = [of(ids, a, b) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids, pa.int64()), pa.array(base + ends[:-1], pa.int64()), pa.array(shard.sizes, pa.int64()), pa.array(values, last)], names)
 
-    return common.spread(manifest.select("path", "start"), "path").mapInArrow(read, schema)
+    return common.spread(manifest.select("path", "start"), "path").transform(common.map_batches, read, schema)
