@@ -61,6 +61,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a long that tells rows apart, and its name. Unique doc_ids serve as they are; otherwise rows are numbered
+    and stored, since numbers of partitions and places only hold for what is written."""
+    uid = free_name(docs, "uid")
+    ids = docs.select(F.col("doc_id").cast("long").alias("i"))
+    if ids.groupBy("i").count().filter("count > 1 OR i IS NULL").isEmpty():
+        return docs.withColumn(uid, F.col("doc_id").cast("long")), uid
+    return table(docs.withColumn(uid, F.monotonically_increasing_id()), "rows"), uid
+
+
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
     """mapInArrow over batches of at most BATCH_BYTES: a task holds two batches at a time, in the JVM and in Python."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)

@@ -181,8 +181,8 @@ def _draws(spark, documents: DataFrame, quotas: DataFrame, seed: int, block_word
 
 def report(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, shards (the shards its copies go to)."""
-    rows = common.table(docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "source", "text"), "rows")
-    documents, draws = plan(rows, **options)
+    rows, uid = common.numbered_rows(docs.select("doc_id", "source", "text"))
+    documents, draws = plan(rows.select(F.col(uid).alias("uid"), "doc_id", "source", "text"), **options)
     got = draws.groupBy("uid").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("shard")).alias("shards"))
     out = documents.select("uid", "doc_id", "size", "source_size", "target").join(got, "uid", "left")
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.coalesce("n", F.lit(0))).alias("taken"), F.coalesce("shards", F.array().cast("array<bigint>")).alias("shards"))
@@ -190,8 +190,7 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """docs mixed: every copy taken is a row, in shard order and random order within a shard. Columns are those of docs."""
-    uid = common.free_name(docs, "uid")
-    rows = common.table(docs.withColumn(uid, F.monotonically_increasing_id()), "rows")
+    rows, uid = common.numbered_rows(docs)
     _, draws = plan(rows.select(F.col(uid).alias("uid"), "doc_id", "source", "text"), **options)
     out = rows.join(draws.select(F.col("uid").alias(uid), F.col("shard").alias(f"{uid}_shard"), F.col("place").alias(f"{uid}_place")), uid)
     out = out.repartitionByRange(f"{uid}_shard").sortWithinPartitions(f"{uid}_shard", f"{uid}_place")

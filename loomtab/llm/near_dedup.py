@@ -267,8 +267,7 @@ def report(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with one document of each group; columns are those of docs."""
-    uid = common.free_name(docs, "uid")
-    rows = common.table(docs.withColumn(uid, F.monotonically_increasing_id()), "rows")
+    rows, uid = common.numbered_rows(docs)
     plain = rows.select(F.col(uid).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dropped = group(plain, percent).filter("NOT kept").select(F.col("uid").alias(uid))
     return rows.join(dropped, uid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
