@@ -30,7 +30,7 @@ from . import common
 BLOCK = 128
 PERCENTILE = 0.9
 SHARD_IDS = 2_000_000
-CACHE_STEMS = 200_000
+CACHE_STEMS = 350_000
 #: ASCII marks that part from a letter or digit before them; without those of contractions and of special tokens.
 _TAIL = re.compile(r"(.*[^\W_])([!-&(-/:;=-@\[-^`{}~]+)", re.S)
 _LOWER = {c: c + 32 for c in range(65, 91)}
