@@ -1,14 +1,17 @@
 """Main text of web pages: page structure, checked against a suffix array of each host's token streams.
 
 A page falls into blocks of text, each with a kind: in the article, open (the page marks no article), or furniture
-(menus, headers, footers, sidebars, notices, adverts, forms, comments of readers, by tag, role, class or id). Pages are
-dealt out by host and the token streams of up to GROUP_PAGES pages of a host are joined into one; its suffixes are sorted to
-the depth of RUN tokens, and equal neighbours show the runs that recur on distinct pages. Furniture goes. Open blocks lose
-the tokens covered by runs that recur, and keep the unique runs. Blocks of an article are protected by the markup and
-go only when they recur on nearly all of a well-filled group's pages: copied articles and quoted passages recur as well.
-
-A host of many pages is dealt out in pieces, the pages of a piece are sorted together, and groups are cut from them as they
-stream by, so a host of any size is spread over tasks and a group is bounded. Null html is the empty page: empty text. Null url is a host of its own; equal rows each give a row.
+(menus, headers, footers, sidebars, notices, adverts, forms, comments of readers, by tag, role, class or id). Token streams
+of pages are joined into one; its suffixes are sorted to the depth of RUN tokens, and equal neighbours show the runs that
+recur on distinct pages. Furniture goes. Open blocks lose the tokens covered by runs that recur on the host, and keep the
+unique runs. Blocks of an article are protected by the markup and go only when they recur on nearly all pages of a host
+with enough of them: copied articles and quoted passages recur as well.
+
+A host of up to GROUP_PAGES pages is one group. A larger one is dealt out in pieces. Suffix arrays of the pages at hand
+propose its runs; their pages are added up over the host by (host, bucket of keys), and each piece gets those of its runs
+that recur, with the host's count. So groups of a piece are only cut to bound memory: what goes does not depend on them.
+Runs are told apart by 64-bit keys within a host. Null html is the empty page: empty text. Null url is a host of its own;
+equal rows each give a row.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +31,7 @@ from . import common
 RUN = 8
 GROUP_PAGES = 256
 GROUP_BYTES = 8 << 20
-#: A block of an article goes when it recurs on this share of a group of at least so many pages.
+#: A block of an article goes when it recurs on this share of the pages of a host of at least so many.
 NEARLY_ALL, WELL_FILLED = 0.8, 20
 
 # Element names of HTML by role, and words of class, id and role attributes that mark furniture.
@@ -146,8 +150,9 @@ def blocks(page: str) -> list[tuple[int, str]]:
     return [(OUTSIDE if gone or article and not within else ARTICLE if article else OPEN, text) for gone, within, text in out]
 
 
-def recurring(tokens: np.ndarray, ends: np.ndarray, page: np.ndarray, run: int = RUN) -> np.ndarray:
-    """For every token, on how many distinct pages a run of `run` tokens that covers it occurs; 0 if no such run fits.
+def _suffixes(tokens: np.ndarray, ends: np.ndarray, page: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffix array of a stream to the depth of a run: starts of the runs that fit their block, by run, then page; and
+    where in it a new run and a new (run, page) begin.
 
     tokens: codes of one stream; ends: end of the token's block; page: the token's page. The stream's suffixes are
     ranked by 1, 2, 4, ... tokens (prefix doubling) and sorted; equal ranks are neighbours in the suffix array.
@@ -155,6 +160,7 @@ def recurring(tokens: np.ndarray, ends: np.ndarray, page: np.ndarray, run: int =
     n = len(tokens)
     rank, depth = tokens.astype(np.int64), 1
     at = np.arange(n)
+    at = at[at + run <= ends] if run == 1 else at
     while depth < run:
         step = min(depth, run - depth)
         at = at[at + depth + step <= ends[at]]
@@ -162,36 +168,99 @@ def recurring(tokens: np.ndarray, ends: np.ndarray, page: np.ndarray, run: int =
         fresh = np.zeros(n, np.int64)
         fresh[at] = np.unique(key, return_inverse=True)[1]
         rank, depth = fresh, depth + step
-    out = np.zeros(n + 1, np.int64)
-    if not len(at):
-        return out[:n]
-    order = at[np.lexsort((page[at], rank[at]))]  # the suffix array to this depth
+    order = at[np.lexsort((page[at], rank[at]))]
     new_rank = np.diff(rank[order], prepend=-1) != 0
-    new_page = new_rank | (np.diff(page[order], prepend=-1) != 0)
+    return order, new_rank, new_rank | (np.diff(page[order], prepend=-1) != 0)
+
+
+def _covered(n: int, ends: np.ndarray, order: np.ndarray, times: np.ndarray, run: int = RUN) -> np.ndarray:
+    """For every token, the most of the times of runs that cover it; 0 if no run fits."""
+    out, best = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    best[order] = times
+    for shift in range(min(run, n)):  # a token is covered by the runs that start up to run - 1 tokens before it
+        out[shift:] = np.maximum(out[shift:], np.where(np.arange(n - shift) + run <= ends[: n - shift], best[: n - shift], 0))
+    return out
+
+
+def recurring(tokens: np.ndarray, ends: np.ndarray, page: np.ndarray, run: int = RUN) -> np.ndarray:
+    """For every token, on how many distinct pages a run of `run` tokens that covers it occurs; 0 if no such run fits."""
+    order, new_rank, new_page = _suffixes(tokens, ends, page, run)
     group = np.cumsum(new_rank) - 1
-    pages = np.bincount(group, new_page).astype(np.int64)[group]
-    best = np.zeros(n, np.int64)
-    best[order] = pages
-    for shift in range(run):  # a token is covered by the runs that start up to run - 1 tokens before it
-        out[shift:n] = np.maximum(out[shift:n], np.where(np.arange(n - shift) + run <= ends[: n - shift], best[: n - shift], 0)) if shift < n else out[shift:n]
-    return out[:n]
+    return _covered(len(tokens), ends, order, np.bincount(group, new_page).astype(np.int64)[group], run)
+
+
+def _hashes(values: pa.Array) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(x) for x in values.to_pylist()], np.uint64)
 
 
-def main_texts(pages: list[list[tuple[int, str]]]) -> list[str]:
-    """Main text of each of a host's pages."""
+def _run_keys(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit keys of the runs at starts, equal wherever the run occurs. words: hashes of the stream's tokens."""
+    out = np.zeros(len(starts), np.uint64)
+    for j in range(RUN):
+        out = (out + words[starts + j]) * np.uint64(0x9E3779B97F4A7C15)
+    return common.mix64(out).view(np.int64)
+
+
+def _whole_keys(texts: pa.Array) -> np.ndarray:
+    return common.mix64(_hashes(texts) ^ np.uint64(0xA0761D6478BD642F)).view(np.int64)
+
+
+def counted_runs(pages: list[list[tuple[int, str]]], part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(part, key, pages): on how many of a part's pages a run, or a whole block shorter than a run, occurs. part: the
+    number of each page's part, in ascending order."""
+    flat = pa.array([t for p in pages for _, t in p], pa.string())
+    words, counts = common.space_words(flat, lower=False)
+    owner = np.repeat(np.arange(len(pages)), [len(p) for p in pages])
+    block = np.repeat(np.arange(len(counts)), counts)
+    coded = words.dictionary_encode()
+    tokens = coded.indices.to_numpy()
+    order, new_rank, new_page = _suffixes(tokens, np.cumsum(counts)[block], owner[block])
+    of = part[owner[block][order]]
+    new_part = new_rank | (np.diff(of, prepend=-1) != 0)
+    keys = _run_keys(_hashes(coded.dictionary)[tokens], order[new_part])
+    times = np.bincount(np.cumsum(new_part) - 1, new_page).astype(np.int64)
+    # Blocks shorter than a run recur as wholes.
+    short = np.flatnonzero((counts > 0) & (counts < RUN))
+    whole = flat.take(pa.array(short)).dictionary_encode()
+    codes = whole.indices.to_numpy().astype(np.int64)
+    once = np.unique(codes * (len(pages) + 1) + owner[short])
+    pairs, n = np.unique((once // (len(pages) + 1)) * (len(part) + 1) + part[once % (len(pages) + 1)], return_counts=True)
+    return np.concatenate([of[new_part], pairs % (len(part) + 1)]), np.concatenate([keys, _whole_keys(whole.dictionary)[pairs // (len(part) + 1)]]), np.concatenate([times, n])
+
+
+def main_texts(pages: list[list[tuple[int, str]]], known: tuple[np.ndarray, np.ndarray] | None = None, n_host: int | None = None) -> list[str]:
+    """Main text of each of the pages. They are all of their host, or known says on how many of the host's n_host pages a
+    run occurs: keys in ascending order and pages; a run that is not among the keys is on one page."""
     flat = pa.array([t for p in pages for _, t in p], pa.string())
     words, counts = common.space_words(flat, lower=False)
-    kinds = np.array([k for p in pages for k, _ in p], np.int64)
     owner = np.repeat(np.arange(len(pages)), [len(p) for p in pages])
     block_ends = np.cumsum(counts)
     block = np.repeat(np.arange(len(counts)), counts)
-    tokens = words.dictionary_encode().indices.to_numpy()
-    seen = recurring(tokens, block_ends[block], owner[block]) if len(tokens) else np.zeros(0, np.int64)
+    coded = words.dictionary_encode()
+    tokens = coded.indices.to_numpy()
+    n_host = len(pages) if n_host is None else n_host
+
+    def on_host(keys: np.ndarray) -> np.ndarray:
+        if not len(known[0]):
+            return np.ones(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(known[0], keys), len(known[0]) - 1)
+        return np.where(known[0][at] == keys, known[1][at], 1)
+
+    if known is None:
+        seen = recurring(tokens, block_ends[block], owner[block]) if len(tokens) else np.zeros(0, np.int64)
+    else:
+        order, new_rank, _ = _suffixes(tokens, block_ends[block], owner[block])
+        times = on_host(_run_keys(_hashes(coded.dictionary)[tokens], order[new_rank]))[np.cumsum(new_rank) - 1]
+        seen = _covered(len(tokens), block_ends[block], order, times)
     # Blocks shorter than a run recur as wholes.
     if len(counts):
-        whole = flat.dictionary_encode().indices.to_numpy().astype(np.int64)
-        pairs = np.unique(whole * (len(pages) + 1) + owner)
-        times = np.bincount(pairs // (len(pages) + 1))[whole]
+        kinds = flat.dictionary_encode()
+        whole = kinds.indices.to_numpy().astype(np.int64)
+        if known is None:
+            pairs = np.unique(whole * (len(pages) + 1) + owner)
+            times = np.bincount(pairs // (len(pages) + 1))[whole]
+        else:
+            times = on_host(_whole_keys(kinds.dictionary))[whole]
         short = counts < RUN
         seen = np.where(short[block], times[block], seen)
     out = []
@@ -202,7 +271,7 @@ def main_texts(pages: list[list[tuple[int, str]]]) -> list[str]:
             a, b = block_ends[nth] - counts[nth], block_ends[nth]
             nth += 1
             if kind == ARTICLE:
-                if len(pages) < WELL_FILLED or not (seen[a:b] >= NEARLY_ALL * len(pages)).all() or a == b:
+                if n_host < WELL_FILLED or not (seen[a:b] >= NEARLY_ALL * n_host).all() or a == b:
                     kept.append(text)
             elif kind == OPEN:
                 uncut.append(text)
@@ -216,49 +285,114 @@ def main_texts(pages: list[list[tuple[int, str]]]) -> list[str]:
     return out
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, text, n_chars."""
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in common.chunks(batch, "html"):
+            got = [blocks(x) for x in common.texts(piece.column("html")).to_pylist()]
+            kinds = pa.array([[k for k, _ in p] for p in got], pa.list_(pa.int8()))
+            text = pa.array([[t for _, t in p] for p in got], pa.list_(pa.string()))
+            names = ["page_id", "url", "host", "n_host", "piece"]
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), kinds, text], [*names, "kinds", "blocks"])
+
+
+def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of the pages at hand, by host, piece and bucket: keys and on how many pages each is."""
+    for batch in batches:
+        for piece in common.chunks(batch, "html", GROUP_BYTES):
+            where = list(zip(*(piece.column(c).to_pylist() for c in ("host", "piece", "pieces")), strict=True))
+            html = common.texts(piece.column("html"))
+            turn = sorted(range(len(where)), key=where.__getitem__)
+            parts = sorted(set(where))
+            number = {w: i for i, w in enumerate(parts)}
+            part, key, n = counted_runs([blocks(html[i].as_py()) for i in turn], np.array([number[where[i]] for i in turn], np.int64))
+            bucket = (key.view(np.uint64) % np.array([w[2] for w in parts], np.uint64)[part]).astype(np.int64)
+            order = np.lexsort((bucket, part))
+            part, bucket, key, n = part[order], bucket[order], key[order], n[order]
+            cut = np.flatnonzero((np.diff(part, prepend=-1) != 0) | (np.diff(bucket, prepend=-1) != 0))
+            ends = pa.array(np.append(cut, len(key)), pa.int32())
+            hosts, pieces = (pa.array([w[j] for w in parts], t).take(pa.array(part[cut])) for j, t in ((0, pa.string()), (1, pa.int64())))
+            yield pa.RecordBatch.from_arrays([hosts, pieces, pa.array(bucket[cut]), pa.ListArray.from_arrays(ends, pa.array(key)), pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32)))], ["host", "piece", "bucket", "keys", "n"])
+
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in common.chunks(batch, "html"):
-                got = [blocks(x) for x in common.texts(piece.column("html")).to_pylist()]
-                kinds = pa.array([[k for k, _ in p] for p in got], pa.list_(pa.int8()))
-                text = pa.array([[t for _, t in p] for p in got], pa.list_(pa.string()))
-                yield pa.RecordBatch.from_arrays([piece.column("page_id"), piece.column("url"), piece.column("host"), kinds, text], ["page_id", "url", "host", "kinds", "blocks"])
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list = []
-        urls: list = []
-        held: list[list[tuple[int, str]]] = []
-        host, size = None, 0
-
-        def done() -> pa.RecordBatch:
-            text = main_texts(held)
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-        for batch in batches:
-            for page_id, url, name, piece, kinds, text in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "piece", "kinds", "blocks")), strict=True):
-                own = (name, piece)
-                if held and (own != host or len(held) >= GROUP_PAGES or size >= GROUP_BYTES):
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the runs of each (host, bucket), those on two pages or more of the host: to each piece that has them, with all
+    pages of the host that have them."""
+    own, pieces, keys, n = None, [], [], []
+
+    def done() -> pa.RecordBatch:
+        sizes = [len(k) for k in keys]
+        kinds, code = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(code, np.concatenate(n)).astype(np.int64)
+        piece = np.repeat(np.array(pieces, np.int64), sizes)
+        pairs = np.unique(np.stack([piece, code])[:, total[code] > 1], axis=1)
+        first = np.flatnonzero(np.diff(pairs[0], prepend=-1) != 0)
+        ends = pa.array(np.append(first, pairs.shape[1]), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array([own[0]] * len(first), pa.string()), pa.array(pairs[0][first]), pa.ListArray.from_arrays(ends, pa.array(kinds[pairs[1]])), pa.ListArray.from_arrays(ends, pa.array(total[pairs[1]]))], ["host", "piece", "keys", "times"])
+
+    for batch in batches:
+        for i, (host, piece, bucket) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "piece", "bucket")), strict=True)):
+            if own != (host, bucket):
+                if keys:
                     yield done()
-                    ids, urls, held, size = [], [], [], 0
-                host = own
-                ids.append(page_id)
-                urls.append(url)
-                held.append(list(zip(kinds, text, strict=True)))
-                size += sum(map(len, text))
-        if held:
-            yield done()
+                own, pieces, keys, n = (host, bucket), [], [], []
+            pieces.append(piece)
+            keys.append(batch.column("keys")[i].values.to_numpy())
+            n.append(batch.column("n")[i].values.to_numpy())
+    if keys:
+        yield done()
+
+
+def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Main texts, host by host and piece by piece; rows with keys come before the pages of their piece."""
+    ids, urls, held, size = [], [], [], 0
+    own, all_pages, keys, times, known = None, None, [], [], None
+
+    def done() -> pa.RecordBatch:
+        text = main_texts(held, known, all_pages)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "n_host", "piece", "is_page", "kinds", "blocks")), strict=True)
+        for i, (page_id, url, host, n_host, piece, is_page, kinds, text) in enumerate(rows):
+            # A host without pieces is whole here; groups of one with pieces are cut anywhere, as all counts are the host's.
+            if held and (own != (host, piece) or piece is not None and (len(held) >= GROUP_PAGES or size >= GROUP_BYTES)):
+                yield done()
+                ids, urls, held, size = [], [], [], 0
+            if own != (host, piece):
+                own, all_pages, keys, times, known = (host, piece), None, [], [], None
+            if not is_page:
+                keys.append(batch.column("keys")[i].values.to_numpy())
+                times.append(batch.column("times")[i].values.to_numpy())
+                continue
+            if known is None and piece is not None:
+                kinds_of, at = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_index=True)
+                known, keys = (kinds_of, np.concatenate([np.zeros(0, np.int64), *times])[at]), []
+            all_pages = n_host
+            ids.append(page_id)
+            urls.append(url)
+            held.append(list(zip(kinds, text, strict=True)))
+            size += sum(map(len, text))
+    if held:
+        yield done()
+
+
+def extract(pages: DataFrame) -> DataFrame:
+    """One row per page: page_id, url, text, n_chars."""
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host.alias("host"), F.col("html").cast("string").alias("html"))
-    # A host with more than a thousandth of all pages is dealt out in pieces; there are fewer than a thousand such hosts.
-    by_host = rows.groupBy("host").agg(F.count("*").alias("n"))
-    total = by_host.agg(F.greatest(F.sum("n") / 1000, F.lit(GROUP_PAGES)).alias("piece"))
-    large = by_host.join(total).filter("n > piece").select("host", F.ceil(F.col("n") / F.col("piece")).alias("pieces"))
-    parsed = rows.transform(common.map_batches, parse, "page_id long, url string, host string, kinds array<tinyint>, blocks array<string>")
-    piece = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("pieces", F.lit(1)))
-    near = parsed.join(F.broadcast(large), "host", "left").withColumn("piece", piece).drop("pieces")
-    near = near.repartition("host", "piece").sortWithinPartitions("host", "piece", "page_id", "url")
-    return near.transform(common.map_batches, choose, "page_id long, url string, text string, n_chars long")
+    # A host of more than one group is dealt out in pieces. Blocks are never longer than their html.
+    by_host = rows.groupBy("host").agg(F.count("*").alias("n_host"), F.sum(F.octet_length("html")).alias("bytes"))
+    large = by_host.withColumn("pieces", F.ceil(F.greatest(F.col("n_host") / GROUP_PAGES, F.coalesce("bytes", F.lit(0)) / GROUP_BYTES))).filter("pieces > 1")
+    large = common.table(large.select("host", "n_host", "pieces"), "large_hosts")
+    n_large = large.count()
+    piece = F.pmod(F.xxhash64("page_id", "url", "html"), "pieces")
+    marked = rows.join(F.broadcast(large) if n_large < 10_000 else large, "host", "left").withColumn("piece", piece)
+    near = marked.transform(common.map_batches, _parse, "page_id long, url string, host string, n_host long, piece long, kinds array<tinyint>, blocks array<string>")
+    near = near.withColumns({"is_page": F.lit(True), "keys": F.lit(None).cast("array<bigint>"), "times": F.lit(None).cast("array<bigint>")})
+    if n_large:
+        runs = marked.filter("pieces IS NOT NULL").select("host", "piece", "pieces", "html").transform(common.map_batches, _propose, "host string, piece long, bucket long, keys array<long>, n array<int>")
+        runs = runs.repartition("host", "bucket").sortWithinPartitions("host", "bucket")
+        totals = runs.transform(common.map_batches, _add_up, "host string, piece long, keys array<long>, times array<long>")
+        near = near.unionByName(totals.withColumn("is_page", F.lit(False)), allowMissingColumns=True)
+    near = near.repartition("host", "piece").sortWithinPartitions("host", "piece", "is_page", "page_id", "url")
+    return near.transform(common.map_batches, _choose, "page_id long, url string, text string, n_chars long")

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 
@@ -263,6 +264,26 @@ def test_pages(spark):
     assert html_extract.extract(by_id.limit(0)).count() == 0
 
 
+def test_pages_of_a_host_of_several_groups(spark):
+    """What recurs is judged on the whole host: runs shared by pages of different groups, notices inside articles."""
+    dice = random.Random(3)
+    words = lambda n: " ".join(f"w{dice.randrange(10**9)}" for _ in range(n))
+    notice, short, twice = words(12), words(3), words(10)
+    rows, want = [], {}
+    for i in range(600):
+        text = words(20)
+        also = twice if i in (5, 406) else words(10)
+        if i % 2:
+            page, want[i] = f"<article><p>{text}</p><p>{also}</p><p>{notice}</p></article><p>{short}</p>", f"{text}\n{also}"
+        else:
+            page, want[i] = f"<p>{text}</p><p>{also}</p><p>{notice}</p><p>{short}</p>", text if i == 406 else f"{text}\n{also}"
+        rows.append((i, f"http://one.example/{i}", page))
+    rows += [(1000, "http://two.example/", f"<p>{notice}</p><p>{short}</p>")]
+    want[1000] = f"{notice}\n{short}"
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES) == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
 
