@@ -2,7 +2,7 @@
 
 Every source is a line of words: its documents in a seeded random order, laid end to end, and cut into blocks of about
 `block_words` words. A source's target is met by running along its line, again from the start where the target is
-larger than the source; so each source owes the mix an exact number of blocks. The output shards are the leaves of a
+larger than the source, and past documents that are too long for what is missing; so each source owes the mix an exact number of blocks. The output shards are the leaves of a
 binary tree: at each node the block quotas of all sources split between left and right by a multivariate-hypergeometric
 draw, seeded by the node, until every shard has its exact quota of each source. Shards take consecutive blocks of the
 permuted lines, so no block is drawn twice, and shuffle what they got locally.
@@ -14,6 +14,7 @@ taken; null source is a source of its own, last in order; equal rows each take p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,6 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 BLOCK_WORDS = 20_000
 SHARD_BLOCKS = 64
-CANDIDATES = 8
 SEED = 17
 
 
@@ -107,16 +107,8 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = MA
     sized = docs.select("uid", "doc_id", "source", word_count(F.col("text")).alias("size"))
     # The random order is of ids and seed, not of partitions; uid only parts equal ids.
     sized = common.table(sized.withColumn("luck", F.xxhash64(F.lit(seed), "doc_id", "source", "size")), "sizes")
-    fine = common.table(sized.groupBy("source", F.shiftright("luck", 48).alias("slot")).agg(F.sum("size").alias("words")), "slots")
-    goal = common.table(targets(fine.groupBy("source").agg(F.sum("words").alias("source_size")), weights, epochs), "targets")
-
-    # Positions on the source's line: prefix sums over 2^16 slots of the random order, then inside each slot.
-    before = fine.select("source", "slot", (F.sum("words").over(Window.partitionBy("source").orderBy("slot")) - F.col("words")).alias("base"))
-    inside = Window.partitionBy("source", "slot").orderBy("luck", "doc_id", "uid")
-    placed = sized.withColumn("slot", F.shiftright("luck", 48)).withColumn("start", F.sum("size").over(inside) - F.col("size"))
-    placed = placed.alias("p").join(before.alias("b"), F.col("p.source").eqNullSafe(F.col("b.source")) & (F.col("p.slot") == F.col("b.slot")))
-    placed = placed.select("p.uid", "p.doc_id", "p.source", "p.size", "p.luck", (F.col("start") + F.col("base")).alias("start"))
-    placed = placed.alias("p").join(goal.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source"))).select("p.*", "source_size", "target")
+    goal = common.table(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs), "targets")
+    placed = _line(sized).alias("p").join(goal.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source"))).select("p.*", "source_size", "target")
     # A document is taken once for each whole run along the line, and once more if it ends before the target does.
     full = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0))  # a source may have no words
     rest = F.col("target") - full * F.col("source_size")
@@ -132,28 +124,44 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = MA
     return documents, _draws(spark, documents, quotas, seed, block_words)
 
 
+def _line(rows: DataFrame) -> DataFrame:
+    """rows (uid, doc_id, source, size, luck, ...) with start: words of the source before the row, in its random order.
+    Prefix sums over 2^16 slots of the order, then inside each slot."""
+    rows = rows.withColumn("slot", F.shiftright("luck", 48))
+    fine = rows.groupBy("source", "slot").agg(F.sum("size").alias("words"))
+    before = fine.select("source", "slot", (F.sum("words").over(Window.partitionBy("source").orderBy("slot")) - F.col("words")).alias("base"))
+    inside = Window.partitionBy("source", "slot").orderBy("luck", "doc_id", "uid")
+    placed = rows.withColumn("start", F.sum("size").over(inside) - F.col("size"))
+    placed = placed.alias("p").join(before.alias("b"), F.col("p.source").eqNullSafe(F.col("b.source")) & (F.col("p.slot") == F.col("b.slot")))
+    return placed.select("p.*", "base").withColumn("start", F.col("start") + F.col("base")).drop("slot", "base")
+
+
 def _fill(documents: DataFrame, epochs: int) -> DataFrame:
-    """Fill what a source misses of its target with documents beyond the target's end, large ones first, and at last the
-    one that comes nearest. A few of each size class (power of two) are enough to choose from, so a group stays small."""
-    gap = documents.groupBy("source").agg((F.first("target") - F.sum(F.col("size") * F.col("copies"))).alias("gap"))
-    left = documents.alias("d").join(gap.alias("g"), F.col("d.source").eqNullSafe(F.col("g.source"))).select("d.*", "gap")
-    left = left.filter((F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")) & (F.col("copies") == F.col("full")) & (F.col("copies") < epochs))
-    by_class = Window.partitionBy("source", F.floor(F.log2("size"))).orderBy("luck", "doc_id", "uid")
-    few = left.withColumn("nth", F.row_number().over(by_class)).filter(F.col("nth") <= CANDIDATES).select("source", "uid", "luck", "size", "gap")
-
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        gap, taken = float(group["gap"].iloc[0]), []
-        rest = group.sort_values(["size", "luck", "uid"], ascending=[False, True, True])[["uid", "size"]].to_numpy().tolist()
-        for uid, size in list(rest):
-            if size <= gap:
-                gap -= size
-                taken.append(uid)
-        near = min(((abs(gap - size), uid) for uid, size in rest if uid not in taken), default=(gap, None))
-        return pd.DataFrame({"uid": taken + [near[1]] * (near[0] < gap), "extra": 1}).astype({"uid": "int64"})
-
-    best = few.groupBy("source").applyInPandas(choose, "uid long, extra long")
-    out = documents.join(best, "uid", "left")
-    return out.select(*[(F.col("copies") + F.coalesce("extra", F.lit(0))).alias(c) if c == "copies" else c for c in documents.columns])
+    """Fill what a source misses of its target: go on along its line past documents that do not fit, again and again over
+    those left that are no larger than the gap, until the gap is below the smallest one left; and at last take that one
+    if it comes nearer. last_start: where a document that fills the gap lies in its source's last run."""
+    full = F.first(F.col("target") - F.col("full") * F.col("source_size")).alias("rest")
+    gaps = documents.groupBy("source").agg(full, F.sum(F.col("size") * (F.col("copies") - F.col("full"))).alias("words"))
+    gaps = common.table(gaps.select("source", (F.col("rest") - F.col("words")).alias("gap"), "rest"), "gaps")
+    left = open_ = documents.filter((F.col("size") > 0) & (F.col("copies") == F.col("full")) & (F.col("copies") < epochs)).select("uid", "doc_id", "source", "size", "luck")
+    taken = []
+    while True:
+        fits = left.alias("d").join(gaps.alias("g"), F.col("d.source").eqNullSafe(F.col("g.source")) & (F.col("d.size") <= F.col("g.gap"))).select("d.*", "gap", "rest")
+        step = common.table(_line(fits).withColumn("takes", F.col("start") + F.col("size") <= F.col("gap")), "fits")
+        now = step.filter("takes").select("uid", "source", "size", F.floor(F.col("rest") - F.col("gap") + F.col("start")).alias("last_start"))
+        if now.isEmpty():  # the first one along the line fits, so none is left
+            break
+        taken.append(now.select("uid", "last_start"))
+        words = now.groupBy("source").agg(F.sum("size").alias("words"))
+        gaps = gaps.alias("g").join(words.alias("w"), F.col("g.source").eqNullSafe(F.col("w.source")), "left")
+        gaps = common.table(gaps.select("g.source", (F.col("gap") - F.coalesce("words", F.lit(0))).alias("gap"), "rest"), "gaps")
+        left = step.filter("NOT takes").select("uid", "doc_id", "source", "size", "luck")
+    got = reduce(DataFrame.unionByName, taken) if taken else now.select("uid", "last_start")
+    least = open_.join(got, "uid", "left_anti").groupBy("source").agg(F.min(F.struct("size", "luck", "doc_id", "uid")).alias("least"))
+    last = least.alias("l").join(gaps.alias("g"), F.col("l.source").eqNullSafe(F.col("g.source"))).filter("least.size < 2 * gap")
+    got = got.unionByName(last.select("least.uid", F.floor(F.col("rest") - F.col("gap")).alias("last_start")))
+    out = documents.join(got, "uid", "left").withColumn("copies", F.col("copies") + F.col("last_start").isNotNull().cast("long"))
+    return out.select(*documents.columns, "last_start")
 
 
 def _draws(spark, documents: DataFrame, quotas: DataFrame, seed: int, block_words: int) -> DataFrame:
@@ -172,9 +180,10 @@ def _draws(spark, documents: DataFrame, quotas: DataFrame, seed: int, block_word
     dealt = ends.select("shard", "nth", F.explode(F.sequence(F.col("to") - F.col("n"), F.col("to") - 1)).alias("block"))
     dealt = dealt.join(F.broadcast(quotas) if len(quota) < 10_000 else quotas, "nth").select("source", "shard", "block")
 
-    taken = documents.filter("copies > 0").select("uid", "luck", "source", "per_run", "blocks", "start", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    # What filled a gap lies beyond the last block and joins it.
-    taken = taken.withColumn("run_block", F.least(F.col("copy") * F.col("per_run") + F.floor(F.col("start") / block_words), F.col("blocks") - 1))
+    taken = documents.filter("copies > 0").select("uid", "luck", "source", "per_run", "blocks", "start", "full", "last_start", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    # What filled a gap lies in the last run where it was put.
+    start = F.when(F.col("copy") == F.col("full"), F.coalesce("last_start", "start")).otherwise(F.col("start"))
+    taken = taken.withColumn("run_block", F.least(F.col("copy") * F.col("per_run") + F.floor(start / block_words), F.col("blocks") - 1))
     drawn = taken.alias("t").join(dealt.alias("d"), F.col("t.source").eqNullSafe(F.col("d.source")) & (F.col("t.run_block") == F.col("d.block")))
     return drawn.select("uid", "copy", F.col("run_block").alias("block"), "shard", F.xxhash64(F.lit(seed), "luck", "copy", "shard").alias("place"))
 

@@ -147,6 +147,18 @@ def test_mixing(spark, docs, hard, empty):
     assert mixing.report(hard.filter("text IS NULL")).first().taken == 0
 
 
+def test_mixing_goes_on_past_a_document_that_does_not_fit(spark):
+    """One document is longer than its source's target: the others fill it, spread over the source's blocks."""
+    rows = [(i, "a", "w " * 100) for i in range(100)] + [(1000 + i, "b", "w " * 10) for i in range(1000)] + [(5000, "b", "w " * 10_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("uid", F.col("doc_id")).cache()
+    for seed in (1, 2, 3):
+        documents, draws = mixing.plan(docs, weights=(4.0, 1.0), seed=seed, block_words=500)
+        words = draws.join(documents.select("uid", "source", "size", "target"), "uid").groupBy("source", "block").agg(F.sum("size").alias("n"), F.first("target").alias("target")).collect()
+        for source in "ab":
+            assert abs(sum(r.n for r in words if r.source == source) - next(r.target for r in words if r.source == source)) <= 50
+        assert max(r.n for r in words) <= 1000 and sum(r.source == "b" for r in words) == 12
+
+
 def test_exact_dedup(spark, docs, texts, hard, empty):
     form = {k: re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for k, t in texts.items()}
     groups = collections.defaultdict(list)
