@@ -5,14 +5,16 @@ and lists the rest as exceptions; an index of block starts lets a reader decode
 whole documents in ascending doc_id order. Shard files carry names unique to the writing attempt; the manifest, which
 Spark commits, names those that count, so a retried or speculative task leaves no trace in what is read.
 
-Null text is the empty text (its document is the end id alone); null doc_id sorts first; equal doc_ids keep one entry
-per row, ordered by text; an empty table makes an empty manifest.
+Null text is the empty text (its document is the end id alone); null doc_id sorts first; equal and null doc_ids keep one
+entry per row, ordered by a hash of the text, then the text, so repeated rows are alike; an empty table makes an empty
+manifest; columns other than doc_id and text are not looked at, whatever their names. A text is never cut: a task holds a
+batch of 16 MB or one longer text, and some 20 times its bytes while it is encoded; a word (text between ASCII white space)
+goes through the library whole, which takes some 100 bytes for each of its characters.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -21,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,12 +33,16 @@ from . import common
 BLOCK = 128
 PERCENTILE = 0.9
 SHARD_IDS = 2_000_000
-CACHE_STEMS = 350_000
-#: ASCII marks that part from a letter or digit before them; without those of contractions and of special tokens.
-_TAIL = re.compile(r"(.*[^\W_])([!-&(-/:;=-@\[-^`{}~]+)", re.S)
-_LOWER = {c: c + 32 for c in range(65, 91)}
+#: Stems of at most so many bytes are remembered, and at most so many of them: 32 MB of text and some 30 MB of ids.
+STEM_BYTES = 32
+KNOWN_STEMS = 1_000_000
+#: ASCII marks that part from an ASCII letter or digit before them; without those of contractions and of special tokens.
+TAIL_MARKS = "!\"#$%&()*+,-./:;=>?@[\\]^`{}~"
+_ALNUM = np.array([chr(c).isascii() and chr(c).isalnum() for c in range(256)])
 _HEAD = struct.Struct("<4sIQQQ")
 _BLOCK_HEAD = struct.Struct("<IBB")
+#: Bits of small numbers.
+_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
@@ -62,33 +69,38 @@ def _unpack(words: np.ndarray, width: int) -> np.ndarray:
     return lanes.T
 
 
-def encode_blocks(ids: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """Blocks as bytes, and the offset of each (one more at the end)."""
+def encode_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """All blocks as bytes, and the offset of each (one more at the end)."""
     n = -(-len(ids) // BLOCK)
     if not n:
-        return [], np.zeros(1, np.uint64)
+        return b"", np.zeros(1, "<u8")
     grid = np.full(n * BLOCK, ids[-1], np.uint32)
     grid[: len(ids)] = ids
     grid = grid.reshape(n, BLOCK)
     low = grid.min(1)
     diff = grid - low[:, None]
-    bits = np.frexp(diff.astype(np.float64))[1].astype(np.uint8)
-    width = np.sort(bits, 1)[:, int(PERCENTILE * BLOCK)]
+    bits = _BITS[diff] if diff.max() < len(_BITS) else np.frexp(diff.astype(np.float64))[1].astype(np.uint8)
+    width = np.partition(bits, int(PERCENTILE * BLOCK), 1)[:, int(PERCENTILE * BLOCK)]
     odd = bits > width[:, None]
     count = odd.sum(1)
-    at = np.nonzero(odd)
-    places, extras = at[1].astype(np.uint8), diff[at].astype("<u4")
-    ends = np.cumsum(count)
-    packed: list[bytes] = [b""] * n
-    kept = np.where(odd, 0, diff)
-    for w in np.unique(width):
-        rows = np.nonzero(width == w)[0]
-        for r, x in zip(rows, _pack(kept[rows], int(w)).astype("<u8"), strict=True):
-            packed[r] = x.tobytes()
-    blocks = []
-    for lo, w, c, e, p in zip(low.tolist(), width.tolist(), count.tolist(), ends.tolist(), packed, strict=True):
-        blocks.append(_BLOCK_HEAD.pack(lo, w, c) + (places[e - c : e].tobytes() + extras[e - c : e].tobytes() if c else b"") + p)
-    return blocks, np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype("<u8")
+    block, place = np.nonzero(odd)
+    extras = diff[odd].astype("<u4")
+    diff[odd] = 0
+    ends = np.cumsum(_BLOCK_HEAD.size + 5 * count + 16 * width.astype(np.int64))
+    starts = np.concatenate([[0], ends[:-1]])
+    out = np.zeros(ends[-1], np.uint8)
+    head = np.concatenate([low.astype("<u4").view(np.uint8).reshape(n, 4), width[:, None], count.astype(np.uint8)[:, None]], 1)
+    out[starts[:, None] + np.arange(_BLOCK_HEAD.size)] = head
+    # Places of a block's exceptions, then their values, then the packed differences.
+    nth = np.arange(len(block)) - np.repeat(np.cumsum(count) - count, count)
+    at = starts[block] + _BLOCK_HEAD.size
+    out[at + nth] = place
+    out[(at + count[block] + 4 * nth)[:, None] + np.arange(4)] = extras.view(np.uint8).reshape(-1, 4)
+    for w in np.unique(width[width > 0]).tolist():
+        rows = np.flatnonzero(width == w)
+        at = starts[rows] + _BLOCK_HEAD.size + 5 * count[rows]
+        out[at[:, None] + np.arange(16 * w)] = _pack(diff[rows], w).astype("<u8").view(np.uint8)
+    return out.tobytes(), np.concatenate([[0], ends]).astype("<u8")
 
 
 def encode_shard(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> bytes:
@@ -96,8 +108,8 @@ def encode_shard(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray)
     blocks, index = encode_blocks(ids)
     known = np.array([x is not None for x in doc_ids], bool)
     keys = np.array([x or 0 for x in doc_ids], "<i8")
-    head = _HEAD.pack(b"PFR1", BLOCK, len(doc_ids), len(ids), len(blocks))
-    return b"".join([head, keys.tobytes(), np.packbits(known).tobytes(), sizes.astype("<u8").tobytes(), index.tobytes(), *blocks])
+    head = _HEAD.pack(b"PFR1", BLOCK, len(doc_ids), len(ids), len(index) - 1)
+    return b"".join([head, keys.tobytes(), np.packbits(known).tobytes(), sizes.astype("<u8").tobytes(), index.tobytes(), blocks])
 
 
 class Shard:
@@ -144,8 +156,10 @@ class WordTokens:
     """Ids of texts by way of their words between ASCII white space.
 
     The tokenizer's pre-tokenizer never joins characters across white space and its normaliser works within words, so a
-    text's ids are those of its words in order. It lowers case and parts letters and digits from marks too, so a word is
-    looked up by its lower-case stem and its tail of marks. Each distinct stem is encoded by the library once and remembered.
+    text's ids are those of its words in order. It lowers case, and parts an ASCII letter or digit from an ASCII mark behind
+    it; so a word is looked up as its stem in lower case and its tail of marks. A stem that ends in anything else keeps its
+    marks: normal forms may end in a combining mark, which goes with the marks behind it.
+    Distinct stems are encoded by the library and remembered: short ones only, in arrays of a bounded number of bytes.
     """
 
     def __init__(self, path: str):
@@ -153,57 +167,77 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Two generations: what the older one holds and is asked for moves to the newer one, the rest is let go.
-        self.stems: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        self.known, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
 
-    def _parts(self, word: str) -> tuple[str, str]:
-        if "<|" in word:  # may hold a special token, which is found before anything else
-            return word, ""
-        word = word.lower() if word.isascii() else word.translate(_LOWER)
-        return m.groups() if (m := _TAIL.fullmatch(word)) else (word, "")
-
-    def _encode(self, words: list[str]) -> None:
-        for w, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-            self.stems[w] = array("I", e.ids).tobytes()
-
-    def _encode_plain(self, words: list[str]) -> None:
-        """Words of lower-case letters alone: in one text each is one unit of the tokenizer, and its last id says so."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        last = np.nonzero(self.ends[ids])[0] + 1
-        if len(last) != len(words):  # a tokenizer without word ends, or characters that fall apart
-            return self._encode(words)
-        raw, at = ids.tobytes(), (4 * np.concatenate([[0], last])).tolist()
-        self.stems.update(zip(words, [raw[a:b] for a, b in zip(at, at[1:])], strict=True))
-
-    def _learn(self, stems: set[str]) -> None:
-        if len(self.stems) > CACHE_STEMS:
-            self.stems, self.older = {"": b""}, self.stems
-        missing = stems - self.stems.keys()
-        self.stems.update((w, self.older[w]) for w in missing & self.older.keys())
-        new = list(missing - self.older.keys())
-        plain = [w for w in new if w.isalpha() and w == w.lower()]
-        for a in range(0, len(plain), 5000):
-            self._encode_plain(plain[a : a + 5000])
-        self._encode([w for w in new if w not in self.stems])
+    def _split(self, words: pa.LargeStringArray) -> tuple[pa.LargeStringArray, pa.LargeStringArray]:
+        """Stem and tail of every word."""
+        special = pc.match_substring(words, "<|")  # may hold a special token, which is found before anything else
+        lower = pc.if_else(special, words, pc.ascii_lower(words))
+        stem = pc.ascii_rtrim(lower, characters=TAIL_MARKS)
+        # ASCII letter or digit at the end of the stem, and a tail of at most eight marks.
+        ends = np.frombuffer(stem.buffers()[1], "<i8")[stem.offset : stem.offset + len(stem) + 1]
+        size, extra = np.diff(ends), (pc.binary_length(lower).to_numpy() - np.diff(ends)).astype(np.int64)
+        data = np.frombuffer(stem.buffers()[2] or b"", np.uint8)
+        last = data[np.maximum(ends[1:] - 1, 0)] if len(data) else np.zeros(len(stem), np.uint8)
+        whole = (size == 0) | (extra > 8) | ~_ALNUM[last] | special.to_numpy(zero_copy_only=False)
+        extra[whole] = 0
+        tail = np.zeros((len(words), 8), np.uint8)
+        ends = np.frombuffer(lower.buffers()[1], "<i8")[lower.offset : lower.offset + len(lower) + 1][1:]
+        data = np.frombuffer(lower.buffers()[2] or b"", np.uint8)
+        for j in range(int(extra.max(initial=0))):
+            rows = np.flatnonzero(extra > j)
+            tail[rows, j] = data[ends[rows] - extra[rows] + j]
+        kinds, back = np.unique(tail.view("<u8")[:, 0], return_inverse=True)
+        tails = pa.array([int(k).to_bytes(8, "little").rstrip(b"\0").decode() for k in kinds], pa.large_string())
+        return pc.if_else(pa.array(whole), lower, stem), tails.take(pa.array(back))
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        out = []
+        for a in range(0, len(words), 5000):
+            some = words[a : a + 5000]
+            if all(w.isalpha() for w in some):  # letters alone: in one text each is one unit, and its last id says so
+                ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+                last = np.flatnonzero(self.ends[ids]) + 1
+                if len(last) == len(some):  # else a tokenizer without word ends, or characters that fall apart
+                    raw, at = ids.tobytes(), (4 * np.concatenate([[0], last])).tolist()
+                    out += [raw[a:b] for a, b in zip(at, at[1:])]
+                    continue
+            out += [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        return out
+
+    def _look_up(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct words."""
+        place = pc.index_in(words, value_set=self.known)
+        missing = np.flatnonzero(pc.is_null(place).to_numpy(zero_copy_only=False))
+        plain = np.array([w.isalpha() for w in words.take(pa.array(missing)).to_pylist()], bool)
+        missing = missing[np.argsort(~plain, kind="stable")]
+        new = words.take(pa.array(missing))
+        ids = pa.array(self._encode(new.to_pylist()), pa.large_binary())
+        at = pc.fill_null(place, 0).to_numpy().copy()
+        at[missing] = len(self.known) + np.arange(len(missing))
+        out = pa.concat_arrays([self.ids, ids]).take(pa.array(at))
+        short = pc.less_equal(pc.binary_length(new), STEM_BYTES)
+        new, ids = new.filter(short), ids.filter(short)
+        if len(self.known) + len(new) > KNOWN_STEMS:  # keep what was asked for last
+            use = pc.unique(place.drop_null())
+            self.known, self.ids = self.known.take(use), self.ids.take(use)
+            new, ids = new[: KNOWN_STEMS - len(use)], ids[: KNOWN_STEMS - len(use)]
+        self.known, self.ids = pa.concat_arrays([self.known, new]), pa.concat_arrays([self.ids, ids])
+        return out
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of ids of each text."""
         words, counts = common.space_words(text, lower=False)
         coded = words.dictionary_encode()
-        split = [self._parts(w) for w in coded.dictionary.to_pylist()]
-        self._learn({p for pair in split for p in pair})
-        parts = [self.stems[a] + self.stems[b] for a, b in split]
-        flat = np.frombuffer(b"".join(parts), "<u4")
-        size = np.array([len(p) for p in parts], np.int64) // 4
-        start, use = np.cumsum(size) - size, coded.indices.to_numpy()
-        lens = size[use] if len(use) else np.zeros(0, np.int64)
-        ends = np.concatenate([[0], np.cumsum(lens)])
-        ids = flat[np.repeat(start[use] - ends[:-1], lens) + np.arange(ends[-1])] if len(use) else np.zeros(0, "<u4")
-        word_ends = np.concatenate([[0], np.cumsum(counts)])
-        return ids, np.diff(ends[word_ends])
+        stem, tail = self._split(coded.dictionary.cast(pa.large_string()))
+        stem, tail = stem.dictionary_encode(), tail.dictionary_encode()
+        both = [self._look_up(x.dictionary).take(x.indices) for x in (stem, tail)]
+        ids = pc.binary_join_element_wise(*both, pa.scalar(b"", pa.large_binary())).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], "<i8")[: len(ids) + 1] // 4 if len(ids) else np.zeros(1, np.int64)
+        flat = np.frombuffer(ids.buffers()[2], "<u4")[: ends[-1]] if ends[-1] else np.zeros(0, "<u4")
+        return flat, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
 
 def _with_end(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -235,7 +269,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 1, partitions: i
             return pa.RecordBatch.from_pydict(row, pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
         for batch in batches:
-            for piece in common.chunks(batch, "text"):
+            for piece in common.chunks(batch, "text", common.BATCH_BYTES):
                 keys += piece.column("doc_id").to_pylist()
                 held.append(_with_end(*encoder.encode(common.texts(piece.column("text"))), end_id))
                 if sum(len(x[0]) for x in held) >= shard_ids:
@@ -244,7 +278,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 1, partitions: i
             yield flush()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.repartitionByRange(*([partitions] if partitions else []), "doc_id").sortWithinPartitions("doc_id", "text")
+    # The hash of the text parts rows of equal or null doc_id, however many they are.
+    rows = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(*([partitions] if partitions else []), "doc_id", "tie")
+    rows = rows.sortWithinPartitions("doc_id", "tie", "text").drop("tie")
     shards = common.table(rows.transform(common.map_batches, write, "part int, seq int, path string, n_docs long, n_ids long"), "manifest")
     # Prefix sums in two steps: over tasks, then over the shards of each task.
     whole = shards.groupBy("part").agg(F.sum("n_ids").alias("ids"))

@@ -57,6 +57,32 @@ def test_word_route_gives_the_library_ids():
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids and sizes.tolist() == [len(ids)], text
 
 
+def test_word_route_of_every_code_point_before_marks():
+    """Letters whose normal form ends in a combining mark, digits, marks and spaces of all scripts, each before ASCII marks."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, ours = Tokenizer.from_file(path), token_output.WordTokens(path)
+    points = [chr(c) for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000]
+    for form in ("ब{}!!", "{}a?x{}9.", "{}'"):
+        texts = [form.format(*[c] * form.count("{}")) for c in points]
+        ids, sizes = ours.encode(pa.array(texts))
+        want = library.encode_batch_fast(texts, add_special_tokens=False)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        assert [t for t, e, a, b in zip(texts, want, at, at[1:]) if ids[a:b].tolist() != e.ids] == []
+
+
+def test_remembered_stems_stay_bounded(monkeypatch):
+    monkeypatch.setattr(token_output, "KNOWN_STEMS", 50)
+    ours = token_output.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    for i in range(6):
+        texts = [f"stem{j} Stem{j}!? {'日本語' * 1000}{j} " for j in range(20 * i, 20 * i + 30)]
+        ids, sizes = ours.encode(pa.array(texts))
+        got = np.split(ids, np.cumsum(sizes)[:-1])
+        assert [g.tolist() for g in got] == [e.ids for e in ours.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        assert len(ours.known) <= 50 and max(len(w.encode()) for w in ours.known.to_pylist()) <= token_output.STEM_BYTES
+
+
 # ---- prefix counts
 
 
