@@ -1,7 +1,7 @@
 """MinHash near-dedup with circulant permutations, banding and exact verification.
 
-One permutation scatters a document's shingles over a circle of 2^22 places; a second permutation, read from each place
-on and shifted by k, gives signature coordinate k. Two permutations so make all 120 coordinates. Bands of five
+One permutation scatters a document's shingles over a circle of 2^32 places; a second permutation of the circle, read k
+places on, gives signature coordinate k. Two permutations so make all 120 coordinates. Bands of five
 coordinates make buckets; a pair of similarity 0.85 shares no bucket with probability below 1e-6.
 
 Documents with equal shingle sets form a class, and one member stands for it from there on, so copies never multiply.
@@ -14,7 +14,9 @@ No pair that shares a bucket is left unverified unless it is connected already,
 Hubs are salted by their number of pairs. Components come from alternating large-star and small-star steps.
 
 Null or wordless text has no shingles and links with nothing; a text of fewer than five words is one shingle. Rows with
-equal doc_id are told apart: one row of a group is kept. Null doc_ids sort last. An empty table gives an empty result.
+equal doc_id are told apart: one row of a group is kept. Null doc_ids sort last. An empty table gives an empty result;
+other columns are not looked at, whatever their names. Texts are shingled whole: a task holds a long text with some 60
+bytes for each of its words, and signs it a slice at a time.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -32,8 +34,12 @@ from . import common
 SHINGLE = 5
 PERCENT = 85
 BANDS, ROWS = 24, 5
-PLACES_LOG2 = 22
+SLICE = 65_536
 SALT_PAIRS = 200
+#: Members of a bucket that meet in one task of the last round.
+MEET = 500
+#: Slots of the filter that keeps texts which are not asked for out of a shuffle: what is broadcast is bounded by it.
+SLOTS = 1 << 20
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -54,15 +60,43 @@ def shingle_hashes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Circulant:
+    """Signatures of many sets at once, SLICE shingles at a time, whatever the length of a text."""
+
     def __init__(self, seed: int = 23):
-        places = 1 << PLACES_LOG2
-        second = np.random.default_rng(seed).permutation(places).astype(np.uint32)
-        circle = np.concatenate([second, second[: BANDS * ROWS]])
-        self.from_place = np.lib.stride_tricks.sliding_window_view(circle, BANDS * ROWS)
+        self.first, self.second = (np.random.default_rng(seed).integers(0, 1 << 32, (2, 2), np.uint64) | np.uint64(1)).astype(np.uint32)
+
+    @staticmethod
+    def _permute(x: np.ndarray, odd: np.ndarray, spare: np.ndarray) -> np.ndarray:
+        """A permutation of the circle, in place: odd factors and shifted differences can be undone."""
+        for factor, shift in zip(odd, (16, 15), strict=True):
+            np.right_shift(x, np.uint32(shift), out=spare)
+            np.bitwise_xor(x, spare, out=x)
+            np.multiply(x, factor, out=x)
+        np.right_shift(x, np.uint32(16), out=spare)
+        np.bitwise_xor(x, spare, out=x)
+        return x
+
+    def signatures(self, hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """(sets, 120) coordinates; hashes: shingles of all sets one after another, repeats allowed; n: how many of each."""
+        out = np.full((len(n), BANDS * ROWS), np.uint32(0xFFFFFFFF))
+        ends = np.cumsum(n)
+        full = np.flatnonzero(n > 0)
+        ends, starts = ends[full], (ends - n)[full]
+        for a in range(0, len(hashes), SLICE):
+            place = (hashes[a : a + SLICE] >> np.uint64(32)).astype(np.uint32)
+            spare, value = np.empty_like(place), np.empty_like(place)
+            self._permute(place, self.first, spare)
+            lo, hi = np.searchsorted(ends, a, "right"), np.searchsorted(starts, a + len(place), "left")
+            cuts, sets = np.maximum(starts[lo:hi] - a, 0), full[lo:hi]
+            least = np.empty((BANDS * ROWS, len(sets)), np.uint32)
+            for k in range(BANDS * ROWS):
+                np.add(place, np.uint32(k), out=value)
+                least[k] = np.minimum.reduceat(self._permute(value, self.second, spare), cuts)
+            out[sets] = np.minimum(out[sets], least.T)
+        return out
 
     def signature(self, hashes: np.ndarray) -> np.ndarray:
-        place = common.mix64(hashes ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - PLACES_LOG2)
-        return self.from_place[place.astype(np.int64)].min(0)
+        return self.signatures(hashes, np.array([len(hashes)]))[0]
 
 
 def bands(signatures: np.ndarray) -> np.ndarray:
@@ -81,29 +115,35 @@ def _class_key(hashes: np.ndarray) -> bytes:
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """uid, doc_id, n_shingles, class (null without shingles), bands. rows: (uid, doc_id, text)."""
+    """uid, doc_id, n_shingles, class (null without shingles), bands, key. rows: (uid, doc_id, text).
+
+    key: a hash of doc_id and text, by which a text is found again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         circulant = common.kept("circulant", Circulant)
         for batch in batches:
             for piece in common.chunks(batch, "text"):
                 hashes, n = shingle_hashes(common.texts(piece.column("text")))
+                signs = circulant.signatures(hashes, n)
                 ends = np.cumsum(n)
-                sizes, keys, signs = np.zeros(len(n), np.int64), [], np.zeros((len(n), BANDS * ROWS), np.uint32)
+                sizes, keys = np.zeros(len(n), np.int64), []
                 for i, (a, b) in enumerate(zip(ends - n, ends, strict=True)):
                     own = np.unique(hashes[a:b])
                     sizes[i] = len(own)
                     keys.append(_class_key(own) if len(own) else None)
-                    if len(own):
-                        signs[i] = circulant.signature(own)
                 keyed = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), pa.array(bands(signs).ravel()))
-                yield pa.RecordBatch.from_arrays([piece.column("uid"), piece.column("doc_id"), pa.array(sizes), pa.array(keys, pa.binary()), keyed], ["uid", "doc_id", "n_shingles", "class", "bands"])
+                yield pa.RecordBatch.from_arrays([piece.column("uid"), piece.column("doc_id"), pa.array(sizes), pa.array(keys, pa.binary()), keyed, piece.column("key")], ["uid", "doc_id", "n_shingles", "class", "bands", "key"])
+
+    keyed = rows.select("uid", "doc_id", "text", _text_key())
+    return keyed.transform(common.map_batches, run, "uid long, doc_id long, n_shingles long, class binary, bands array<long>, key long")
 
-    return rows.select("uid", "doc_id", "text").transform(common.map_batches, run, "uid long, doc_id long, n_shingles long, class binary, bands array<long>")
+
+def _text_key() -> Column:
+    return F.xxhash64("doc_id", "text").alias("key")
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and its sorted shingle hashes. wanted: (node, doc_id, class)."""
+    """node and its sorted shingle hashes. wanted: (node, key, class)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,8 +154,11 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 same = pa.array([_class_key(x) == k for x, k in zip(own, piece.column("class").to_pylist(), strict=True)])
                 yield pa.RecordBatch.from_arrays([piece.column("node"), pa.array([x.tobytes() for x in own], pa.binary())], ["node", "shingles"]).filter(same)
 
-    # The row that gave the class its set is found by doc_id; rows of equal doc_id and another set are filtered out.
-    hit = rows.select("doc_id", "text").join(wanted.withColumnRenamed("doc_id", "wanted_id"), F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+    # Texts that share no slot with a wanted one stay out of the shuffle; repeated rows, of one key, give the node again.
+    slot = F.pmod("key", F.lit(SLOTS)).alias("slot")
+    slots = F.broadcast(wanted.select(slot).distinct())  # at most SLOTS numbers
+    asked = rows.select(_text_key(), "text").withColumn("slot", slot).join(slots, "slot", "left_semi")
+    hit = asked.join(wanted, "key")
     return hit.select("node", "class", "text").transform(common.map_batches, run, "node long, shingles binary").dropDuplicates(["node"])
 
 
@@ -196,7 +239,7 @@ def link_classes(signs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> t
     members = sharing.join(hubs, "key").select("key", "node", "size", (-F.col("best.minus")).alias("hub"), F.col("best.company").alias("hub_company"))
     members = common.table(members, "members")
     wanted = members.select("node").distinct()
-    wanted = heads.join(wanted, F.col("uid") == F.col("node"), "left_semi").select(F.col("uid").alias("node"), "doc_id", "class")
+    wanted = common.table(heads.join(wanted, F.col("uid") == F.col("node"), "left_semi").select(F.col("uid").alias("node"), "key", "class"), "wanted")
     sets = common.table(_sets(rows, wanted), "sets")
 
     # Round 1: each class with the best of its buckets' hubs.
@@ -223,19 +266,38 @@ def link_classes(signs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> t
     open_ = common.table(known.join(main, "key").select("key", "node", "hub", "size", "label", (F.col("label") == F.col("main")).alias("is_main")), "open")
     buckets = open_.groupBy("node").agg(F.collect_set("key").alias("keys"))  # BANDS at most
     open_ = common.table(open_.join(_bounds(sets, open_.select("node", "hub").distinct()), ["node", "hub"]).join(buckets, "node"), "open_bounds")
-    left, right = open_.filter("NOT is_main").alias("x"), open_.alias("y")
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & (F.col("y.is_main") | (F.col("x.node") < F.col("y.node")))
-    # An exact bound of what the two can share, by way of the bucket's hub: nearly all pairs that are no link fail it.
-    most = F.least("x.inside", "y.inside") + F.least("x.outside", "y.outside")
-    near = 100 * most >= percent * (F.col("x.size") + F.col("y.size") - most)
+    left, right, near = _able(open_, percent)
+    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.label") != F.col("y.label")) & (F.col("y.is_main") | (F.col("x.node") < F.col("y.node")))
     once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key")  # a pair comes from one of its buckets
-    pairs = left.join(right, apart & near & once).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    pairs = left.alias("x").join(right.alias("y"), apart & near & once).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     edges3 = common.table(verified(common.table(pairs, "pairs3"), sets, percent), "edges3")
     if not edges3.isEmpty():
         labels = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionByName(edges3))
     return classes, labels
 
 
+def _able(open_: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, Column]:
+    """Members (left: outside the main component, right: all) that may find a partner in their bucket, dealt out by salt,
+    and the condition on a pair (x, y): an exact bound of what two sets can share, by way of the bucket's hub.
+
+    A pair shares at most `least(inside) + least(outside)`. So a set of size s that shares at most c with any other has
+    partners of a size up to c * (100 + percent) / percent - s only; sets for which the bucket holds none so small are left
+    out before any pair is made, and what is left meets MEET left members at a time.
+    """
+    most = F.least("x.inside", "y.inside") + F.least("x.outside", "y.outside")
+    near = 100 * most >= percent * (F.col("x.size") + F.col("y.size") - most)
+    rows = open_.withColumn("limit", F.floor((F.col("inside") + F.col("outside")) * (100 + percent) / percent + 1e-6) - F.col("size"))
+    for tag in ("able1", "able2"):
+        least = rows.groupBy("key").agg(F.min("size").alias("least"), F.max("limit").alias("widest"))
+        # A partner is small enough for this one, and this one for it.
+        rows = common.table(rows.join(least, "key").filter("limit >= least AND size <= widest").drop("least", "widest"), tag)
+    salts = rows.filter("NOT is_main").groupBy("key").agg(F.ceil(F.count("*") / MEET).alias("salts"))
+    rows = rows.join(salts, "key")
+    left = rows.filter("NOT is_main").withColumn("salt", F.pmod(F.xxhash64("node"), "salts"))
+    right = rows.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    return left, right, near
+
+
 def group(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """uid, doc_id, n_shingles, class_size, component_id, kept. rows: (uid, doc_id, text), doc_id a long."""
     signs = common.table(signatures(rows), "signatures")
