@@ -106,9 +106,13 @@ def write_file(uri: str, data: bytes) -> None:
         out.write(data)
 
 
+def is_mounted(uri: str) -> bool:
+    return urlparse(uri).scheme in ("", "file")
+
+
 def read_file(uri: str) -> np.ndarray:
     """The file as bytes: memory-mapped where the store is a mounted folder, else read whole."""
-    if urlparse(uri).scheme in ("", "file"):
+    if is_mounted(uri):
         path = urlparse(uri).path
         return np.memmap(path, np.uint8, "r") if os.path.getsize(path) else np.zeros(0, np.uint8)
     store, path = fs.FileSystem.from_uri(uri)

@@ -1,23 +1,29 @@
 """N-gram scoring with an Elias-Fano trie.
 
-The first level is the vocabulary: word hashes in ascending order, Elias-Fano coded, with exact counts; a word's place
-is its id. The second level holds, context by context, the ids of the words seen after it: contexts and the pointers to
-their ranges are monotone and Elias-Fano coded, and successors become monotone as (rank of context) * V + id, so a
-successor is found by one context-relative search. Levels lie in shard files in the shared folder; tasks memory-map them.
-Contexts are dealt to shards by hash; successors of contexts with a great share of all tokens are dealt one by one.
-
-Probabilities: p(w|u) = max(c(u,w) - D, 0) / c(u) + D * T(u) / c(u) * p1(w), with p1(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)),
-T(u) the number of distinct successors; p1 alone after an unknown word. Both shares are kept as 16-bit codes of their
-logarithms. All counts cover all training documents; nothing is pruned.
+The first level is the vocabulary: word hashes in ascending order, Elias-Fano coded, with exact counts as their Elias-Fano
+coded running sums; a word's place is its id. The second level holds, context by context, the ids of the words seen after
+it; the third, pair by pair of the second, those seen after the pair. Pointers to a context's range of successors are
+monotone and Elias-Fano coded. Successors are coded as offsets from the last member of the range before, so that a level is
+one monotone sequence, and a successor is searched relative to its context, between the context's two pointers.
+Levels lie in shard files in the shared folder; tasks memory-map them. Contexts are dealt to shards by hash with all that
+follows them; what follows words and pairs with a great share of all tokens is dealt one by one.
+
+Probabilities: p1(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)); p(w|u) = max(c(u,w) - D, 0) / c(u) + D * T(u) / c(u) * p1(w), with
+T(u) the number of distinct successors; p1 alone after an unknown word. With order 3, after a pair t u that was seen,
+p(w|t,u) = max(c(t,u,w) - D, 0) / c(t,u) + D * T(t,u) / c(t,u) * p(w|u). Seen shares are kept as 16-bit codes of their
+logarithms; T is the distance of two pointers. All counts cover all training documents; nothing is pruned.
 
 Null text is the empty text: its one token is the end. Equal rows count again. With no training documents N = V = 0 and
-every token has the unknown word's probability. Words are identified by 62 bits of xxh3.
+every token has the unknown word's probability. Words are identified by 62 bits of xxh3. Columns other than doc_id and text
+are not looked at, whatever their names. Texts are scored whole; a task holds a batch of 8 MB, or one longer text, and some
+40 bytes for each of its words.
 """
 
 from __future__ import annotations
 
 import struct
 import uuid
+from collections import Counter, OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,9 +37,13 @@ from . import common
 
 DISCOUNT = 0.75
 ADD = 0.1
-SHARD_TOKENS = 8_000_000
+ORDER = 2
+SHARD_TOKENS = 4_000_000
+#: Pairs with this share of a chunk's tokens are counted while words are; only the balance of shards depends on it.
+PAIR_SHARE = 2.0**-14
 MERGE_KEYS = 3_000_000
 CHUNK = 8 << 20
+KEEP_BYTES = 256 << 20
 #: A context with more than this share of a shard's tokens is dealt out by successor.
 HOT_SHARE = 0.25
 END = 0
@@ -52,7 +62,7 @@ class EliasFano:
 
     def __init__(self, n: int, bits: int, low: np.ndarray, high: np.ndarray, zeros: np.ndarray):
         self.n, self.bits, self.low, self.high, self.zeros = n, bits, low, high, zeros
-        self.bytes = high.view(np.uint8)
+        self.ones: np.ndarray | None = None
 
     @classmethod
     def of(cls, values: np.ndarray, bound: int) -> EliasFano:
@@ -95,53 +105,59 @@ class EliasFano:
         x = x | (self.low[word + 1] << (np.uint64(63) - off)) << np.uint64(1)
         return (x & np.uint64((1 << self.bits) - 1)).astype(np.int64)
 
-    def below(self, upper: np.ndarray) -> np.ndarray:
-        """Number of members whose upper bits are at most `upper` (-1: none)."""
-        k = np.maximum(upper, 0)  # the k-th zero ends bucket k
+    def _zero(self, k: np.ndarray) -> np.ndarray:
+        """Place of the k-th zero of high; the k-th zero ends bucket k."""
         word = np.searchsorted(self.zeros, k, "right") - 1
-        rest = (k - self.zeros[word]).astype(np.int64)
-        byte = word * 8
-        place = np.zeros(len(k), np.int64)
-        open_ = np.ones(len(k), bool)
-        for _ in range(8):
-            free = 8 - _POP[self.bytes[byte]].astype(np.int64)
-            step = open_ & (rest >= free)
-            rest -= np.where(step, free, 0)
-            byte += step
-            open_ = step
-        place = byte * 8 + _SELECT[255 - self.bytes[byte], rest]
-        return np.where(upper < 0, 0, place - k)
-
-    def find(self, x: np.ndarray) -> np.ndarray:
-        """Index of each x among the members, or -1 (x is within the bound)."""
-        upper = x >> self.bits
-        a, b = self.below(upper - 1), self.below(upper)
-        want = x & ((1 << self.bits) - 1)
-        end = b
-        while len(live := np.nonzero(a < b)[0]):
-            mid = (a[live] + b[live]) // 2
-            less = self.lows(mid) < want[live]
-            a[live] = np.where(less, mid + 1, a[live])
-            b = b.copy()
-            b[live] = np.where(less, b[live], mid)
-        hit = np.nonzero(a < end)[0]
-        out = np.full(len(x), -1, np.int64)
-        ok = hit[self.lows(a[hit]) == want[hit]]
-        out[ok] = a[ok]
+        return word * 64 + _nth(~self.high[word], k - self.zeros[word])
+
+    def bucket(self, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Range of the members whose upper bits are `upper`."""
+        start = np.where(upper > 0, self._zero(np.maximum(upper - 1, 0)) + 1, 0)
+        rest = ~self.high[np.minimum(start >> 6, len(self.high) - 1)] >> (start & 63).astype(np.uint64)
+        end = start + np.bitwise_count((rest & (~rest + np.uint64(1))) - np.uint64(1))  # the next zero, if in this word
+        far = np.flatnonzero(rest == 0)
+        end[far] = self._zero(upper[far])
+        return start - upper, end - upper
+
+    def find(self, x: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
+        """Index of each x among the members from begin to end (all if not given), or -1. x is within the bound."""
+        if not self.n:
+            return np.full(len(x), -1, np.int64)
+        a, b = self.bucket(x >> self.bits)
+        if begin is not None:
+            a, b = np.maximum(a, begin), np.minimum(b, end)
+        want, last = x & ((1 << self.bits) - 1), b
+        b = b.copy()
+        live = np.flatnonzero(b - a > 1)
+        while len(live):
+            mid = (a[live] + b[live]) >> 1
+            less = self.lows(mid) <= want[live]
+            a[live[less]], b[live[~less]] = mid[less], mid[~less]
+            live = live[b[live] - a[live] > 1]
+        out = np.where(a < last, a, -1)
+        hit = np.flatnonzero(out >= 0)
+        out[hit[self.lows(out[hit]) != want[hit]]] = -1
         return out
 
     def get(self, i: np.ndarray) -> np.ndarray:
         """Members by index."""
-        ones = np.arange(len(self.high), dtype=np.int64) * 64 - self.zeros
-        word = np.searchsorted(ones, i, "right") - 1
-        rest, byte, open_ = i - ones[word], word * 8, np.ones(len(i), bool)
-        for _ in range(8):
-            full = _POP[self.bytes[byte]].astype(np.int64)
-            step = open_ & (rest >= full)
-            rest = rest - np.where(step, full, 0)
-            byte = byte + step
-            open_ = step
-        return (byte * 8 + _SELECT[self.bytes[byte], rest] - i) << self.bits | self.lows(i)
+        if self.ones is None:
+            self.ones = np.arange(len(self.high), dtype=np.int64) * 64 - self.zeros
+        word = np.searchsorted(self.ones, i, "right") - 1
+        place = word * 64 + _nth(self.high[word], i - self.ones[word])
+        return (place - i) << self.bits | self.lows(i)
+
+
+def _nth(word: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th one in each 64-bit word."""
+    place, k = np.zeros(len(word), np.int64), k.astype(np.int64)
+    for width in (32, 16, 8):
+        count = np.bitwise_count(word & np.uint64((1 << width) - 1)).astype(np.int64)
+        up = k >= count
+        place += up * width
+        k -= np.where(up, count, 0)
+        word = np.where(up, word >> np.uint64(width), word)
+    return place + _SELECT[(word & np.uint64(255)).astype(np.int64), k]
 
 
 def save(uri: str, parts: list[np.ndarray]) -> None:
@@ -152,7 +168,7 @@ def save(uri: str, parts: list[np.ndarray]) -> None:
 
 
 def load(uri: str) -> Iterator[np.ndarray]:
-    data = common.read_file(uri)
+    data = np.asarray(common.read_file(uri)).view(np.ndarray)
     count = int(data[:8].view("<i8")[0])
     at = 8 * (count + 1)
     for size in data[8:at].view("<i8").tolist():
@@ -171,28 +187,42 @@ class Model:
     shards: dict[int, str] = field(default_factory=dict)
     n_shards: int = 1
     hot: dict[int, float] = field(default_factory=dict)  # contexts dealt out by successor: their backoff weight
+    pairs: dict[int, float] = field(default_factory=dict)  # the same of pairs, by a hash
+    order: int = ORDER
     key: str = ""
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         return (counts + ADD) / (self.tokens + ADD * (self.kinds + 1))
 
     def shard_of(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Shard of a pair, and of what follows the pair unless it is hot."""
         hot = np.isin(u, np.array(sorted(self.hot), np.int64))
         at = common.mix64(np.where(hot, u * 1_000_003 + w + 1, u).astype(np.uint64)) % np.uint64(self.n_shards)
         return at.astype(np.int64)
 
+    def shard_after(self, pair: np.ndarray, home: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shards of words w after pairs with these hashes and shards; and which pairs are hot."""
+        hot = np.isin(pair, np.array(sorted(self.pairs), np.int64))
+        at = common.mix64((pair + w * 1_000_003).astype(np.uint64)) % np.uint64(self.n_shards)
+        return np.where(hot, at.astype(np.int64), home), hot
+
+
+def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of pairs of word hashes."""
+    return common.mix64(a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64)).view(np.int64)
+
 
 class Vocabulary:
     def __init__(self, model: Model):
         self.first = np.array([x[0] for x in model.words], np.int64)
         self.paths = [x[1] for x in model.words]
         self.bases = np.array(model.bases, np.int64)
-        self.opened: dict[int, tuple[EliasFano, np.ndarray]] = {}
+        self.opened: dict[int, tuple[EliasFano, EliasFano]] = {}
 
-    def shard(self, i: int) -> tuple[EliasFano, np.ndarray]:
+    def shard(self, i: int) -> tuple[EliasFano, EliasFano]:
         if i not in self.opened:
             parts = load(self.paths[i])
-            self.opened[i] = (EliasFano.open(parts), next(parts).view("<i8"))
+            self.opened[i] = (EliasFano.open(parts), EliasFano.open(parts))
         return self.opened[i]
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,10 +231,10 @@ class Vocabulary:
         home = np.searchsorted(self.first, hashes, "right") - 1
         for i in np.unique(home[home >= 0]).tolist():
             rows = np.nonzero(home == i)[0]
-            words, number = self.shard(i)
+            words, sums = self.shard(i)
             got = words.find(hashes[rows])
             ok = got >= 0
-            ids[rows[ok]], counts[rows[ok]] = got[ok] + self.bases[i], number[got[ok]]
+            ids[rows[ok]], counts[rows[ok]] = got[ok] + self.bases[i], sums.get(got[ok] + 1) - sums.get(got[ok])
         return ids, counts
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
@@ -212,7 +242,8 @@ class Vocabulary:
         home = np.searchsorted(self.bases, ids, "right") - 1
         for i in np.unique(home).tolist():
             rows = np.nonzero(home == i)[0]
-            out[rows] = self.shard(i)[1][ids[rows] - self.bases[i]]
+            sums, at = self.shard(i)[1], ids[rows] - self.bases[i]
+            out[rows] = sums.get(at + 1) - sums.get(at)
         return out
 
 
@@ -233,50 +264,98 @@ class Codes:
         return 10.0 ** (self.lo + self.step * self.codes[i])
 
 
+def _chained(words: np.ndarray, starts: np.ndarray) -> EliasFano:
+    """Words of successive ranges, each ascending, as one ascending sequence: a range goes on from the last member before."""
+    number = np.diff(np.append(starts, len(words)))
+    top = words[np.append(starts[1:], len(words)) - 1] + 1 if len(starts) else words
+    base = np.cumsum(top) - top
+    values = np.repeat(base, number) + words + 1
+    return EliasFano.of(values, int(top.sum()) + 1)
+
+
+class Level:
+    """Successors of contexts 0, 1, ...: pointers to their ranges, words and shares."""
+
+    def __init__(self, parts: Iterator[np.ndarray]):
+        self.pointers, self.words = EliasFano.open(parts), EliasFano.open(parts)
+        self.share = Codes(parts)
+
+    @staticmethod
+    def sections(words: np.ndarray, pointers: np.ndarray, share: np.ndarray) -> list[np.ndarray]:
+        """Words by context, ascending in each; pointers has an entry for each context and one more."""
+        full = pointers[:-1][np.diff(pointers) > 0]
+        return [*EliasFano.of(pointers, len(words) + 1).sections(), *_chained(words, full).sections(), *Codes.of(share)]
+
+    def ranges(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.pointers.get(context), self.pointers.get(context + 1)
+
+    def find(self, begin: np.ndarray, end: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Places of w in ranges that are not empty (-1: not there)."""
+        base = np.zeros(len(begin), np.int64)
+        later = np.flatnonzero(begin)
+        base[later] = self.words.get(begin[later] - 1)
+        x = base + w + 1
+        out, near = np.full(len(begin), -1, np.int64), np.flatnonzero((end > begin) & (x <= self.last))
+        out[near] = self.words.find(x[near], begin[near], end[near])
+        return out
+
+    @property
+    def last(self) -> int:
+        return int(self.words.get(np.array([self.words.n - 1]))[0]) if self.words.n else 0
+
+
 class Successors:
-    """One shard of the second level."""
+    """One shard of the levels above the vocabulary."""
 
     def __init__(self, path: str, kinds: int):
-        parts = load(path)
-        self.kinds = kinds
-        self.contexts, self.pointers, self.words = (EliasFano.open(parts) for _ in range(3))
-        self.backoff, self.share = Codes(parts), Codes(parts)
+        parts, self.kinds = load(path), kinds
+        self.contexts = EliasFano.open(parts)
+        self.pairs, self.after = Level(parts), Level(parts)
+        levels = (self.contexts, self.pairs.pointers, self.pairs.words, self.after.pointers, self.after.words)
+        self.n_bytes = sum(x.low.nbytes + x.high.nbytes + x.zeros.nbytes for x in levels) + self.pairs.share.codes.nbytes + self.after.share.codes.nbytes
+        self.mapped = common.is_mounted(path)
 
     @staticmethod
-    def build(path: str, keys: np.ndarray, counts: np.ndarray, kinds: int, context_counts) -> tuple[np.ndarray, np.ndarray]:
-        """Write a shard of distinct ascending keys u * kinds + w; returns contexts and their numbers of successors."""
-        u = keys // kinds
-        first = np.nonzero(np.diff(u, prepend=-1))[0]
-        own = u[first]
-        number = np.diff(np.append(first, len(keys)))
-        total = np.maximum(context_counts(own), 1)
-        rank = np.repeat(np.arange(len(own)), number)
-        share = (counts - DISCOUNT) / total[rank]
-        parts = [EliasFano.of(own, kinds), EliasFano.of(np.append(first, len(keys)), len(keys) + 1), EliasFano.of(rank * kinds + keys % kinds, len(own) * kinds)]
-        save(path, [*(s for p in parts for s in p.sections()), *Codes.of(DISCOUNT * number / total), *Codes.of(share)])
-        return own, number
-
-    def find(self, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Shares of successors w (0: not seen) and backoff weights of contexts u (1: not here)."""
+    def build(path: str, u: np.ndarray, w: np.ndarray, n: np.ndarray, rank: np.ndarray, x: np.ndarray, m: np.ndarray, kinds: int, share, share_after) -> None:
+        """Write a shard of ascending pairs (u, w) with counts n (0: only what follows them is here), and of ascending
+        (rank of pair, x) with counts m. share and share_after give shares of pairs and of what follows them."""
+        first = np.flatnonzero(np.diff(u, prepend=-1))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(rank, minlength=len(u)))])
+        parts = [*EliasFano.of(u[first], kinds).sections(), *Level.sections(w, np.append(first, len(u)), share), *Level.sections(x, ends, share_after)]
+        save(path, parts)
+
+    def find(self, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of pairs (-1: not seen), their shares (0: not seen), and the numbers of successors of contexts u."""
         own, back = np.unique(u, return_inverse=True)
         rank = self.contexts.find(own)
-        here = rank >= 0
-        backoff = np.ones(len(own))
-        backoff[here] = self.backoff.get(rank[here])
-        rank, share = rank[back], np.zeros(len(u))
-        rows = np.nonzero(rank >= 0)[0]
-        at = self.words.find(rank[rows] * self.kinds + w[rows])
-        ok = at >= 0
-        share[rows[ok]] = self.share.get(at[ok])
-        return share, backoff[back]
+        begin, end = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+        here = np.flatnonzero(rank >= 0)
+        begin[here], end[here] = self.pairs.ranges(rank[here])
+        place, share = np.full(len(u), -1, np.int64), np.zeros(len(u))
+        rows = np.flatnonzero((rank[back] >= 0) & (w >= 0))
+        place[rows] = self.pairs.find(begin[back[rows]], end[back[rows]], w[rows])
+        rows = rows[place[rows] >= 0]
+        share[rows] = self.pairs.share.get(place[rows])
+        return place, share, (end - begin)[back]
+
+    def find_after(self, pair: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shares of x after pairs at these places (0: not seen), and the pairs' numbers of successors."""
+        own, back = np.unique(pair, return_inverse=True)
+        begin, end = self.after.ranges(own)
+        share = np.zeros(len(pair))
+        rows = np.flatnonzero(x >= 0)
+        place = self.after.find(begin[back[rows]], end[back[rows]], x[rows])
+        share[rows[place >= 0]] = self.after.share.get(place[place >= 0])
+        return share, (end - begin)[back]
 
     def successors(self, u: int) -> np.ndarray:
         """Ids of the words seen after u, by its pointers."""
-        rank = int(self.contexts.find(np.array([u]))[0])
-        if rank < 0:
+        rank = self.contexts.find(np.array([u]))
+        if rank[0] < 0:
             return np.zeros(0, np.int64)
-        a, b = self.pointers.get(np.array([rank, rank + 1]))
-        return self.words.get(np.arange(a, b)) - rank * self.kinds
+        (a,), (b,) = self.pairs.ranges(rank)
+        base = self.pairs.words.get(np.array([a - 1]))[0] if a else 0
+        return self.pairs.words.get(np.arange(a, b)) - base - 1
 
 
 def word_hashes(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -318,9 +397,9 @@ def unpack(data: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), first)
 
 
-def _opened(model: Model) -> tuple[Vocabulary, dict[int, Successors]]:
+def _opened(model: Model) -> tuple[Vocabulary, Shards]:
     """The model's levels, mapped once in a Python worker; those of earlier models are let go."""
-    return common.kept(f"trie {model.key}", lambda: (Vocabulary(model), {}))
+    return common.kept(f"trie {model.key} {len(model.shards)}", lambda: (Vocabulary(model), Shards(model)))
 
 
 def _pairs(ids: np.ndarray, places: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -334,37 +413,49 @@ def _pairs(ids: np.ndarray, places: np.ndarray, counts: np.ndarray, end: int) ->
 
 
 def count_words(rows: DataFrame) -> DataFrame:
-    """(h, c): count of every word, and of the end, over all rows."""
+    """(h, c, is_pair): count of every word, and of the end, over all rows; and of pairs that are frequent in a chunk, by
+    their hash, as far as they are (a lower bound: it deals out shards and goes into no probability)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
         counts: list[np.ndarray] = []
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def out() -> pa.RecordBatch:
+        def out() -> Iterator[pa.RecordBatch]:
             k, c = _merge(keys, counts)
-            keys.clear(), counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], ["h", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c), pa.array(np.zeros(len(k), bool))], ["h", "c", "is_pair"])
+            k, c = _merge([x[0] for x in pairs], [x[1] for x in pairs])
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c), pa.array(np.ones(len(k), bool))], ["h", "c", "is_pair"])
+            keys.clear(), counts.clear(), pairs.clear()
 
         for batch in batches:
             for piece in common.chunks(batch, "text", CHUNK):
                 h, places, n = word_hashes(common.texts(piece.column("text")))
                 keys.append(np.append(h, END))
                 counts.append(np.append(np.bincount(places, minlength=len(h)), len(n)))
+                before, token = _pairs(np.arange(len(h)), places, n, len(h))
+                code, c = np.unique(before * (len(h) + 1) + token, return_counts=True)
+                often = c >= max(2, PAIR_SHARE * len(token))
+                code, h = code[often], np.append(h, END)
+                pairs.append((pair_hash(h[code // len(h)], h[code % len(h)]), c[often]))
                 if sum(map(len, keys)) > MERGE_KEYS:
-                    yield out()
+                    yield from out()
         if keys:
-            yield out()
+            yield from out()
 
-    return rows.select("text").transform(common.map_batches, run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    return rows.select("text").transform(common.map_batches, run, "h long, c long, is_pair boolean").groupBy("h", "is_pair").agg(F.sum("c").alias("c"))
 
 
-def fit(rows: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
-    """Learn from all rows (text)."""
+def fit(rows: DataFrame, shard_tokens: int = SHARD_TOKENS, order: int = ORDER) -> Model:
+    """Learn from all rows (text). order: 2 for words and pairs, 3 for triples too."""
+    if order not in (2, 3):
+        raise ValueError("the trie has levels for order 2 and 3")
     spark = rows.sparkSession
     folder = common.fresh_dir(spark, "trie")
-    counts = common.table(count_words(rows), "words")
+    found = common.table(count_words(rows), "words")
+    counts = found.filter("NOT is_pair")
     tokens, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    model = Model(tokens, kinds, key=folder)
+    model = Model(tokens, kinds, order=order, key=folder)
     if not tokens:
         return model
 
@@ -373,10 +464,10 @@ def fit(rows: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
         if got and (n := sum(len(x[0]) for x in got)):
             h, c = np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got])
             path = f"{folder}/words-{uuid.uuid4().hex}"
-            save(path, [*EliasFano.of(h, 1 << 62).sections(), c.astype("<i8")])
+            save(path, [*EliasFano.of(h, 1 << 62).sections(), *EliasFano.of(np.concatenate([[0], np.cumsum(c)]), int(c.sum()) + 1).sections()])
             yield pa.RecordBatch.from_arrays([pa.array([int(h[0])]), pa.array([path]), pa.array([n])], ["first", "path", "n"])
 
-    ordered = counts.repartitionByRange("h").sortWithinPartitions("h")
+    ordered = counts.select("h", "c").repartitionByRange("h").sortWithinPartitions("h")
     # A line for each shard of the vocabulary: as many as the shuffle has partitions.
     for r in sorted(common.table(ordered.transform(common.map_batches, write_words, "first long, path string, n long"), "shards").collect()):
         model.bases.append(sum(model.bases[-1:]) + (last if model.words else 0))
@@ -386,56 +477,119 @@ def fit(rows: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Model:
     heavy = counts.filter(F.col("c") > HOT_SHARE * tokens / model.n_shards).select("h")
     hot = np.array([r.h for r in heavy.collect()], np.int64)  # at most n_shards / HOT_SHARE words
     model.hot = dict.fromkeys(Vocabulary(model).find(hot)[0].tolist(), 1.0)
+    if order > 2:  # as few: a pair is no more frequent than its words
+        often = found.filter("is_pair").filter(F.col("c") > HOT_SHARE * tokens / model.n_shards).select("h")
+        model.pairs = dict.fromkeys((r.h for r in often.collect()), 1.0)
     shared = spark.sparkContext.broadcast(model)
 
-    def pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        vocabulary, _ = _opened(model)
-        keys: list[np.ndarray] = []
-        numbers: list[np.ndarray] = []
-
-        def out() -> pa.RecordBatch:
-            k, c = _merge(keys, numbers)
-            keys.clear(), numbers.clear()
-            home = model.shard_of(k // model.kinds, k % model.kinds)
-            rows = [(s, k[at], c[at]) for s in np.unique(home).tolist() for at in [np.nonzero(home == s)[0]]]
-            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([pack(np.diff(x[1], prepend=0)) for x in rows], pa.binary()), pa.array([pack(x[2]) for x in rows], pa.binary())], ["shard", "keys", "counts"])
-
+    def count_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, _ = _opened(shared.value)
         for batch in batches:
             for piece in common.chunks(batch, "text", CHUNK):
-                h, places, n = word_hashes(common.texts(piece.column("text")))
-                before, token = _pairs(vocabulary.find(h)[0], places, n, END)
-                k, c = np.unique(before * model.kinds + token, return_counts=True)
-                keys.append(k)
-                numbers.append(c)
-                if sum(map(len, keys)) > MERGE_KEYS:
-                    yield out()
-        if keys:
-            yield out()
+                yield _shard_counts(shared.value, vocabulary, *word_hashes(common.texts(piece.column("text"))))
 
-    def write_pairs(part: pa.Table) -> pa.Table:
-        model = shared.value
-        vocabulary, _ = _opened(model)
-        keys = [np.cumsum(unpack(x)) for x in part.column("keys").to_pylist()]
-        k, c = _merge(keys, [unpack(x) for x in part.column("counts").to_pylist()])
+    def write_shard(part: pa.Table) -> pa.Table:
+        vocabulary, _ = _opened(shared.value)
         path = f"{folder}/pairs-{uuid.uuid4().hex}"
-        own, number = Successors.build(path, k, c, model.kinds, vocabulary.counts)
-        hot = np.isin(own, np.array(sorted(model.hot), np.int64))
-        return pa.table({"shard": [part.column("shard")[0].as_py()], "path": [path], "hot": pa.array([own[hot].tolist()], pa.list_(pa.int64())), "kinds": pa.array([number[hot].tolist()], pa.list_(pa.int64()))})
-
-    pairs = rows.select("text").transform(common.map_batches, pair_counts, "shard long, keys binary, counts binary")
-    built = common.table(pairs.groupBy("shard").applyInArrow(write_pairs, "shard long, path string, hot array<long>, kinds array<long>"), "pairs")
-    after = dict.fromkeys(model.hot, 0)
-    for r in built.collect():  # a line for each shard
+        rows = _write_shard(shared.value, vocabulary, path, [part.column(c).to_pylist() for c in _BLOB])
+        return pa.table({"shard": [part.column("shard")[0].as_py()], "path": [path], **{k: pa.array([v.tolist()], pa.list_(pa.int64())) for k, v in rows.items()}})
+
+    dealt = rows.select("text").transform(common.map_batches, count_shards, "shard long, " + ", ".join(f"{c} binary" for c in _BLOB))
+    lists = ", ".join(f"{c} array<long>" for c in ("hot", "kinds", "pair", "pair_kinds", "total", "total_of"))
+    built = common.table(dealt.groupBy("shard").applyInArrow(write_shard, f"shard long, path string, {lists}"), "pairs")
+    after, pair_kinds, totals = Counter(), Counter(), Counter()
+    for r in built.collect():  # a line for each shard, with its hot contexts
         model.shards[r.shard] = r.path
-        for u, n in zip(r.hot, r.kinds, strict=True):
-            after[u] += n
-    hot_ids = np.array(sorted(after), np.int64)
-    totals = Vocabulary(model).counts(hot_ids)
-    model.hot = {int(u): DISCOUNT * after[int(u)] / int(c) for u, c in zip(hot_ids, totals, strict=True)}
+        for got, keys, numbers in ((after, r.hot, r.kinds), (pair_kinds, r.pair, r.pair_kinds), (totals, r.total, r.total_of)):
+            got.update(dict(zip(keys, numbers, strict=True)))
+    hot_ids = np.array(sorted(model.hot), np.int64)
+    of = Vocabulary(model).counts(hot_ids)
+    model.hot = {int(u): DISCOUNT * after[int(u)] / int(c) for u, c in zip(hot_ids, of, strict=True)}
+    model.pairs = {k: DISCOUNT * pair_kinds[k] / totals[k] for k in model.pairs if totals[k]}
     return model
 
 
+#: What a chunk sends to a shard: pairs (steps of u, w, counts, how many words follow, hashes of hot pairs or 0), and what follows.
+_BLOB = ["u", "w", "n", "follow", "hashes", "x", "m"]
+
+
+def _shard_counts(model: Model, vocabulary: Vocabulary, h: np.ndarray, places: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Counts of a chunk's pairs and triples by shard. Words are numbered in the order of their ids; the end comes first."""
+    h = np.append(h, END)
+    ids = vocabulary.find(h)[0]
+    turn = np.argsort(ids, kind="stable")
+    number = np.empty(len(ids), np.int64)
+    number[turn] = np.arange(len(ids))
+    ids, h = ids[turn], h[turn]
+    kinds = len(ids)
+    before, token = _pairs(number, places, n, number[-1])
+    code, nth, count = np.unique(before * kinds + token, return_inverse=True, return_counts=True)
+    u, w = code // kinds, code % kinds
+    home, shards = model.shard_of(ids[u], ids[w]), np.int64(model.n_shards)
+    entry, size = home * len(code) + np.arange(len(code)), count
+    triple = np.zeros(0, np.int64)
+    if model.order > 2:
+        later = np.ones(len(token), bool)
+        later[np.cumsum(n + 1) - n - 1] = False
+        at = np.flatnonzero(later)
+        triple, m = np.unique(nth[at - 1] * kinds + token[at], return_counts=True)
+        pair, x = triple // kinds, ids[triple % kinds]
+        hashes = pair_hash(h[u], h[w])
+        to, hot = model.shard_after(hashes[pair], home[pair], x)
+        follows = to * len(code) + pair
+        # Pairs that are here for what follows them only.
+        stubs = np.setdiff1d(follows[hot], entry)
+        entry, size = np.concatenate([entry, stubs]), np.concatenate([size, np.zeros(len(stubs), np.int64)])
+    order = np.argsort(entry, kind="stable")
+    entry, size = entry[order], size[order]
+    pairs, shard = entry % len(code), entry // len(code)
+    follow, keys = np.zeros(len(entry), np.int64), np.zeros(len(entry), np.int64)
+    if len(triple):
+        order = np.argsort(follows, kind="stable")
+        x, m, follows = x[order], m[order], np.searchsorted(entry, follows[order])
+        follow = np.bincount(follows, minlength=len(entry))
+        keys = np.where(np.isin(hashes[pairs], np.array(sorted(model.pairs), np.int64)), hashes[pairs], 0)
+    else:
+        x = m = np.zeros(0, np.int64)
+    cuts = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(entry))
+    inner = np.concatenate([[0], np.cumsum(follow)])[cuts]
+    left, right = ids[u[pairs]], ids[w[pairs]]
+    columns: list[list[bytes]] = [[] for _ in _BLOB]
+    for a, b, c, d in zip(cuts[:-1], cuts[1:], inner[:-1], inner[1:], strict=True):
+        hot = keys[a:b]
+        values = (pack(np.diff(left[a:b], prepend=0)), pack(right[a:b]), pack(size[a:b]), pack(follow[a:b]), hot.tobytes() if hot.any() else b"", pack(x[c:d]), pack(m[c:d]))
+        for column, value in zip(columns, values, strict=True):
+            column.append(value)
+    return pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]]), *(pa.array(c, pa.binary()) for c in columns)], ["shard", *_BLOB])
+
+
+def _write_shard(model: Model, vocabulary: Vocabulary, path: str, blobs: list[list[bytes]]) -> dict[str, np.ndarray]:
+    """Merge what chunks sent to a shard and write it; returns what is to be known of its hot contexts."""
+    parts = list(zip(*blobs, strict=True))
+    u, w, n, follow = (np.concatenate([np.cumsum(unpack(p[j])) if not j else unpack(p[j]) for p in parts]) for j in range(4))
+    hashes = np.concatenate([np.frombuffer(p[4], np.int64) if p[4] else np.zeros(len(unpack(p[0])), np.int64) for p in parts])
+    x, m = (np.concatenate([unpack(p[j]) for p in parts]) for j in (5, 6))
+    del parts
+    order = np.lexsort((w, u))
+    new = np.ones(len(order), bool)
+    new[1:] = (u[order][1:] != u[order][:-1]) | (w[order][1:] != w[order][:-1])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    n = np.bincount(rank, n).astype(np.int64)
+    u, w, hashes = u[order][new], w[order][new], hashes[order][new]
+    key, m = _merge([np.repeat(rank, follow) * model.kinds + x], [m]) if len(x) else (x, m)
+    after, x = key // model.kinds, key % model.kinds
+    total = np.maximum(vocabulary.counts(u[np.diff(u, prepend=-1) != 0]), 1)
+    share = np.maximum(n - DISCOUNT, 0.1) / np.repeat(total, np.diff(np.append(np.flatnonzero(np.diff(u, prepend=-1)), len(u))))
+    # A pair's count is that of what follows it; a hot pair's is not known here, and its shares are those of all tokens.
+    of = np.where(hashes != 0, model.tokens, np.maximum(n, 1))[after]
+    Successors.build(path, u, w, n, after, x, m, model.kinds, share, (m - DISCOUNT) / of)
+    real, hot = n > 0, hashes != 0
+    own, number = np.unique(u[real & np.isin(u, np.array(sorted(model.hot), np.int64))], return_counts=True)
+    number_after = np.bincount(after, minlength=len(u))
+    return {"hot": own, "kinds": number, "pair": hashes[hot], "pair_kinds": number_after[hot], "total": hashes[hot & real], "total_of": n[hot & real]}
+
+
 def score(rows: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
@@ -452,36 +606,84 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
     return rows.transform(common.map_batches, run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
-def _score(model: Model, vocabulary: Vocabulary, shards: dict[int, Successors], h: np.ndarray, places: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+class Shards:
+    """Shards of a model, opened when asked for. Mapped files cost no memory of their own; of those read whole, the ones
+    used last stay, up to KEEP_BYTES."""
+
+    def __init__(self, model: Model):
+        self.model, self.opened, self.held = model, OrderedDict(), 0
+
+    def __getitem__(self, s: int) -> Successors | None:
+        if s in self.opened:
+            self.opened.move_to_end(s)
+        elif s in self.model.shards:
+            level = self.opened[s] = Successors(self.model.shards[s], self.model.kinds)
+            self.held += 0 if level.mapped else level.n_bytes
+            while self.held > KEEP_BYTES and len(self.opened) > 1:
+                gone = self.opened.popitem(last=False)[1]
+                self.held -= 0 if gone.mapped else gone.n_bytes
+        return self.opened.get(s)
+
+
+def _by_shard(home: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order = np.argsort(home, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(order) else ():
+        yield int(home[at[0]]), at
+
+
+def _of(table: dict[int, float], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys the table has, and their values there."""
+    known = np.array(sorted(table), np.int64)
+    if not len(known):
+        return np.zeros(len(keys), bool), np.ones(len(keys))
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return known[at] == keys, np.array([table[int(x)] for x in known])[at]
+
+
+def _score(model: Model, vocabulary: Vocabulary, shards: Shards, h: np.ndarray, places: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
     ids, counts = vocabulary.find(h) if model.words else (np.full(len(h), -1, np.int64), np.zeros(len(h), np.int64))
     single = model.unigram(counts)
     before, token = _pairs(np.arange(len(h)), places, n, len(h) - 1)  # places in h, not ids: unknown words stay apart
-    own, back = np.unique(before * len(h) + token, return_inverse=True)
+    own, nth = np.unique(before * len(h) + token, return_inverse=True)
     u, w = own // len(h), own % len(h)
     p = single[w]
     # After a known word the unigram share shrinks to the backoff weight, and a seen pair adds its own share.
-    rows = np.nonzero(ids[u] >= 0)[0]
+    rows = np.flatnonzero(ids[u] >= 0)
     a, b = ids[u[rows]], ids[w[rows]]
-    home = model.shard_of(a, b)
-    order = np.argsort(home, kind="stable")
-    edges = np.nonzero(np.diff(home[order], prepend=-1))[0]
-    for at in np.split(order, edges[1:]) if len(order) else ():
-        s = int(home[at[0]])
-        if s not in shards and s in model.shards:
-            shards[s] = Successors(model.shards[s], model.kinds)
-        share, backoff = shards[s].find(a[at], np.maximum(b[at], 0)) if s in shards else (np.zeros(len(at)), np.ones(len(at)))
-        share[b[at] < 0] = 0
-        for k, x in model.hot.items() if len(model.hot) < 64 else ():
-            backoff[a[at] == k] = x
-        if len(model.hot) >= 64:
-            hot = np.array(sorted(model.hot), np.int64)
-            where = np.minimum(np.searchsorted(hot, a[at]), len(hot) - 1)
-            is_hot = hot[where] == a[at]
-            backoff[is_hot] = np.array([model.hot[int(x)] for x in hot])[where[is_hot]]
-        p[rows[at]] = share + backoff * p[rows[at]]
+    home, place, share = np.full(len(own), -1, np.int64), np.full(len(own), -1, np.int64), np.zeros(len(own))
+    home[rows] = model.shard_of(a, b)
+    backoff = np.ones(len(own))
+    for s, at in _by_shard(home[rows]):
+        if shard := shards[s]:
+            place[rows[at]], share[rows[at]], number = shard.find(a[at], b[at])
+            backoff[rows[at]] = np.where(number > 0, DISCOUNT * number / np.maximum(counts[u[rows[at]]], 1), 1.0)
+    hot, value = _of(model.hot, a)
+    backoff[rows[hot]] = value[hot]
+    p = share + backoff * p
+    log = np.log10(p)[nth]
+    if model.order > 2 and model.shards:
+        later = np.ones(len(token), bool)
+        later[np.cumsum(n + 1) - n - 1] = False
+        at = np.flatnonzero(later & (place[np.roll(nth, 1)] >= 0))  # after a pair that was seen
+        triple, first, back = np.unique(nth[at - 1] * len(h) + token[at], return_index=True, return_inverse=True)
+        pair, x = triple // len(h), ids[triple % len(h)]
+        hashes = pair_hash(h[u], h[w])[pair]
+        to, hot = model.shard_after(hashes, home[pair], x)
+        seen = np.maximum(np.rint(share[pair] * counts[u[pair]] + DISCOUNT), 1)  # the pair's count
+        more, weight, spot = np.zeros(len(triple)), np.ones(len(triple)), place[pair]
+        for s, r in _by_shard(to):
+            if not (shard := shards[s]):
+                continue
+            moved = r[hot[r]]  # in another shard the pair lies elsewhere
+            spot[moved] = shard.find(ids[u[pair[moved]]], ids[w[pair[moved]]])[0]
+            r = r[spot[r] >= 0]
+            more[r], number = shard.find_after(spot[r], x[r])
+            weight[r] = np.where(number > 0, DISCOUNT * number / seen[r], 1.0)
+        is_hot, value = _of(model.pairs, hashes)
+        weight[is_hot], more[is_hot] = value[is_hot], more[is_hot] * model.tokens / seen[is_hot]
+        log[at] = np.log10(more + weight * p[nth[at[first]]])[back]
     size = n + 1
     doc = common.row_ids(size)
-    log = np.log10(p)[back]
     return size, np.bincount(doc, counts[token] > 0, len(n)).astype(np.int64), np.bincount(doc, np.log10(single)[token], len(n)), np.bincount(doc, log, len(n))
 
 
@@ -489,8 +691,8 @@ def held_out(column: str = "doc_id") -> Column:
     return common.crc_mod(column, 10) == 0
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    model = fit(rows.filter(~held_out()))
+    model = fit(rows.filter(~held_out()), order=order)
     return score(rows, model).select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

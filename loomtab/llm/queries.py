@@ -45,7 +45,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_lm.report(common.tables(spark, sf_dir, "documents"))
+    return ngram_lm.report(common.tables(spark, sf_dir, "documents"), order=3)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
