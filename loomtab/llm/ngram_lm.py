@@ -38,7 +38,7 @@ from . import common
 DISCOUNT = 0.75
 ADD = 0.1
 ORDER = 2
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 #: Pairs with this share of a chunk's tokens are counted while words are; only the balance of shards depends on it.
 PAIR_SHARE = 2.0**-14
 MERGE_KEYS = 3_000_000
