@@ -6,9 +6,12 @@ run the encoding of every prefix is found from those of shorter prefixes: the la
 t ending at i that is compatible with the last token of the prefix before t (their concatenation encodes to just these
 two). A run's counts are kept as differences from one character to the next, one signed byte each, so the table of a
 text is the concatenation of its runs' bytes, and a cumulative sum gives the exact count at each prefix.
-Each distinct run is worked out once in a Python worker.
+Short runs are worked out once in a Python worker and remembered up to a bound.
 
-Null text is the empty text (0 tokens); counts are of the library's plain encoding, without begin or end tokens.
+Null text is the empty text (0 tokens); counts are of the library's plain encoding, without begin or end tokens. Rows are
+counted one by one, so repeated rows, equal and null doc_ids give a row each; an empty table gives an empty result; columns
+other than doc_id and text are not looked at, whatever their names. A text is counted whole: a task holds a batch or one
+longer text, with a byte of table for each character and, inside the longest run without a space, some 60 bytes for each.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql import functions as F
 from . import common
 
 MARK = "▁"
+#: Runs of at most so many characters are remembered, and at most so many of them: some 100 MB.
+RUN_CHARS = 48
 CACHE_RUNS = 500_000
 CACHE_PAIRS = 1_000_000
 
@@ -98,14 +103,16 @@ class PrefixCounter:
 
     def tables(self, texts: list[str]) -> tuple[list[bytes], np.ndarray]:
         """Prefix tables of the model's normalised forms of texts (the added mark in front included) and token counts."""
-        if len(self.runs) > CACHE_RUNS:
+        if len(self.runs) >= CACHE_RUNS:
             self.runs.clear()
         out, totals, runs = [], np.zeros(len(texts), np.int64), self.runs
         for k, text in enumerate(texts):
             parts = []
             for run in _runs(self.model.normalize(text)):
                 if (got := runs.get(run)) is None:
-                    got = runs[run] = self.run(run)
+                    got = self.run(run)
+                    if len(run) <= RUN_CHARS and len(runs) < CACHE_RUNS:
+                        runs[run] = got
                 parts.append(got)
             table = b"".join(parts)
             out.append(table)
