@@ -6,7 +6,8 @@ winner. The verified winners, at most `counters` rows by the sketch's own bound,
 map-side; the remaining digests, none of which is frequent, go through an ordinary shuffle.
 
 Null text is the empty text. Null doc_ids sort after all others; of rows with equal text and equal doc_id exactly one
-is kept. An empty table gives an empty result.
+is kept. An empty table gives an empty result. Columns other than doc_id and text are not looked at, whatever their names.
+Texts are normalised and digested whole, in the JVM; from there on rows carry 32 bytes whatever their length.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -56,8 +57,8 @@ def dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     found = rows.join(F.broadcast(likely), "digest").groupBy("digest").agg(F.count("*").alias("group_size"), first.alias("first"))
     winners = F.broadcast(common.table(found, "winners"))
     heavy = rows.join(winners, "digest")
-    same = Window.partitionBy("digest")
-    light = rows.join(winners, "digest", "left_anti").withColumns({"group_size": F.count("*").over(same), "first": first.over(same)})
+    light = rows.join(winners, "digest", "left_anti")
+    light = light.join(light.groupBy("digest").agg(F.count("*").alias("group_size"), first.alias("first")), "digest")
     return heavy.unionByName(light).select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),
