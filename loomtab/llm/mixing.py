@@ -8,7 +8,10 @@ draw, seeded by the node, until every shard has its exact quota of each source.
 permuted lines, so no block is drawn twice, and shuffle what they got locally.
 
 All is a function of the data and the seed: reruns agree, whatever the partitions. Null text has size 0 and is never
-taken; null source is a source of its own, last in order; equal rows each take part; an empty table mixes to an empty one.
+taken; null source is a source of its own, last in order; equal rows and equal or null doc_ids each take part; an empty
+table mixes to an empty one; other columns are carried along as they are, whatever their names. Texts are only counted and
+hashed, whole, in the JVM. Quotas are a number for each source on the driver and in each task of the tree: meant for up to
+some ten thousand sources.
 """
 
 from __future__ import annotations
@@ -61,8 +64,13 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: in
 
 def _splits(quota: np.ndarray, shards: int, seed: int, leaves: np.ndarray) -> np.ndarray:
     """Rows for `leaves` of the table (shard, source) of blocks; only the nodes on their paths are drawn."""
+    return _starts_and_splits(quota, shards, seed, leaves)[1]
+
+
+def _starts_and_splits(quota: np.ndarray, shards: int, seed: int, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows for `leaves` of the tables (shard, source): blocks of the shards before it, and its own blocks."""
     known: dict[tuple[int, int], np.ndarray] = {(0, shards): quota}
-    out = np.zeros((len(leaves), len(quota)), np.int64)
+    out, before = np.zeros((len(leaves), len(quota)), np.int64), np.zeros((len(leaves), len(quota)), np.int64)
     total = int(quota.sum())
 
     def room(lo: int, hi: int) -> int:  # blocks of shards lo to hi: the total dealt as evenly as whole blocks allow
@@ -77,9 +85,11 @@ def _splits(quota: np.ndarray, shards: int, seed: int, leaves: np.ndarray) -> np
                 draw = np.random.default_rng([seed, lo, hi])
                 left = _hypergeometric(draw, have, room(lo, mid))
                 known[lo, mid], known[mid, hi] = left, have - left
+            if leaf >= mid:
+                before[k] += known[lo, mid]
             lo, hi = (lo, mid) if leaf < mid else (mid, hi)
         out[k] = known[lo, hi]
-    return out
+    return before, out
 
 
 def _hypergeometric(draw: np.random.Generator, have: np.ndarray, n: int) -> np.ndarray:
@@ -104,9 +114,9 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = MA
     each copy taken: uid, copy, block, shard, place (a random order within the shard).
     """
     spark = docs.sparkSession
-    sized = docs.select("uid", "doc_id", "source", word_count(F.col("text")).alias("size"))
-    # The random order is of ids and seed, not of partitions; uid only parts equal ids.
-    sized = common.table(sized.withColumn("luck", F.xxhash64(F.lit(seed), "doc_id", "source", "size")), "sizes")
+    # The random order is of ids, texts and seed, not of partitions; uid only parts rows that are equal.
+    sized = docs.select("uid", "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "source", "text").alias("luck"))
+    sized = common.table(sized, "sizes")
     goal = common.table(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, epochs), "targets")
     placed = _line(sized).alias("p").join(goal.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source"))).select("p.*", "source_size", "target")
     # A document is taken once for each whole run along the line, and once more if it ends before the target does.
@@ -126,10 +136,15 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, epochs: int = MA
 
 def _line(rows: DataFrame) -> DataFrame:
     """rows (uid, doc_id, source, size, luck, ...) with start: words of the source before the row, in its random order.
-    Prefix sums over 2^16 slots of the order, then inside each slot."""
+    Prefix sums over 2^8 coarse slots of the order, over the 2^8 fine slots of each, then inside each fine slot."""
     rows = rows.withColumn("slot", F.shiftright("luck", 48))
-    fine = rows.groupBy("source", "slot").agg(F.sum("size").alias("words"))
-    before = fine.select("source", "slot", (F.sum("words").over(Window.partitionBy("source").orderBy("slot")) - F.col("words")).alias("base"))
+    fine = rows.groupBy("source", "slot").agg(F.sum("size").alias("words")).withColumn("coarse", F.shiftright("slot", 8))
+    coarse = fine.groupBy("source", "coarse").agg(F.sum("words").alias("all"))
+    coarse = coarse.select("source", "coarse", (F.sum("all").over(Window.partitionBy("source").orderBy("coarse")) - F.col("all")).alias("base"))
+    within = (F.sum("words").over(Window.partitionBy("source", "coarse").orderBy("slot")) - F.col("words")).alias("within")
+    fine = fine.select("source", "coarse", "slot", within).alias("f")
+    both = F.col("f.source").eqNullSafe(F.col("c.source")) & (F.col("f.coarse") == F.col("c.coarse"))
+    before = fine.join(coarse.alias("c"), both).select("f.source", "slot", (F.col("base") + F.col("within")).alias("base"))
     inside = Window.partitionBy("source", "slot").orderBy("luck", "doc_id", "uid")
     placed = rows.withColumn("start", F.sum("size").over(inside) - F.col("size"))
     placed = placed.alias("p").join(before.alias("b"), F.col("p.source").eqNullSafe(F.col("b.source")) & (F.col("p.slot") == F.col("b.slot")))
@@ -171,13 +186,13 @@ def _draws(spark, documents: DataFrame, quotas: DataFrame, seed: int, block_word
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            got = _splits(quota, shards, seed, batch["id"].to_numpy())
+            start, got = _starts_and_splits(quota, shards, seed, batch["id"].to_numpy())
             leaf, nth = np.nonzero(got)
-            yield pd.DataFrame({"shard": batch["id"].to_numpy()[leaf], "nth": nth, "n": got[leaf, nth]})
+            yield pd.DataFrame({"shard": batch["id"].to_numpy()[leaf], "nth": nth, "start": start[leaf, nth], "n": got[leaf, nth]})
 
-    leaves = spark.range(shards).mapInPandas(split, "shard long, nth int, n long") if len(quota) else spark.createDataFrame([], "shard long, nth int, n long")
-    ends = leaves.withColumn("to", F.sum("n").over(Window.partitionBy("nth").orderBy("shard")))
-    dealt = ends.select("shard", "nth", F.explode(F.sequence(F.col("to") - F.col("n"), F.col("to") - 1)).alias("block"))
+    schema = "shard long, nth int, start long, n long"
+    leaves = spark.range(shards).mapInPandas(split, schema) if len(quota) else spark.createDataFrame([], schema)
+    dealt = leaves.select("shard", "nth", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("block"))
     dealt = dealt.join(F.broadcast(quotas) if len(quota) < 10_000 else quotas, "nth").select("source", "shard", "block")
 
     taken = documents.filter("copies > 0").select("uid", "luck", "source", "per_run", "blocks", "start", "full", "last_start", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
