@@ -7,7 +7,11 @@ when it lies inside an occurrence of a window: `window` consecutive words of an
 The automaton is built from blocks of items of at most BLOCK_WORDS words, so what is broadcast has a fixed bound; the
 documents pass each block in turn and the hits add up. (A benchmark of usual size is one block, and one narrow pass.)
 
-Null or wordless text has no words, no hits and stays. Items without words are never found. Equal items each count.
+Null or wordless text has no words, no hits and stays. Items without words are never found. Equal items each count. Rows
+are scanned one by one, so repeated documents and equal or null doc_ids give a row each; an empty table of documents gives
+an empty result, an empty benchmark no hits; columns other than doc_id and text are carried along or not looked at, and names
+that clash are told apart by a prefix. Texts are scanned whole: a task holds a batch or one longer text, and some 60 bytes for
+each of its words.
 """
 
 from __future__ import annotations
@@ -165,11 +169,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
 
 
 def _pass(docs: DataFrame, block: list[tuple[str, list[bytes]]], window: int, prefix: str, schema, finish) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(Automaton(block, window)))
+    packed = pickle.dumps(Automaton(block, window))
+    shared, key = docs.sparkSession.sparkContext.broadcast(packed), f"automaton {hashlib.sha256(packed).hexdigest()}"
     own = [prefix + c for c in ("n_words", "spans", "items")]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = pickle.loads(shared.value)
+        automaton = common.kept(key, lambda: pickle.loads(shared.value))
         for batch in batches:
             for piece in common.chunks(batch, "text"):
                 n, spans, items = [], [], []
@@ -180,7 +185,7 @@ def _pass(docs: DataFrame, block: list[tuple[str, list[bytes]]], window: int, pr
                     spans.append(_merge(got, old))
                     items.append(sorted({*keys, *found}))
                 if finish:
-                    yield finish(piece, n, spans)
+                    yield finish(piece, n, spans, automaton)
                     continue
                 new = dict(zip(own, (pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))), strict=True))
                 yield pa.RecordBatch.from_arrays([new[c] if c in own else piece.column(c) for c in piece.schema.names], piece.schema.names)
@@ -216,24 +221,44 @@ def item_digest(items: list[str]) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_span: int = 50, max_coverage: float = 0.2) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_span: int = 50, max_coverage: float = 0.2, block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs with hit spans cut out of their texts; documents beyond max_span hit words in a row or max_coverage of all go.
 
     Documents without a hit pass unchanged, byte for byte; of others the spans are cut from the first character of the
-    first hit word to the last of the last one. Columns are those of docs.
+    first hit word to the last of the last one, and again what comes together over a cut, until nothing is hit. Limits are on
+    all that is cut, against the words of the whole document. Columns are those of docs.
     """
     names, prefix = docs.columns, common.free_name(docs, "hit_")
 
-    def cut(batch: pa.RecordBatch, n_words: list[int], spans: list[list[int]]) -> pa.RecordBatch:
+    def cut(batch: pa.RecordBatch, n_words: list[int], spans: list[list[int]], automaton: Automaton) -> pa.RecordBatch:
         keep, text = [], []
         for t, n, own in zip(batch.column("text").to_pylist(), n_words, spans, strict=True):
-            hit = [b - a for a, b in zip(own[::2], own[1::2])]
-            keep.append(max(hit, default=0) <= max_span and sum(hit) <= max_coverage * n)
-            text.append(cut_spans(t, own) if hit and keep[-1] else t)
+            total, good = 0, True
+            while own and good:
+                hit = [b - a for a, b in zip(own[::2], own[1::2])]
+                total += sum(hit)
+                good = max(hit) <= max_span and total <= max_coverage * n
+                t = cut_spans(t, own) if good else t
+                own = _merge(automaton.scan(words(t))[0], []) if good else []
+            keep.append(good)
+            text.append(t)
         new = pa.array(text, pa.string())
         return pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in names], names).filter(pa.array(keep, pa.bool_()))
 
-    return find_hits(docs, benchmark, window, prefix=prefix, finish=cut)
+    blocks = list(_block_sizes(benchmark, block_words))
+    out = find_hits(docs, benchmark, window, block_words, prefix=prefix, finish=cut)
+    while len(blocks) > 1:  # a cut for one block's items may bring a window of another's together
+        out = common.table(out, "cut")
+        hit = find_hits(out.select("text"), benchmark, window, block_words).filter(F.size("spans") > 0)
+        if hit.isEmpty():
+            break
+        out = find_hits(out, benchmark, window, block_words, prefix=prefix, finish=cut)
+    return out
+
+
+def _block_sizes(benchmark: DataFrame, block_words: int) -> Iterator[int]:
+    for block in _blocks(benchmark, block_words):
+        yield sum(len(item) for _, item in block)
 
 
 def cut_spans(text: str, spans: list[int]) -> str:
