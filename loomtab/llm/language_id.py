@@ -6,7 +6,8 @@ dictionary gives the fewest bytes in all is chosen. Segments keep a long text fr
 A text is rejected when the runner-up needs less than `margin` more bytes, in proportion.
 
 The dictionaries are fitted on a bounded sample (FIT_PIECES pieces of at most PIECE_CHARS characters a language, from
-texts picked by a hash of their ids); all texts are classified whole. A table may hold MAX_LANGUAGES languages at most.
+texts picked by a hash of their ids; ALL_BYTES bounds the dictionaries of all languages together, however many there are);
+all texts are classified whole.
 
 Null text, or text without a letter, is `und` with score 0 and rejected. Ties go to the language with more labelled
 texts, then to the first by name. Labels that are null teach nothing. An empty table gives an empty result; with rows
@@ -29,7 +30,8 @@ from . import common
 DICT_BYTES = 65_536
 PIECE_CHARS = 600
 FIT_PIECES = 160
-MAX_LANGUAGES = 256
+#: Bytes of all dictionaries together: with more than a thousand languages each has less than DICT_BYTES.
+ALL_BYTES = 64 << 20
 SEGMENT = 1000
 LEVEL = 6
 MARGIN = 0.002
@@ -44,21 +46,21 @@ def letters(text: pa.Array) -> pa.Array:
 def fit(labelled: DataFrame, seed: int = 5) -> list[tuple[str, bytes]]:
     """Dictionaries by language, those with more labelled texts first. labelled: (doc_id, text, lang)."""
     rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled; name them in fewer labels or raise MAX_LANGUAGES")
-    counts = F.broadcast(rows.sparkSession.createDataFrame(counts, "lang string, n long"))  # at most MAX_LANGUAGES rows
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a line for each language
+    size = min(DICT_BYTES, ALL_BYTES // max(1, len(counts)))
+    pieces_each = min(FIT_PIECES, -(-FIT_PIECES * size // DICT_BYTES))
+    counts = F.broadcast(rows.sparkSession.createDataFrame(counts, "lang string, n long"))
     luck = F.xxhash64(F.lit(seed), "doc_id")
     # A hash threshold leaves a few hundred rows of each language, however many there are; then the first FIT_PIECES.
-    share = F.pmod("luck", F.lit(1 << 30)) * F.col("n") < F.lit(4.0 * FIT_PIECES * (1 << 30))
+    share = F.pmod("luck", F.lit(1 << 30)) * F.col("n") < F.lit(4.0 * pieces_each * (1 << 30))
     start = F.pmod("luck", F.greatest(F.length("text") - PIECE_CHARS, F.lit(1))) + 1
     few = rows.withColumn("luck", luck).join(counts, "lang").filter(share).select("doc_id", "lang", "n", "luck", F.substr("text", start.cast("int"), F.lit(PIECE_CHARS)).alias("piece"))
-    ranked = few.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("luck", "doc_id", "piece"))).filter(F.col("nth") <= FIT_PIECES)
-    found = ranked.orderBy(F.desc("n"), "lang", "nth").select("lang", "piece").collect()  # MAX_LANGUAGES * FIT_PIECES at most
+    ranked = few.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("luck", "doc_id", "piece"))).filter(F.col("nth") <= pieces_each)
+    found = ranked.orderBy(F.desc("n"), "lang", "nth").select("lang", "piece").collect()  # some 1.5 * ALL_BYTES at most
     pieces: dict[str, list[str]] = {}
     for r in found:
         pieces.setdefault(r.lang, []).append(r.piece)
-    return [(lang, " ".join(letters(pa.array(p)).to_pylist()).encode()[:DICT_BYTES]) for lang, p in pieces.items()]
+    return [(lang, " ".join(letters(pa.array(p)).to_pylist()).encode()[:size]) for lang, p in pieces.items()]
 
 
 class Classifier:
@@ -91,9 +93,15 @@ def _refused(language: str, score: float, gap: float, margin: float) -> bool:
     return language == UNDETERMINED or gap < margin
 
 
+NEW = ("lang_pred", "score", "margin", "rejected")
+
+
 def classify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], margin: float = MARGIN) -> DataFrame:
-    """docs with lang_pred, score, margin and rejected at the end. Columns so named must not be in docs."""
+    """docs with lang_pred, score, margin and rejected at the end. Where docs has a column of one of these names, all four
+    take a prefix that no column of docs has: common.free_name(docs, "language_")."""
     names = docs.columns
+    prefix = common.free_name(docs, "language_") if {c.lower() for c in names} & set(NEW) else ""
+    own = [prefix + c for c in NEW]
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
     at = names.index("text")
 
@@ -105,9 +113,9 @@ def classify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], margin: flo
                 lang, score, gap = (list(x) for x in zip(*got, strict=True)) if got else ([], [], [])
                 refused = [_refused(*x, margin) for x in got]
                 new = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(gap, pa.float64()), pa.array(refused, pa.bool_())]
-                yield pa.RecordBatch.from_arrays([*piece.columns, *new], [*piece.schema.names, "lang_pred", "score", "margin", "rejected"])
+                yield pa.RecordBatch.from_arrays([*piece.columns, *new], [*piece.schema.names, *own])
 
-    extra = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("margin", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
+    extra = [T.StructField(n, t) for n, t in zip(own, (T.StringType(), T.DoubleType(), T.DoubleType(), T.BooleanType()), strict=True)]
     return docs.transform(common.map_batches, run, T.StructType([*docs.schema.fields, *extra]))
 
 
