@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -27,8 +28,10 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or one of our own where the session names none (tests)."""
+    """The folder every executor sees: spark.checkpoint.dir, or one of our own where a session on one machine names none."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.loomtab.shared.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("name a folder that the driver and all executors share in spark.checkpoint.dir")
     if not named:
         named = "file://" + tempfile.mkdtemp(prefix="loomtab-")
         spark.conf.set("spark.loomtab.shared.dir", named)
@@ -42,6 +45,13 @@ def fresh_dir(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/loomtab/{tag}-{uuid.uuid4().hex}"
 
 
+def remove_tables(spark: SparkSession) -> None:
+    """Remove what the operators have written: for when the results that were read from it are stored. Results still to be
+    computed would miss their inputs."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/loomtab")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors, keeps random ids stable."""
     spark, path = df.sparkSession, fresh_dir(df.sparkSession, tag)
