@@ -3,7 +3,9 @@
 Each language has one zstandard raw-content dictionary: 64 KB of pieces of labelled texts. A text is reduced to its
 lower-case letters, cut into segments, and every segment is compressed with every dictionary; the language whose
 dictionary gives the fewest bytes in all is chosen. Segments keep a long text from becoming its own dictionary.
-A text is rejected when the runner-up needs less than `margin` more bytes, in proportion.
+A text is rejected when the runner-up needs less than `margin` more bits for each letter of the text. On the test tables
+texts of a learned language have 0.2 and more (99 of 100; the rest are mostly of a few words and tie), texts of a language that
+was left out have less than 0.15 where no learned one resembles it (97 of 100 German ones, 40 of 100 French ones).
 
 The dictionaries are fitted on a bounded sample (FIT_PIECES pieces of at most PIECE_CHARS characters a language, from
 texts picked by a hash of their ids; ALL_BYTES bounds the dictionaries of all languages together, however many there are);
@@ -11,7 +13,8 @@ all texts are classified whole.
 
 Null text, or text without a letter, is `und` with score 0 and rejected. Ties go to the language with more labelled
 texts, then to the first by name. Labels that are null teach nothing. An empty table gives an empty result; with rows
-but no labelled text, every row is `und`.
+but no labelled text, every row is `und`. Rows are classified one by one: repeated rows, equal and null doc_ids alike. A
+text is classified whole, segment by segment, in some 4 bytes for each of its own.
 """
 
 from __future__ import annotations
@@ -34,7 +37,8 @@ FIT_PIECES = 160
 ALL_BYTES = 64 << 20
 SEGMENT = 1000
 LEVEL = 6
-MARGIN = 0.002
+#: Bits for each letter.
+MARGIN = 0.15
 UNDETERMINED = "und"
 
 
@@ -80,13 +84,14 @@ class Classifier:
         return [sum(len(c(p)) for p in parts) for c in self.compress]
 
     def classify(self, text: bytes) -> tuple[str, float, float]:
-        """Language, score and margin of a text reduced to letters; the score is the share of 2 ** -bytes."""
+        """Language, score and margin (bits a letter) of a text reduced to letters; the score is the share of 2 ** -bytes."""
         if not text or not self.languages:
             return UNDETERMINED, 0.0, 0.0
         size = self.sizes(text)
         best = min(size)
         rest = sorted(size)[1] if len(size) > 1 else best * 2
-        return self.languages[size.index(best)], 1 / sum(2.0 ** -min(s - best, 60) for s in size), (rest - best) / best
+        letters = len(text.decode()) - text.count(b" ")
+        return self.languages[size.index(best)], 1 / sum(2.0 ** -min(s - best, 60) for s in size), 8 * (rest - best) / letters
 
 
 def _refused(language: str, score: float, gap: float, margin: float) -> bool:
