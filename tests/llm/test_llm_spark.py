@@ -320,3 +320,31 @@ def test_pipeline_stages(spark, hard):
     for name, stage in cp.STAGES[:-1]:
         assert stage(spark, hard, SF).columns == hard.columns
         assert stage(spark, hard.limit(0), SF).count() == 0
+    tokens = cp.STAGES[-1][1](spark, hard, SF)
+    assert tokens.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and tokens.count() == 14
+    assert cp.STAGES[-1][1](spark, hard.limit(0), SF).count() == 0
+
+
+def test_language_and_mixing_stages_agree_with_brute_force(spark):
+    """What the first stage keeps by plain compression, and what mixing takes of each source, on the stages' own inputs."""
+    import corpus_pipeline as cp
+
+    docs = common.tables(spark, SF, "documents")
+    model = language_id.Classifier(language_id.fit(docs.filter(~language_id.held_out()).select("doc_id", "text", "lang")))
+    want = []
+    for r in docs.collect():
+        data = language_id.letters(common.texts(spark_array([r.text]))).to_pylist()[0].encode()
+        sizes = sorted(model.sizes(data)) if data else []
+        if sizes and 8 * (sizes[1] - sizes[0]) >= language_id.MARGIN * len(data.decode().replace(" ", "")):
+            want.append(r.doc_id)
+    kept = common.table(cp.identify_language(spark, docs, SF), "kept")
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(want)
+    report = {r.doc_id: r for r in mixing.report(kept).collect()}
+    got = collections.Counter(r.doc_id for r in cp.mix_sources(spark, kept, SF).select("doc_id").collect())
+    assert got == {k: r.taken // r.size for k, r in report.items() if r.size and r.taken}
+
+
+def spark_array(values):
+    import pyarrow as pa
+
+    return pa.array(values, pa.string())
