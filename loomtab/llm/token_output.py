@@ -33,9 +33,12 @@ from . import common
 BLOCK = 128
 PERCENTILE = 0.9
 SHARD_IDS = 2_000_000
-#: Stems of at most so many bytes are remembered, and at most so many of them: 32 MB of text and some 30 MB of ids.
+#: Stems of at most so many bytes are remembered, and at most so many of them: 16 MB of text and some 15 MB of ids.
 STEM_BYTES = 32
-KNOWN_STEMS = 1_000_000
+KNOWN_STEMS = 500_000
+#: Text bytes encoded at once, and blocks packed at once.
+CHUNK = 8 << 20
+PACKED = 4096
 #: ASCII marks that part from an ASCII letter or digit before them; without those of contractions and of special tokens.
 TAIL_MARKS = "!\"#$%&()*+,-./:;=>?@[\\]^`{}~"
 _ALNUM = np.array([chr(c).isascii() and chr(c).isalnum() for c in range(256)])
@@ -71,9 +74,14 @@ def _unpack(words: np.ndarray, width: int) -> np.ndarray:
 
 def encode_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     """All blocks as bytes, and the offset of each (one more at the end)."""
+    step = PACKED * BLOCK
+    parts = [_encode_blocks(ids[a : a + step]) for a in range(0, len(ids), step)]
+    ends = np.cumsum(np.concatenate([[0], *(np.diff(offsets.astype(np.int64)) for _, offsets in parts)]))
+    return b"".join(data for data, _ in parts), ends.astype("<u8")
+
+
+def _encode_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     n = -(-len(ids) // BLOCK)
-    if not n:
-        return b"", np.zeros(1, "<u8")
     grid = np.full(n * BLOCK, ids[-1], np.uint32)
     grid[: len(ids)] = ids
     grid = grid.reshape(n, BLOCK)
@@ -269,11 +277,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 1, partitions: i
             return pa.RecordBatch.from_pydict(row, pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
         for batch in batches:
-            for piece in common.chunks(batch, "text", common.BATCH_BYTES):
+            for piece in common.chunks(batch, "text", CHUNK):
                 keys += piece.column("doc_id").to_pylist()
                 held.append(_with_end(*encoder.encode(common.texts(piece.column("text"))), end_id))
                 if sum(len(x[0]) for x in held) >= shard_ids:
                     yield flush()
+                pa.default_memory_pool().release_unused()
         if keys:
             yield flush()
 
