@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtab.functions.exprs import long_form, name_tokens, number
+from loomtab.functions.exprs import kind, long_form, name_tokens, number
+from loomtab.operators.quantiles import exact_quantiles
 from loomtab.operators.profile import ID_WORDS, LEAK_WORDS
 
 COLUMNS = ("stage", "status", "reason", "column", "value")
@@ -51,28 +52,48 @@ def leakage_scan(df: DataFrame, target: str, features: list[str], keys: list[str
 
 def univariate_strength(df: DataFrame, positive: F.Column, names: list[str]) -> DataFrame:
     """column, strength: max(AUC, 1 - AUC) of each number alone, exact with ties, for all columns in one shuffle."""
-    from pyspark.sql import Window
+    from loomtab.operators.metrics import auc_by
 
     d = df.withColumn("__p", F.coalesce(positive, F.lit(False)).cast("long"))
     rows = long_form(d.select("__p", *[number(c).alias(c) for c in names]), names, ["__p"], "v", "double").filter("v IS NOT NULL")
     per = rows.groupBy("column", "v").agg(F.sum("__p").alias("pos"), (F.count("*") - F.sum("__p")).alias("neg"))
-    up = Window.partitionBy("column").orderBy("v")  # over a column's distinct values
-    run = per.withColumn("below", F.sum("neg").over(up) - F.col("neg"))
-    auc = run.groupBy("column").agg(F.try_divide(F.sum(F.col("pos") * F.col("below") + 0.5 * F.col("pos") * F.col("neg")).cast("double"), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+    auc = auc_by(per.withColumnRenamed("v", "score"), "column")
     return auc.select("column", F.greatest("auc", 1 - F.col("auc")).alias("strength"))
 
 
-def leakage_audit(train: DataFrame, test: DataFrame, target: str, features: list[str], fitted_on: str = "train", fitted_before_split: bool = False, scored_on: str = "test") -> DataFrame:
-    """Verdict rows of the audit: names, ids, order of fitting, rows shared by the splits, and a roll-up risk."""
+def value_strength(df: DataFrame, target: str, names: list[str]) -> DataFrame:
+    """column, strength: how far a number alone tells the target: AUC both ways for two classes, else abs(correlation)."""
+    from loomtab.operators.pattern import correlations
+
+    two = [r[0] for r in df.select(F.col(target).cast("string")).filter(F.col(target).isNotNull()).distinct().limit(3).collect()]
+    if len(two) == 2:
+        return univariate_strength(df.filter(F.col(target).isNotNull()), F.col(target).cast("string") == max(two), names)
+    return correlations(df, target, names, 5).select("column", F.abs("r").alias("strength"))
+
+
+def leakage_audit(train: DataFrame, test: DataFrame, target: str, features: list[str], fitted_on: str = "train", fitted_before_split: bool = False, scored_on: str = "test", selected_on: str = "train", strength: float | None = None) -> DataFrame:
+    """Verdict rows of the audit: names, ids, order of fitting, selection, rows shared by the splits; with `strength` also
+    numbers that alone tell the target that well (0.98 is usual). `risk` rolls the rows up."""
     from loomtab.operators.relate import shared_rows
 
     spark = train.sparkSession
     named = [(c, "target among features") for c in features if c == target] + [(c, "id-like feature") for c in features if set(name_tokens(c)) & set(ID_WORDS)] + [(c, "post-outcome name") for c in features if set(name_tokens(c)) & set(LEAK_WORDS)]
-    stated = [("fail", "preprocessing fitted before the split", "", "")] * fitted_before_split + [("fail", "fitted on more than train", "", fitted_on)] * (fitted_on != "train") + [("warn", "scores not of the test split", "", scored_on)] * (scored_on != "test")
+    stated = [("fail", "preprocessing fitted before the split", "", "")] * fitted_before_split + [("fail", "fitted on more than train", "", fitted_on)] * (fitted_on != "train") + [("fail", "features selected outside train", "", selected_on)] * (selected_on != "train") + [("warn", "scores not of the test split", "", scored_on)] * (scored_on != "test")
     rows = [("leakage", "fail" if r == "target among features" else "warn", r, c, "") for c, r in named] + [("leakage", *s) for s in stated]
     shared = shared_rows(train, test)
     from_rows = _rows(shared, "leakage", _row(F.when(F.col("shared") > 0, "fail").otherwise("pass"), "rows shared by the splits", "", F.col("shared")))
-    return spark.createDataFrame(rows, "stage string, status string, reason string, column string, value string").unionByName(from_rows) if rows else from_rows
+    out = spark.createDataFrame(rows, "stage string, status string, reason string, column string, value string").unionByName(from_rows) if rows else from_rows
+    numeric = [c for c in features if c != target and c in train.columns and kind(train.schema[c].dataType) == "numeric"]
+    if strength is not None and numeric:
+        strong = value_strength(train, target, numeric).filter(F.col("strength") > strength)
+        out = out.unionByName(strong.select(F.lit("leakage").alias("stage"), F.lit("fail").alias("status"), F.lit("one number tells the target").alias("reason"), "column", F.round("strength", 4).cast("string").alias("value")))
+    return out
+
+
+def risk(audit: DataFrame) -> DataFrame:
+    """risk, fails, warns of an audit: high with a failure, medium with a warning, else low."""
+    one = audit.agg(F.count_if(F.col("status") == "fail").alias("fails"), F.count_if(F.col("status") == "warn").alias("warns"))
+    return one.select(F.when(F.col("fails") > 0, "high").when(F.col("warns") > 0, "medium").otherwise("low").alias("risk"), "fails", "warns")
 
 
 def schema_check(df: DataFrame, row_id: str, target: str, train: DataFrame) -> DataFrame:
@@ -83,10 +104,12 @@ def schema_check(df: DataFrame, row_id: str, target: str, train: DataFrame) -> D
 
 
 def prediction_sanity(pred: DataFrame, p: str, train: DataFrame, target: str) -> DataFrame:
-    """Non-finite, near-constant or shifted predictions against the target."""
+    """Non-finite, near-constant or shifted predictions against the target; see class_sanity for labels and score_sanity for
+    what scores say."""
     x, y = number(p), number(target)
-    a = pred.agg(F.count("*").alias("n"), F.count_if(x.isNull() | (F.abs(x) == float("inf"))).alias("bad"), F.stddev(x).alias("ps"), F.percentile(x, 0.5).alias("pm"))
-    b = train.agg(F.stddev(y).alias("ts"), F.percentile(y, 0.5).alias("tm"))
+    (pm,), (tm,) = exact_quantiles(pred, [p], [0.5])[p], exact_quantiles(train, [target], [0.5])[target]
+    a = pred.agg(F.count("*").alias("n"), F.count_if(x.isNull() | (F.abs(x) == float("inf"))).alias("bad"), F.stddev(x).alias("ps")).withColumn("pm", F.lit(pm).cast("double"))
+    b = train.agg(F.stddev(y).alias("ts")).withColumn("tm", F.lit(tm).cast("double"))
     one = a.join(b).withColumns({"ratio": F.try_divide("ps", "ts"), "shift": F.try_divide("pm", "tm")})
     return _rows(
         one,
@@ -97,6 +120,53 @@ def prediction_sanity(pred: DataFrame, p: str, train: DataFrame, target: str) ->
     )
 
 
+def class_sanity(pred: DataFrame, p: str, train: DataFrame, target: str) -> DataFrame:
+    """Predicted labels: missing ones, one class only where train has several, shares far from train's."""
+    from loomtab.operators.metrics import class_shares
+
+    one = pred.agg(F.count_if(F.col(p).isNull()).alias("bad"), F.count_distinct(F.col(p).cast("string")).alias("k"))
+    one = one.join(train.agg(F.count_distinct(F.col(target).cast("string")).alias("tk")))
+    whole = _rows(
+        one,
+        "sanity",
+        _row(F.when(F.col("bad") > 0, "fail").otherwise("pass"), "labels given", p, F.col("bad")),
+        _row(F.when((F.col("k") <= 1) & (F.col("tk") > 1), "fail").otherwise("pass"), "more than one class", p, F.col("k")),
+    )
+    shares = class_shares(train, pred, target, p)
+    odd = shares.select(F.lit("sanity").alias("stage"), F.when(F.col("odd"), "warn").otherwise("pass").alias("status"), F.lit("share of a class").alias("reason"), F.col("label").alias("column"), F.round("ratio", 4).cast("string").alias("value"))
+    return whole.unionByName(odd)
+
+
+def score_sanity(metric: str, oof: float, baseline: float | None = None, cv: float | None = None, corr: float | None = None, clipped: float | None = None, matches_truth: float | None = None) -> list[tuple[str, str, str, str, str]]:
+    """Verdict rows of figures: out-of-fold too good (correlation over 0.95, accuracy over the folds' by 0.10), clipped share
+    over 0.10 or 0.30, a holdout that equals the truth, no lift over the baseline. What is not given is not judged."""
+    from loomtab.operators.scores import is_better
+
+    rows = []
+
+    def say(status: str, reason: str, value: float) -> None:
+        rows.append(("sanity", status, reason, metric, f"{value:.4f}"))
+
+    if corr is not None:
+        say("warn" if corr > 0.95 else "pass", "out-of-fold too good", corr)
+    elif cv is not None and metric == "accuracy":
+        say("warn" if oof > cv + 0.1 else "pass", "out-of-fold too good", oof - cv)
+    if clipped is not None:
+        say("fail" if clipped > 0.3 else "warn" if clipped > 0.1 else "pass", "clipped share", clipped)
+    if matches_truth is not None:
+        say("fail" if matches_truth >= 1 else "pass", "holdout equals truth", matches_truth)
+    if baseline is not None:
+        say("pass" if is_better(metric, oof, baseline) else "warn", "lift over baseline", oof)
+    return rows
+
+
+def holdout_matches(pred: DataFrame, truth: DataFrame, row_id: str, p: str, target: str, tolerance: float = 1e-12) -> DataFrame:
+    """n, share of held-out rows whose prediction is the truth itself."""
+    both = pred.select(row_id, F.col(p).alias("p")).join(truth.select(row_id, F.col(target).alias("t")), row_id).filter("t IS NOT NULL")
+    near = F.coalesce(F.abs(F.col("p").try_cast("double") - F.col("t").try_cast("double")) <= tolerance, F.col("p").cast("string") == F.col("t").cast("string"), F.lit(False))
+    return both.agg(F.count("*").alias("n"), F.avg(near.cast("double")).alias("share"))
+
+
 def validate_table(sample: DataFrame, table: DataFrame, row_id: str, order: str, target: str, labels: DataFrame | None = None) -> DataFrame:
     """Does the handed-in table (row_id, order, target) match the sample: rows, ids in order, nulls, finite values, labels?"""
     s, t = sample.select(F.col(row_id).alias("i"), F.col(order).alias("o")), table.select(F.col(row_id).alias("j"), F.col(order).alias("o"), F.col(target).alias("v"))

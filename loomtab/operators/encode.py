@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import number
+from loomtab.operators.quantiles import exact_quantiles, quantile_columns
 from loomtab.operators.relate import attach_statistics, same
 
 
@@ -14,14 +15,16 @@ def statistics(df: DataFrame, keys: list[str], target: str, approx: bool = False
     from loomtab.functions.exprs import quantile
 
     y = number(target)
+    whole = not keys and not approx  # then no group bounds what a task holds
+    q25, q50, q75 = quantile_columns(df, y, [0.25, 0.5, 0.75]) if whole else [quantile(y, q, approx) for q in (0.25, 0.5, 0.75)]
     aggs = [
         F.avg(y).alias("mean"),
-        quantile(y, 0.5, approx).alias("median"),
+        q50.alias("median"),
         F.coalesce(F.stddev(y), F.lit(0.0)).alias("std"),
         F.min(y).alias("min"),
         F.max(y).alias("max"),
-        quantile(y, 0.25, approx).alias("q25"),
-        quantile(y, 0.75, approx).alias("q75"),
+        q25.alias("q25"),
+        q75.alias("q75"),
         F.count(y).alias("count"),
     ]
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
@@ -76,8 +79,8 @@ def group_medians(train: DataFrame, group: str, names: list[str], approx: bool =
     from loomtab.functions.exprs import median
 
     own = train.groupBy(group).agg(*[median(number(c), approx).alias(c) for c in names])
-    base = train.agg(*[F.coalesce(median(number(c), approx), F.lit(0.0)).alias(f"__{c}") for c in names])
-    return own.join(base).select(group, *[F.coalesce(c, f"__{c}").alias(c) for c in names])
+    base = exact_quantiles(train, names, [0.5])
+    return own.select(group, *[F.coalesce(c, F.lit(base[c][0] or 0.0)).alias(c) for c in names])
 
 
 def group_mean(train: DataFrame, predict: DataFrame, keys: list[str], target: str, out: str = "pred") -> DataFrame:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import agg_columns, name_tokens, number
+from loomtab.operators.quantiles import exact_quantiles
 
 
 def calendar(df: DataFrame, time: str, time_of_day: bool = False) -> DataFrame:
@@ -31,14 +35,20 @@ def interaction_ranks(df: DataFrame, target: str, times: list[str], others: list
 
 def add_interactions(df: DataFrame, ranks: DataFrame) -> DataFrame:
     """df with the ranked products as columns; ranks has a handful of rows."""
-    pairs = [r.pair.split("_x_", 1) for r in ranks.collect()]
+    rows = [r.pair for r in ranks.collect()]
+    # A name may itself hold the sign between the two: the cut is where both sides are columns.
+    pairs = [next((p[:i], p[i + 3 :]) for i in range(len(p)) if p[i : i + 3] == "_x_" and p[:i] in df.columns and p[i + 3 :] in df.columns) for p in rows]
     return df.withColumns({f"{a}_x_{b}": F.coalesce(number(a), F.lit(0.0)) * F.coalesce(number(b), F.lit(0.0)) for a, b in pairs})
 
 
 def median_impute(train: DataFrame, df: DataFrame, names: list[str], approx: bool = False) -> DataFrame:
     """df with missing numbers replaced by train's medians (0 where train has none)."""
-    fit = train.agg(*[F.coalesce(F.percentile_approx(number(c), 0.5).cast("double") if approx else F.percentile(number(c), 0.5), F.lit(0.0)).alias(f"__{c}") for c in names])
-    return df.join(fit).select(*[F.coalesce(number(c), f"__{c}").alias(c) if c in names else c for c in df.columns])
+    if approx:
+        row = train.agg(*[F.percentile_approx(number(c), 0.5).cast("double") for c in names]).first()
+        fit = dict(zip(names, row, strict=True))
+    else:
+        fit = {c: q[0] for c, q in exact_quantiles(train, names, [0.5]).items()}
+    return df.select(*[F.coalesce(number(c), F.lit(fit[c] or 0.0)).alias(c) if c in names else c for c in df.columns])
 
 
 def mode_impute(train: DataFrame, df: DataFrame, names: list[str]) -> DataFrame:
@@ -68,7 +78,8 @@ def term_statistics(df: DataFrame, text: str, row_id: str, terms: int = 400, lea
     """term, df, idf: words and pairs of words in at least `least` rows, the most frequent first, smoothed idf."""
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) >= 2)
     tokens = df.select(row_id, words.alias("w"))
-    pairs = F.when(F.size("w") >= 2, F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))).otherwise(F.array().cast("array<string>"))
+    n = F.greatest(F.size("w") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("w", F.lit(1), n), F.slice("w", F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
     each = tokens.select(F.explode(F.array_distinct(F.concat("w", pairs))).alias("term"))
     counts = each.groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") >= least)
     total = df.agg(F.count("*").alias("__n"))
@@ -83,8 +94,6 @@ def text_svd(df: DataFrame, text: str, row_id: str, terms: int = 400, k: int = 1
     """
     from pyspark.ml.feature import NGram, Normalizer, RegexTokenizer, SQLTransformer
     from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
 
     base = df.select(row_id, F.coalesce(F.col(text), F.lit("")).alias("__t"))
     tokens = RegexTokenizer(inputCol="__t", outputCol="__w", pattern=r"[^\p{L}\p{N}_]+", minTokenLength=2).transform(base)
@@ -97,15 +106,33 @@ def text_svd(df: DataFrame, text: str, row_id: str, terms: int = 400, k: int = 1
     weights = F.array(*[F.lit(float(x) + 1.0) for x in idf.idf.toArray()])
     tf = F.transform(vector_to_array("__c"), lambda x: F.when(x > 0, 1 + F.log(x)).otherwise(0.0))
     weighted = counted.select(row_id, array_to_vector(F.zip_with(tf, weights, lambda a, b: a * b)).alias("__v"))
-    unit = Normalizer(inputCol="__v", outputCol="v").transform(weighted).select(row_id, "v").cache()
+    unit = Normalizer(inputCol="__v", outputCol="v").transform(weighted).select(row_id, "v")
     width = min(k, len(idf.idf.toArray()))
-    svd = RowMatrix(unit.select("v").rdd.map(lambda r: Vectors.dense(r.v.toArray()))).computeSVD(width)
-    v = svd.V.toArray()
+    # Sums of outer products of each row's non-zero weights, in Arrow batches: terms x terms numbers from a task.
+    v = np.linalg.eigh(_gramian(unit, len(idf.idf.toArray())))[1][:, ::-1][:, :width]
     array = vector_to_array("v")
     parts = [F.aggregate(F.zip_with(array, F.array(*[F.lit(float(x)) for x in v[:, j]]), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x).alias(f"svd{j:02d}") for j in range(v.shape[1])]
     return unit.select(row_id, *parts)
 
 
+def _gramian(unit: DataFrame, terms: int) -> np.ndarray:
+    from pyspark.ml.functions import vector_to_array
+
+    def sums(batches):
+        total = np.zeros((terms, terms))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, terms)
+            total += x.T @ x
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "x"])
+
+    parts = unit.select(vector_to_array("v").alias("v")).mapInArrow(sums, "at long, x double")
+    out = np.zeros(terms * terms)
+    for r in parts.groupBy("at").agg(F.sum("x").alias("x")).collect():  # terms x terms at most
+        out[r.at] = r.x
+    return out.reshape(terms, terms)
+
+
 def transform_choice(df: DataFrame, target: str) -> DataFrame:
     """n, skew, transform: log1p above 1.5, sqrt above 0.5, of a non-negative target of more than 10 rows."""
     from loomtab.functions.exprs import adjusted_skew
@@ -123,15 +150,40 @@ def inverted(df: DataFrame, name: str, how: str) -> DataFrame:
     return df.withColumn(name, {"log1p": F.expm1, "sqrt": lambda c: c * c, "none": lambda c: c}[how](F.col(name)))
 
 
+def lags(df: DataFrame, keys: list[str], rank: str, value: str, steps: tuple[int, ...] = (1, 12)) -> DataFrame:
+    """df with value_lag<n> for each step: the value of the same series n periods before, null where that period is missing.
+
+    rank numbers the periods; of several rows of a series and period the least value counts."""
+    past = df.groupBy(*keys, F.col(rank).alias("__r")).agg(F.min(value).alias("__v"))
+    for n in steps:
+        from loomtab.operators.relate import same
+
+        moved = past.select(*keys, (F.col("__r") + n).alias(rank), F.col("__v").alias(f"{value}_lag{n}"))
+        df = df.alias("l").join(moved.alias("r"), same("l", "r", [*keys, rank]), "left").select("l.*", f"r.{value}_lag{n}")
+    return df
+
+
+def target_codes(df: DataFrame, target: str, out: str) -> DataFrame:
+    """df with the target as numbers for correlations: itself where all of it is numeric, else codes by its order as text."""
+    odd = df.filter(F.col(target).isNotNull() & number(target).isNull()).isEmpty()
+    if odd:
+        return df.withColumn(out, number(target))
+    codes = label_codes(df, target).toDF("__l", "__code")
+    return df.join(F.broadcast(codes), F.col(target).cast("string") == F.col("__l"), "left").withColumn(out, F.col("__code").cast("double")).drop("__l", "__code")
+
+
 def label_codes(df: DataFrame, target: str) -> DataFrame:
     """label, code: dense codes from 0 by the label's string form."""
     labels = df.filter(F.col(target).isNotNull()).select(F.col(target).cast("string").alias("label")).distinct()
     return labels.select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("code"))  # over labels
 
 
-def positive_label(labels: DataFrame) -> DataFrame:
-    """label: the positive class: a usual word for yes, else the last by order."""
-    yes = ["1", "1.0", "true", "yes", "y", "positive", "survived"]
+#: Own choice: labels that mean yes, the surest first.
+POSITIVE = ("1", "1.0", "true", "yes", "y", "positive")
+
+
+def positive_label(labels: DataFrame, yes: tuple[str, ...] = POSITIVE) -> DataFrame:
+    """label: the positive class: a word for yes, the earlier in the list the better, else the last by order."""
     place = F.coalesce(F.array_position(F.array(*map(F.lit, yes)), F.lower("label")), F.lit(0))
     return labels.select("label", F.when(place > 0, 100 - place).otherwise(0).alias("__p")).agg(F.max_by("label", F.struct("__p", "label")).alias("label"))
 

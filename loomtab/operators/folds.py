@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import hashed, number
+from loomtab.operators.quantiles import quantile_columns
 from loomtab.operators.windows import latest_periods, time_tail
 
 
@@ -81,8 +82,8 @@ def holdout_groups(df: DataFrame, group: str, share: float = 0.2, seed: str = "s
 def holdout_within_period(df: DataFrame, part: F.Column, share: float = 0.2, threshold: float | None = None) -> DataFrame:
     """df with held_out: the date part reaches the threshold, or its (1 - share) quantile."""
     rows = df.withColumn("__p", part)
-    edge = rows.agg((F.lit(threshold) if threshold is not None else F.percentile("__p", 1 - share)).alias("__e"))
-    return rows.join(edge).withColumn("held_out", F.coalesce(F.col("__p") >= F.col("__e"), F.lit(False))).drop("__p", "__e")
+    edge = F.lit(threshold) if threshold is not None else quantile_columns(rows, F.col("__p"), [1 - share])[0]
+    return rows.withColumn("held_out", F.coalesce(F.col("__p") >= edge, F.lit(False))).drop("__p")
 
 
 def coarsen_blocks(df: DataFrame, time: str, least: int = 10) -> DataFrame:
@@ -117,6 +118,24 @@ def split_three(df: DataFrame, row_id: str, shares: tuple[float, float] = (0.7,
     return place.select(row_id, F.when(F.col("u") < shares[0], "train").when(F.col("u") < sum(shares), "validation").otherwise("test").alias("part"))
 
 
+def block_values(df: DataFrame, name: str, least: int = 10, parse: float = 0.8) -> tuple[str, str | None] | None:
+    """(column, unit) to hold out in whole by a column: None below three values; the column as it is where it has up to half
+    as many values as rows; else, where it is a time, the calendar unit that `coarsen_blocks` chooses. Never for numbers."""
+    from loomtab.functions.exprs import kind
+
+    of = kind(df.schema[name].dataType)
+    one = df.agg(F.count_distinct(name).alias("k"), F.count("*").alias("n"), (F.avg(F.try_to_timestamp(F.col(name).cast("string")).isNotNull().cast("double")) if of == "categorical" else F.lit(1.0)).alias("read")).first()
+    if one.k < 3 or of in ("numeric", "boolean") and one.k > one.n / 2:
+        return None
+    if one.k <= one.n / 2:
+        return name, None
+    if (one.read or 0.0) < parse:
+        return None
+    rows = df if of == "datetime" else df.withColumn(name, F.try_to_timestamp(name))
+    chosen = coarsen_blocks(rows, name, least).filter("chosen").first()
+    return (name, chosen.unit) if chosen else None
+
+
 def make_folds(df: DataFrame, row_id: str, strategy: str, *, scored: DataFrame | None = None, **options) -> DataFrame:
     """Folds by a named strategy; scored: row ids that count in scores (training is not restricted)."""
     makers = {"kfold": kfold, "group": grouped_kfold, "stratified": stratified_kfold, "expanding": expanding_folds}

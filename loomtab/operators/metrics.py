@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtab.operators.quantiles import exact_quantiles, quantile_columns
 from loomtab.operators.windows import quartile_buckets
 
 
@@ -68,6 +69,21 @@ def _running(counts: DataFrame, slots: int = 4096) -> DataFrame:
     return out.drop("__s", "__bp", "__bn")
 
 
+def auc_by(counts: DataFrame, by: str, slots: int = 4096) -> DataFrame:
+    """by, auc of many scores at once, exact with ties. counts: (by, score, pos, neg), a line for each distinct score; null
+    with one class only. Sums run over slots of each score's range, then inside a slot, so no task holds a whole score."""
+    ends = counts.groupBy(by).agg(F.min("score").alias("__lo"), F.max("score").alias("__hi"))
+    rows = counts.join(F.broadcast(ends), by)
+    slot = F.least(F.lit(slots - 1), F.coalesce(F.floor(F.try_divide((F.col("score") - F.col("__lo")) * slots, F.col("__hi") - F.col("__lo"))), F.lit(0)))
+    rows = rows.withColumn("__s", slot).drop("__lo", "__hi")
+    per = rows.groupBy(by, "__s").agg(F.sum("neg").alias("__n"))
+    base = per.select(by, "__s", (F.sum("__n").over(Window.partitionBy(by).orderBy("__s")) - F.col("__n")).alias("__b"))
+    below = F.sum("neg").over(Window.partitionBy(by, "__s").orderBy("score")) - F.col("neg") + F.col("__b")
+    rows = rows.join(base, [by, "__s"]).withColumn("__below", below)
+    ordered = F.sum(F.col("pos") * F.col("__below") + 0.5 * F.col("pos") * F.col("neg"))
+    return rows.groupBy(by).agg(F.try_divide(ordered.cast("double"), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+
+
 def roc_auc(df: DataFrame, positive: F.Column, score: str) -> DataFrame:
     """auc, exact with ties: pairs ordered right and half of those tied, over all pairs; null with one class only."""
     run = _running(thresholds(df, positive, score))
@@ -97,7 +113,8 @@ def log_loss(df: DataFrame, positive: F.Column, p: str, eps: float = 1e-15) -> D
 
 def residual_summary(df: DataFrame, y: str, pred: str) -> DataFrame:
     r = F.col(y) - F.col(pred)
-    return df.agg(F.avg(r).alias("mean"), F.stddev_pop(r).alias("std"), F.min(r).alias("min"), F.percentile(r, 0.05).alias("p5"), F.percentile(r, 0.95).alias("p95"), F.max(r).alias("max"))
+    p5, p95 = quantile_columns(df, r, [0.05, 0.95])
+    return df.agg(F.avg(r).alias("mean"), F.stddev_pop(r).alias("std"), F.min(r).alias("min"), p5.alias("p5"), p95.alias("p95"), F.max(r).alias("max"))
 
 
 def residual_quartiles(df: DataFrame, y: str, pred: str) -> DataFrame:
@@ -110,7 +127,7 @@ def residual_quartiles(df: DataFrame, y: str, pred: str) -> DataFrame:
 def residual_bias(df: DataFrame, y: str, pred: str) -> DataFrame:
     """Top quartile of the target: shares under and over, mean residual, direction; and corr(pred, |residual|)."""
     d = df.select(F.col(y).alias("y"), F.col(pred).alias("p"), (F.col(y) - F.col(pred)).alias("r"))
-    edge = d.agg(F.percentile("y", 0.75).alias("q3"), F.corr("p", F.abs("r")).alias("spread_corr"))
+    edge = d.agg(quantile_columns(d, F.col("y"), [0.75])[0].alias("q3"), F.corr("p", F.abs("r")).alias("spread_corr"))
     top = d.join(edge).filter(F.col("y") >= F.col("q3"))
     one = top.agg(F.count("*").alias("n"), F.avg((F.col("r") > 0).cast("double")).alias("under"), F.avg((F.col("r") < 0).cast("double")).alias("over"), F.avg("r").alias("mean"), F.first("q3").alias("q3"), F.first("spread_corr").alias("spread_corr"))
     return one.withColumn("direction", F.when(F.abs("mean") < 0.01 * F.abs("q3"), "negligible").when(F.col("mean") > 0, "under").otherwise("over"))
@@ -118,13 +135,10 @@ def residual_bias(df: DataFrame, y: str, pred: str) -> DataFrame:
 
 def prediction_quantiles(sides: dict[str, DataFrame], name: str) -> DataFrame:
     """side, p5, p25, p50, p75, p95, and the median's ratio to the first side's."""
-    from functools import reduce
-
-    first = next(iter(sides))
-    rows = reduce(DataFrame.unionByName, [d.select(F.lit(s).alias("side"), F.col(name).alias("v")) for s, d in sides.items()])
-    q = rows.groupBy("side").agg(F.percentile("v", F.array(*map(F.lit, (0.05, 0.25, 0.5, 0.75, 0.95)))).alias("q"))
-    base = q.filter(F.col("side") == first).select(F.col("q")[2].alias("__m"))
-    return q.join(base).select("side", *[F.col("q")[i].alias(n) for i, n in enumerate(("p5", "p25", "p50", "p75", "p95"))], F.try_divide(F.col("q")[2], F.col("__m")).alias("median_ratio"))
+    names = {"p5": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
+    rows = [(side, *exact_quantiles(d, [name], list(names.values()))[name]) for side, d in sides.items()]
+    table = next(iter(sides.values())).sparkSession.createDataFrame(rows, "side string, " + ", ".join(f"{n} double" for n in names))
+    return table.withColumn("median_ratio", F.try_divide(F.col("p50"), F.lit(rows[0][3]).cast("double")))
 
 
 def fold_stability(df: DataFrame, fold: str, y: str, pred: str) -> DataFrame:

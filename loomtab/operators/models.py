@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtab.operators.folds import train_rows, valid_rows
+from loomtab.operators.quantiles import exact_quantiles
 
 
 def prepared(df: DataFrame, numbers: list[str], categories: list[str] = ()) -> DataFrame:
@@ -72,26 +72,58 @@ def boosted(regression: bool = True, rounds: int = 100, step: float = 0.05, dept
     return one if classes == 2 else classification.OneVsRest(classifier=one, labelCol="label")
 
 
-def with_pred(model, df: DataFrame) -> DataFrame:
+def with_pred(model, df: DataFrame, classes: int = 0) -> DataFrame:
+    """df with pred: the prediction, or the chance of class 1 of two. With `classes` also proba: chances of all classes by
+    code, 0 for those the model has never seen."""
     out = model.transform(df)
     binary = "probability" in out.columns and getattr(model, "numClasses", 2) == 2
+    if classes:
+        p = vector_to_array("probability") if "probability" in out.columns else F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda i: (i == F.col("prediction").cast("int")).cast("double"))
+        out = out.withColumn("__p", p).withColumn("proba", F.transform(F.sequence(F.lit(1), F.lit(classes)), lambda i: F.coalesce(F.try_element_at("__p", i), F.lit(0.0)))).drop("__p")
     return out.withColumn("pred", vector_to_array("probability")[1] if binary else F.col("prediction"))
 
 
-def out_of_fold(df: DataFrame, folds: DataFrame, row_id: str, make: Callable[[DataFrame], Estimator], prepare: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None) -> DataFrame:
-    """row_id, fold, label, pred on held-out rows. df: (row_id, label, features...), cached by the caller.
-
-    prepare(train, valid) fits what must only see the fold's training rows (encodings, imputation).
+def out_of_fold(
+    df: DataFrame,
+    folds: DataFrame,
+    row_id: str,
+    make: Callable[[DataFrame], Estimator],
+    prepare: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+    transform: str = "none",
+    classes: int = 0,
+) -> DataFrame:
+    """row_id, fold, label, pred (and proba with `classes`) on held-out rows. df: (row_id, label, features...), cached by the
+    caller.
+
+    prepare(train, valid) fits what must only see the fold's training rows (encodings, imputation). transform: the label is
+    learnt as its log1p or sqrt, and predictions are turned back.
     """
+    from loomtab.operators.features import inverted, transformed
+
     parts = []
-    for (fold,) in sorted(folds.select("fold").filter("fold >= 0").distinct().collect()):  # a handful of folds
-        train, valid = train_rows(df, folds, row_id, fold), valid_rows(df, folds, row_id, fold)
+    marks = [c for c in ("rank", "scored") if c in folds.columns]
+    dealt = df.join(folds.select(row_id, F.col("fold").alias("__fold"), *[F.col(c).alias(f"__{c}") for c in marks]), row_id)
+    starts = {r.fold: r.start for r in folds.filter("fold >= 0").groupBy("fold").agg(F.min("rank" if "rank" in marks else F.lit(0)).alias("start")).collect()}
+    for fold in sorted(starts):  # a handful of folds
+        earlier = F.col("__rank") < starts[fold] if "rank" in marks else F.col("__fold") != fold
+        train, valid = dealt.filter(earlier).select(*df.columns), dealt.filter((F.col("__fold") == fold) & (F.col("__scored") if "scored" in marks else F.lit(True))).select(*df.columns)
         if prepare:
             train, valid = prepare(train, valid)
-        parts.append(with_pred(make(train).fit(train), valid).select(row_id, F.lit(fold).alias("fold"), "label", "pred"))
+        learnt = transformed(train, "label", transform, "label")
+        out = inverted(with_pred(make(learnt).fit(learnt), valid, classes), "pred", transform)
+        parts.append(out.select(row_id, F.lit(fold).alias("fold"), "label", "pred", *["proba"] * bool(classes)))
     return reduce(DataFrame.unionByName, parts)
 
 
+def variants(df: DataFrame, families: dict[str, Callable[[DataFrame], Estimator]], target: str = "label") -> dict[str, tuple[Callable[[DataFrame], Estimator], str]]:
+    """(maker, transform) by name: each family, and before it its variant on the transform that the target's skew asks for."""
+    from loomtab.operators.features import transform_choice
+
+    how = transform_choice(df, target).first().transform
+    skewed = {f"{how}_{n}": (make, how) for n, make in families.items()} if how != "none" else {}
+    return skewed | {n: (make, "none") for n, make in families.items()}
+
+
 def gram(df: DataFrame, names: list[str], target: str) -> DataFrame:
     """a, b, value: inner products of candidates' predictions and of each with the target; one aggregate."""
     pairs = [(a, b) for i, a in enumerate(names) for b in [*names[i:], target]]
@@ -129,24 +161,27 @@ def stacked(df: DataFrame, weights: dict[str, float], out: str = "stack") -> Dat
     return df.withColumn(out, reduce(lambda a, b: a + b, [F.col(n) * w for n, w in weights.items()]))
 
 
-def keep_best(df: DataFrame, names: list[str], target: str) -> DataFrame:
-    """candidate, score (MAE), weights: singles and their convex stack; the stack must beat the best single strictly."""
-    weights = stack_weights(df, names, target)
-    wide = stacked(df, weights)
-    scores = wide.agg(*[F.avg(F.abs(F.col(target) - F.col(n))).alias(n) for n in [*names, "stack"]])
-    rows = scores.select(F.explode(F.array(*[F.struct(F.lit(n).alias("candidate"), F.col(n).alias("score"), F.lit(i).alias("ord")) for i, n in enumerate([*names, "stack"])])).alias("x")).select("x.*")
+def keep_best(df: DataFrame, names: list[str], target: str, metric: str = "mae", **options) -> DataFrame:
+    """candidate, score, kept: singles and their convex stack by a metric; the stack must beat the best single strictly."""
     from loomtab.operators.metrics import best_candidate
+    from loomtab.operators.scores import GREATER, score_table
 
-    return rows.join(best_candidate(rows).select(F.col("candidate").alias("best")), how="cross").select("candidate", "score", (F.col("candidate") == F.col("best")).alias("kept"))
+    wide = stacked(df, stack_weights(df, names, target))
+    scores = [score_table(wide, metric, target, n, **options).select(F.lit(n).alias("candidate"), F.col("score").cast("double").alias("score"), F.lit(i).alias("ord")) for i, n in enumerate([*names, "stack"])]
+    rows = reduce(DataFrame.unionByName, scores)
+    best = best_candidate(rows, metric in GREATER).select(F.col("candidate").alias("best"))
+    return rows.join(best, how="cross").select("candidate", "score", (F.col("candidate") == F.col("best")).alias("kept"))
 
 
-def tune(df: DataFrame, folds: DataFrame, row_id: str, family: Callable[..., Estimator], space: dict[str, list], score: Callable[[DataFrame], float], draws: int = 6, patience: int = 3, seed: int = 3) -> tuple[dict, float]:
-    """Best of seeded random draws by a score to be small; stops after `patience` draws without gain."""
-    dice, best, at, idle = random.Random(seed), None, float("inf"), 0
+def tune(df: DataFrame, folds: DataFrame, row_id: str, family: Callable[..., Estimator], space: dict[str, list], score: Callable[[DataFrame], float], draws: int = 6, patience: int = 3, seed: int = 3, metric: str = "mae", **options) -> tuple[dict, float]:
+    """Best of seeded random draws by a score in its metric's direction; stops after `patience` draws without gain."""
+    from loomtab.operators.scores import is_better
+
+    dice, best, at, idle = random.Random(seed), None, None, 0
     for _ in range(draws):
         choice = {k: dice.choice(v) for k, v in space.items()}
-        s = score(out_of_fold(df, folds, row_id, lambda _t, c=choice: family(**c)))
-        best, at, idle = (choice, s, 0) if s < at - 1e-9 else (best, at, idle + 1)
+        s = score(out_of_fold(df, folds, row_id, lambda _t, c=choice: family(**c), **options))
+        best, at, idle = (choice, s, 0) if is_better(metric, s, at) else (best, at, idle + 1)
         if idle >= patience:
             break
     return best or {}, at
@@ -156,12 +191,13 @@ def isotonic(oof: DataFrame, df: DataFrame, target: str, pred: str) -> tuple[Dat
     """df with predictions bent by an isotonic fit on out-of-fold rows, if their median is far too high and this mends it."""
     from pyspark.ml.regression import IsotonicRegression
 
-    one = oof.agg(F.count("*").alias("n"), F.percentile(pred, 0.5).alias("p"), F.percentile(target, 0.5).alias("y")).first()
-    if one.n < 50 or not one.y or one.p / one.y <= 1.5:
+    medians = exact_quantiles(oof, [pred, target], [0.5])
+    (p,), (y,) = medians[pred], medians[target]
+    if oof.count() < 50 or not y or p / y <= 1.5:
         return df, False
     model = IsotonicRegression(featuresCol=pred, labelCol=target, predictionCol="__iso").fit(oof.select(pred, target))
-    new = model.transform(oof.select(pred)).agg(F.percentile("__iso", 0.5)).first()[0]
-    if not 0.5 <= new / one.y <= 1.5:
+    (new,) = exact_quantiles(model.transform(oof.select(pred)), ["__iso"], [0.5])["__iso"]
+    if not 0.5 <= new / y <= 1.5:
         return df, False
     return model.transform(df).withColumn(pred, F.col("__iso")).drop("__iso"), True
 
@@ -173,19 +209,24 @@ def sigmoid(oof: DataFrame, df: DataFrame, label: str, raw: str) -> DataFrame:
     return model.transform(asm.transform(df)).withColumn("p", vector_to_array("probability")[1]).drop("__x", "rawPrediction", "probability", "prediction")
 
 
-def ablation(df: DataFrame, folds: DataFrame, row_id: str, groups: dict[str, list[str]], make: Callable[[DataFrame], Estimator], score: Callable[[DataFrame], float], gain: float = 0.01) -> list[tuple[str, float, float, str]]:
-    """(group, score without it, change, decision): prune where leaving the group out lowers the score by more than `gain`."""
+def ablation(df: DataFrame, folds: DataFrame, row_id: str, groups: dict[str, list[str]], make: Callable[[DataFrame], Estimator], score: Callable[[DataFrame], float], gain: float = 0.01, metric: str = "mae", only: list[str] | None = None) -> list[tuple[str, float, float, str]]:
+    """(group, score without it, change, decision): prune where leaving the group out betters the score by more than `gain`
+    of the score with all. only: the groups to try, as new ones in a later round."""
+    from loomtab.operators.scores import GREATER
+
     names = [c for g in groups.values() for c in g]
 
     def run(columns: list[str]) -> float:
         return score(out_of_fold(VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep").transform(df), folds, row_id, make))
 
-    base = run(names)
+    base, sign = run(names), 1 if metric in GREATER else -1
     out = []
     for group, columns in groups.items():
+        if only is not None and group not in only:
+            continue
         rest = [c for c in names if c not in columns]
-        s = run(rest) if rest else float("inf")
-        out.append((group, s, s - base, "prune" if s < base * (1 - gain) else "keep"))
+        s = run(rest) if rest else -sign * float("inf")
+        out.append((group, s, s - base, "prune" if sign * (s - base) > gain * abs(base) else "keep"))
     return out
 
 
@@ -200,15 +241,117 @@ def final_fit(df: DataFrame, predict: DataFrame, row_id: str, make: Callable[[in
     return refit_average([with_pred(make(s).fit(df), predict) for s in seeds], row_id, "pred")
 
 
-def fit_best(train: DataFrame, predict: DataFrame, folds: DataFrame, row_id: str, families: dict[str, Callable[[DataFrame], Estimator]]) -> tuple[DataFrame, DataFrame]:
-    """(row_id, pred) of the best candidate or stack, and the table of scores. Frames: (row_id, label, features)."""
-    oof = {n: out_of_fold(train, folds, row_id, make).cache() for n, make in families.items()}
+def fit_best(
+    train: DataFrame,
+    predict: DataFrame,
+    folds: DataFrame,
+    row_id: str,
+    families: dict[str, Callable[..., Estimator]],
+    metric: str = "mae",
+    spaces: dict[str, dict[str, list]] | None = None,
+    skewed: bool = False,
+    clipped: bool = False,
+    calibrated: bool = False,
+    prepare: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """(row_id, pred) of the best candidate or stack, and the table of scores. Frames: (row_id, label, features).
+
+    spaces: settings to try for families that take them by name (make(train, **settings)); skewed: also learn the label's
+    logarithm or root where its skew asks for it; clipped: predictions stay in the target's bounds; calibrated: an isotonic
+    bend where the median is far too high. A candidate that fails is left out, with its error in the table.
+    """
+    from loomtab.operators import repair
     from loomtab.operators.relate import align_oof
-
+    from loomtab.operators.scores import scorer
+
+    score = scorer(metric, **options)
+    for name, space in (spaces or {}).items():
+        best, _ = tune(train, folds, row_id, lambda n=name, **c: families[n](train, **c), space, score, metric=metric, prepare=prepare)
+        families = families | {name: lambda t, n=families[name], b=best: n(t, **b)}
+    made = variants(train, families) if skewed else {n: (make, "none") for n, make in families.items()}
+    oof, failed = {}, []
+    for name, (make, how) in made.items():
+        try:
+            oof[name] = out_of_fold(train, folds, row_id, make, prepare, how).cache()
+            oof[name].count()
+        except Exception as error:  # noqa: BLE001 - one family that fails must not end the search
+            oof.pop(name, None)
+            failed.append((name, str(error).splitlines()[0][:200]))
+    if not oof:
+        raise ValueError(f"all candidates failed: {failed}")
     wide = align_oof(oof, row_id, "pred").join(train.select(row_id, "label"), row_id).cache()
-    table = keep_best(wide, list(families), "label")
-    best = table.filter("kept").first().candidate
-    weights = stack_weights(wide, list(families), "label") if best == "stack" else {best: 1.0}
-    fits = {n: with_pred(families[n](train).fit(train), predict).select(row_id, F.col("pred").alias(n)) for n in weights if weights[n] > 0}
-    joined = reduce(lambda a, b: a.join(b, row_id), fits.values())
-    return stacked(joined, {n: weights[n] for n in fits}, "pred").select(row_id, "pred"), table
+    table = keep_best(wide, list(oof), "label", metric, **options).cache()
+    if (found := table.filter("kept").first()) is None:
+        raise ValueError(f"{metric} is undefined for every candidate")
+    best = found.candidate
+    weights = {n: w for n, w in (stack_weights(wide, list(oof), "label") if best == "stack" else {best: 1.0}).items() if w > 0}
+    fits = []
+    for name in weights:
+        make, how = made[name]
+        fits.append(_refit(train, predict, row_id, make, how, prepare).withColumnRenamed("pred", name))
+    out = stacked(reduce(lambda a, b: a.join(b, row_id), fits), weights, "pred").select(row_id, "pred")
+    if calibrated:
+        out, _ = isotonic(stacked(wide, weights, "pred").select("label", "pred"), out, "label", "pred")
+    if clipped:
+        out = repair.clip(out, "pred", repair.clip_bounds(train, "label"))
+    table = table.withColumn("error", F.lit(None).cast("string"))
+    if failed:
+        table = table.unionByName(train.sparkSession.createDataFrame([(n, None, False, e) for n, e in failed], "candidate string, score double, kept boolean, error string"))
+    for frame in (*oof.values(), wide):
+        frame.unpersist()
+    return out, table
+
+
+def _refit(train: DataFrame, predict: DataFrame, row_id: str, make, how: str, prepare) -> DataFrame:
+    from loomtab.operators.features import inverted, transformed
+
+    if prepare:
+        train, predict = prepare(train, predict)
+    learnt = transformed(train, "label", how, "label")
+    return inverted(with_pred(make(learnt).fit(learnt), predict), "pred", how).select(row_id, "pred")
+
+
+def specialists(train: DataFrame, predict: DataFrame, folds: DataFrame, row_id: str, floor: dict[str, Callable], groups: dict[str, dict[str, Callable]], metric: str = "mae", **options) -> tuple[DataFrame, list[tuple[str, float, bool]]]:
+    """(row_id, pred) and (stage, score, taken): a floor of plain models first; each group of families after it must beat what
+    stands strictly, alone or in a convex stack with it."""
+    from loomtab.operators.scores import is_better, scorer
+
+    score, told = scorer(metric, **options), []
+    makers = {n: m for part in (floor, *groups.values()) for n, m in part.items()}
+    oof = {n: out_of_fold(train, folds, row_id, m).select(row_id, "label", F.col("pred").alias(n)).cache() for n, m in makers.items()}
+
+    def judged(names: list[str]) -> tuple[dict[str, float], float]:
+        wide = reduce(lambda a, b: a.join(b.drop("label"), row_id), [oof[n] for n in names])
+        weights = stack_weights(wide, names, "label") if len(names) > 1 else {names[0]: 1.0}
+        return {n: w for n, w in weights.items() if w > 0}, score(stacked(wide, weights, "pred"))
+
+    best, at = {}, None
+    for stage, names in (("floor", list(floor)), *((g, list(f)) for g, f in groups.items())):
+        found = [judged([n]) for n in names]
+        if len(names) > 1 or best:
+            found.append(judged([*dict.fromkeys([*best, *names])]))
+        taken = False
+        for weights, s in found:
+            if is_better(metric, s, at):
+                best, at, taken = weights, s, True
+        told.append((stage, at, taken))
+    fits = [_refit(train, predict, row_id, makers[n], "none", None).withColumnRenamed("pred", n) for n in best]
+    return stacked(reduce(lambda a, b: a.join(b, row_id), fits), best, "pred").select(row_id, "pred"), told
+
+
+def one_table(df: DataFrame, row_id: str, target: str, features: list[str], families: dict[str, Callable[..., Estimator]], metric: str | None = None, shares: tuple[float, float] = (0.7, 0.15), k: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Predictions of the test part, candidates' scores, and the test score of the best: one table split, preprocessed inside
+    every fold, searched and judged on rows that no choice has seen. The target is a number, or a label of two classes (0, 1)."""
+    from loomtab.operators import build
+    from loomtab.operators.folds import kfold, split_three
+    from loomtab.operators.scores import score_table
+    from loomtab.operators.task import resolve_task
+
+    metric = metric or resolve_task(df, target).metric
+    parts = df.filter(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double")).join(split_three(df, row_id, shares), row_id)
+    seen, test = parts.filter("part <> 'test'"), parts.filter("part = 'test'")
+    kinds = build.column_kinds(seen, test, features)
+    out, table = fit_best(seen, test, kfold(seen, row_id, k), row_id, families, metric, prepare=build.preparer(kinds))
+    scored = out.join(test.select(row_id, "label"), row_id)
+    return out, table, score_table(scored, metric)

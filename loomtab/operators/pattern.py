@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import adjusted_skew, agg_columns, long_form, number
+from loomtab.operators.quantiles import quantile_columns
 
 QUANTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 DATE_PARTS = {"dayofmonth": F.dayofmonth, "hour": F.hour, "weekday": F.weekday, "month": F.month, "week": F.weekofyear}
@@ -14,12 +15,12 @@ DATE_PARTS = {"dayofmonth": F.dayofmonth, "hour": F.hour, "weekday": F.weekday,
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
     """n, mean, std, quantiles, skew (adjusted), kurtosis (excess, population), shares of zeros, and the shape in words."""
     y = df.select(number(target).alias("y"))
-    qs = F.percentile("y", F.array(*map(F.lit, QUANTILES)))
+    qs = quantile_columns(y, F.col("y"), QUANTILES)
     row = y.agg(
         F.count("y").alias("n"),
         F.avg("y").alias("mean"),
         F.stddev("y").alias("std"),
-        qs.alias("q"),
+        *[q.alias(f"q{round(100 * share):02d}") for q, share in zip(qs, QUANTILES, strict=True)],
         adjusted_skew("y").alias("skew"),
         F.kurtosis("y").alias("kurtosis"),
         F.avg((F.col("y") == 0).cast("double")).alias("zero_share"),
@@ -27,7 +28,7 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
         (F.min("y") >= 0).alias("non_negative"),
     )
     shape = F.when(F.abs("skew") < 0.5, "symmetric").when(F.col("skew") > 1.5, "strongly right-skewed").when(F.col("skew") > 0, "right-skewed").when(F.col("skew") < -1.5, "strongly left-skewed").otherwise("left-skewed")
-    return row.select("n", "mean", "std", *[F.col("q")[i].alias(f"q{round(100 * q):02d}") for i, q in enumerate(QUANTILES)], "skew", "kurtosis", "zero_share", "near_zero_share", "non_negative", (F.col("skew") > 1.5).alias("right_skewed"), shape.alias("shape"))
+    return row.select("n", "mean", "std", *[f"q{round(100 * share):02d}" for share in QUANTILES], "skew", "kurtosis", "zero_share", "near_zero_share", "non_negative", (F.col("skew") > 1.5).alias("right_skewed"), shape.alias("shape"))
 
 
 def group_levels(df: DataFrame, target: str, names: list[str], least: int = 2, most: int = 48) -> DataFrame:
@@ -144,7 +145,9 @@ def series_shape(df: DataFrame, keys: list[str], period: str) -> DataFrame:
     cells = df.groupBy(*keys, period).agg(F.count("*").alias("n"))
     lens = cells.groupBy(*keys).agg(F.count(period).alias("len"))
     whole = cells.groupBy(period).agg(F.sum("n").alias("n")).agg(F.count(period).alias("periods"), F.avg("n").alias("rows_per_period"))
-    return whole.join(lens.agg(F.count("*").alias("groups"), F.min("len").alias("shortest"), F.percentile("len", 0.5).alias("median"), F.max("len").alias("longest")))
+    # A line for each length that occurs; its median is one of the whole column only in name.
+    by_length = lens.groupBy("len").agg(F.count("*").alias("n"))
+    return whole.join(by_length.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("groups"), F.min("len").alias("shortest"), F.percentile("len", 0.5, F.col("n")).alias("median"), F.max("len").alias("longest")))
 
 
 def autocorrelation(df: DataFrame, keys: list[str], rank: str, target: str, lags: tuple[int, ...] = (1, 3, 6, 12)) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtab.functions.exprs import agg_columns, columns_of, flag, kind, long_form, median, name_tokens, number, quantile
+from loomtab.functions.exprs import agg_columns, columns_of, flag, kind, long_form, name_tokens, number, quantile
+from loomtab.operators.quantiles import column_quantiles, quantile_columns
 
 # Words of column names that mark identifiers, targets and leaks.
 ID_WORDS = ("id", "uuid", "guid", "key", "index", "identifier")
@@ -28,7 +29,10 @@ def numeric(df: DataFrame, names: list[str] | None = None, approx: bool = False)
     """column, n, min, max, mean, std (0 for one value), p25, median, p75, zeros, negatives."""
     names = names or columns_of(df, "numeric")
     df = df.select(*[number(c).alias(c) for c in names])
-    return agg_columns(
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, n long, min double, max double, mean double, std double, p25 double, median double, p75 double, zeros long, negatives long")
+    quartiles = {"p25": 0.25, "median": 0.5, "p75": 0.75}
+    rows = agg_columns(
         df,
         names,
         lambda c: [
@@ -37,13 +41,12 @@ def numeric(df: DataFrame, names: list[str] | None = None, approx: bool = False)
             ("max", F.max(c)),
             ("mean", F.avg(c)),
             ("std", F.when(F.count(c) == 1, 0.0).otherwise(F.stddev(c))),
-            ("p25", quantile(c, 0.25, approx)),
-            ("median", median(c, approx)),
-            ("p75", quantile(c, 0.75, approx)),
+            *([(name, quantile(c, q, True)) for name, q in quartiles.items()] if approx else []),
             ("zeros", F.count_if(F.col(c) == 0)),
             ("negatives", F.count_if(F.col(c) < 0)),
         ],
     )
+    return rows if approx else rows.join(column_quantiles(df, names, quartiles), "column")
 
 
 def top_values(df: DataFrame, names: list[str], k: int = 5) -> DataFrame:
@@ -106,13 +109,14 @@ def exclusions(profile: DataFrame, missing_rates: DataFrame, target: str) -> Dat
 
 def series_summary(df: DataFrame, name: str) -> DataFrame:
     """count, missing, mean, std, min, median, max of one column."""
-    return df.select(number(name).alias("x")).agg(
+    x = df.select(number(name).alias("x"))
+    return x.agg(
         F.count("x").alias("count"),
         F.count_if(F.col("x").isNull()).alias("missing"),
         F.avg("x").alias("mean"),
         F.stddev("x").alias("std"),
         F.min("x").alias("min"),
-        median("x").alias("median"),
+        quantile_columns(x, F.col("x"), [0.5])[0].alias("median"),
         F.max("x").alias("max"),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import number
+from loomtab.operators.quantiles import quantile_columns
 
 
 def sanitize(df: DataFrame, pred: str, train: DataFrame, target: str) -> DataFrame:
@@ -18,7 +19,7 @@ def sanitize(df: DataFrame, pred: str, train: DataFrame, target: str) -> DataFra
 def clip_bounds(train: DataFrame, target: str) -> DataFrame:
     """low, high: 0 and max(1.5 max, 2 q99) for a target that is never negative; else none."""
     y = number(target)
-    one = train.agg(F.min(y).alias("lo"), F.max(y).alias("hi"), F.percentile(y, 0.99).alias("q"))
+    one = train.agg(F.min(y).alias("lo"), F.max(y).alias("hi"), quantile_columns(train, y, [0.99])[0].alias("q"))
     return one.select(F.when(F.col("lo") >= 0, 0.0).alias("low"), F.when(F.col("lo") >= 0, F.greatest(1.5 * F.col("hi"), 2 * F.col("q"))).alias("high"))
 
 

@@ -50,6 +50,21 @@ def resolve_task(df: DataFrame, target: str, stated: str | None = None, metric:
     return TaskSpec(kind, metric, metric in GREATER, "value" if kind == "regression" else "probability" if metric in ("roc_auc", "log_loss") else "label", labels)
 
 
+def forced_kind(kind: str, output: str) -> str | None:
+    """The kind that the format of the output asks for where the stated one does not fit it: None where it does."""
+    fits = {"regression": ("int", "float", "prob01", "unknown"), "binary": ("prob01", "int", "string", "unknown"), "multiclass": ("int", "string", "unknown")}
+    if output in fits[kind]:
+        return None
+    return {"string": "multiclass", "prob01": "binary"}.get(output, "regression")
+
+
+def output_consistency(kind: str, sample: DataFrame, name: str) -> DataFrame:
+    """stage, status, reason, column, value: does the format of the sample's predictions fit the kind? value: the kind to take."""
+    cases = F.coalesce(*[F.when(F.col("format") == f, F.lit(forced_kind(kind, f))) for f in ("prob01", "int", "float", "string", "unknown")])
+    one = value_format(sample, name).withColumn("forced", cases)
+    return one.select(F.lit("task").alias("stage"), F.when(F.col("forced").isNull(), "pass").otherwise("fail").alias("status"), F.lit("output against kind").alias("reason"), F.lit(name).alias("column"), F.coalesce("forced", F.lit(kind)).alias("value"))
+
+
 def consistency(df: DataFrame, target: str, stated_kind: str, stated_metric: str) -> DataFrame:
     """stage, status, reason, column, value: does what is stated fit the data?"""
     facts = target_facts(df, target)

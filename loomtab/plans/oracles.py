@@ -420,4 +420,58 @@ f AS (SELECT p1.*, fold FROM p1 JOIN k USING (month)), o AS (SELECT a.*, (x.s -
 SELECT month, fold, count(*) AS n, avg(abs(y - pred)) AS mae FROM o GROUP BY ALL""",
         mae=2,
     ),
+    "exact_quantiles": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {', '.join(f"round(quantile_cont({c}, {q}), 4) AS {n}" for n, q in (('q01', 0.01), ('q37', 0.37), ('q50', 0.5), ('q99', 0.99)))} FROM (WITH {P1} SELECT * FROM p1)"""
+        for c in ("y", "acctbal", "gappy")
+    ),
+    "numbered_rows": f"WITH {P1} SELECT row_id, row_number() OVER (ORDER BY CAST(ts AS DATE), row_id) - 1 AS by_day, row_number() OVER (ORDER BY priority, CAST(ts AS DATE), row_id) - 1 AS by_priority FROM p1",
+    "class_scores": f"""WITH {P1}, {_FOLDED}, cls AS (SELECT DISTINCT status AS c FROM p1),
+g AS (SELECT priority, status AS c, count(*) AS n FROM f1 GROUP BY ALL), h AS (SELECT priority, fold, status AS c, count(*) AS n FROM f1 GROUP BY ALL),
+gt AS (SELECT priority, count(*) AS n FROM f1 GROUP BY ALL), ht AS (SELECT priority, fold, count(*) AS n FROM f1 GROUP BY ALL),
+pr AS (SELECT f1.row_id, f1.status AS y, cls.c, (coalesce(g.n, 0) - coalesce(h.n, 0))::DOUBLE / (gt.n - ht.n) AS p FROM f1 CROSS JOIN cls JOIN gt USING (priority) JOIN ht USING (priority, fold)
+  LEFT JOIN g ON g.priority = f1.priority AND g.c = cls.c LEFT JOIN h ON h.priority = f1.priority AND h.fold = f1.fold AND h.c = cls.c),
+th AS (SELECT c, p, count(*) FILTER (y = c) AS pos, count(*) FILTER (y <> c) AS neg FROM pr GROUP BY c, p),
+run AS (SELECT *, sum(neg) OVER (PARTITION BY c ORDER BY p) - neg AS below FROM th),
+auc AS (SELECT c, sum(pos * below + 0.5::DOUBLE * pos * neg) / (sum(pos) * sum(neg)) AS auc FROM run GROUP BY c),
+best AS (SELECT row_id, y, arg_min(c, (-p, c)) AS guess FROM pr GROUP BY row_id, y),
+per AS (SELECT c, count(*) FILTER (y = c) AS n, count(*) FILTER (guess = c) AS m, count(*) FILTER (y = c AND guess = c) AS tp FROM best CROSS JOIN cls GROUP BY c),
+rates AS (SELECT n, tp, coalesce(tp / nullif(m, 0), 0) AS pr, coalesce(tp / nullif(n, 0), 0) AS re FROM per WHERE n > 0 OR m > 0)
+SELECT metric, round(score, 6) AS score FROM (
+  SELECT 'roc_auc' AS metric, avg(auc) AS score FROM auc UNION ALL SELECT 'log_loss', avg(-ln(greatest(least(p, 1 - 1e-15), 1e-15))) FROM pr WHERE c = y
+  UNION ALL SELECT 'accuracy', sum(tp) / sum(n) FROM rates UNION ALL SELECT 'f1_macro', avg(coalesce(2 * pr * re / nullif(pr + re, 0), 0)) FROM rates UNION ALL SELECT 'balanced_accuracy', avg(re) FILTER (n > 0) FROM rates)""",
+    "class_chances": f"""WITH {P1}, cls AS (SELECT DISTINCT status AS c FROM t1), g AS (SELECT nation, segment, status AS c, count(*) AS n FROM t1 GROUP BY ALL), gt AS (SELECT nation, segment, count(*) AS n FROM t1 GROUP BY ALL),
+w AS (SELECT c, (SELECT count(*) FROM t1 WHERE status = c)::DOUBLE / (SELECT count(*) FROM t1) AS p FROM cls),
+pr AS (SELECT q1.row_id, w.c, CASE WHEN gt.n IS NULL THEN w.p ELSE coalesce(g.n, 0)::DOUBLE / gt.n END AS p FROM q1 CROSS JOIN w LEFT JOIN gt ON gt.nation IS NOT DISTINCT FROM q1.nation AND gt.segment IS NOT DISTINCT FROM q1.segment
+  LEFT JOIN g ON g.nation IS NOT DISTINCT FROM q1.nation AND g.segment IS NOT DISTINCT FROM q1.segment AND g.c = w.c)
+SELECT row_id, arg_min(c, (-p, c)) AS label, round(max(p) FILTER (c = 'F'), 6) AS p_F, round(max(p) FILTER (c = 'O'), 6) AS p_O, round(max(p) FILTER (c = 'P'), 6) AS p_P FROM pr GROUP BY row_id""",
+    "scores_by_metric": f"""WITH {P1}, {_OOF}, e AS (SELECT *, y - pred AS r FROM oof)
+SELECT metric, round(score, 4) AS score FROM (SELECT 'mae' AS metric, avg(abs(r)) AS score FROM e UNION ALL SELECT 'rmse', sqrt(avg(r * r)) FROM e UNION ALL SELECT 'r2', 1 - sum(r * r) / (var_pop(y) * count(*)) FROM e
+UNION ALL SELECT 'block_mae', avg(m) FROM (SELECT avg(abs(r)) AS m FROM e GROUP BY month))""",
+    "lag_features": f"""WITH {P3} SELECT a.month, a.nation, a.flag, round(b.y, 2) AS y_lag1, round(c.y, 2) AS y_lag12 FROM p3 a
+LEFT JOIN p3 b ON b.nation = a.nation AND b.flag = a.flag AND b.rank = a.rank - 1 LEFT JOIN p3 c ON c.nation = a.nation AND c.flag = a.flag AND c.rank = a.rank - 12""",
+    "prepared_features": f"""WITH {P1}, m AS (SELECT nation, quantile_cont(gappy, 0.5) AS g, quantile_cont(acctbal, 0.5) AS a FROM t1 GROUP BY nation), w AS (SELECT quantile_cont(gappy, 0.5) AS g, quantile_cont(acctbal, 0.5) AS a FROM t1),
+st AS (SELECT segment, avg(y) AS mean, count(y) AS n FROM t1 GROUP BY segment), big AS (SELECT nation FROM t1 GROUP BY nation HAVING count(*) >= 0.05 * (SELECT count(nation) FROM t1))
+SELECT row_id, round(coalesce(gappy, m.g, w.g), 3) AS gappy, round(coalesce(acctbal, m.a, w.a), 3) AS acctbal, round(st.mean, 3) AS segment_mean, st.n AS segment_count, CAST(priority = '1-URGENT' AS INTEGER) AS urgent,
+CAST(nation NOT IN (SELECT nation FROM big) AS INTEGER) AS rare_nation FROM q1 CROSS JOIN w LEFT JOIN m USING (nation) LEFT JOIN st USING (segment)""",
+    "class_sanity": f"""WITH {P1}, c AS (SELECT nation, status, count(*) AS n FROM t1 GROUP BY ALL), b AS (SELECT nation, arg_min(status, (-n, status)) AS pred FROM c GROUP BY nation),
+p AS (SELECT pred FROM q1 JOIN b USING (nation)), t AS (SELECT status AS label, count(*) AS n FROM t1 GROUP BY 1), r AS (SELECT label, (SELECT count(*) FROM p WHERE pred = label)::DOUBLE / (SELECT count(*) FROM p) / (n / (SELECT count(*) FROM t1)) AS ratio FROM t)
+SELECT 'sanity' AS stage, 'pass' AS status, 'labels given' AS reason, 'pred' AS "column", '0' AS value
+UNION ALL SELECT 'sanity', CASE WHEN count(DISTINCT pred) <= 1 THEN 'fail' ELSE 'pass' END, 'more than one class', 'pred', CAST(count(DISTINCT pred) AS VARCHAR) FROM p
+UNION ALL SELECT 'sanity', CASE WHEN ratio BETWEEN 0.6 AND 1.66 THEN 'pass' ELSE 'warn' END, 'share of a class', label, CAST(round(ratio, 4) AS VARCHAR) FROM r""",
+    "leakage_risk": f"""WITH {P1}, f AS (SELECT count(*) AS fails FROM (SELECT abs(corr(y * 2, y)) AS r FROM t1 UNION ALL SELECT abs(corr(acctbal, y)) FROM t1) WHERE r > 0.98),
+h AS (SELECT count(*) AS n FROM t1 JOIN q1 ON t1.priority = q1.priority AND t1.acctbal IS NOT DISTINCT FROM q1.acctbal AND t1.y * 2 = q1.y AND t1.y = q1.y)
+SELECT CASE WHEN fails + CAST(n > 0 AS INTEGER) > 0 THEN 'high' ELSE 'low' END AS risk, CAST(fails + CAST(n > 0 AS INTEGER) AS BIGINT) AS fails, CAST(0 AS BIGINT) AS warns FROM f, h""",
+    "text_target_corr": f"""WITH {P1}, c AS (SELECT *, dense_rank() OVER (ORDER BY priority) - 1 AS code FROM p1)
+SELECT 'y' AS "column", round(corr(y, code), 6) AS r FROM c UNION ALL SELECT 'acctbal', round(corr(acctbal, code), 6) FROM c""",
+    "holdout_matches": f"WITH {P1} SELECT count(*) AS n, round(avg(CASE WHEN row_id % 3 = 0 OR y = 0 THEN 1.0 ELSE 0.0 END), 6) AS share FROM p1",
+    "output_consistency": """SELECT 'task' AS stage, 'fail' AS status, 'output against kind' AS reason, 'y' AS "column", 'regression' AS value UNION ALL SELECT 'task', 'pass', 'output against kind', 'status', 'multiclass'
+UNION ALL SELECT 'task', 'fail', 'output against kind', 'priority', 'multiclass'""",
+    "first_of_group": f"WITH {P1} SELECT nation, segment, arg_min(row_id, (ts, row_id)) AS row_id FROM p1 GROUP BY nation, segment",
+    "hand_in": f"WITH {P1}, m AS (SELECT nation, avg(y) AS y FROM t1 GROUP BY nation) SELECT row_id, CASE WHEN row_id % 11 <> 0 THEN CAST(round(m.y) AS BIGINT) END AS y FROM q1 LEFT JOIN m USING (nation)",
+    "folds_scored": f"WITH {P1} SELECT row_id, CAST({_hash('row_id', 's')} % 4 AS INTEGER) AS fold, priority = '1-URGENT' AS scored FROM p1",
+    "build_features": f"""WITH {P1} SELECT "column", role, reason, CAST(filled AS BIGINT) AS filled FROM (
+  SELECT unnest(['row_id', 'y', 'outcome_code', 'same', 'month', 'ts']) AS "column", 'dropped' AS role, unnest(['row id', 'target', 'outcome word in its name', 'constant', 'values that predict does not share', 'time']) AS reason, NULL AS filled
+  UNION ALL SELECT unnest(['priority', 'status', 'segment', 'nation']), 'category', NULL, NULL
+  UNION ALL SELECT 'gappy', 'number', NULL, count(gappy) FROM q1 UNION ALL SELECT 'acctbal', 'number', NULL, count(acctbal) FROM q1 UNION ALL SELECT 'few', 'number', NULL, count(*) FROM q1
+  UNION ALL SELECT t || '__' || p, 'number', NULL, (SELECT count(ts) FROM q1) FROM (SELECT unnest(['ts', 'month']) AS t), (SELECT unnest(['year', 'day', 'quarter', 'week', 'weekend', 'month', 'month_sin', 'month_cos', 'weekday', 'weekday_sin', 'weekday_cos']) AS p))""",
 }

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import hashed
-from loomtab.operators import checks, encode, features, folds, metrics, models, pattern, profile, relate, repair, task, windows
+from loomtab.operators import build, checks, encode, features, folds, metrics, models, pattern, profile, quantiles, relate, repair, scores, task, windows
 from loomtab.plans import panels as P
+from loomtab.spec import TableSpec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -675,6 +677,128 @@ def refit_average(s, d):
     return rounded(repair.refit_average(frames, "row_id", "pred"), 2)
 
 
+# ---- quantiles, classes by chances, features
+
+
+@query
+def exact_quantiles(s, d):
+    """Two rounds of slots at least: few rows are put in order at once."""
+    p = P.orders(s, d).select("y", "acctbal", "gappy")
+    return rounded(quantiles.column_quantiles(p, p.columns, {"q01": 0.01, "q37": 0.37, "q50": 0.5, "q99": 0.99}, slots=64, ordered=500))
+
+
+@query
+def numbered_rows(s, d):
+    """Places in a global order with many ties of its leading column."""
+    p = P.orders(s, d).select("row_id", "priority", F.to_date("ts").alias("day"))
+    by_day = windows.numbered(p, ["day", "row_id"], "by_day", 64)
+    return windows.numbered(by_day, ["priority", "day", "row_id"], "by_priority", 64).select("row_id", "by_day", "by_priority")
+
+
+@query
+def class_scores(s, d):
+    """Chances of three classes from other folds' shares of the group: one-vs-rest AUC, log loss, and scores of the likeliest."""
+    p = P.orders(s, d).withColumn("fold", (hashed("row_id", "s") % 5).cast("int"))
+    classes = scores.class_list(p, "status")
+    p = p.join(scores.crossfit_class_shares(p, "row_id", ["priority"], "status", classes), "row_id")
+    names = ("roc_auc", "log_loss", "accuracy", "f1_macro", "balanced_accuracy")
+    one = [scores.score_table(p, m, "status", proba="proba", classes=classes).select(F.lit(m).alias("metric"), "score") for m in names]
+    return rounded(reduce(DataFrame.unionByName, one), 6)
+
+
+@query
+def class_chances(s, d):
+    t, q = P.orders_split(s, d)
+    classes = scores.class_list(t, "status")
+    out = scores.class_shares(t, q, ["nation", "segment"], "status", classes)
+    return rounded(out.select("row_id", scores.most_likely(F.col("proba"), classes).alias("label"), *[F.element_at("proba", i + 1).alias(f"p_{c}") for i, c in enumerate(classes)]), 6)
+
+
+@query
+def scores_by_metric(s, d):
+    o = _oof(s, d)
+    one = [scores.score_table(o, m, "y", "pred", block="month").select(F.lit(m).alias("metric"), "score") for m in ("mae", "rmse", "r2", "block_mae")]
+    return rounded(reduce(DataFrame.unionByName, one))
+
+
+@query
+def lag_features(s, d):
+    return rounded(features.lags(P.shipments(s, d), ["nation", "flag"], "rank", "y", (1, 12)).select("month", "nation", "flag", "y_lag1", "y_lag12"), 2)
+
+
+@query
+def text_target_corr(s, d):
+    p = features.target_codes(P.orders(s, d), "priority", "code")
+    return rounded(pattern.correlations(p, "code", ["y", "acctbal"], 5), 6)
+
+
+@query
+def prepared_features(s, d):
+    """What is fitted to the training side, applied to the rows to predict: medians by group, group statistics, levels."""
+    t, q = P.orders_split(s, d)
+    kinds = build.Kinds(("gappy", "acctbal"), ("priority", "nation"), "nation", ("segment",))
+    out, _ = build.Fitted(t, kinds, target="y", rare=0.05).table(q)
+    rare = F.col("`nation=__rare__`").cast("int")
+    return rounded(out.select("row_id", "gappy", "acctbal", F.col("tgt_mean__segment").alias("segment_mean"), F.col("tgt_count__segment").alias("segment_count"), F.col("`priority=1-URGENT`").cast("int").alias("urgent"), rare.alias("rare_nation")), 3)
+
+
+@query
+def build_features(s, d):
+    """Which columns become features of what kind, and why others do not."""
+    t, q = P.orders_split(s, d)
+    t = t.withColumns({"outcome_code": F.col("acctbal"), "same": F.lit("x"), "few": (F.col("row_id") % 4).cast("int")})
+    q = q.withColumns({"outcome_code": F.col("acctbal"), "same": F.lit("x"), "few": (F.col("row_id") % 4).cast("int")})
+    made = build.build_features(t, q, TableSpec("row_id", "y", ("priority", "month"), "ts"), interactions=2)
+    rows = [(c, "dropped", r) for c, r in made.dropped.items()] + [(c, "number", None) for c in made.kinds.numbers if "_x_" not in c] + [(c, "category", None) for c in made.kinds.categories]
+    ends = made.predict.agg(*[F.count(c).alias(c) for c in made.kinds.numbers if "_x_" not in c]).first()
+    return s.createDataFrame([(c, role, why, ends[c] if role == "number" else None) for c, role, why in rows], "column string, role string, reason string, filled long")
+
+
+@query
+def class_sanity(s, d):
+    t, q = P.orders_split(s, d)
+    return checks.class_sanity(encode.group_mode(t, q, ["nation"], "status"), "pred", t, "status")
+
+
+@query
+def leakage_risk(s, d):
+    t, q = P.orders_split(s, d)
+    t = t.withColumn("copy", F.col("y") * 2)
+    cols = ["priority", "acctbal", "copy", "y"]
+    return checks.risk(checks.leakage_audit(t.select(*cols), q.withColumn("copy", F.col("y")).select(*cols), "y", ["priority", "acctbal", "copy"], strength=0.98))
+
+
+@query
+def holdout_matches(s, d):
+    p = P.orders(s, d)
+    pred = p.select("row_id", F.when(F.col("row_id") % 3 == 0, F.col("y")).otherwise(0.0).alias("p"))
+    return rounded(checks.holdout_matches(pred, p, "row_id", "p", "y"), 6)
+
+
+@query
+def output_consistency(s, d):
+    p = P.orders(s, d)
+    return task.output_consistency("binary", p, "y").unionByName(task.output_consistency("multiclass", p, "status")).unionByName(task.output_consistency("regression", p, "priority"))
+
+
+@query
+def first_of_group(s, d):
+    return repair.first_of_group(P.orders(s, d).select("nation", "segment", "ts", "row_id"), ["nation", "segment"], ["ts", "row_id"]).select("nation", "segment", "row_id")
+
+
+@query
+def hand_in(s, d):
+    t, q = P.orders_split(s, d)
+    given = encode.group_mean(t, q.filter("row_id % 11 <> 0"), ["nation"], "y").select("row_id", F.col("pred").alias("y"))
+    return repair.hand_in(q.select("row_id", F.col("row_id").alias("ord")), given, "row_id", "ord", "y", True)
+
+
+@query
+def folds_scored(s, d):
+    p = P.orders(s, d)
+    return folds.make_folds(p, "row_id", "kfold", scored=p.filter("priority = '1-URGENT'"), k=4)
+
+
 # ---- models: compared by score, no SQL twin
 
 
