@@ -12,7 +12,6 @@ Texts are normalised and digested whole, in the JVM; from there on rows carry 32
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa

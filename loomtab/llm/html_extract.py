@@ -118,7 +118,7 @@ def _units(page: str) -> Iterator[tuple[str, str, str]]:
             yield page[since:start], m[1] + m[2].lower(), page[m.end() : end - 1]
         at = since = end
         if not m[1] and m[2] and (tag := m[2].lower()) in _RAW_TEXT:  # up to its own end
-            found = _closing(tag).search(page, at)
+            found = _CLOSING[tag].search(page, at)
             at = since = len(page) if not found else (page.find(">", found.start()) + 1 or len(page))
     yield page[since:], "", ""
 
@@ -127,10 +127,6 @@ _RAW_TEXT = ("script", "style", "textarea", "title", "noscript", "iframe", "temp
 _CLOSING = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in _RAW_TEXT}
 
 
-def _closing(tag: str) -> re.Pattern:
-    return _CLOSING[tag]
-
-
 def blocks(page: str) -> list[tuple[int, str]]:
     """(kind, text) of the page's blocks in order; text has its references decoded and its white space made single."""
     out: list[tuple[int, bool, str]] = []

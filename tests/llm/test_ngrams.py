@@ -111,7 +111,7 @@ def test_levels_read_whole_stay_bounded(monkeypatch, tmp_path):
 
 def test_rare_words_and_odd_texts_score(spark):
     rows = [(None, "a"), (1, None), (2, ""), (2, "a b a b a b"), (3, "z\x00z  Q q"), (3, "z\x00z  Q q")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumnRenamed("doc_id", "doc_id")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = ngram_lm.report(docs, order=3).collect()
     assert len(got) == 6 and all(np.isfinite(r.score) and r.score < 0 for r in got) and pa.array([r.n_tokens for r in got]).to_pylist().count(1) == 2
     assert ngram_lm.report(docs.limit(0), order=3).count() == 0
