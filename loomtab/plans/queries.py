@@ -805,10 +805,11 @@ def folds_scored(s, d):
 def _model_frame(s, d):
     p = features.calendar(P.shipments(s, d).withColumn("at", F.to_date(F.concat("month", F.lit("-01")))), "at")
     p = p.withColumns({"row_id": F.concat_ws("|", "month", "nation", "flag"), "label": F.col("y"), "k": F.col("rank").cast("double")})
-    lags = [p.select("nation", "flag", (F.col("rank") + n).alias("rank"), F.col("y").alias(f"lag{n}")) for n in (1, 12)]
-    for x in lags:
-        p = p.join(x, ["nation", "flag", "rank"])
-    p = models.prepared(p.select("row_id", "label", "month", "flag", "nation", "k", "at__month_sin", "at__month_cos", "lag1", "lag12"), ["k", "at__month_sin", "at__month_cos", "lag1", "lag12"], ["flag"])
+    p = features.lags(p, ["nation", "flag"], "rank", "y", (1, 12))
+    # A missing period is 0 with a flag, so no series and no month drops out.
+    lags = {f"lag{n}": F.coalesce(f"y_lag{n}", F.lit(0.0)) for n in (1, 12)} | {f"no_lag{n}": F.col(f"y_lag{n}").isNull().cast("double") for n in (1, 12)}
+    names = ["k", "at__month_sin", "at__month_cos", *lags]
+    p = models.prepared(p.withColumns(lags).select("row_id", "label", "month", "flag", "nation", *names), names, ["flag"])
     return p.cache()
 
 
@@ -870,7 +871,7 @@ def isotonic(s, d):
 def ablation(s, d):
     p = _model_frame(s, d).drop("features")
     p = p.withColumn("noise", (hashed("row_id", "n") % 1000) / 1000.0)
-    rows = models.ablation(p, folds.kfold(p, "row_id", 2).cache(), "row_id", {"lags": ["lag1", "lag12"], "season": ["at__month_sin", "at__month_cos"], "noise": ["noise"]}, lambda _t: models.ridge(), models.mae)
+    rows = models.ablation(p, folds.kfold(p, "row_id", 2).cache(), "row_id", {"lags": ["lag1", "lag12", "no_lag1", "no_lag12"], "season": ["at__month_sin", "at__month_cos"], "noise": ["noise"]}, lambda _t: models.ridge(), models.mae)
     return s.createDataFrame(rows, "group string, score double, change double, decision string")
 
 

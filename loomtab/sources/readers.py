@@ -2,32 +2,38 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, path: str, sep: str | None = None, schema: str | None = None, encoding: str = "UTF-8") -> DataFrame:
     """csv, tsv, txt (which must name its separator) or parquet. A schema saves the pass that infers one."""
-    suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
+    suffix = _suffix(path)
     if suffix == "parquet":
         return spark.read.parquet(path)
-    if suffix == "txt" and sep is None:
+    reader = spark.read.option("header", True).option("sep", sep or _separator(suffix)).option("encoding", encoding)
+    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+
+
+def _suffix(path: str) -> str:
+    return path.rstrip("/").rsplit(".", 1)[-1].lower()
+
+
+def _separator(suffix: str) -> str:
+    if suffix == "txt":
         raise ValueError("a .txt table needs its separator")
-    if suffix not in ("csv", "tsv", "txt"):
+    if suffix not in ("csv", "tsv"):
         raise ValueError(f"no reader for .{suffix}")
-    reader = spark.read.option("header", True).option("sep", sep or {"csv": ",", "tsv": "\t"}[suffix]).option("encoding", encoding)
-    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+    return {"csv": ",", "tsv": "\t"}[suffix]
 
 
 def load_dataset(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
     """A csv and warnings: read as UTF-8, or as Latin-1 where bytes are no UTF-8; an empty file is an error."""
-    df, warnings = read_table(spark, path), []
-    strings = [c for c, t in df.dtypes if t == "string"]
-    broken = F.lit(False)
-    for c in strings:
-        broken = broken | F.col(c).contains("�")
-    if strings and not df.filter(broken).isEmpty():
-        df, warnings = read_table(spark, path, encoding="ISO-8859-1"), ["read as Latin-1"]
+    broken = spark.read.text(path).filter(~F.is_valid_utf8("value"))  # lines keep their bytes
+    encoding, warnings = ("UTF-8", []) if broken.isEmpty() else ("ISO-8859-1", ["read as Latin-1"])
+    df = read_table(spark, path, encoding=encoding)
     if df.isEmpty():
         raise ValueError(f"{path} has no rows")
     return df, warnings
@@ -36,25 +42,37 @@ def load_dataset(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
 def discover(spark: SparkSession, folder: str) -> DataFrame:
     """path, columns, rows, error of every table under a folder; unreadable ones are reported, not raised."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{csv,tsv,parquet}").load(folder).select("path")
-    rows = []
+    tables, errors = {}, {}
     for (path,) in found.toLocalIterator():  # one line for each file
         try:
-            df = read_table(spark, path)
-            rows.append((path, df.columns, df.count(), None))
+            tables[path] = read_table(spark, path)
         except Exception as e:  # noqa: BLE001  a report of what cannot be read
-            rows.append((path, [], None, str(e).split("\n")[0][:200]))
-    return spark.createDataFrame(rows, "path string, columns array<string>, rows long, error string")
+            errors[path] = str(e).split("\n")[0][:200]
+    counts = {p: df.agg(F.lit(p).alias("path"), F.count("*").alias("rows")) for p, df in tables.items()}
+    try:  # all counts in one job
+        rows = {r.path: r.rows for r in reduce(DataFrame.unionByName, counts.values()).collect()} if counts else {}
+    except Exception:  # noqa: BLE001  one of them cannot be read to its end: find out which
+        rows = {}
+        for path, one in counts.items():
+            try:
+                rows[path] = one.first().rows
+            except Exception as e:  # noqa: BLE001
+                errors[path] = str(e).split("\n")[0][:200]
+    out = [(p, tables[p].columns if p not in errors else [], rows.get(p), errors.get(p)) for p in sorted({*tables, *errors})]
+    return spark.createDataFrame(out, "path string, columns array<string>, rows long, error string")
 
 
-def header(spark: SparkSession, path: str) -> list[str]:
+def header(spark: SparkSession, path: str, sep: str | None = None) -> list[str]:
     """Column names without reading rows: the footer of parquet, the first line of text."""
-    return spark.read.parquet(path).columns if path.rstrip("/").endswith(".parquet") else spark.read.option("header", True).csv(path).columns
+    if _suffix(path) == "parquet":
+        return spark.read.parquet(path).columns
+    return spark.read.option("header", True).option("sep", sep or _separator(_suffix(path))).csv(path).columns
 
 
 def attach_authored(df: DataFrame, authored: DataFrame, row_id: str, covers: dict[str, list[str]] | None = None) -> DataFrame:
     """df with externally made columns by row id, one line for each row; a text column that new columns cover is dropped."""
-    n, m = df.count(), authored.select(row_id).distinct().count()
-    if n != m or authored.count() != m:
+    n, (rows, m) = df.count(), authored.agg(F.count("*"), F.count_distinct(row_id)).first()
+    if n != m or rows != m:
         raise ValueError(f"authored features have {m} distinct rows for {n}")
     gone = [t for t, cols in (covers or {}).items() if all(c in authored.columns for c in cols)]
     new = [c for c in authored.columns if c == row_id or c not in df.columns]

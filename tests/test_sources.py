@@ -28,6 +28,20 @@ def test_latin1_fallback_and_empty_files(spark, tmp_path):
         readers.load_dataset(spark, str(tmp_path / "e.csv"))
 
 
+def test_headers_by_suffix_and_legal_replacement_characters(spark, tmp_path):
+    (tmp_path / "h.tsv").write_text("x\ty,z\n1\t2\n")
+    (tmp_path / "h.csv").write_text("x,y\n1,\ufffd é\n")
+    (tmp_path / "h.txt").write_text("x;y\n1;2\n")
+    assert readers.header(spark, str(tmp_path / "h.tsv")) == ["x", "y,z"] and readers.header(spark, str(tmp_path / "h.txt"), ";") == ["x", "y"]
+    df, warnings = readers.load_dataset(spark, str(tmp_path / "h.csv"))
+    assert df.first().y == "\ufffd é" and not warnings
+    with pytest.raises(ValueError):
+        readers.header(spark, str(tmp_path / "h.txt"))
+    (tmp_path / "broken.parquet").write_bytes(b"not a table")
+    found = {r.path.rsplit("/", 1)[1]: (r.rows, r.error is None) for r in readers.discover(spark, str(tmp_path)).collect()}
+    assert found == {"h.tsv": (1, True), "h.csv": (1, True), "broken.parquet": (None, False)}
+
+
 def test_authored_features_go_by_row_id(spark):
     df = spark.createDataFrame([(1, "some text"), (2, "more")], "row_id int, t string")
     extra = spark.createDataFrame([(2, 0.2), (1, 0.1)], "row_id int, t_svd double")
