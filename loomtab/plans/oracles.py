@@ -462,7 +462,7 @@ UNION ALL SELECT 'sanity', CASE WHEN ratio BETWEEN 0.6 AND 1.66 THEN 'pass' ELSE
 h AS (SELECT count(*) AS n FROM t1 JOIN q1 ON t1.priority = q1.priority AND t1.acctbal IS NOT DISTINCT FROM q1.acctbal AND t1.y * 2 = q1.y AND t1.y = q1.y)
 SELECT CASE WHEN fails + CAST(n > 0 AS INTEGER) > 0 THEN 'high' ELSE 'low' END AS risk, CAST(fails + CAST(n > 0 AS INTEGER) AS BIGINT) AS fails, CAST(0 AS BIGINT) AS warns FROM f, h""",
     "text_target_corr": f"""WITH {P1}, c AS (SELECT *, dense_rank() OVER (ORDER BY priority) - 1 AS code FROM p1)
-SELECT 'y' AS "column", round(corr(y, code), 6) AS r FROM c UNION ALL SELECT 'acctbal', round(corr(acctbal, code), 6) FROM c""",
+SELECT 'y' AS "column", CAST(regr_count(y, code) AS BIGINT) AS n, round(corr(y, code), 6) AS r FROM c UNION ALL SELECT 'acctbal', CAST(regr_count(acctbal, code) AS BIGINT), round(corr(acctbal, code), 6) FROM c""",
     "holdout_matches": f"WITH {P1} SELECT count(*) AS n, round(avg(CASE WHEN row_id % 3 = 0 OR y = 0 THEN 1.0 ELSE 0.0 END), 6) AS share FROM p1",
     "output_consistency": """SELECT 'task' AS stage, 'fail' AS status, 'output against kind' AS reason, 'y' AS "column", 'regression' AS value UNION ALL SELECT 'task', 'pass', 'output against kind', 'status', 'multiclass'
 UNION ALL SELECT 'task', 'fail', 'output against kind', 'priority', 'multiclass'""",
