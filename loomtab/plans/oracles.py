@@ -95,6 +95,34 @@ def _facts(what: str, t: str, c: str) -> str:
     return _FACTS.format(what=what, t=t, c=c)
 
 
+#: Orders with their class and four features in long form; x is null where the feature is missing.
+_TREES = f"""{P1}, tr AS (SELECT row_id, CASE status WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS label, CAST(month(ts) AS DOUBLE) AS x0, CAST(substr(priority, 1, 1) AS DOUBLE) AS x1,
+  floor(gappy / 2500) AS x2, CAST(year(ts) AS DOUBLE) AS x3 FROM p1),
+lf AS (SELECT row_id, label, 0 AS f, x0 AS x FROM tr UNION ALL SELECT row_id, label, 1, x1 FROM tr UNION ALL SELECT row_id, label, 2, x2 FROM tr UNION ALL SELECT row_id, label, 3, x3 FROM tr)"""
+
+
+def _boost_level(out: str, nodes: str) -> str:
+    """Best split of every (class, node): nodes has row_id, k, node, g, h."""
+    return f"""{out}_c AS (SELECT k, node, f, x, sum(g) AS g, sum(h) AS h, count(*) AS n FROM lf JOIN {nodes} USING (row_id) GROUP BY ALL),
+{out}_w AS (SELECT *, sum(g) FILTER (x IS NOT NULL) OVER o AS gc, sum(h) FILTER (x IS NOT NULL) OVER o AS hc, sum(n) FILTER (x IS NOT NULL) OVER o AS nc, sum(g) OVER t AS gt, sum(h) OVER t AS ht, sum(n) OVER t AS nt,
+  coalesce(sum(g) FILTER (x IS NULL) OVER t, 0) AS gm, coalesce(sum(h) FILTER (x IS NULL) OVER t, 0) AS hm, coalesce(sum(n) FILTER (x IS NULL) OVER t, 0) AS nm
+  FROM {out}_c WINDOW t AS (PARTITION BY k, node, f), o AS (PARTITION BY k, node, f ORDER BY x NULLS FIRST)),
+{out}_s AS (SELECT k, node, f, x AS cut, ml, gc + ml * gm AS gl, hc + ml * hm AS hl, nc + ml * nm AS nl, gt, ht, nt FROM {out}_w, (SELECT unnest([0, 1]) AS ml) WHERE x IS NOT NULL AND (nm > 0 OR ml = 0)),
+{out}_g AS (SELECT *, gl * gl / hl + (gt - gl) * (gt - gl) / (ht - hl) - gt * gt / ht AS gain FROM {out}_s WHERE nl >= 20 AND nt - nl >= 20 AND hl >= 1e-3 AND ht - hl >= 1e-3),
+{out} AS (SELECT * FROM {out}_g WHERE gain > 1e-12 QUALIFY row_number() OVER (PARTITION BY k, node ORDER BY CAST(gain AS FLOAT) DESC, f, cut, ml) = 1)"""
+
+
+def _boost_step(out: str, nodes: str, best: str) -> str:
+    """Rows one level down; v is the leaf's value."""
+    return f"""{out} AS (SELECT n.row_id, n.k, n.g, n.h, CASE WHEN b.k IS NULL THEN n.node WHEN CASE WHEN l.x IS NULL THEN ml = 1 ELSE l.x <= b.cut END THEN 2 * n.node + 1 ELSE 2 * n.node + 2 END AS node,
+  CASE WHEN b.k IS NULL THEN n.v WHEN CASE WHEN l.x IS NULL THEN ml = 1 ELSE l.x <= b.cut END THEN -gl / hl ELSE -(gt - gl) / (ht - hl) END AS v
+  FROM {nodes} n LEFT JOIN {best} b ON b.k = n.k AND b.node = n.node LEFT JOIN lf l ON l.row_id = n.row_id AND l.f = b.f)"""
+
+
+def _draw(seed: int, feature: str) -> str:
+    return f"CAST('0x' || substr(md5('{seed}|' || t || '|0|' || {feature}), 1, 8) AS BIGINT)"
+
+
 ORACLES: dict[str, str] = {
     "profile_missing": f"WITH {P1} {_missing('p1', ['row_id', 'y', 'ts', 'month', 'priority', 'status', 'segment', 'acctbal', 'nation', 'gappy'])}",
     "profile_numeric": _rounded(f"WITH {P1} {_numeric('p1', ['y', 'acctbal', 'gappy'])}", min=4, max=4, mean=4, std=4, p25=4, median=4, p75=4),
@@ -474,4 +502,20 @@ UNION ALL SELECT 'task', 'fail', 'output against kind', 'priority', 'multiclass'
   UNION ALL SELECT unnest(['priority', 'status', 'segment', 'nation']), 'category', NULL, NULL
   UNION ALL SELECT 'gappy', 'number', NULL, count(gappy) FROM q1 UNION ALL SELECT 'acctbal', 'number', NULL, count(acctbal) FROM q1 UNION ALL SELECT 'few', 'number', NULL, count(*) FROM q1
   UNION ALL SELECT t || '__' || p, 'number', NULL, (SELECT count(ts) FROM q1) FROM (SELECT unnest(['ts', 'month']) AS t), (SELECT unnest(['year', 'day', 'quarter', 'week', 'weekend', 'month', 'month_sin', 'month_cos', 'weekday', 'weekday_sin', 'weekday_cos']) AS p))""",
+    "hist_boosting_round": f"""WITH {_TREES}, ks AS (SELECT unnest([0, 1, 2]) AS k), pr AS (SELECT k, (SELECT count(*) FILTER (label = k)::DOUBLE / count(*) FROM tr) AS p FROM ks),
+n0 AS (SELECT row_id, k, p - (label = k)::INT AS g, p * (1 - p) AS h, 0 AS node, 0.0::DOUBLE AS v FROM tr, pr), {_boost_level("b1", "n0")}, {_boost_step("n1", "n0", "b1")}, {_boost_level("b2", "n1")}, {_boost_step("n2", "n1", "b2")},
+e AS (SELECT row_id, k, exp(ln(p) + v) AS e FROM n2 JOIN pr USING (k))
+SELECT row_id, round(max(e) FILTER (k = 0) / sum(e), 6) AS p0, round(max(e) FILTER (k = 1) / sum(e), 6) AS p1, round(max(e) FILTER (k = 2) / sum(e), 6) AS p2 FROM e GROUP BY 1""",
+    "extra_trees_stumps": f"""WITH {_TREES}, ts AS (SELECT unnest(generate_series(0, 7)) AS t), fs AS (SELECT f, min(x) AS lo, max(x) AS hi FROM lf GROUP BY 1),
+tried AS (SELECT t, f, lo, hi FROM ts, fs QUALIFY row_number() OVER (PARTITION BY t ORDER BY {_draw(8, "f")}, f) <= 2),
+cuts AS (SELECT t, f, lo + {_draw(7, "f")} / 4294967296.0::DOUBLE * (hi - lo) AS cut FROM tried WHERE lo < hi),
+c AS (SELECT t, f, cut, label AS k, (x IS NULL OR x <= cut) AS l, count(*) AS n FROM lf JOIN cuts USING (f) GROUP BY ALL),
+a AS (SELECT t, f, cut, k, coalesce(sum(n) FILTER (l), 0) AS sl, sum(n) AS st FROM c GROUP BY ALL), z AS (SELECT *, sum(sl) OVER (PARTITION BY t, f) AS nl, sum(st) OVER (PARTITION BY t, f) AS n FROM a),
+sc AS (SELECT t, f, cut, max(nl) AS nl, max(n) AS n, sum(sl * sl / nl + (st - sl) * (st - sl) / (n - nl)) AS score, sum(st * st / n) AS was FROM z WHERE nl >= 2 AND n - nl >= 2 GROUP BY ALL),
+best AS (SELECT * FROM sc WHERE score > was * (1 + 1e-12) QUALIFY row_number() OVER (PARTITION BY t ORDER BY CAST(score AS FLOAT) DESC, f) = 1),
+kk AS (SELECT unnest([0, 1, 2]) AS k), w AS (SELECT k, (SELECT count(*) FILTER (label = k) / count(*) FROM tr) AS p FROM kk),
+v AS (SELECT b.t, kk.k, coalesce(z.sl, 0) / b.nl AS pl, (coalesce(z.st, 0) - coalesce(z.sl, 0)) / (b.n - b.nl) AS pr FROM best b CROSS JOIN kk LEFT JOIN z ON z.t = b.t AND z.f = b.f AND z.k = kk.k),
+r AS (SELECT tr.row_id, w.k, avg(CASE WHEN b.t IS NULL THEN w.p WHEN l.x IS NULL OR l.x <= b.cut THEN pl ELSE pr END) AS p
+  FROM tr CROSS JOIN ts CROSS JOIN w LEFT JOIN best b ON b.t = ts.t LEFT JOIN lf l ON l.row_id = tr.row_id AND l.f = b.f LEFT JOIN v ON v.t = ts.t AND v.k = w.k GROUP BY ALL)
+SELECT row_id, round(max(p) FILTER (k = 0), 6) AS p0, round(max(p) FILTER (k = 1), 6) AS p1, round(max(p) FILTER (k = 2), 6) AS p2 FROM r GROUP BY 1""",
 }

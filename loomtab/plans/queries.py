@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import hashed
-from loomtab.operators import build, checks, encode, features, folds, metrics, models, pattern, profile, quantiles, relate, repair, scores, task, windows
+from loomtab.operators import build, checks, encode, features, folds, metrics, models, pattern, profile, quantiles, relate, repair, scores, task, trees, windows
 from loomtab.plans import panels as P
 from loomtab.spec import TableSpec
 
@@ -875,6 +875,43 @@ def ablation(s, d):
     return s.createDataFrame(rows, "group string, score double, change double, decision string")
 
 
+def _tree_frame(s, d):
+    """Orders with their status as a class and four features, one of them with gaps."""
+    label = F.when(F.col("status") == "F", 0.0).when(F.col("status") == "O", 1.0).otherwise(2.0)
+    x = [F.month("ts"), F.substring("priority", 1, 1), F.floor(F.col("gappy") / 2500), F.year("ts")]
+    return P.orders(s, d).select("row_id", label.alias("label"), F.array(*[c.cast("double") for c in x]).alias("features"))
+
+
+def _class_shares(out, *names):
+    from pyspark.ml.functions import vector_to_array
+
+    p = vector_to_array("probability")
+    return rounded(out.select(*names, *[p[k].alias(f"p{k}") for k in range(3)]), 6)
+
+
+@query
+def hist_boosting_round(s, d):
+    """A round of boosting for three classes, two levels deep, over all orders: everybody's chances after it."""
+    p = _tree_frame(s, d)
+    return _class_shares(trees.HistBoosting(3, rounds=1, step=1.0, depth=2).fit(p).transform(p), "row_id")
+
+
+@query
+def oof_hist_boosting(s, d):
+    """Chances from trees that were grown on the other folds."""
+    p = _tree_frame(s, d)
+    f = folds.kfold(p, "row_id", 3).cache()
+    out = models.out_of_fold(p, f, "row_id", lambda _t: trees.HistBoosting(3, rounds=4, step=0.1, depth=3), classes=3)
+    return rounded(out.select("row_id", "fold", *[F.col("proba")[k].alias(f"p{k}") for k in range(3)]), 6)
+
+
+@query
+def extra_trees_stumps(s, d):
+    """Eight extremely randomised trees of one level over all orders: everybody's class shares."""
+    p = _tree_frame(s, d)
+    return _class_shares(trees.ExtraTrees(3, trees=8, depth=1, leaf=2, tries=2, seed=7).fit(p).transform(p), "row_id")
+
+
 @query
 def text_svd(s, d):
     return rounded(features.text_svd(P.quality(s, d), "text", "row_id", 100, 8).select("row_id", *[F.abs(f"svd{j:02d}").alias(f"svd{j:02d}") for j in range(2)]))
