@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import kind, long_form, name_tokens, number
-from loomtab.operators.quantiles import exact_quantiles
+from loomtab.operators.quantiles import exact_quantiles, group_quantiles
 from loomtab.operators.profile import ID_WORDS, LEAK_WORDS
 
 COLUMNS = ("stage", "status", "reason", "column", "value")
@@ -41,7 +41,9 @@ def leakage_scan(df: DataFrame, target: str, features: list[str], keys: list[str
         out.append(correlations(df, target, numeric, 5).filter(F.abs("r") >= limit).select("column", F.lit("correlates with the target").alias("reason"), F.round("r", 6).alias("value")))
         spread = df.agg(F.stddev(number(target)).alias("s"))
         for key in keys:
-            groups = df.groupBy(key).agg(F.count(number(target)).alias("n"), F.avg(number(target)).alias("mean"), F.percentile(number(target), 0.5).alias("median"), *[f(number(c)).alias(f"{p}{c}") for c in numeric for p, f in (("lo_", F.min), ("hi_", F.max))])
+            groups = df.groupBy(key).agg(F.count(number(target)).alias("n"), F.avg(number(target)).alias("mean"), *[f(number(c)).alias(f"{p}{c}") for c in numeric for p, f in (("lo_", F.min), ("hi_", F.max))])
+            medians = group_quantiles(df.select(F.col(key).alias("__key"), number(target).alias("__y")), ["__key"], ["__y"], {"median": 0.5})
+            groups = groups.join(medians, groups[key].eqNullSafe(medians["__key"]), "left")
             cells = groups.select(key, "n", "mean", "median", F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi")) for c in numeric])).alias("x")).select("n", "mean", "median", "x.*")
             gap = {s: F.max(F.greatest(F.abs(F.col("lo") - F.col(s)), F.abs(F.col("hi") - F.col(s)))).alias(f"g_{s}") for s in ("mean", "median")}
             worst = cells.filter("lo IS NOT NULL").groupBy("column").agg(F.sum("n").alias("n"), F.count("*").alias("k"), *gap.values()).join(spread)

@@ -6,28 +6,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import number
-from loomtab.operators.quantiles import exact_quantiles, quantile_columns
+from loomtab.operators.quantiles import exact_quantiles, group_quantiles, quantile_columns
 from loomtab.operators.relate import attach_statistics, same
 
+#: The statistics of a group's target, in order.
+STATISTICS = ("mean", "median", "std", "min", "max", "q25", "q75", "count")
+#: Folds that cross-fitted statistics tell apart.
+MOST_FOLDS = 50
+_QS = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+
 
 def statistics(df: DataFrame, keys: list[str], target: str, approx: bool = False) -> DataFrame:
-    """keys and mean, median, std (0 if undefined), min, max, q25, q75, count of the target."""
+    """keys and mean, median, std (0 if undefined), min, max, q25, q75, count of the target. Quantiles are exact: hot groups are
+    cut by value; approx takes them from a sketch in the same aggregate."""
     from loomtab.functions.exprs import quantile
 
     y = number(target)
-    whole = not keys and not approx  # then no group bounds what a task holds
-    q25, q50, q75 = quantile_columns(df, y, [0.25, 0.5, 0.75]) if whole else [quantile(y, q, approx) for q in (0.25, 0.5, 0.75)]
-    aggs = [
-        F.avg(y).alias("mean"),
-        q50.alias("median"),
-        F.coalesce(F.stddev(y), F.lit(0.0)).alias("std"),
-        F.min(y).alias("min"),
-        F.max(y).alias("max"),
-        q25.alias("q25"),
-        q75.alias("q75"),
-        F.count(y).alias("count"),
-    ]
-    return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    aggs = [F.avg(y).alias("mean"), F.coalesce(F.stddev(y), F.lit(0.0)).alias("std"), F.min(y).alias("min"), F.max(y).alias("max"), F.count(y).alias("count")]
+    if approx:
+        aggs += [quantile(y, q, True).alias(n) for n, q in _QS.items()]
+    elif not keys:
+        aggs += [c.alias(n) for n, c in zip(_QS, quantile_columns(df, y, list(_QS.values())), strict=True)]
+    out = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    if keys and not approx:
+        own = group_quantiles(df.select(*keys, y.alias("__y")), keys, ["__y"], _QS)
+        out = out.alias("l").join(own.alias("r"), same("l", "r", keys), "left").select("l.*", *[f"r.{n}" for n in _QS])
+    return out.select(*keys, *STATISTICS)
 
 
 def apply_statistics(train: DataFrame, df: DataFrame, keys: list[str], target: str) -> DataFrame:
@@ -60,17 +64,62 @@ def crossfit_moments(df: DataFrame, row_id: str, keys: list[str], target: str, f
     return df.alias("d").join(stats.alias("s"), same("d", "s", [*keys, fold])).select(f"d.{row_id}", "mean", "std", "count")
 
 
-def crossfit_quantiles(df: DataFrame, row_id: str, keys: list[str], value: str, folds: int, fold: str = "fold", q: float = 0.5, approx: bool = False) -> DataFrame:
-    """row_id, q: a quantile of the row's group outside its fold; then of all rows outside; then 0.
+def fold_list(df: DataFrame, fold: str) -> list:
+    """The folds of df, in order."""
+    found = [r[0] for r in df.select(fold).filter(F.col(fold).isNotNull()).distinct().limit(MOST_FOLDS + 1).collect()]
+    if len(found) > MOST_FOLDS:
+        raise ValueError(f"more than {MOST_FOLDS} folds")
+    return sorted(found)
 
-    A quantile of "all but one fold" cannot come from parts, so rows are repeated to the folds they train: folds - 1 times.
-    """
-    from loomtab.functions.exprs import quantile
 
-    x = df.select(*keys, number(value).alias("x"), F.explode(F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != F.col(fold))).alias(fold)).filter("x IS NOT NULL")
-    own = x.groupBy(*keys, fold).agg(quantile("x", q, approx).alias("own"))
-    rest = x.groupBy(fold).agg(quantile("x", q, approx).alias("rest"))
-    out = df.alias("d").join(own.alias("s"), same("d", "s", [*keys, fold]), "left").select("d.*", "own").join(F.broadcast(rest), fold, "left")
+def crossfit_statistics(df: DataFrame, row_id: str, keys: list[str], target: str, fold: str = "fold") -> DataFrame:
+    """row_id and all eight statistics of the target over the row's group outside its fold.
+
+    Means, spreads and counts are the group's total less the fold's part, extremes those of the group's other folds, and
+    quantiles come from counts of values by fold: no row is repeated. Groups without numbers outside take all rows outside the
+    fold, with count 0. Rows without a fold are in every fold's training side and see all others.
+    """
+    y = number(target)
+    d = df.select(row_id, *keys, F.col(fold).alias(fold), y.alias("__y"))
+    part = d.groupBy(*keys, fold).agg(F.count("__y").alias("n"), F.sum("__y").alias("s"), F.sum(F.col("__y") * F.col("__y")).alias("q"), F.min("__y").alias("lo"), F.max("__y").alias("hi"))
+
+    def outside(parts: DataFrame, by: list[str]) -> DataFrame:
+        """by, fold and the moments and extremes of the other folds' parts: windows over the folds of a group."""
+        group = Window.partitionBy(*by)
+        ends = {}
+        for c, least in (("lo", F.least), ("hi", F.greatest)):
+            one = F.min if c == "lo" else F.max
+            order = group.orderBy(fold)
+            before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+            ends[c] = least(one(c).over(before), one(c).over(after))
+        n, s, q = (F.sum(c).over(group) - F.coalesce(F.col(c), F.lit(0)) for c in "nsq")
+        out = parts.select(*by, fold, n.alias("n"), s.alias("s"), q.alias("q"), *[e.alias(c) for c, e in ends.items()])
+        variance = F.greatest(F.try_divide(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.col("n") - 1), F.lit(0.0))
+        held = out.filter("n > 0")
+        return held.select(*by, fold, F.try_divide("s", "n").alias("mean"), F.coalesce(F.sqrt(variance), F.lit(0.0)).alias("std"), F.col("lo").alias("min"), F.col("hi").alias("max"), F.col("n").alias("count"))
+
+    views = fold_list(d, fold)
+    own = outside(part, keys)
+    all_ = outside(part.groupBy(fold).agg(*[F.sum(c).alias(c) for c in "nsq"], F.min("lo").alias("lo"), F.max("hi").alias("hi")), [])
+
+    def with_quantiles(stats: DataFrame, by: list[str]) -> DataFrame:
+        # A row without a fold trains all of them: its view is the whole group, under a null fold.
+        qs = group_quantiles(d, by, ["__y"], _QS, fold, [*views, None])
+        return stats.alias("l").join(qs.alias("r"), same("l", "r", [*by, fold]), "left").select("l.*", *[f"r.{n}" for n in _QS])
+
+    own, all_ = with_quantiles(own, keys), with_quantiles(all_, []).select(fold, *[F.col(n).alias(f"__all_{n}") for n in STATISTICS])
+    met = d.alias("d").join(own.alias("s"), same("d", "s", [*keys, fold]), "left").select(f"d.{row_id}", F.col(f"d.{fold}").alias(fold), *[f"s.{n}" for n in STATISTICS])
+    met = met.alias("d").join(F.broadcast(all_).alias("s"), same("d", "s", [fold]), "left")  # a row a fold
+    return met.select(row_id, *[(F.coalesce(n, F.lit(0)) if n == "count" else F.coalesce(n, f"__all_{n}", F.lit(0.0))).alias(n) for n in STATISTICS])
+
+
+def crossfit_quantiles(df: DataFrame, row_id: str, keys: list[str], value: str, folds: int, fold: str = "fold", q: float = 0.5) -> DataFrame:
+    """row_id, q: a quantile of the row's group outside its fold (0 to folds - 1); then of all rows outside; then 0."""
+    d = df.select(row_id, *keys, fold, number(value).alias("__v"))
+    views = list(range(folds))
+    own = group_quantiles(d, keys, ["__v"], {"own": q}, fold, views)
+    rest = group_quantiles(d, [], ["__v"], {"rest": q}, fold, views)
+    out = d.alias("d").join(own.alias("s"), same("d", "s", [*keys, fold]), "left").select("d.*", "own").join(F.broadcast(rest.select(fold, "rest")), fold, "left")
     return out.select(row_id, F.coalesce("own", "rest", F.lit(0.0)).alias("q"))
 
 
@@ -78,9 +127,14 @@ def group_medians(train: DataFrame, group: str, names: list[str], approx: bool =
     """group and each column's median, with train's median (or 0) where a group has none."""
     from loomtab.functions.exprs import median
 
-    own = train.groupBy(group).agg(*[median(number(c), approx).alias(c) for c in names])
     base = exact_quantiles(train, names, [0.5])
-    return own.select(group, *[F.coalesce(c, F.lit(base[c][0] or 0.0)).alias(c) for c in names])
+    if approx:
+        own = train.groupBy(group).agg(*[median(number(c), True).alias(c) for c in names])
+    else:
+        long = group_quantiles(train, [group], names, {"m": 0.5})
+        pivoted = long.groupBy(group).agg(*[F.max(F.when(F.col("column") == c, F.col("m"))).alias(c) for c in names])
+        own = train.select(group).distinct().alias("l").join(pivoted.alias("r"), same("l", "r", [group]), "left").select(f"l.{group}", *[F.col(f"r.`{c}`").alias(c) for c in names])
+    return own.select(group, *[F.coalesce(F.col(f"`{c}`"), F.lit(base[c][0] or 0.0)).alias(c) for c in names])
 
 
 def group_mean(train: DataFrame, predict: DataFrame, keys: list[str], target: str, out: str = "pred") -> DataFrame:

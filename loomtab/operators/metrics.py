@@ -118,10 +118,17 @@ def residual_summary(df: DataFrame, y: str, pred: str) -> DataFrame:
 
 
 def residual_quartiles(df: DataFrame, y: str, pred: str) -> DataFrame:
-    """by (predicted or true), bucket, n, mean, mean_abs residual."""
-    r = df.select(F.col(y).alias("y"), F.col(pred).alias("p"), (F.col(y) - F.col(pred)).alias("r"))
-    parts = [quartile_buckets(r, c).groupBy("bucket").agg(F.count("*").alias("n"), F.avg("r").alias("mean"), F.avg(F.abs("r")).alias("mean_abs")).select(F.lit(n).alias("by"), "*") for c, n in (("p", "predicted"), ("y", "true"))]
-    return parts[0].unionByName(parts[1])
+    """by (predicted or true), bucket, n, mean, mean_abs residual. Worked out when it is called: ten rows at most."""
+    r = df.select(F.col(y).alias("y"), F.col(pred).alias("p"), (F.col(y) - F.col(pred)).alias("r")).persist()
+    try:
+        edges, out = exact_quantiles(r, ["p", "y"], [0.25, 0.5, 0.75]), r
+        for c in ("p", "y"):
+            out = quartile_buckets(out, c, f"{c}_bucket", edges[c])
+        sides = F.array(*[F.struct(F.lit(n).alias("by"), F.col(f"{c}_bucket").alias("bucket")) for c, n in (("p", "predicted"), ("y", "true"))])
+        per = out.select("r", F.explode(sides).alias("x")).groupBy("x.by", "x.bucket").agg(F.count("*").alias("n"), F.avg("r").alias("mean"), F.avg(F.abs("r")).alias("mean_abs"))
+        return df.sparkSession.createDataFrame(per.collect(), per.schema)
+    finally:
+        r.unpersist()
 
 
 def residual_bias(df: DataFrame, y: str, pred: str) -> DataFrame:

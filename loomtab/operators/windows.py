@@ -73,9 +73,11 @@ def latest_periods(df: DataFrame, period: str, share: float = 0.2, least: int =
     return ranked.filter((F.col("__n") >= least) & (F.col("__k") <= F.ceil(F.col("__n") * share))).select(period)
 
 
-def quartile_buckets(df: DataFrame, name: str, out: str = "bucket") -> DataFrame:
-    """Rows with their quartile (1 to 4) by exact edges, right-closed; equal edges merge, so ties stay together."""
-    x, e = F.col(name), quantile_columns(df, F.col(name), [0.25, 0.5, 0.75])
+def quartile_buckets(df: DataFrame, name: str, out: str = "bucket", edges: list[float | None] | None = None) -> DataFrame:
+    """Rows with their quartile (1 to 4) by exact edges, right-closed; equal edges merge, so ties stay together. edges: the three
+    quartiles, where they are known."""
+    x = F.col(name)
+    e = quantile_columns(df, x, [0.25, 0.5, 0.75]) if edges is None else [F.lit(v).cast("double") for v in edges]
     bucket = F.when(x <= e[0], 1).when(x <= e[1], 2).when(x <= e[2], 3).when(x.isNotNull(), 4)
     return df.withColumn(out, bucket)
 

@@ -281,6 +281,16 @@ SELECT row_id, coalesce(g.mean, w.mean) AS mean, coalesce(g.std, w.std) AS std,
         mean=5,
         std=4,
     ),
+    "crossfit_all_stats": _rounded(
+        f"""WITH {P1}, {_FOLDED}, r1 AS (SELECT * REPLACE (gappy * 0.7310585::DOUBLE AS gappy), CASE WHEN row_id % 500 = 3 THEN CAST(row_id AS VARCHAR) ELSE nation END AS rare FROM f1),
+g AS (SELECT a.rare, a.status, k.fold, avg(gappy) AS mean, quantile_cont(gappy, 0.5) AS median, coalesce(stddev(gappy), 0) AS std, min(gappy) AS min, max(gappy) AS max, quantile_cont(gappy, 0.25) AS q25, quantile_cont(gappy, 0.75) AS q75, count(gappy) AS count
+  FROM r1 a JOIN (SELECT DISTINCT fold FROM f1) k ON a.fold <> k.fold GROUP BY ALL),
+w AS (SELECT k.fold, avg(gappy) AS mean, quantile_cont(gappy, 0.5) AS median, stddev(gappy) AS std, min(gappy) AS min, max(gappy) AS max, quantile_cont(gappy, 0.25) AS q25, quantile_cont(gappy, 0.75) AS q75
+  FROM r1 a JOIN (SELECT DISTINCT fold FROM f1) k ON a.fold <> k.fold GROUP BY ALL)
+SELECT row_id, {", ".join(f"CASE WHEN g.count > 0 THEN g.{c} ELSE w.{c} END AS {c}" for c in ("mean", "median", "std", "min", "max", "q25", "q75"))}, coalesce(g.count, 0) AS count
+FROM r1 LEFT JOIN g USING (rare, status, fold) JOIN w USING (fold)""",
+        **dict.fromkeys(("mean", "median", "std", "min", "max", "q25", "q75"), 4),
+    ),
     "crossfit_group_median": _rounded(
         f"""WITH {P1}, {_FOLDED}, g AS (SELECT a.nation, k.fold, quantile_cont(gappy, 0.5) AS m FROM f1 a JOIN (SELECT DISTINCT fold FROM f1) k ON a.fold <> k.fold GROUP BY ALL),
 w AS (SELECT k.fold, quantile_cont(gappy, 0.5) AS m FROM f1 a JOIN (SELECT DISTINCT fold FROM f1) k ON a.fold <> k.fold GROUP BY ALL)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomtab.operators import build, checks, features, folds, models, quantiles, relate, repair, scores, task, windows
+from loomtab.operators import build, checks, encode, features, folds, models, quantiles, relate, repair, scores, task, windows
 from loomtab.spec import TableSpec
 
 
@@ -185,3 +185,53 @@ def test_value_strength_and_ablation_by_metric(spark, panel):
     df = panel.fillna(0.0, ["x"]).withColumn("label", F.col("y"))
     rows = models.ablation(df, folds.kfold(df, "row_id", 2).cache(), "row_id", {"x": ["x"], "k": ["k"]}, lambda t: models.ridge(1.0, 100, 4.0), scores.scorer("r2"), metric="r2", only=["x"])
     assert [(r[0], r[3]) for r in rows] == [("x", "keep")] and rows[0][2] < -0.1
+
+
+def brute_quantile(values, q):
+    values = sorted(values)
+    if not values:
+        return None
+    at = (len(values) - 1) * q
+    lo, hi = values[math.floor(at)], values[math.ceil(at)]
+    return lo if lo == hi else (math.ceil(at) - at) * lo + (at - math.floor(at)) * hi
+
+
+@pytest.mark.parametrize("hot, slots", [(1_000_000, 256), (30, 8), (0, 4)])
+def test_group_quantiles_in_small_groups_and_hot_ones(spark, hot, slots):
+    """Null keys, ties, missing numbers, a group that holds a third of all rows; whole groups and all but one fold."""
+    dice = random.Random(hot)
+    rows = [(dice.choice(["hot", "hot", "a", "b", None, dice.choice("cdefgh")]), dice.randrange(3), dice.choice([None, 1.0, 2.0, dice.gauss(0, 9)]), dice.uniform(0, 1)) for _ in range(700)]
+    rows += [("alone", 1, 5.0, 6.0), ("missing", 1, None, 2.0)]
+    df = spark.createDataFrame(rows, "g string, fold int, x double, y double")
+    qs = {"low": 0.1, "mid": 0.5, "top": 1.0}
+    got = {(r.g, r.column): (r.low, r.mid, r.top) for r in quantiles.group_quantiles(df, ["g"], ["x", "y"], qs, hot=hot, slots=slots).collect()}
+    want = {(g, c): tuple(brute_quantile([r[i] for r in rows if r[0] == g and r[i] is not None], q) for q in qs.values()) for g in {r[0] for r in rows} for i, c in ((2, "x"), (3, "y"))}
+    assert got == {k: v for k, v in want.items() if v[0] is not None}
+    got = {(r.g, r.column, r.fold): (r.low, r.mid, r.top) for r in quantiles.group_quantiles(df, ["g"], ["x"], qs, "fold", [0, 1, 2], hot=hot, slots=slots).collect()}
+    want = {(g, "x", f): tuple(brute_quantile([r[2] for r in rows if r[0] == g and r[1] != f and r[2] is not None], q) for q in qs.values()) for g in {r[0] for r in rows} for f in range(3)}
+    assert got == {k: v for k, v in want.items() if k[0] != "missing"}
+    assert quantiles.group_quantiles(df.limit(0), ["g"], ["x"], qs, hot=hot, slots=slots).count() == 0
+
+
+def test_crossfit_statistics_of_odd_rows(spark):
+    """Groups in one fold only, rows without a fold or a number, null keys, against plain sums."""
+    dice = random.Random(8)
+    rows = [(i, dice.choice(["a", "b", None, f"own{i}"]), dice.choice([0, 1, 2, None]), dice.choice([None, dice.gauss(5, 2), 3.0])) for i in range(300)]
+    got = {r.i: r for r in encode.crossfit_statistics(spark.createDataFrame(rows, "i long, g string, fold int, y double"), "i", ["g"], "y").collect()}
+    assert len(got) == 300
+    for i, g, f, _ in rows:
+        own = [r[3] for r in rows if r[1] == g and r[3] is not None and (r[2] != f if f is not None else r[2] is not None)]
+        every = [r[3] for r in rows if r[3] is not None and (r[2] != f if f is not None else r[2] is not None)]
+        y, r = own or every, got[i]
+        assert r["count"] == len(own) and (r["min"], r["max"]) == (min(y), max(y))
+        assert np.allclose([r["mean"], r["std"]], [np.mean(y), np.std(y, ddof=1) if len(y) > 1 else 0.0], atol=1e-7)
+        if f is not None:
+            assert np.allclose([r["q25"], r["median"], r["q75"]], [brute_quantile(y, q) for q in (0.25, 0.5, 0.75)])
+
+
+def test_large_columns_are_narrowed_in_rounds(spark):
+    dice = np.random.default_rng(3)
+    v = np.concatenate([dice.lognormal(0, 8, 3000), np.full(500, 2.0), [np.inf, -np.inf]])
+    df = spark.createDataFrame([(float(x),) for x in v], "v double")
+    qs = [0.001, 0.3, 0.5, 0.999]
+    assert quantiles.exact_quantiles(df, ["v"], qs, slots=16, ordered=40)["v"] == [brute_quantile(v.tolist(), q) for q in qs]
