@@ -48,26 +48,31 @@ class Automaton:
             last = 0
             for w in item:
                 last = self._extend(last, w)
-        self.found: dict[int, set[str]] = {}  # by state: items with a window that is the state's suffix of `window` words
-        self.short: dict[int, list[tuple[int, str]]] = {}  # by state: shorter items that are a suffix, with their lengths
+        # By state, filled in order of length: the state of its suffixes of `window` words (0 if it is shorter), and the shorter
+        # items that are suffixes of it, with their lengths, longest first. Both take what the suffix link has.
+        self.whole = [0] * len(self.next)
+        self.short: dict[int, list[tuple[int, str]]] = {}
         ends: dict[int, list[tuple[int, str]]] = {}
+        marks: list[tuple[int, str]] = []
         for key, item in items:
             state = 0
             for n, w in enumerate(item):
                 state = self.next[state][w]
-                while self.length[self.link[state]] >= window:
-                    state = self.link[state]
                 if n + 1 >= window:
-                    self.found.setdefault(state, set()).add(key)
+                    marks.append((state, key))
             if 0 < len(item) < window:
                 ends.setdefault(state, []).append((len(item), key))
-        for state in range(len(self.next)) if ends else ():
-            at, got = state, []
-            while at > 0:
-                got += ends.get(at, [])
-                at = self.link[at]
-            if got:
-                self.short[state] = sorted(got, reverse=True)
+        for state in sorted(range(1, len(self.next)), key=self.length.__getitem__):
+            up = self.link[state]
+            if self.length[state] >= window:
+                self.whole[state] = self.whole[up] or state
+            if state in ends:
+                self.short[state] = sorted(ends[state], reverse=True) + self.short.get(up, [])
+            elif up in self.short:
+                self.short[state] = self.short[up]
+        self.found: dict[int, set[str]] = {}  # by state of `window` words: items with a window that it stands for
+        for state, key in marks:
+            self.found.setdefault(self.whole[state], set()).add(key)
 
     def _extend(self, last: int, w: bytes) -> int:
         nxt, link, length = self.next, self.link, self.length
@@ -101,9 +106,10 @@ class Automaton:
 
     def scan(self, text: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Merged spans [start, end) of hit words, and the items found."""
-        nxt, link, length, window, short = self.next, self.link, self.length, self.window, self.short
+        nxt, link, length, window, short, whole = self.next, self.link, self.length, self.window, self.short, self.whole
         spans: list[list[int]] = []
         items: set[str] = set()
+        seen: set[int] = set()
         state = n = 0
         here = nxt[0]
 
@@ -124,10 +130,9 @@ class Automaton:
             state, n = to, n + 1
             if n >= window:
                 hit(i + 1 - n, i + 1)
-                at = state
-                while length[link[at]] >= window:
-                    at = link[at]
-                items |= self.found[at]
+                if (at := whole[state]) not in seen:
+                    seen.add(at)
+                    items |= self.found[at]
             if state in short:
                 for size, key in short[state]:
                     if size <= n:
@@ -245,20 +250,40 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_span:
         new = pa.array(text, pa.string())
         return pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in names], names).filter(pa.array(keep, pa.bool_()))
 
-    blocks = list(_block_sizes(benchmark, block_words))
-    out = find_hits(docs, benchmark, window, block_words, prefix=prefix, finish=cut)
-    while len(blocks) > 1:  # a cut for one block's items may bring a window of another's together
-        out = common.table(out, "cut")
-        hit = find_hits(out.select("text"), benchmark, window, block_words).filter(F.size("spans") > 0)
-        if hit.isEmpty():
-            break
-        out = find_hits(out, benchmark, window, block_words, prefix=prefix, finish=cut)
-    return out
+    if sum(1 for _ in _blocks(benchmark, block_words)) <= 1:
+        return find_hits(docs, benchmark, window, block_words, prefix=prefix, finish=cut)
+    return _clean_in_rounds(docs, benchmark, window, max_span, max_coverage, block_words, prefix)
+
 
+def _clean_in_rounds(docs: DataFrame, benchmark: DataFrame, window: int, max_span: int, max_coverage: float, block_words: int, prefix: str) -> DataFrame:
+    """clean() over several blocks: a round finds the hits of all blocks, cuts them, and hands on the words of the original text
+    and how many have been cut; it ends when nothing is hit."""
+    names, total, size, hit = docs.columns, f"{prefix}total", f"{prefix}size", f"{prefix}new"
+    out = docs.withColumns({total: F.lit(0).cast("long"), size: F.lit(-1).cast("long")})
 
-def _block_sizes(benchmark: DataFrame, block_words: int) -> Iterator[int]:
-    for block in _blocks(benchmark, block_words):
-        yield sum(len(item) for _, item in block)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = {c: batch.column(c).to_pylist() for c in ("text", total, size, f"{prefix}n_words", f"{prefix}spans")}
+            new: dict[str, list] = {"text": [], total: [], size: [], hit: []}
+            keep = []
+            for text, done, n, now, own in zip(*rows.values(), strict=True):
+                n, parts = n if n >= 0 else now, [b - a for a, b in zip(own[::2], own[1::2])]
+                done += sum(parts)
+                good = not parts or max(parts) <= max_span and done <= max_coverage * n
+                keep.append(good)
+                for c, v in (("text", cut_spans(text, own) if parts and good else text), (total, done), (size, n), (hit, bool(parts))):
+                    new[c].append(v)
+            made = {"text": pa.array(new["text"], pa.string()), total: pa.array(new[total], pa.int64()), size: pa.array(new[size], pa.int64()), hit: pa.array(new[hit], pa.bool_())}
+            cols = [*names, total, size, hit]
+            yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c) for c in cols], cols).filter(pa.array(keep, pa.bool_()))
+
+    while True:
+        found = find_hits(out, benchmark, window, block_words, prefix=prefix)
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema) + f", `{hit}` boolean"
+        found = common.table(found.transform(common.map_batches, cut, schema), "cut")
+        out = found.drop(hit)
+        if found.filter(F.col(hit)).isEmpty():
+            return out.select(*[F.col(f"`{c}`") for c in names])
 
 
 def cut_spans(text: str, spans: list[int]) -> str:
