@@ -25,8 +25,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies. Language ID kept their texts whole, so groups are those of the input.
     Of a group the smallest doc_id stays, null last; of rows with equal doc_ids one row stays. Texts without words link with
-    nothing and stay; shorter ones than five words link with their equals."""
-    return near_dedup.keep_first(docs)
+    nothing and stay; shorter ones than five words link with their equals. Near is a similarity of 0.8 or more of five-word
+    shingles."""
+    return near_dedup.keep_first(docs, percent=80)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
