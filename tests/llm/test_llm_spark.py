@@ -310,7 +310,7 @@ def test_pipeline_stages(spark, hard):
         kept[name] = docs.collect()
         assert docs.columns == (names if name != "token_output" else ["doc_id", "start", "n_tokens", "ids_crc32"])
     assert len(kept["language_id"]) >= 0.95 * 200
-    want = brute_components({r.doc_id: shingles(r.text) for r in kept["language_id"]})
+    want = brute_components({r.doc_id: shingles(r.text) for r in kept["language_id"]}, 80)
     assert sorted(r.doc_id for r in kept["near_dedup"]) == sorted(k for k, c in want.items() if k == c)
     bench = common.tables(spark, SF, "benchmark")
     clean = spark.createDataFrame(kept["decontamination"])
