@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import kind, long_form, name_tokens, number
@@ -23,8 +23,56 @@ def _row(status, reason: str, column, value) -> F.Column:
     return F.struct(status.cast("string").alias("status"), F.lit(reason).alias("reason"), column.alias("column"), value.cast("string").alias("value"))
 
 
-def leakage_scan(df: DataFrame, target: str, features: list[str], keys: list[str], limit: float = 0.98, tolerance: float = 1e-3) -> DataFrame:
-    """column, reason, value: features that give the target away.
+#: What a transform of the target is called beside the target's own name.
+TRANSFORMS = ("log", "log1p", "log10", "sqrt", "boxcox", "scaled", "norm", "std", "z", "rank", "expm1", "diff", "pct", "resid")
+#: Rank correlation of a feature that rises or falls with the target throughout.
+MONOTONE = 0.9999
+
+
+def transform_names(target: str) -> set[str]:
+    """Names of the target and of its usual transforms, in lower case, cut as name_tokens cuts."""
+    own = "_".join(name_tokens(target))
+    return {own} | {f"{own}_{t}" for t in TRANSFORMS} | {f"{t}_{own}" for t in TRANSFORMS}
+
+
+def rank_correlations(df: DataFrame, target: str, names: list[str]) -> DataFrame:
+    """column, rho: Spearman's correlation of each feature with the target, average ranks for ties, over the rows that have both.
+
+    Values of a column are counted, placed by ranges between the bounds of a sketch, and ranked inside their range by running
+    sums over distinct values; rows then meet their ranks. No task sees a whole column."""
+    long = long_form(df.select(number(target).alias("__y"), *[number(c).alias(c) for c in names]), names, ["__y"], "x", "double").filter("x IS NOT NULL AND __y IS NOT NULL")
+    pairs = long.groupBy("column", "x", F.col("__y").alias("y")).agg(F.count("*").alias("n"))
+
+    def ranks(v: str) -> DataFrame:
+        per = pairs.groupBy("column", v).agg(F.sum("n").alias("c"))
+        bounds = per.groupBy("column").agg(F.percentile_approx(v, [i / 256 for i in range(1, 256)], 2560).alias("b"))  # over distinct values: a line a column
+        per = per.join(F.broadcast(bounds), "column").withColumn("s", F.size(F.filter("b", lambda b: b < F.col(v)))).drop("b")
+        sums = per.groupBy("column", "s").agg(F.sum("c").alias("t"))
+        before = sums.select("column", "s", (F.sum("t").over(Window.partitionBy("column").orderBy("s")) - F.col("t")).alias("before"))  # over ranges
+        upto = F.sum("c").over(Window.partitionBy("column", "s").orderBy(v))
+        return per.withColumn("u", upto).join(before, ["column", "s"]).select("column", v, (F.col("before") + F.col("u") - (F.col("c") - 1) / 2).alias(f"r{v}"))
+
+    met = pairs.join(ranks("x"), ["column", "x"]).join(ranks("y"), ["column", "y"])
+    n, sx, sy = (F.sum(e).alias(a) for a, e in (("n", F.col("n")), ("sx", F.col("n") * F.col("rx")), ("sy", F.col("n") * F.col("ry"))))
+    mean = met.groupBy("column").agg(n, sx, sy).select("column", (F.col("sx") / F.col("n")).alias("mx"), (F.col("sy") / F.col("n")).alias("my"))
+    d = met.join(F.broadcast(mean), "column").withColumns({"dx": F.col("rx") - F.col("mx"), "dy": F.col("ry") - F.col("my")})
+    sums = d.groupBy("column").agg(*[F.sum(F.col("n") * e).alias(a) for a, e in (("xy", F.col("dx") * F.col("dy")), ("xx", F.col("dx") * F.col("dx")), ("yy", F.col("dy") * F.col("dy")))], F.sum("n").alias("n"))
+    return sums.filter("n > 2").select("column", F.try_divide("xy", F.sqrt(F.col("xx") * F.col("yy"))).alias("rho"))
+
+
+def target_transforms(df: DataFrame, target: str, features: list[str]) -> DataFrame:
+    """column, reason, value: features that are the target in another shape, by name, or as they rise or fall with it throughout."""
+    named = [c for c in features if c != target and "_".join(name_tokens(c)) in transform_names(target)]
+    by_name = df.sparkSession.createDataFrame([(c, "named as a transform of the target", None) for c in named], "column string, reason string, value double")
+    numeric = [c for c in features if c not in (target, *named) and kind(df.schema[c].dataType) == "numeric"]
+    if not numeric:
+        return by_name
+    strong = rank_correlations(df, target, numeric).filter(F.abs("rho") >= MONOTONE)
+    return by_name.unionByName(strong.select("column", F.lit("rises or falls with the target throughout").alias("reason"), F.round("rho", 6).alias("value")))
+
+
+def leakage_scan(df: DataFrame, target: str, features: list[str], keys: list[str], limit: float = 0.98, tolerance: float = 1e-3, transforms: bool = False) -> DataFrame:
+    """column, reason, value: features that give the target away. transforms: also its transforms (see target_transforms).
 
     By name; by correlation; or by being, to a thousandth of the target's spread, the mean or median of the target by
     a key. For each key one shuffle of (feature, key level) cells replaces a join back to rows: a feature equals a group
@@ -49,6 +97,8 @@ def leakage_scan(df: DataFrame, target: str, features: list[str], keys: list[str
             worst = cells.filter("lo IS NOT NULL").groupBy("column").agg(F.sum("n").alias("n"), F.count("*").alias("k"), *gap.values()).join(spread)
             hit = worst.filter((F.col("n") >= 10) & (F.col("k") > 1) & (F.least("g_mean", "g_median") <= tolerance * F.col("s")))
             out.append(hit.select("column", F.lit(f"equals the target's mean or median by {key}").alias("reason"), F.round(F.least("g_mean", "g_median"), 6).alias("value")))
+    if transforms:
+        out.append(target_transforms(df, target, features))
     return reduce(DataFrame.unionByName, out)
 
 

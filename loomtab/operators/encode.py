@@ -156,3 +156,42 @@ def group_mode(train: DataFrame, predict: DataFrame, keys: list[str], target: st
     stats = best.select(*keys, F.col("b.l").alias("pred"), (F.col("b.n") / F.col("t")).alias("p"))
     whole = counts.groupBy("__l").agg(F.sum("__n").alias("__n")).agg(F.min_by(F.struct(F.col("__l").alias("l"), F.col("__n").alias("n")), F.struct(-F.col("__n"), F.col("__l"))).alias("b"), F.sum("__n").alias("t"))
     return attach_statistics(predict, stats, keys, whole.select(F.col("b.l").alias("pred"), (F.col("b.n") / F.col("t")).alias("p")))
+
+
+def stratified_draws(train: DataFrame, predict: DataFrame, row_id: str, target: str, seed: str = "draw", out: str = "pred") -> DataFrame:
+    """predict with a label drawn by train's shares of the classes: the first label whose running share passes a hash of the
+    row id, so that reruns and other engines draw alike."""
+    from loomtab.functions.exprs import hashed
+    from loomtab.operators.scores import class_list
+
+    classes = class_list(train, target)  # bounded: a few hundred labels are no class list
+    counts = {r.c: r.n for r in train.filter(F.col(target).isNotNull()).groupBy(F.col(target).cast("string").alias("c")).agg(F.count("*").alias("n")).collect()}
+    total, upto, cases = sum(counts.values()), 0, []
+    at = hashed(row_id, seed) / F.lit(2.0**32)
+    for c in classes:
+        upto += counts[c]
+        cases.append(F.when(at < F.lit(upto / total), F.lit(c)))
+    return predict.withColumn(out, F.coalesce(*cases) if cases else F.lit(None).cast("string"))
+
+
+def baselines(train: DataFrame, predict: DataFrame, row_id: str, target: str, keys: list[str], regression: bool = True) -> dict[str, DataFrame]:
+    """By name, predict with pred: what a model must beat. Numbers: the mean and median of train, the group's mean; classes: the
+    most frequent label, draws by the shares of the labels, the group's most frequent."""
+    if regression:
+        y = number(target)
+        mean, (median,) = train.agg(F.avg(y)).first()[0], exact_quantiles(train, [target], [0.5])[target]
+        constant = {"global_mean": mean, "global_median": median}
+        return {n: predict.withColumn("pred", F.lit(v).cast("double")) for n, v in constant.items()} | {"group_mean": group_mean(train, predict, keys, target)}
+    most = group_mode(train.withColumn("__all", F.lit(1)), predict.withColumn("__all", F.lit(1)), ["__all"], target).drop("__all", "p")
+    return {"most_frequent": most, "stratified": stratified_draws(train, predict, row_id, target), "group_mode": group_mode(train, predict, keys, target).drop("p")}
+
+
+def baseline_scores(train: DataFrame, predict: DataFrame, row_id: str, target: str, keys: list[str], metrics: list[str], regression: bool = True) -> DataFrame:
+    """baseline, metric, score of every baseline on the rows of predict whose target is known."""
+    from functools import reduce
+
+    from loomtab.operators.scores import score_table
+
+    known = predict.filter(F.col(target).isNotNull())
+    rows = [score_table(df, m, target, "pred").select(F.lit(n).alias("baseline"), F.lit(m).alias("metric"), F.col("score").cast("double").alias("score")) for n, df in baselines(train, known, row_id, target, keys, regression).items() for m in metrics]
+    return reduce(DataFrame.unionByName, rows)

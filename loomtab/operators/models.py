@@ -124,10 +124,24 @@ def variants(df: DataFrame, families: dict[str, Callable[[DataFrame], Estimator]
     return skewed | {n: (make, "none") for n, make in families.items()}
 
 
+def _arrays(df: DataFrame, names: list[str]) -> bool:
+    """Are the candidates arrays of chances?"""
+    return dict(df.dtypes)[names[0]].startswith("array")
+
+
 def gram(df: DataFrame, names: list[str], target: str) -> DataFrame:
-    """a, b, value: inner products of candidates' predictions and of each with the target; one aggregate."""
+    """a, b, value: inner products of candidates' predictions and of each with the target; one aggregate. Candidates that are
+    arrays of chances are multiplied class by class and summed, the target (a class's code) being 1 at its own class."""
     pairs = [(a, b) for i, a in enumerate(names) for b in [*names[i:], target]]
-    one = df.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+
+    def product(a: str, b: str):
+        if not _arrays(df, names):
+            return F.col(a) * F.col(b)
+        if b == target:
+            return F.element_at(F.col(a), F.col(b).cast("int") + 1)
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+
+    one = df.agg(*[F.sum(product(a, b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
     return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit("target" if b == target else b).alias("b"), F.col(f"p{i}").alias("value")) for i, (a, b) in enumerate(pairs)])).alias("x")).select("x.*")
 
 
@@ -158,16 +172,26 @@ def stack_weights(df: DataFrame, names: list[str], target: str) -> dict[str, flo
 
 
 def stacked(df: DataFrame, weights: dict[str, float], out: str = "stack") -> DataFrame:
-    return df.withColumn(out, reduce(lambda a, b: a + b, [F.col(n) * w for n, w in weights.items()]))
+    """df with the weighted sum of candidates: numbers, or arrays of chances class by class."""
+    if not _arrays(df, list(weights)):
+        return df.withColumn(out, reduce(lambda a, b: a + b, [F.col(n) * w for n, w in weights.items()]))
+
+    def scaled(n: str, w: float):
+        return F.transform(n, lambda x: x * w)
+
+    parts = [scaled(n, w) for n, w in weights.items()]
+    return df.withColumn(out, reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), parts))
 
 
 def keep_best(df: DataFrame, names: list[str], target: str, metric: str = "mae", **options) -> DataFrame:
-    """candidate, score, kept: singles and their convex stack by a metric; the stack must beat the best single strictly."""
+    """candidate, score, kept: singles and their convex stack by a metric; the stack must beat the best single strictly.
+    Chances over several classes take `classes`, the labels of the codes in the target."""
     from loomtab.operators.metrics import best_candidate
     from loomtab.operators.scores import GREATER, score_table
 
     wide = stacked(df, stack_weights(df, names, target))
-    scores = [score_table(wide, metric, target, n, **options).select(F.lit(n).alias("candidate"), F.col("score").cast("double").alias("score"), F.lit(i).alias("ord")) for i, n in enumerate([*names, "stack"])]
+    how = (lambda n: {"proba": n, **options}) if _arrays(df, names) else (lambda n: {"pred": n, **options})
+    scores = [score_table(wide, metric, target, **how(n)).select(F.lit(n).alias("candidate"), F.col("score").cast("double").alias("score"), F.lit(i).alias("ord")) for i, n in enumerate([*names, "stack"])]
     rows = reduce(DataFrame.unionByName, scores)
     best = best_candidate(rows, metric in GREATER).select(F.col("candidate").alias("best"))
     return rows.join(best, how="cross").select("candidate", "score", (F.col("candidate") == F.col("best")).alias("kept"))
@@ -253,10 +277,14 @@ def fit_best(
     clipped: bool = False,
     calibrated: bool = False,
     prepare: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+    classes: int = 0,
     **options,
 ) -> tuple[DataFrame, DataFrame]:
     """(row_id, pred) of the best candidate or stack, and the table of scores. Frames: (row_id, label, features).
 
+    classes: the label is a code from 0 to classes - 1; candidates are judged and stacked by their chances of all classes, and
+    pred is the likeliest code, taken once at the end, with proba beside it.
+
     spaces: settings to try for families that take them by name (make(train, **settings)); skewed: also learn the label's
     logarithm or root where its skew asks for it; clipped: predictions stay in the target's bounds; calibrated: an isotonic
     bend where the median is far too high. A candidate that fails is left out, with its error in the table.
@@ -265,22 +293,26 @@ def fit_best(
     from loomtab.operators.relate import align_oof
     from loomtab.operators.scores import scorer
 
-    score = scorer(metric, **options)
+    if classes and (skewed or clipped or calibrated):
+        raise ValueError("transforms, bounds and bends are for numbers")
+    value = "proba" if classes else "pred"
+    options |= {"classes": class_codes(classes)} if classes else {}
+    score = scorer(metric, **options, **({"proba": "proba"} if classes else {}))
     for name, space in (spaces or {}).items():
-        best, _ = tune(train, folds, row_id, lambda n=name, **c: families[n](train, **c), space, score, metric=metric, prepare=prepare)
+        best, _ = tune(train, folds, row_id, lambda n=name, **c: families[n](train, **c), space, score, metric=metric, prepare=prepare, classes=classes)
         families = families | {name: lambda t, n=families[name], b=best: n(t, **b)}
     made = variants(train, families) if skewed else {n: (make, "none") for n, make in families.items()}
     oof, failed = {}, []
     for name, (make, how) in made.items():
         try:
-            oof[name] = out_of_fold(train, folds, row_id, make, prepare, how).cache()
+            oof[name] = out_of_fold(train, folds, row_id, make, prepare, how, classes).cache()
             oof[name].count()
         except Exception as error:  # noqa: BLE001 - one family that fails must not end the search
             oof.pop(name, None)
             failed.append((name, str(error).splitlines()[0][:200]))
     if not oof:
         raise ValueError(f"all candidates failed: {failed}")
-    wide = align_oof(oof, row_id, "pred").join(train.select(row_id, "label"), row_id).cache()
+    wide = align_oof(oof, row_id, value).join(train.select(row_id, "label"), row_id).cache()
     table = keep_best(wide, list(oof), "label", metric, **options).cache()
     if (found := table.filter("kept").first()) is None:
         raise ValueError(f"{metric} is undefined for every candidate")
@@ -289,8 +321,9 @@ def fit_best(
     fits = []
     for name in weights:
         make, how = made[name]
-        fits.append(_refit(train, predict, row_id, make, how, prepare).withColumnRenamed("pred", name))
-    out = stacked(reduce(lambda a, b: a.join(b, row_id), fits), weights, "pred").select(row_id, "pred")
+        fits.append(_refit(train, predict, row_id, make, how, prepare, classes).withColumnRenamed(value, name))
+    out = stacked(reduce(lambda a, b: a.join(b, row_id), fits), weights, value).select(row_id, value)
+    out = with_likeliest(out) if classes else out
     if calibrated:
         out, _ = isotonic(stacked(wide, weights, "pred").select("label", "pred"), out, "label", "pred")
     if clipped:
@@ -303,28 +336,41 @@ def fit_best(
     return out, table
 
 
-def _refit(train: DataFrame, predict: DataFrame, row_id: str, make, how: str, prepare) -> DataFrame:
+def class_codes(classes: int) -> list[str]:
+    """Codes of classes as scores read them."""
+    return [str(float(k)) for k in range(classes)]
+
+
+def with_likeliest(df: DataFrame) -> DataFrame:
+    """df with pred: the code of the largest chance in proba, the first among equals."""
+    return df.withColumn("pred", (F.array_position("proba", F.array_max("proba")) - 1).cast("double"))
+
+
+def _refit(train: DataFrame, predict: DataFrame, row_id: str, make, how: str, prepare, classes: int = 0) -> DataFrame:
     from loomtab.operators.features import inverted, transformed
 
     if prepare:
         train, predict = prepare(train, predict)
     learnt = transformed(train, "label", how, "label")
-    return inverted(with_pred(make(learnt).fit(learnt), predict), "pred", how).select(row_id, "pred")
+    out = with_pred(make(learnt).fit(learnt), predict, classes)
+    return out.select(row_id, "proba") if classes else inverted(out, "pred", how).select(row_id, "pred")
 
 
-def specialists(train: DataFrame, predict: DataFrame, folds: DataFrame, row_id: str, floor: dict[str, Callable], groups: dict[str, dict[str, Callable]], metric: str = "mae", **options) -> tuple[DataFrame, list[tuple[str, float, bool]]]:
+def specialists(train: DataFrame, predict: DataFrame, folds: DataFrame, row_id: str, floor: dict[str, Callable], groups: dict[str, dict[str, Callable]], metric: str = "mae", classes: int = 0, **options) -> tuple[DataFrame, list[tuple[str, float, bool]]]:
     """(row_id, pred) and (stage, score, taken): a floor of plain models first; each group of families after it must beat what
-    stands strictly, alone or in a convex stack with it."""
+    stands strictly, alone or in a convex stack with it. classes: as in fit_best."""
     from loomtab.operators.scores import is_better, scorer
 
+    value = "proba" if classes else "pred"
+    options |= {"classes": class_codes(classes), "proba": "proba"} if classes else {}
     score, told = scorer(metric, **options), []
     makers = {n: m for part in (floor, *groups.values()) for n, m in part.items()}
-    oof = {n: out_of_fold(train, folds, row_id, m).select(row_id, "label", F.col("pred").alias(n)).cache() for n, m in makers.items()}
+    oof = {n: out_of_fold(train, folds, row_id, m, classes=classes).select(row_id, "label", F.col(value).alias(n)).cache() for n, m in makers.items()}
 
     def judged(names: list[str]) -> tuple[dict[str, float], float]:
         wide = reduce(lambda a, b: a.join(b.drop("label"), row_id), [oof[n] for n in names])
         weights = stack_weights(wide, names, "label") if len(names) > 1 else {names[0]: 1.0}
-        return {n: w for n, w in weights.items() if w > 0}, score(stacked(wide, weights, "pred"))
+        return {n: w for n, w in weights.items() if w > 0}, score(stacked(wide, weights, value))
 
     best, at = {}, None
     for stage, names in (("floor", list(floor)), *((g, list(f)) for g, f in groups.items())):
@@ -336,22 +382,33 @@ def specialists(train: DataFrame, predict: DataFrame, folds: DataFrame, row_id:
             if is_better(metric, s, at):
                 best, at, taken = weights, s, True
         told.append((stage, at, taken))
-    fits = [_refit(train, predict, row_id, makers[n], "none", None).withColumnRenamed("pred", n) for n in best]
-    return stacked(reduce(lambda a, b: a.join(b, row_id), fits), best, "pred").select(row_id, "pred"), told
+    for frame in oof.values():
+        frame.unpersist()
+    fits = [_refit(train, predict, row_id, makers[n], "none", None, classes).withColumnRenamed(value, n) for n in best]
+    out = stacked(reduce(lambda a, b: a.join(b, row_id), fits), best, value).select(row_id, value)
+    return with_likeliest(out) if classes else out, told
 
 
 def one_table(df: DataFrame, row_id: str, target: str, features: list[str], families: dict[str, Callable[..., Estimator]], metric: str | None = None, shares: tuple[float, float] = (0.7, 0.15), k: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Predictions of the test part, candidates' scores, and the test score of the best: one table split, preprocessed inside
-    every fold, searched and judged on rows that no choice has seen. The target is a number, or a label of two classes (0, 1)."""
+    every fold, searched and judged on rows that no choice has seen. The target is a number, a label of two classes (0, 1), or
+    a label of several classes; then pred is a label and proba has the chances in the order of the labels."""
     from loomtab.operators import build
     from loomtab.operators.folds import kfold, split_three
-    from loomtab.operators.scores import score_table
+    from loomtab.operators.scores import class_list, score_table
     from loomtab.operators.task import resolve_task
 
-    metric = metric or resolve_task(df, target).metric
-    parts = df.filter(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double")).join(split_three(df, row_id, shares), row_id)
+    task = resolve_task(df, target, metric=metric)
+    metric, known = metric or task.metric, df.filter(F.col(target).isNotNull())
+    numeric = known.filter(F.col(target).try_cast("double").isNull()).isEmpty()
+    labels = class_list(df, target) if task.kind == "multiclass" or task.kind == "binary" and not numeric else []
+    label = (F.array_position(F.array(*map(F.lit, labels)), F.col(target).cast("string")) - 1) if labels else F.col(target)
+    parts = known.withColumn("label", label.cast("double")).join(split_three(df, row_id, shares), row_id)
     seen, test = parts.filter("part <> 'test'"), parts.filter("part = 'test'")
     kinds = build.column_kinds(seen, test, features)
-    out, table = fit_best(seen, test, kfold(seen, row_id, k), row_id, families, metric, prepare=build.preparer(kinds))
+    out, table = fit_best(seen, test, kfold(seen, row_id, k), row_id, families, metric, prepare=build.preparer(kinds), classes=len(labels))
     scored = out.join(test.select(row_id, "label"), row_id)
-    return out, table, score_table(scored, metric)
+    if not labels:
+        return out, table, score_table(scored, metric)
+    named = out.withColumn("pred", F.element_at(F.array(*map(F.lit, labels)), F.col("pred").cast("int") + 1))
+    return named, table, score_table(scored, metric, proba="proba", classes=class_codes(len(labels)))

@@ -117,10 +117,15 @@ def shared_rows(left: DataFrame, right: DataFrame, names: list[str] | None = Non
 
 
 def align_oof(frames: dict[str, DataFrame], row_id: str, pred: str) -> DataFrame:
-    """Candidates' out-of-fold predictions side by side, on rows where all are finite: one shuffle, by pivot."""
+    """Candidates' out-of-fold predictions (numbers, or arrays of chances) side by side, on rows where all are finite: one
+    shuffle, by pivot."""
     long = reduce(DataFrame.unionByName, [f.select(row_id, F.lit(k).alias("candidate"), F.col(pred).alias("p")) for k, f in frames.items()])
     wide = long.groupBy(row_id).pivot("candidate", list(frames)).agg(F.first("p"))
-    return wide.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() & ~F.isnan(k) & (F.abs(k) < float("inf")) for k in frames]))
+    def finite(x):
+        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+
+    arrays = {n for n, t in wide.dtypes if t.startswith("array")}
+    return wide.filter(reduce(lambda a, b: a & b, [F.coalesce(F.forall(k, finite), F.lit(False)) if k in arrays else finite(F.col(k)) for k in frames]))
 
 
 def set_relation(left: DataFrame, right: DataFrame, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomtab.functions.exprs import number
 from loomtab.spec import TaskSpec
 
-# Metrics that fit each kind of task, the default first.
+# Our choice: metrics that fit each kind of task, the default first.
 METRICS = {"regression": ("mae", "rmse", "r2", "mape", "block_mae"), "binary": ("roc_auc", "accuracy", "f1", "log_loss", "balanced_accuracy"), "multiclass": ("accuracy", "f1_macro", "log_loss", "balanced_accuracy", "roc_auc")}
 GREATER = {"r2", "roc_auc", "accuracy", "f1", "f1_macro", "balanced_accuracy"}
 
@@ -37,6 +37,12 @@ def value_format(df: DataFrame, name: str) -> DataFrame:
     return one.select(F.when(F.col("n") == 0, "unknown").when(F.col("k") < F.col("n"), "string").when(F.col("whole"), "int").when(F.col("unit"), "prob01").otherwise("float").alias("format"))
 
 
+def _labels(df: DataFrame, target: str) -> list[str]:
+    from loomtab.operators.scores import class_list
+
+    return class_list(df, target)  # raises where there are too many for classes
+
+
 def resolve_task(df: DataFrame, target: str, stated: str | None = None, metric: str | None = None, forced: str | None = None, block: str | None = None) -> TaskSpec:
     """The task: forced kind, else the stated one if the data allow it, else what the data say; metric that fits it."""
     facts = target_facts(df, target).first()
@@ -46,7 +52,7 @@ def resolve_task(df: DataFrame, target: str, stated: str | None = None, metric:
         metric = "f1_macro"
     if metric not in METRICS[kind]:
         metric = "block_mae" if block and kind == "regression" else METRICS[kind][0]
-    labels = () if kind == "regression" else tuple(r[0] for r in df.select(F.col(target).cast("string")).filter(F.col(target).isNotNull()).distinct().orderBy(target).limit(1000).collect())
+    labels = () if kind == "regression" else tuple(_labels(df, target))
     return TaskSpec(kind, metric, metric in GREATER, "value" if kind == "regression" else "probability" if metric in ("roc_auc", "log_loss") else "label", labels)
 
 

@@ -119,6 +119,20 @@ def _boost_step(out: str, nodes: str, best: str) -> str:
   FROM {nodes} n LEFT JOIN {best} b ON b.k = n.k AND b.node = n.node LEFT JOIN lf l ON l.row_id = n.row_id AND l.f = b.f)"""
 
 
+def _outside(name: str, keys: str) -> str:
+    """Chances of each row's classes from the other folds' rows of its keys."""
+    on = " AND ".join(f"{{0}}.{k} = f1.{k}" for k in keys.split(", "))
+    return f"""{name} AS (SELECT f1.row_id, f1.status AS y, cls.c, (coalesce(g.n, 0) - coalesce(h.n, 0))::DOUBLE / (gt.n - ht.n) AS p FROM f1 CROSS JOIN cls
+  JOIN (SELECT {keys}, count(*) AS n FROM f1 GROUP BY ALL) gt ON {on.format("gt")} JOIN (SELECT {keys}, fold, count(*) AS n FROM f1 GROUP BY ALL) ht ON {on.format("ht")} AND ht.fold = f1.fold
+  LEFT JOIN (SELECT {keys}, status AS c, count(*) AS n FROM f1 GROUP BY ALL) g ON {on.format("g")} AND g.c = cls.c
+  LEFT JOIN (SELECT {keys}, fold, status AS c, count(*) AS n FROM f1 GROUP BY ALL) h ON {on.format("h")} AND h.fold = f1.fold AND h.c = cls.c)"""
+
+
+_TWO = f"""{P1}, {_FOLDED}, cls AS (SELECT DISTINCT status AS c FROM p1), {_outside("pa", "priority, segment")}, {_outside("pb", "nation")},
+ab AS (SELECT pa.row_id, pa.y, pa.c, pa.p AS a, pb.p AS b FROM pa JOIN pb ON pa.row_id = pb.row_id AND pa.c = pb.c),
+gr AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(a) FILTER (c = y) AS ta, sum(b) FILTER (c = y) AS tb FROM ab)"""
+
+
 def _draw(seed: int, feature: str) -> str:
     return f"CAST('0x' || substr(md5('{seed}|' || t || '|0|' || {feature}), 1, 8) AS BIGINT)"
 
@@ -528,4 +542,31 @@ v AS (SELECT b.t, kk.k, coalesce(z.sl, 0) / b.nl AS pl, (coalesce(z.st, 0) - coa
 r AS (SELECT tr.row_id, w.k, avg(CASE WHEN b.t IS NULL THEN w.p WHEN l.x IS NULL OR l.x <= b.cut THEN pl ELSE pr END) AS p
   FROM tr CROSS JOIN ts CROSS JOIN w LEFT JOIN best b ON b.t = ts.t LEFT JOIN lf l ON l.row_id = tr.row_id AND l.f = b.f LEFT JOIN v ON v.t = ts.t AND v.k = w.k GROUP BY ALL)
 SELECT row_id, round(max(p) FILTER (k = 0), 6) AS p0, round(max(p) FILTER (k = 1), 6) AS p1, round(max(p) FILTER (k = 2), 6) AS p2 FROM r GROUP BY 1""",
+    "gram_classes": f"""WITH {_TWO} SELECT a, b, round(value, 4) AS value FROM (SELECT 'a' AS a, 'a' AS b, aa AS value FROM gr UNION ALL SELECT 'a', 'b', ab FROM gr UNION ALL SELECT 'a', 'target', ta FROM gr
+UNION ALL SELECT 'b', 'b', bb FROM gr UNION ALL SELECT 'b', 'target', tb FROM gr)""",
+    "stack_classes": f"""WITH {_TWO}, w AS (SELECT (ta * bb - tb * ab) / (aa * bb - ab * ab) AS wa, (tb * aa - ta * ab) / (aa * bb - ab * ab) AS wb, ta * ta / aa > tb * tb / bb AS a_first FROM gr),
+v AS (SELECT CASE WHEN wa >= 0 AND wb >= 0 THEN wa / (wa + wb) WHEN a_first THEN 1.0 ELSE 0.0 END AS va FROM w),
+cand AS (SELECT 'a' AS candidate, 0 AS ord, row_id, y, c, a AS p FROM ab UNION ALL SELECT 'b', 1, row_id, y, c, b FROM ab UNION ALL SELECT 'stack', 2, row_id, y, c, a * va + b * (1 - va) FROM ab, v),
+best AS (SELECT candidate, ord, row_id, y, arg_min(c, (-p, c)) AS guess FROM cand GROUP BY ALL),
+per AS (SELECT candidate, ord, c, count(*) FILTER (y = c) AS n, count(*) FILTER (guess = c) AS m, count(*) FILTER (y = c AND guess = c) AS tp FROM best CROSS JOIN cls GROUP BY ALL),
+f AS (SELECT candidate, ord, avg(CASE WHEN tp = 0 THEN 0 ELSE 2.0::DOUBLE * tp / (n + m) END) AS score FROM per WHERE n > 0 OR m > 0 GROUP BY ALL)
+SELECT candidate, round(score, 6) AS score, ord = (SELECT min(ord) FROM f WHERE score >= (SELECT max(score) FROM f) - 1e-9) AS kept FROM f""",
+    "baselines": f"""WITH {P1}, g AS (SELECT nation, segment, avg(y) AS m FROM t1 GROUP BY ALL),
+pv AS (SELECT 'global_mean' AS baseline, q1.y, (SELECT avg(y) FROM t1) AS p FROM q1 UNION ALL SELECT 'global_median', y, (SELECT quantile_cont(y, 0.5) FROM t1) FROM q1
+  UNION ALL SELECT 'group_mean', q1.y, coalesce(m, (SELECT avg(y) FROM t1)) FROM q1 LEFT JOIN g USING (nation, segment)),
+c AS (SELECT status AS l, count(*) AS n FROM t1 GROUP BY 1), r AS (SELECT l, n, sum(n) OVER (ORDER BY l) / (SELECT count(*) FROM t1) AS upto FROM c), top AS (SELECT l FROM c ORDER BY n DESC, l LIMIT 1),
+gm AS (SELECT nation, status AS l FROM t1 GROUP BY nation, status QUALIFY row_number() OVER (PARTITION BY nation ORDER BY count(*) DESC, status) = 1),
+ps AS (SELECT 'most_frequent' AS baseline, status AS y, (SELECT l FROM top) AS p FROM q1 UNION ALL SELECT 'group_mode', status, coalesce(l, (SELECT l FROM top)) FROM q1 LEFT JOIN gm USING (nation)
+  UNION ALL SELECT 'stratified', status, (SELECT min(l) FROM r WHERE {_hash("row_id", "draw")} / 4294967296.0::DOUBLE < upto) FROM q1),
+cl AS (SELECT y AS k FROM ps UNION SELECT p FROM ps), per AS (SELECT baseline, k, count(*) FILTER (y = k) AS n, count(*) FILTER (p = k) AS m, count(*) FILTER (y = k AND p = k) AS tp FROM ps, cl GROUP BY ALL)
+SELECT baseline, metric, round(score, 4) AS score FROM (SELECT baseline, 'mae' AS metric, avg(abs(y - p)) AS score FROM pv GROUP BY 1 UNION ALL SELECT baseline, 'rmse', sqrt(avg((y - p) * (y - p))) FROM pv GROUP BY 1
+  UNION ALL SELECT baseline, 'accuracy', avg((y = p)::INT) FROM ps GROUP BY 1 UNION ALL SELECT baseline, 'f1_macro', avg(CASE WHEN tp = 0 THEN 0 ELSE 2.0::DOUBLE * tp / (n + m) END) FROM per WHERE n > 0 OR m > 0 GROUP BY 1)""",
+    "target_transforms": f"""WITH {P1}, z AS (SELECT y, ln(y) AS steep, CASE WHEN row_id % 7 <> 0 THEN sqrt(y) END AS root, -(y ** 3) AS down, floor(y / 1000) AS coarse, acctbal, gappy FROM p1),
+l AS ({" UNION ALL ".join(f"SELECT '{c}' AS k, {c}::DOUBLE AS x, y FROM z WHERE {c} IS NOT NULL AND y IS NOT NULL" for c in ("steep", "root", "down", "coarse", "acctbal", "gappy"))}),
+r AS (SELECT k, rank() OVER (PARTITION BY k ORDER BY x) + (count(*) OVER (PARTITION BY k, x) - 1) / 2 AS rx, rank() OVER (PARTITION BY k ORDER BY y) + (count(*) OVER (PARTITION BY k, y) - 1) / 2 AS ry FROM l)
+SELECT k AS "column", 'rises or falls with the target throughout' AS reason, round(corr(rx, ry), 5) AS value FROM r GROUP BY k HAVING abs(corr(rx, ry)) >= 0.9999 UNION ALL SELECT 'y_log', 'named as a transform of the target', NULL""",
+    "rank_correlations": f"""WITH {P1}, z AS (SELECT y, floor(acctbal / 1000) AS coarse, gappy, length(segment) AS few FROM p1),
+l AS ({" UNION ALL ".join(f"SELECT '{c}' AS k, {c}::DOUBLE AS x, y FROM z WHERE {c} IS NOT NULL AND y IS NOT NULL" for c in ("coarse", "gappy", "few"))}),
+r AS (SELECT k, rank() OVER (PARTITION BY k ORDER BY x) + (count(*) OVER (PARTITION BY k, x) - 1) / 2 AS rx, rank() OVER (PARTITION BY k ORDER BY y) + (count(*) OVER (PARTITION BY k, y) - 1) / 2 AS ry FROM l)
+SELECT k AS "column", round(corr(rx, ry), 6) AS rho FROM r GROUP BY k""",
 }

@@ -563,6 +563,52 @@ def gram_matrix(s, d):
     return rounded(models.gram(_oof(s, d).select(F.col("pred").alias("a"), (F.col("acctbal") * 10).alias("b"), "y"), ["a", "b"], "y").withColumn("value", F.col("value") / 1e9), 4)
 
 
+def _class_candidates(s, d):
+    """Chances of the order's status from other folds' shares by priority and segment, and by nation; label is its code."""
+    p = _folded(s, d)
+    classes = scores.class_list(p, "status")
+    wide = p.select("row_id", (F.array_position(F.array(*map(F.lit, classes)), F.col("status")) - 1).cast("double").alias("label"))
+    for name, keys in (("a", ["priority", "segment"]), ("b", ["nation"])):
+        wide = wide.join(scores.crossfit_class_shares(p, "row_id", keys, "status", classes).withColumnRenamed("proba", name), "row_id")
+    return wide.cache(), models.class_codes(len(classes))
+
+
+@query
+def gram_classes(s, d):
+    return rounded(models.gram(_class_candidates(s, d)[0], ["a", "b"], "label"))
+
+
+@query
+def stack_classes(s, d):
+    """Two candidates' chances of three classes and their convex stack, judged by f1_macro."""
+    wide, codes = _class_candidates(s, d)
+    return rounded(models.keep_best(wide, ["a", "b"], "label", "f1_macro", classes=codes), 6)
+
+
+@query
+def baselines(s, d):
+    """What a model of the order's value, and one of its status, must beat on later orders."""
+    t, q = P.orders_split(s, d)
+    t, q = t.cache(), q.cache()
+    value = encode.baseline_scores(t, q, "row_id", "y", ["nation", "segment"], ["mae", "rmse"])
+    status = encode.baseline_scores(t, q, "row_id", "status", ["nation"], ["accuracy", "f1_macro"], regression=False)
+    return rounded(value.unionByName(status), 4)
+
+
+@query
+def target_transforms(s, d):
+    """Transforms of the target by name and by order, with gaps and ties, and features that are none."""
+    p = P.orders(s, d)
+    p = p.withColumns({"y_log": F.col("acctbal"), "steep": F.log("y"), "root": F.when(F.col("row_id") % 7 != 0, F.sqrt("y")), "down": -F.pow("y", F.lit(3.0)), "coarse": F.floor(F.col("y") / 1000)})
+    return rounded(checks.target_transforms(p, "y", ["y_log", "steep", "root", "down", "coarse", "acctbal", "gappy"]), 5)
+
+
+@query
+def rank_correlations(s, d):
+    p = P.orders(s, d).withColumns({"coarse": F.floor(F.col("acctbal") / 1000), "few": F.length("segment")})
+    return rounded(checks.rank_correlations(p, "y", ["coarse", "gappy", "few"]), 6)
+
+
 @query
 def keep_best(s, d):
     o = _oof(s, d)

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, path: str, sep: str | None = None, schema: str | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """csv, tsv, txt (which must name its separator) or parquet. A schema saves the pass that infers one."""
+    """csv, tsv, txt (whose separator is found if it is not named) or parquet. A schema saves the pass that infers one."""
     suffix = _suffix(path)
     if suffix == "parquet":
         return spark.read.parquet(path)
-    reader = spark.read.option("header", True).option("sep", sep or _separator(suffix)).option("encoding", encoding)
+    reader = spark.read.option("header", True).option("sep", sep or _separator(spark, path)).option("encoding", encoding)
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
@@ -21,9 +21,37 @@ def _suffix(path: str) -> str:
     return path.rstrip("/").rsplit(".", 1)[-1].lower()
 
 
-def _separator(suffix: str) -> str:
+#: Lines at the head of a file that tell its separator.
+HEAD_LINES = 200
+
+
+def sniff_separator(lines: list[str], candidates: str = ",\t;|") -> str | None:
+    """The separator of a table's first lines: the one that cuts the most of them into the header's number of fields, and among
+    equals into most fields; None if none is in the header. Separators inside double quotes part nothing, and a quoted field
+    that goes on over a line's end goes on in the next."""
+    best = None
+    for sep in candidates:
+        counts, n, quoted, filled = [], 1, False, False
+        for line in lines:
+            for c in line:
+                quoted ^= c == '"'
+                n += c == sep and not quoted
+            filled = filled or bool(line.strip())
+            if not quoted:
+                if filled:
+                    counts.append(n)
+                n, filled = 1, False
+        if counts and counts[0] > 1:
+            key = (sum(c == counts[0] for c in counts) / len(counts), counts[0])
+            best = max(best or (key, sep), (key, sep), key=lambda x: x[0])
+    return best[1] if best else None
+
+
+def _separator(spark: SparkSession, path: str) -> str:
+    suffix = _suffix(path)
     if suffix == "txt":
-        raise ValueError("a .txt table needs its separator")
+        head = [r.value for r in spark.read.text(path).limit(HEAD_LINES).collect()]
+        return sniff_separator(head) or ","  # one column: any will do
     if suffix not in ("csv", "tsv"):
         raise ValueError(f"no reader for .{suffix}")
     return {"csv": ",", "tsv": "\t"}[suffix]
@@ -41,7 +69,7 @@ def load_dataset(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
 
 def discover(spark: SparkSession, folder: str) -> DataFrame:
     """path, columns, rows, error of every table under a folder; unreadable ones are reported, not raised."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{csv,tsv,parquet}").load(folder).select("path")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{csv,tsv,txt,parquet}").load(folder).select("path")
     tables, errors = {}, {}
     for (path,) in found.toLocalIterator():  # one line for each file
         try:
@@ -66,7 +94,7 @@ def header(spark: SparkSession, path: str, sep: str | None = None) -> list[str]:
     """Column names without reading rows: the footer of parquet, the first line of text."""
     if _suffix(path) == "parquet":
         return spark.read.parquet(path).columns
-    return spark.read.option("header", True).option("sep", sep or _separator(_suffix(path))).csv(path).columns
+    return spark.read.option("header", True).option("sep", sep or _separator(spark, path)).csv(path).columns
 
 
 def attach_authored(df: DataFrame, authored: DataFrame, row_id: str, covers: dict[str, list[str]] | None = None) -> DataFrame:

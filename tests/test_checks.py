@@ -125,3 +125,45 @@ def test_isotonic_only_mends_predictions_far_too_high(spark):
     out, used = models.isotonic(df, df, "y", "pred")
     assert used and out.agg(F.max(F.abs(F.col("y") - F.col("pred")))).first()[0] < 1e-6
     assert not models.isotonic(df.withColumn("pred", F.col("y")), df, "y", "pred")[1]
+
+
+def test_transforms_of_the_target(spark):
+    """By name in any spelling, by order with gaps and ties; nothing clean, constant or empty."""
+    import math
+
+    rows = [(i, float(i % 37 + 1), math.log(i % 37 + 1), None if i % 3 else -((i % 37) ** 3.0), float(i * 7919 % 101), 1.0, None) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, price double, logged double, fallen double, other double, same double, none double").withColumns({"sqrtPrice": F.lit(1.0), "price_z": F.lit("x"), "priced": F.lit(2.0)})
+    got = {r.column: (r.reason.split()[0], r.value) for r in checks.target_transforms(df, "price", [c for c in df.columns if c != "id"]).collect()}
+    assert got == {"sqrtPrice": ("named", None), "price_z": ("named", None), "logged": ("rises", 1.0), "fallen": ("rises", -1.0)}
+    assert {r.column for r in checks.leakage_scan(df, "price", ["logged", "other"], [], transforms=True).collect()} == {"logged"}
+    assert checks.target_transforms(df.limit(0), "price", ["logged"]).count() == 0
+
+
+def test_rank_correlation_against_plain_ranks(spark):
+    import numpy as np
+    import pandas as pd
+
+    dice = np.random.default_rng(3)
+    x = dice.integers(0, 9, 700).astype(float)
+    y = x + dice.normal(0, 5, 700)
+    x[:50] = np.nan
+    got = checks.rank_correlations(spark.createDataFrame(pd.DataFrame({"x": x, "y": y})), "y", ["x"]).first().rho
+    p = pd.DataFrame({"x": x, "y": y}).dropna()
+    assert abs(got - p.x.rank().corr(p.y.rank())) < 1e-12
+
+
+def test_baselines_of_odd_tables(spark):
+    """Draws follow the shares, reruns agree; no known labels, one class, unseen groups."""
+    from loomtab.operators import encode, task
+
+    train = spark.createDataFrame([(i, "abc"[min(2, i % 10 // 4)], "g") for i in range(1000)] + [(2000, None, "g")], "i long, c string, g string")
+    drawn = [r.pred for r in encode.stratified_draws(train, train.withColumn("i", F.col("i") + 5000), "i", "c").orderBy("i").collect()]
+    assert drawn == [r.pred for r in encode.stratified_draws(train.repartition(3), train.withColumn("i", F.col("i") + 5000), "i", "c").orderBy("i").collect()]
+    assert abs(drawn.count("a") / len(drawn) - 0.4) < 0.06 and abs(drawn.count("c") / len(drawn) - 0.2) < 0.06
+    none = train.filter("c IS NULL")
+    assert {r.pred for r in encode.stratified_draws(none, train, "i", "c").collect()} == {None}
+    rows = encode.baseline_scores(train, train.withColumn("g", F.lit("new")), "i", "c", ["g"], ["accuracy"], regression=False).collect()
+    assert {r.baseline for r in rows} == {"most_frequent", "stratified", "group_mode"} and {r.score for r in rows if r.baseline != "stratified"} == {0.4}
+    many = spark.range(1500).select(F.concat(F.lit("k"), "id").alias("c"))
+    with pytest.raises(ValueError):
+        task.resolve_task(many, "c")

@@ -111,3 +111,53 @@ def test_extra_tree_cuts_lie_between_a_nodes_extremes(spark):
         for node in set(at.tolist()):
             assert math.isclose(tree.value[node][0], y[at == node].mean(), abs_tol=1e-9)
     assert len({tuple(t.cut) for t in model.trees}) == 3
+
+
+@pytest.fixture(scope="module")
+def three(spark):
+    x, z = table(600, 5)
+    y = np.digitize(z, [-1, 1])
+    rows = [(i, "abc"[k], float(k), *[float(v) for v in np.nan_to_num(r)], "fg"[i % 2]) for i, (k, r) in enumerate(zip(y, x, strict=True))]
+    return spark.createDataFrame(rows, "row_id long, c string, label double, x0 double, x1 double, x2 double, x3 double, g string").cache()
+
+
+def test_search_over_three_classes(spark, three):
+    """Chances are stacked class by class, and judged by the likeliest class at the end."""
+    d = VectorAssembler(inputCols=["x0", "x1", "x2"], outputCol="features").transform(three)
+    train, test = d.filter("row_id % 4 > 0").cache(), d.filter("row_id % 4 = 0").cache()
+    f = folds.kfold(train, "row_id", 2).cache()
+    families = {"hist": lambda t, rounds=4: trees.HistBoosting(3, rounds=rounds, step=0.3, depth=3), "logistic": lambda t: models.logistic(10.0, 450), "broken": lambda t: None}
+    out, told = models.fit_best(train, test, f, "row_id", families, "f1_macro", classes=3)
+    names = {r.candidate: r for r in told.collect()}
+    assert set(names) == {"hist", "logistic", "stack", "broken"} and names["broken"].error and sum(r.kept for r in names.values()) == 1
+    got = out.join(test.select("row_id", "label"), "row_id").collect()
+    assert len(got) == 150 and np.mean([r.pred == r.label for r in got]) > 0.6
+    assert all(abs(sum(r.proba) - 1) < 1e-6 and r.pred == float(np.argmax(r.proba)) for r in got)
+    out, told = models.specialists(train, test, f, "row_id", {"flat": lambda t: models.logistic(1e-6, 450)}, {"trees": {"hist": families["hist"]}}, "log_loss", classes=3)
+    assert [s for s, _, _ in told] == ["floor", "trees"] and told[1][1] < told[0][1] and told[1][2]
+    assert out.columns == ["row_id", "proba", "pred"]
+    with pytest.raises(ValueError):
+        models.fit_best(train, test, f, "row_id", families, "f1_macro", classes=3, clipped=True)
+
+
+def test_one_table_with_labels_of_three_classes(spark, three):
+    out, told, score = models.one_table(three.drop("label"), "row_id", "c", ["x0", "x1", "x2", "g"], {"logistic": lambda t: models.logistic(10.0, 400)}, "accuracy", k=2)
+    assert {r.pred for r in out.collect()} <= set("abc") and len(out.first().proba) == 3
+    assert score.first()[0] > 0.5 and told.filter("kept").count() == 1
+
+
+def test_weights_of_chances_are_convex_and_mend_a_bad_candidate(spark):
+    dice = np.random.default_rng(2)
+    rows = []
+    for i in range(200):
+        k = int(dice.integers(3))
+        good, bad = dice.dirichlet(np.eye(3)[k] * 6 + 1), dice.dirichlet(np.ones(3))
+        rows.append((i, float(k), good.tolist(), bad.tolist()))
+    d = spark.createDataFrame(rows, "row_id long, label double, good array<double>, bad array<double>")
+    w = models.stack_weights(d, ["good", "bad"], "label")
+    assert abs(sum(w.values()) - 1) < 1e-9 and min(w.values()) >= 0 and w["good"] > 0.8
+    g = {(r.a, r.b): r.value for r in models.gram(d, ["good", "bad"], "label").collect()}
+    a, b, y = (np.array([r[i] for r in rows]) for i in (2, 3, 1))
+    assert np.isclose(g["good", "bad"], (a * b).sum()) and np.isclose(g["bad", "target"], b[np.arange(200), y.astype(int)].sum())
+    both = models.stacked(d, {"good": 0.25, "bad": 0.75}).orderBy("row_id").collect()
+    assert np.allclose([r.stack for r in both], 0.25 * a + 0.75 * b)
