@@ -139,8 +139,15 @@ def block_values(df: DataFrame, name: str, least: int = 10, parse: float = 0.8)
 def make_folds(df: DataFrame, row_id: str, strategy: str, *, scored: DataFrame | None = None, **options) -> DataFrame:
     """Folds by a named strategy; scored: row ids that count in scores (training is not restricted)."""
     makers = {"kfold": kfold, "group": grouped_kfold, "stratified": stratified_kfold, "expanding": expanding_folds}
+    held = F.when(F.col("held_out"), 0).otherwise(-1).alias("fold")
     if strategy == "time_tail":
-        folds = time_tail(df, options["time"], row_id, options.get("share", 0.2)).select(row_id, F.when(F.col("held_out"), 0).otherwise(-1).alias("fold"))
+        folds = time_tail(df, options["time"], row_id, options.get("share", 0.2)).select(row_id, held)
+    elif strategy == "within_period":
+        folds = holdout_within_period(df, F.col(options["part"]), options.get("share", 0.2)).select(row_id, held)
+    elif strategy == "group_holdout":
+        group = options["group"]
+        late = holdout_groups(df, group, options.get("share", 0.2)).select(F.col(group).alias("__g"), "held_out")
+        folds = df.join(late, F.col(group).eqNullSafe(F.col("__g")), "left").select(row_id, F.coalesce(held, F.lit(-1)).alias("fold"))
     else:
         folds = makers[strategy](df, row_id, **options)
     if scored is None:
@@ -149,6 +156,59 @@ def make_folds(df: DataFrame, row_id: str, strategy: str, *, scored: DataFrame |
     return folds.join(mark, row_id, "left").withColumn("scored", F.coalesce("__s", F.lit(False))).drop("__s")
 
 
+#: What is tried where the strategy that was asked for cannot be had, in this order.
+FALLBACKS = ("expanding", "group", "within_period", "time_tail", "stratified", "kfold")
+
+
+def strategies(df: DataFrame, wanted: str, *, period: str | None = None, group: str | None = None, part: str | None = None, time: str | None = None, label: str | None = None, horizon: int = 1, blocks: int = 5, k: int = 5, most_labels: int = 1000) -> DataFrame:
+    """strategy, feasible, reason, folds, chosen: can the data bear each strategy, and why not? The one asked for is chosen where
+    it is feasible, else the first feasible one of FALLBACKS. One aggregate counts what all strategies need; labels take another."""
+    named = {"period": period, "group": group, "part": part, "time": time, "label": label}
+    facts = [F.count("*").alias("rows"), *[(F.count_distinct(c) if n not in ("time", "label") else F.count(c)).alias(n) if c else F.lit(0).cast("long").alias(n) for n, c in named.items()]]
+    one = df.agg(*facts)
+    per = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")) if label else df.sparkSession.createDataFrame([], "n long")
+    one = one.join(per.agg(F.count("n").alias("labels"), F.coalesce(F.min("n"), F.lit(0)).alias("rarest")))  # a row each
+    room = F.floor((F.col("period") - 1) / horizon)
+    cases = [
+        ("expanding", period, [(room < 1, "too few periods before the first block")], F.least(F.lit(blocks), room)),
+        ("group", group, [(F.col("group") < 2, "fewer than two groups")], F.least(F.lit(k), F.col("group"))),
+        ("group_holdout", group, [(F.col("group") < 3, "fewer than three groups")], F.lit(1)),
+        ("within_period", part, [(F.col("part") < 2, "one value within periods")], F.lit(1)),
+        ("time_tail", time, [(F.col("time") < 2, "fewer than two times")], F.lit(1)),
+        ("stratified", label, [(F.col("labels") < 2, "fewer than two labels"), (F.col("labels") > most_labels, "too many labels"), (F.col("rarest") < k, "a label with fewer rows than folds")], F.lit(k)),
+        ("kfold", True, [(F.col("rows") < 2, "fewer than two rows")], F.least(F.lit(k), F.col("rows"))),
+    ]
+    if wanted not in [name for name, *_ in cases]:
+        raise ValueError(f"no strategy {wanted}")
+    order = [wanted, *[n for n in FALLBACKS if n != wanted], *[n for n, *_ in cases if n not in (wanted, *FALLBACKS)]]
+    structs = []
+    for name, column, faults, folds in cases:
+        reason = F.lit("no column for it") if not column else F.coalesce(*[F.when(c, F.lit(r)) for c, r in faults])
+        structs.append(F.struct(F.lit(name).alias("strategy"), reason.isNull().alias("feasible"), reason.alias("reason"), F.when(reason.isNull(), folds.cast("int")).alias("folds"), F.lit(order.index(name)).alias("__o")))
+    rows = one.select(F.explode(F.array(*structs)).alias("x")).select("x.*")
+    first = F.min(F.when(F.col("feasible") & F.col("strategy").isin(wanted, *FALLBACKS), F.col("__o"))).over(Window.partitionBy())  # over seven strategies
+    return rows.withColumn("chosen", F.coalesce(F.col("__o") == first, F.lit(False))).drop("__o")
+
+
+def dealt_folds(df: DataFrame, row_id: str, wanted: str, *, scored: DataFrame | None = None, share: float = 0.2, **options) -> tuple[DataFrame, str, DataFrame]:
+    """(folds, strategy, table): folds by the strategy asked for, or by the first that the data can bear, and why."""
+    table = strategies(df, wanted, **options)
+    found = [r for r in table.collect() if r.chosen]
+    if not found:
+        raise ValueError("no strategy fits: " + "; ".join(f"{r.strategy}: {r.reason}" for r in table.collect()))
+    name, n = found[0].strategy, found[0].folds
+    own = {
+        "expanding": lambda: {"period": options["period"], "horizon": options.get("horizon", 1), "blocks": options.get("blocks", 5)},
+        "group": lambda: {"group": options["group"], "k": n},
+        "group_holdout": lambda: {"group": options["group"], "share": share},
+        "within_period": lambda: {"part": options["part"], "share": share},
+        "time_tail": lambda: {"time": options["time"], "share": share},
+        "stratified": lambda: {"label": options["label"], "k": n},
+        "kfold": lambda: {"k": n},
+    }[name]()
+    return make_folds(df, row_id, name, scored=scored, **own), name, table
+
+
 def target_ready(df: DataFrame, target: str, least: int = 5) -> DataFrame:
     """Rows with a usable target; refuses tables with too few."""
     out = df.filter(number(target).isNotNull())

@@ -569,4 +569,12 @@ SELECT k AS "column", 'rises or falls with the target throughout' AS reason, rou
 l AS ({" UNION ALL ".join(f"SELECT '{c}' AS k, {c}::DOUBLE AS x, y FROM z WHERE {c} IS NOT NULL AND y IS NOT NULL" for c in ("coarse", "gappy", "few"))}),
 r AS (SELECT k, rank() OVER (PARTITION BY k ORDER BY x) + (count(*) OVER (PARTITION BY k, x) - 1) / 2 AS rx, rank() OVER (PARTITION BY k ORDER BY y) + (count(*) OVER (PARTITION BY k, y) - 1) / 2 AS ry FROM l)
 SELECT k AS "column", round(corr(rx, ry), 6) AS rho FROM r GROUP BY k""",
+    "fold_strategies": f"""WITH {P1}, c AS (SELECT count(DISTINCT month) AS months, count(DISTINCT nation) AS nations, count(DISTINCT day(ts)) AS days, count(ts) AS times, count(*) AS n FROM p1),
+l AS (SELECT count(*) AS labels, min(n) AS rarest FROM (SELECT status, count(*) AS n FROM p1 WHERE row_id % 3 = 0 GROUP BY 1)),
+r AS (SELECT 'expanding' AS strategy, CASE WHEN (months - 1) // 100 < 1 THEN 'too few periods before the first block' END AS reason, least(5, (months - 1) // 100) AS folds FROM c
+UNION ALL SELECT 'group', CASE WHEN nations < 2 THEN 'fewer than two groups' END, least(5, nations) FROM c UNION ALL SELECT 'group_holdout', CASE WHEN nations < 3 THEN 'fewer than three groups' END, 1 FROM c
+UNION ALL SELECT 'within_period', CASE WHEN days < 2 THEN 'one value within periods' END, 1 FROM c UNION ALL SELECT 'time_tail', CASE WHEN times < 2 THEN 'fewer than two times' END, 1 FROM c
+UNION ALL SELECT 'stratified', CASE WHEN labels < 2 THEN 'fewer than two labels' WHEN rarest < 5 THEN 'a label with fewer rows than folds' END, 5 FROM l UNION ALL SELECT 'kfold', CASE WHEN n < 2 THEN 'fewer than two rows' END, least(5, n) FROM c)
+SELECT strategy, reason IS NULL AS feasible, reason, CAST(CASE WHEN reason IS NULL THEN folds END AS INTEGER) AS folds, strategy = 'group' AS chosen FROM r""",
+    "folds_fallback": f"""WITH {P1}, e AS (SELECT quantile_cont(day(ts), 0.8) AS edge FROM p1) SELECT row_id, CASE WHEN coalesce(day(ts) >= edge, false) THEN 0 ELSE -1 END AS fold, true AS scored, 'within_period' AS strategy FROM p1, e""",
 }

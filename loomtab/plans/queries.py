@@ -421,6 +421,21 @@ def folds_stratified(s, d):
     return folds.stratified_kfold(P.orders(s, d), "row_id", "status")
 
 
+@query
+def fold_strategies(s, d):
+    """Which strategies the orders can bear, with a horizon that is too long for expanding windows, and what is taken instead."""
+    p = P.orders(s, d).withColumns({"day": F.dayofmonth("ts"), "rare": F.when(F.col("row_id") % 3 == 0, F.col("status"))})
+    return folds.strategies(p, "expanding", period="month", group="nation", part="day", time="ts", label="rare", horizon=100)
+
+
+@query
+def folds_fallback(s, d):
+    """Folds by what is taken where one group leaves no folds by groups: days within months."""
+    p = P.orders(s, d).withColumns({"day": F.dayofmonth("ts"), "one": F.lit("x")})
+    dealt, name, _ = folds.dealt_folds(p, "row_id", "group", group="one", part="day", time="ts")
+    return dealt.select("row_id", "fold", "scored", F.lit(name).alias("strategy"))
+
+
 @query
 def folds_expanding(s, d):
     return folds.expanding_blocks(P.orders(s, d), "month", 6)

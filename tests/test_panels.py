@@ -99,3 +99,28 @@ def test_empty_tables(spark):
     assert folds.stratified_kfold(df, "row_id", "g").count() == 0
     assert profile.duplicates(df).first().duplicates == 0
     assert profile.missing(df).count() == 4
+
+
+def test_strategies_fall_back_with_reasons(spark):
+    """Each strategy where its column bears it; labels too rare or too many; nothing at all in an empty table."""
+    rows = [(i, f"p{i % 9}", "ab"[i % 2], i % 4, "xy"[i > 57]) for i in range(60)]
+    df = spark.createDataFrame(rows, "i long, p string, g string, d int, c string")
+
+    def told(df, wanted, **options):
+        return {r.strategy: (r.feasible, r.reason, r.folds, r.chosen) for r in folds.strategies(df, wanted, **options).collect()}
+
+    got = told(df, "stratified", period="p", group="g", part="d", label="c", horizon=4)
+    assert got["expanding"] == (True, None, 2, True) and got["group_holdout"] == (False, "fewer than three groups", None, False)
+    assert got["stratified"] == (False, "a label with fewer rows than folds", None, False) and got["time_tail"][1] == "no column for it"
+    assert got["kfold"] == (True, None, 5, False) and got["within_period"] == (True, None, 1, False)
+    assert told(df, "stratified", label="g", k=3)["stratified"] == (True, None, 3, True)
+    assert told(df, "stratified", label="i", most_labels=20)["stratified"][1] == "too many labels"
+    assert told(df, "kfold")["kfold"][3] and not any(r[0] or r[3] for r in told(df.limit(0), "kfold", group="g", label="c").values())
+    dealt, name, _ = folds.dealt_folds(df, "i", "group_holdout", group="p", period="p")
+    assert name == "group_holdout" and {r.fold for r in dealt.collect()} == {0, -1} and dealt.count() == 60
+    dealt, name, _ = folds.dealt_folds(df, "i", "stratified", label="c", scored=df.filter("i < 10"))
+    assert name == "kfold" and dealt.filter("scored").count() == 10
+    with pytest.raises(ValueError, match="no strategy fits"):
+        folds.dealt_folds(df.limit(0), "i", "group", group="g")
+    with pytest.raises(ValueError):
+        folds.strategies(df, "guess")
