@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loomtab.functions.exprs import kind, number
 from loomtab.operators import encode, features, profile, relate
 from loomtab.operators.quantiles import exact_quantiles
+from loomtab.operators.text import TextProjector
 from loomtab.spec import TableSpec
 
 
@@ -23,6 +24,7 @@ class Kinds:
     categories: tuple[str, ...] = ()
     group: str | None = None  # numbers take this column's medians first
     keys: tuple[str, ...] = ()  # of group statistics of the target
+    texts: tuple[str, ...] = ()  # free text, projected on its leading directions
 
 
 @dataclass
@@ -59,25 +61,26 @@ def same_columns(df: DataFrame, like: DataFrame, names: list[str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(like.schema[c].dataType) for c in names if c not in df.columns})
 
 
-def column_kinds(train: DataFrame, predict: DataFrame, names: list[str], keys: list[str] = (), levels: int = 50) -> Kinds:
-    """Numbers and categories among the features; the group of the median imputation is the category with most levels, up to
-    `levels`."""
+def column_kinds(train: DataFrame, predict: DataFrame, names: list[str], keys: list[str] = (), levels: int = 50, texts: list[str] = ()) -> Kinds:
+    """Numbers, texts (those that are named) and categories among the features; the group of the median imputation is the
+    category with most levels, up to `levels`."""
     numbers = tuple(c for c in names if kind(train.schema[c].dataType) in ("numeric", "boolean"))
-    categories = tuple(c for c in names if kind(train.schema[c].dataType) == "categorical")
+    categories = tuple(c for c in names if kind(train.schema[c].dataType) == "categorical" and c not in texts)
     counts = {r.column: r.distinct for r in profile.distinct_counts(train, list(categories)).collect()} if categories else {}
     able = [c for c in categories if 2 <= counts[c] <= levels]
-    return Kinds(numbers, categories, max(able, key=lambda c: (counts[c], c), default=None), tuple(keys))
+    return Kinds(numbers, categories, max(able, key=lambda c: (counts[c], c), default=None), tuple(keys), tuple(c for c in names if c in texts))
 
 
 class Fitted:
     """What was learnt of training rows: apply it to any rows."""
 
-    def __init__(self, train: DataFrame, kinds: Kinds, standardise: bool = False, row_id: str | None = None, target: str = "label", rare: float = 0.01, most: int = 100):
+    def __init__(self, train: DataFrame, kinds: Kinds, standardise: bool = False, row_id: str | None = None, target: str = "label", rare: float = 0.01, most: int = 100, terms: int = 400, directions: int = 16):
         self.kinds, self.names = kinds, list(kinds.numbers)
         self.train, self.target = train, target
         self.by_group = encode.group_medians(train, kinds.group, self.names) if kinds.group and self.names else None
         self.medians = {c: q[0] or 0.0 for c, q in exact_quantiles(train, self.names, [0.5]).items()} if self.names else {}
         self.levels = {c: [r.level for r in features.level_map(train, c, rare, most).filter("level <> '__rare__'").orderBy("level").collect()] for c in kinds.categories}
+        self.texts = [TextProjector(train, c, row_id or c, terms, directions) for c in kinds.texts]
         self.scale: dict[str, tuple[float, float]] = {}
         if standardise and self.names:
             filled = self._filled(train)
@@ -94,13 +97,17 @@ class Fitted:
         return out.drop("__g", *[f"__m_{c}" for c in self.names])
 
     def table(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
-        """df with prepared columns, and their names: numbers, shares of the target by key, one column for each level."""
+        """df with prepared columns, and their names: numbers, shares of the target by key, directions of texts, one column for
+        each level."""
         out, names = self._filled(df), list(self.names)
         if self.scale:
             out = out.withColumns({c: (F.col(c) - m) / s for c, (m, s) in self.scale.items()})
         for keys in [[k] for k in self.kinds.keys]:
             out = encode.apply_statistics(self.train, out, keys, self.target)
             names += [f"tgt_{n}__{keys[0]}" for n in ("mean", "std", "count")]
+        for projector in self.texts:
+            out = projector.transform(out)
+            names += projector.names()
         marks = {}
         for c, levels in self.levels.items():
             value = F.col(c).cast("string")
@@ -165,7 +172,10 @@ def build_features(train: DataFrame, predict: DataFrame, spec: TableSpec, covari
         dropped[c] = "values that predict does not share"
     raw = [c for c in train.columns if c not in dropped and c not in made]
     reasons = profile.exclusions(profile.flags(train, raw), profile.missing(train, raw), spec.target)
-    dropped |= {r.column: r.reason for r in reasons.filter("reason IS NOT NULL").collect()}
+    words = [c for c in raw if kind(train.schema[c].dataType) == "categorical" and c not in (*times, *spec.keys)]
+    texts = [r.column for r in profile.text_columns(train, words).filter("is_text").collect()] if words else []
+    # Free text has many values by nature: that alone is no reason to leave it out.
+    dropped |= {r.column: r.reason for r in reasons.filter("reason IS NOT NULL").collect() if r.column not in texts or "missing" in r.reason or "constant" in r.reason}
     dropped |= {c: "time" for c in times if c not in dropped}
     names = [c for c in raw if c not in dropped] + made
     few = [r.column for r in profile.distinct_counts(train, [c for c in names if c not in made and kind(train.schema[c].dataType) == "numeric"]).filter("distinct BETWEEN 2 AND 10").collect()] if any(kind(train.schema[c].dataType) == "numeric" for c in names if c not in made) else []
@@ -177,5 +187,5 @@ def build_features(train: DataFrame, predict: DataFrame, spec: TableSpec, covari
         new = {r.pair: F.coalesce(number(chosen[r.pair][0]), F.lit(0.0)) * F.coalesce(number(chosen[r.pair][1]), F.lit(0.0)) for r in ranks}
         train, predict = (same_columns(side, train, few).withColumns(new) for side in (train, predict))
         names += new
-    kinds = column_kinds(train, predict, names, [k for k in spec.keys if k in names])
+    kinds = column_kinds(train, predict, names, [k for k in spec.keys if k in names], texts=texts)
     return FeatureSet(train, same_columns(predict, train, names), kinds, times, dropped)

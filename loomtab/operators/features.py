@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pyarrow as pa
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import agg_columns, name_tokens, number
@@ -74,10 +74,14 @@ def fold_levels(df: DataFrame, levels: DataFrame, name: str) -> DataFrame:
     return out.select(*[F.when(F.col(name).isNotNull(), F.coalesce("level", F.lit("__rare__"))).alias(c) if c == name else df[c] for c in df.columns])
 
 
+def text_words(text: str) -> Column:
+    """Words of two letters or more, in lower case."""
+    return F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) >= 2)
+
+
 def term_statistics(df: DataFrame, text: str, row_id: str, terms: int = 400, least: int = 2) -> DataFrame:
     """term, df, idf: words and pairs of words in at least `least` rows, the most frequent first, smoothed idf."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) >= 2)
-    tokens = df.select(row_id, words.alias("w"))
+    tokens = df.select(row_id, text_words(text).alias("w"))
     n = F.greatest(F.size("w") - 1, F.lit(0))
     pairs = F.zip_with(F.slice("w", F.lit(1), n), F.slice("w", F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
     each = tokens.select(F.explode(F.array_distinct(F.concat("w", pairs))).alias("term"))

@@ -577,4 +577,10 @@ UNION ALL SELECT 'within_period', CASE WHEN days < 2 THEN 'one value within peri
 UNION ALL SELECT 'stratified', CASE WHEN labels < 2 THEN 'fewer than two labels' WHEN rarest < 5 THEN 'a label with fewer rows than folds' END, 5 FROM l UNION ALL SELECT 'kfold', CASE WHEN n < 2 THEN 'fewer than two rows' END, least(5, n) FROM c)
 SELECT strategy, reason IS NULL AS feasible, reason, CAST(CASE WHEN reason IS NULL THEN folds END AS INTEGER) AS folds, strategy = 'group' AS chosen FROM r""",
     "folds_fallback": f"""WITH {P1}, e AS (SELECT quantile_cont(day(ts), 0.8) AS edge FROM p1) SELECT row_id, CASE WHEN coalesce(day(ts) >= edge, false) THEN 0 ELSE -1 END AS fold, true AS scored, 'within_period' AS strategy FROM p1, e""",
+    "text_weights": f"""WITH {P4}, w AS (SELECT row_id, y, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}_]+'), lambda x: length(x) >= 2) AS w FROM p4),
+t AS (SELECT row_id, y, unnest(list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM w),
+c AS (SELECT row_id, y, term, count(*) AS tf FROM t GROUP BY ALL),
+v AS (SELECT term, ln((1.0 + (SELECT count(*) FROM p4 WHERE y IS NOT NULL)) / (1.0 + count(*))) + 1.0 AS idf FROM c WHERE y IS NOT NULL GROUP BY term HAVING count(*) >= 2 ORDER BY count(*) DESC, term LIMIT 400),
+x AS (SELECT row_id, (1 + ln(tf)) * idf AS w FROM c JOIN v USING (term) WHERE y IS NULL),
+n AS (SELECT row_id, w / sqrt(sum(w * w) OVER (PARTITION BY row_id)) AS w FROM x) SELECT row_id, count(*) AS terms, round(sum(w), 6) AS total, round(max(w), 6) AS top FROM n GROUP BY 1""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtab.functions.exprs import hashed
-from loomtab.operators import build, checks, encode, features, folds, metrics, models, pattern, profile, quantiles, relate, repair, scores, task, trees, windows
+from loomtab.operators import build, checks, encode, features, folds, metrics, models, pattern, profile, quantiles, relate, repair, scores, task, text, trees, windows
 from loomtab.plans import panels as P
 from loomtab.spec import TableSpec
 
@@ -218,6 +218,15 @@ def tfidf_terms(s, d):
     return rounded(features.term_statistics(P.quality(s, d), "text", "row_id"), 6)
 
 
+@query
+def text_weights(s, d):
+    """Vocabulary and idf of the labelled documents, applied to the others: terms and weights of each."""
+    p = P.quality(s, d).cache()
+    fitted = text.TextProjector(p.filter("y IS NOT NULL"), "text", "row_id", 400)
+    w = text.term_weights(p.filter("y IS NULL"), fitted, "row_id")
+    return rounded(w.groupBy("row_id").agg(F.count("*").alias("terms"), F.sum("weight").alias("total"), F.max("weight").alias("top")), 6)
+
+
 @query
 def target_transform(s, d):
     a, b = features.transform_choice(P.events(s, d), "y"), features.transform_choice(P.orders(s, d), "y")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomtab.operators import build, checks, encode, features, folds, models, quantiles, relate, repair, scores, task, windows
+from loomtab.operators import build, checks, encode, features, folds, models, quantiles, relate, repair, scores, task, text, windows
 from loomtab.spec import TableSpec
 
 
@@ -235,3 +235,48 @@ def test_large_columns_are_narrowed_in_rounds(spark):
     df = spark.createDataFrame([(float(x),) for x in v], "v double")
     qs = [0.001, 0.3, 0.5, 0.999]
     assert quantiles.exact_quantiles(df, ["v"], qs, slots=16, ordered=40)["v"] == [brute_quantile(v.tolist(), q) for q in qs]
+
+
+def _texts(n=240):
+    dice = random.Random(6)
+    themes = [["ship", "harbour", "sail", "sea"], ["oven", "bread", "flour", "yeast"], ["court", "judge", "law", "trial"]]
+    rows = []
+    for i in range(n):
+        words = [dice.choice(themes[i % 3]) for _ in range(dice.randint(3, 12))] + [dice.choice(["the", "and", "of"]) for _ in range(4)]
+        rows.append((i, float(i % 3), None if i % 50 == 49 else " ".join(words), dice.gauss(0, 1), f"id{i}"))
+    return rows
+
+
+def test_text_directions_span_the_leading_space(spark):
+    """Against the singular vectors of numpy, on the training rows' own weights; other rows only take what was learnt."""
+    rows = _texts()
+    df = spark.createDataFrame(rows, "row_id long, label double, words string, x double, code string").repartition(3)
+    p = text.TextProjector(df, "words", "row_id", terms=60, k=4, passes=8)
+    full = np.zeros((len(rows), len(p.place)))
+    for i, r in enumerate(rows):
+        at, w = p.weights(r[2].lower().split() if r[2] else None)
+        full[i, at] = w
+    assert np.allclose(np.linalg.norm(full, axis=1)[[i for i, r in enumerate(rows) if r[2]]], 1)
+    v = np.linalg.svd(full)[2][:3].T
+    assert np.linalg.norm(v - p.directions @ (p.directions.T @ v)) < 1e-3  # the leading directions lie in the found space
+    got = p.transform(df).orderBy("row_id").collect()
+    assert np.allclose([[r[n] for n in p.names()] for r in got], full @ p.directions) and got[49]["words__svd00"] == 0
+    strange = spark.createDataFrame([(1, "quantum foam"), (2, None)], "row_id long, words string")
+    assert all(r[n] == 0 for r in p.transform(strange).collect() for n in p.names())
+    assert text.term_weights(strange, p, "row_id").count() == 0
+    none = text.TextProjector(df.limit(0), "words", "row_id", k=3)
+    assert none.transform(df).select(none.names()).distinct().count() == 1
+
+
+def test_fitted_takes_texts(spark):
+    """Text becomes directions inside a fold, is found by build_features, and tells the classes apart."""
+    df = spark.createDataFrame(_texts(), "row_id long, label double, words string, x double, code string").cache()
+    train, test = df.filter("row_id % 3 > 0 OR row_id % 4 > 0"), df.filter("row_id % 3 = 0 AND row_id % 4 = 0")
+    made = build.build_features(train, test, TableSpec("row_id", "label"), interactions=0)
+    assert made.kinds.texts == ("words",) and "words" not in made.kinds.categories and "code" in made.dropped
+    fitted = build.Fitted(train, build.Kinds(numbers=("x",), texts=("words",)), row_id="row_id", directions=3)
+    out, names = fitted.table(test)
+    assert names == ["x", "words__svd00", "words__svd01", "words__svd02"] and out.count() == test.count()
+    prepare = build.preparer(build.Kinds(numbers=("x",), texts=("words",)), row_id="row_id", directions=3)
+    oof = models.out_of_fold(df, folds.kfold(df, "row_id", 2), "row_id", lambda t: models.logistic(100.0, 120), prepare, classes=3)
+    assert oof.filter("pred = label").count() > 0.85 * 240
