@@ -29,6 +29,14 @@ def adjusted_skew(c: Column | str) -> Column:
     return F.when(n > 2, F.sqrt(n * (n - 1.0)) / (n - 2.0) * F.skewness(c))
 
 
+def correlation(x: Column | str, y: Column | str) -> Column:
+    """Pearson's correlation over rows that have both; null where a side does not vary (the built-in one fails there)."""
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x).cast("double"), F.when(both, y).cast("double")
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def median(c: Column | str, approx: bool = False) -> Column:
     return quantile(c, 0.5, approx)
 

@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtab.functions.exprs import kind, number
+from loomtab.functions.exprs import hashed, kind, number
 from loomtab.operators import encode, features, profile, relate
 from loomtab.operators.quantiles import exact_quantiles
 from loomtab.operators.text import TextProjector
@@ -76,7 +76,7 @@ class Fitted:
 
     def __init__(self, train: DataFrame, kinds: Kinds, standardise: bool = False, row_id: str | None = None, target: str = "label", rare: float = 0.01, most: int = 100, terms: int = 400, directions: int = 16):
         self.kinds, self.names = kinds, list(kinds.numbers)
-        self.train, self.target = train, target
+        self.train, self.target, self.row_id = train, target, row_id
         self.by_group = encode.group_medians(train, kinds.group, self.names) if kinds.group and self.names else None
         self.medians = {c: q[0] or 0.0 for c, q in exact_quantiles(train, self.names, [0.5]).items()} if self.names else {}
         self.levels = {c: [r.level for r in features.level_map(train, c, rare, most).filter("level <> '__rare__'").orderBy("level").collect()] for c in kinds.categories}
@@ -96,14 +96,22 @@ class Fitted:
         out = out.withColumns({c: F.coalesce(number(c), f"__m_{c}", F.lit(self.medians[c])) for c in self.names})
         return out.drop("__g", *[f"__m_{c}" for c in self.names])
 
-    def table(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
+    def _own_statistics(self, df: DataFrame, keys: list[str], folds: int = 5) -> DataFrame:
+        """Group statistics of training rows, each from the rows outside its own fold."""
+        dealt = df.withColumn("__fold", (hashed(self.row_id, "own") % folds).cast("int"))
+        stats = encode.crossfit_statistics(dealt, self.row_id, keys, self.target, "__fold")
+        named = stats.select(F.col(self.row_id).alias("__id"), *[F.col(n).alias(f"tgt_{n}__{'_'.join(keys)}") for n in encode.STATISTICS])
+        return df.join(named, F.col(self.row_id) == F.col("__id")).drop("__id")
+
+    def table(self, df: DataFrame, own: bool = False) -> tuple[DataFrame, list[str]]:
         """df with prepared columns, and their names: numbers, shares of the target by key, directions of texts, one column for
-        each level."""
+        each level. own: df is the training side itself, whose rows take group statistics from outside their own fold (where the
+        row id is known)."""
         out, names = self._filled(df), list(self.names)
         if self.scale:
             out = out.withColumns({c: (F.col(c) - m) / s for c, (m, s) in self.scale.items()})
         for keys in [[k] for k in self.kinds.keys]:
-            out = encode.apply_statistics(self.train, out, keys, self.target)
+            out = self._own_statistics(out, keys) if own and self.row_id else encode.apply_statistics(self.train, out, keys, self.target)
             names += [f"tgt_{n}__{keys[0]}" for n in ("mean", "std", "count")]
         for projector in self.texts:
             out = projector.transform(out)
@@ -115,9 +123,9 @@ class Fitted:
             marks[f"{c}=__rare__"] = (value.isNotNull() & ~F.coalesce(value.isin(levels), F.lit(False))).cast("double")
         return out.withColumns(marks) if marks else out, [*names, *marks]
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, own: bool = False) -> DataFrame:
         """df with `features`, a vector of all prepared columns."""
-        out, names = self.table(df)
+        out, names = self.table(df, own)
         plain = out.select(*df.columns, F.array(*[F.coalesce(F.col(f"`{n}`").cast("double"), F.lit(0.0)) for n in names]).alias("__a"))
         from pyspark.ml.functions import array_to_vector
 
@@ -127,13 +135,13 @@ class Fitted:
 def preparer(kinds: Kinds, custom: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None, **options) -> Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
     """prepare(train, valid) for out_of_fold: medians, group statistics, custom steps and levels, all fitted on train only.
 
-    Group statistics of training rows see their own target; where that matters use encode.crossfit_moments beforehand."""
+    Given row_id, training rows take group statistics from outside their own fold; without it they see their own target."""
 
     def prepare(train: DataFrame, valid: DataFrame) -> tuple[DataFrame, DataFrame]:
         if custom:
             train, valid = custom(train, valid)
         fitted = Fitted(train, kinds, **options)
-        return fitted.transform(train), fitted.transform(valid)
+        return fitted.transform(train, own=True), fitted.transform(valid)
 
     return prepare
 
@@ -182,7 +190,7 @@ def build_features(train: DataFrame, predict: DataFrame, spec: TableSpec, covari
     cyclic = [c for c in made if c.endswith(("__month", "__weekday", "__hour"))]
     if few and cyclic and interactions:
         pairs = [(a, b) for a in cyclic for b in few]
-        ranks = features.interaction_ranks(train, spec.target, cyclic, few, interactions).collect()
+        ranks = features.ranked_interactions(train, spec.target, cyclic, few, interactions).collect()
         chosen = {f"{a}_x_{b}": (a, b) for a, b in pairs}
         new = {r.pair: F.coalesce(number(chosen[r.pair][0]), F.lit(0.0)) * F.coalesce(number(chosen[r.pair][1]), F.lit(0.0)) for r in ranks}
         train, predict = (same_columns(side, train, few).withColumns(new) for side in (train, predict))

@@ -238,6 +238,20 @@ def validate_table(sample: DataFrame, table: DataFrame, row_id: str, order: str,
     return out
 
 
+def validate_types(sample: DataFrame, table: DataFrame, target: str, regression: bool = True) -> DataFrame:
+    """Are the handed-in predictions of the type that is asked for? Numbers must be readable as numbers; labels must be of the
+    sample's kind (text, numbers, flags) where the sample has any."""
+    if target not in table.columns:
+        return table.sparkSession.createDataFrame([("hand-in", "fail", "type of predictions", target, "absent")], ", ".join(f"{c} string" for c in COLUMNS))
+    if regression:
+        bad = table.agg(F.count_if(F.col(target).isNotNull() & F.col(target).cast("string").try_cast("double").isNull()).alias("n"))
+        return _rows(bad, "hand-in", _row(F.when(F.col("n") == 0, "pass").otherwise("fail"), "type of predictions", target, F.col("n")))
+    asked = kind(sample.schema[target].dataType) if target in sample.columns else None
+    known = asked is not None and not sample.filter(F.col(target).isNotNull()).isEmpty()
+    given = kind(table.schema[target].dataType)
+    return table.sparkSession.createDataFrame([("hand-in", "fail" if known and given != asked else "pass", "type of predictions", target, given)], ", ".join(f"{c} string" for c in COLUMNS))
+
+
 def evaluation_validity(metrics: DataFrame, kind: str) -> DataFrame:
     """metrics (candidate, metric, split, score): only held-out scores, a baseline among them, metrics that fit the task."""
     from loomtab.operators.task import METRICS

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtab.functions.exprs import agg_columns, name_tokens, number
+from loomtab.functions.exprs import agg_columns, correlation, name_tokens, number
 from loomtab.operators.quantiles import exact_quantiles
 
 
@@ -29,10 +29,27 @@ def interaction_ranks(df: DataFrame, target: str, times: list[str], others: list
     """pair, r: products a_x_b of the strongest correlation with the target, nulls as 0."""
     names = {f"{a}_x_{b}": F.coalesce(number(a), F.lit(0.0)) * F.coalesce(number(b), F.lit(0.0)) for a in times for b in others}
     wide = df.select(number(target).alias("__y"), *[e.alias(n) for n, e in names.items()])
-    rows = agg_columns(wide, list(names), lambda c: [("r", F.corr(F.when(F.col("__y").isNotNull(), F.col(c)), "__y"))], 12)
+    rows = agg_columns(wide, list(names), lambda c: [("r", correlation(F.when(F.col("__y").isNotNull(), F.col(c)), "__y"))], 12)
     return rows.select(F.col("column").alias("pair"), "r").filter(F.col("r").isNotNull() & ~F.isnan("r")).orderBy(F.desc(F.abs("r")), "pair").limit(top)
 
 
+def spread_ranks(df: DataFrame, times: list[str], others: list[str], top: int = 6) -> DataFrame:
+    """pair, r: the same products by the standard deviations of their two sides multiplied, for want of a target that varies."""
+    one = df.agg(*[F.coalesce(F.stddev(number(c)), F.lit(0.0)).alias(c) for c in dict.fromkeys([*times, *others])])
+    pairs = F.explode(F.array(*[F.struct(F.lit(f"{a}_x_{b}").alias("pair"), (F.col(a) * F.col(b)).alias("r")) for a in times for b in others])).alias("x")
+    return one.select(pairs).select("x.*").orderBy(F.desc("r"), "pair").limit(top)
+
+
+def ranked_interactions(df: DataFrame, target: str | None, times: list[str], others: list[str], top: int = 6, least: int = 5) -> DataFrame:
+    """interaction_ranks where the target has `least` numbers that vary, else spread_ranks."""
+    if target is not None:
+        y = number(target)
+        told = df.agg(F.count(y).alias("n"), F.stddev(y).alias("s")).first()
+        if told.n >= least and (told.s or 0) > 0:
+            return interaction_ranks(df, target, times, others, top)
+    return spread_ranks(df, times, others, top)
+
+
 def add_interactions(df: DataFrame, ranks: DataFrame) -> DataFrame:
     """df with the ranked products as columns; ranks has a handful of rows."""
     rows = [r.pair for r in ranks.collect()]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtab.functions.exprs import correlation
 from loomtab.operators.quantiles import exact_quantiles, quantile_columns
 from loomtab.operators.windows import quartile_buckets
 
@@ -134,7 +135,7 @@ def residual_quartiles(df: DataFrame, y: str, pred: str) -> DataFrame:
 def residual_bias(df: DataFrame, y: str, pred: str) -> DataFrame:
     """Top quartile of the target: shares under and over, mean residual, direction; and corr(pred, |residual|)."""
     d = df.select(F.col(y).alias("y"), F.col(pred).alias("p"), (F.col(y) - F.col(pred)).alias("r"))
-    edge = d.agg(quantile_columns(d, F.col("y"), [0.75])[0].alias("q3"), F.corr("p", F.abs("r")).alias("spread_corr"))
+    edge = d.agg(quantile_columns(d, F.col("y"), [0.75])[0].alias("q3"), correlation("p", F.abs("r")).alias("spread_corr"))
     top = d.join(edge).filter(F.col("y") >= F.col("q3"))
     one = top.agg(F.count("*").alias("n"), F.avg((F.col("r") > 0).cast("double")).alias("under"), F.avg((F.col("r") < 0).cast("double")).alias("over"), F.avg("r").alias("mean"), F.first("q3").alias("q3"), F.first("spread_corr").alias("spread_corr"))
     return one.withColumn("direction", F.when(F.abs("mean") < 0.01 * F.abs("q3"), "negligible").when(F.col("mean") > 0, "under").otherwise("over"))
@@ -177,3 +178,23 @@ def best_candidate(scores: DataFrame, greater: bool = False, eps: float = 1e-9)
     best = scores.agg(F.min(F.col("score") if not greater else -F.col("score")).alias("__m"))
     near = scores.join(best).filter((-F.col("score") if greater else F.col("score")) <= F.col("__m") + eps)
     return near.agg(F.min_by("candidate", "ord").alias("candidate"), F.min_by("score", "ord").alias("score")) if eps else scores.agg(F.min_by("candidate", key).alias("candidate"), F.min_by("score", key).alias("score"))
+
+
+def heteroscedasticity(df: DataFrame, y: str, pred: str, least: int = 5) -> DataFrame:
+    """n, corr, note: do errors grow with predictions? Correlation of the prediction with the absolute residual: strong above
+    one half, moderate above a quarter; null below `least` rows that have both."""
+    r = df.select(F.col(pred).cast("double").alias("p"), F.abs(F.col(y) - F.col(pred)).cast("double").alias("e")).filter("p IS NOT NULL AND e IS NOT NULL AND NOT isnan(p) AND NOT isnan(e)")
+    one = r.agg(F.count("*").alias("n"), correlation("p", "e").alias("corr")).withColumn("corr", F.when(F.col("n") >= least, F.nanvl("corr", F.lit(None))))
+    return one.withColumn("note", F.when(F.col("corr") > 0.5, "strong").when(F.col("corr") > 0.25, "moderate").when(F.col("corr").isNotNull(), "low"))
+
+
+def prediction_shift(train: DataFrame, final: DataFrame, target: str, pred: str) -> DataFrame:
+    """median_ratio, p50_delta, p95_delta of final predictions against the target's own quantiles; null where a side has none."""
+    def finite(df: DataFrame, name: str) -> list[float | None]:
+        x = F.col(name).try_cast("double")
+        return exact_quantiles(df.select(F.when(F.abs(x) < float("inf"), x).alias("v")), ["v"], [0.5, 0.95])["v"]
+
+    (a50, a95), (b50, b95) = finite(train, target), finite(final, pred)
+    known = a50 is not None and b50 is not None
+    row = (b50 / max(abs(a50), 1e-9), b50 - a50, b95 - a95) if known else (None, None, None)
+    return train.sparkSession.createDataFrame([row], "median_ratio double, p50_delta double, p95_delta double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtab.functions.exprs import adjusted_skew, agg_columns, long_form, number
+from loomtab.functions.exprs import adjusted_skew, agg_columns, correlation, long_form, number
 from loomtab.operators.quantiles import quantile_columns
 
 QUANTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
@@ -58,7 +58,7 @@ def correlations(df: DataFrame, target: str, names: list[str], least: int = 10)
 
     def measures(c):
         both = F.col(c).isNotNull() & F.col("__y").isNotNull()
-        return [("n", F.count_if(both)), ("s", F.stddev(F.when(both, F.col(c)))), ("t", F.stddev(F.when(both, F.col("__y")))), ("r", F.corr(c, "__y"))]
+        return [("n", F.count_if(both)), ("s", F.stddev(F.when(both, F.col(c)))), ("t", F.stddev(F.when(both, F.col("__y")))), ("r", correlation(c, "__y"))]
 
     return agg_columns(df, names, measures).filter((F.col("n") >= least) & (F.col("s") > 0) & (F.col("t") > 0)).select("column", "n", "r")
 
@@ -91,7 +91,7 @@ def high_cardinality(df: DataFrame, names: list[str], ratio: float = 0.5) -> Dat
 def target_components(df: DataFrame, target: str, names: list[str]) -> DataFrame:
     """column, r, tier, mean_share, additive: train-only columns that may be parts of the target."""
     df = df.select(number(target).alias("__y"), *[number(c).alias(c) for c in names])
-    rows = agg_columns(df, names, lambda c: [("r", F.corr(c, "__y")), ("mean_share", F.avg(F.try_divide(F.col(c), F.when(F.col("__y") != 0, F.col("__y")))))])
+    rows = agg_columns(df, names, lambda c: [("r", correlation(c, "__y")), ("mean_share", F.avg(F.try_divide(F.col(c), F.when(F.col("__y") != 0, F.col("__y")))))])
     size = F.abs("r")
     tier = F.when(size >= 0.8, "strong").when(size >= 0.5, "medium").when(size >= 0.3, "weak").otherwise("none")
     return rows.select("column", "r", tier.alias("tier"), "mean_share", ((F.col("mean_share") > 0) & (F.col("mean_share") < 1.01)).alias("additive"))
@@ -159,7 +159,7 @@ def autocorrelation(df: DataFrame, keys: list[str], rank: str, target: str, lags
     rows = df.groupBy(*keys, F.col(rank).alias("k")).agg(F.min(number(target)).alias("y")).filter("y IS NOT NULL AND k IS NOT NULL")
     per = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.stddev("y").alias("s"), (F.max("k") - F.min("k") + 1).alias("span")).filter("n >= 4 AND s > 0")
     shifted = rows.select(*keys, F.explode(F.array(*map(F.lit, lags))).alias("lag"), "k", F.col("y").alias("x")).withColumn("k", F.col("k") + F.col("lag"))
-    pairs = shifted.join(rows, [*keys, "k"]).groupBy(*keys, "lag").agg(F.corr("x", "y").alias("r"))
+    pairs = shifted.join(rows, [*keys, "k"]).groupBy(*keys, "lag").agg(correlation("x", "y").alias("r"))
     good = pairs.join(per, keys).filter("span > lag + 2").filter(F.col("r").isNotNull() & ~F.isnan("r"))
     return good.groupBy("lag").agg(F.count("*").alias("groups"), F.avg("r").alias("mean")).withColumn("strong", F.col("mean") >= 0.2)
 

@@ -149,3 +149,23 @@ def text_columns(df: DataFrame, names: list[str], tokens: float = 3.0, values: i
     per = rows.groupBy("column", "value").agg(F.count("*").alias("n")).withColumn("t", F.size(F.split("value", r"\s+")))
     out = per.groupBy("column").agg(F.sum("n").alias("filled"), F.count("*").alias("distinct"), (F.sum(F.col("t") * F.col("n")) / F.sum("n")).alias("mean_tokens"))
     return out.withColumn("is_text", (F.col("mean_tokens") >= tokens) & (F.col("filled") >= values) & (F.col("distinct") >= values))
+
+
+def table_warnings(df: DataFrame) -> DataFrame:
+    """type, column, message: no rows, one column only, columns that an export left without a name, names that occur twice
+    (Spark takes no notice of case). Names are read from the schema; rows are looked at until one is found."""
+    import re
+
+    rows = []
+    if df.isEmpty():
+        rows.append(("zero_rows", None, "no rows"))
+    if len(df.columns) == 1:
+        rows.append(("single_column", None, "one column only: is the separator right?"))
+    seen: set[str] = set()
+    for c in df.columns:
+        if not c.strip() or re.fullmatch(r"Unnamed: \d+|_c\d+", c):
+            rows.append(("unnamed_column", c, "a column without a name: an exported index?"))
+        if c.lower() in seen:
+            rows.append(("duplicate_column", c, "a name that occurs twice"))
+        seen.add(c.lower())
+    return df.sparkSession.createDataFrame(rows, "type string, column string, message string")

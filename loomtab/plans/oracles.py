@@ -583,4 +583,12 @@ c AS (SELECT row_id, y, term, count(*) AS tf FROM t GROUP BY ALL),
 v AS (SELECT term, ln((1.0 + (SELECT count(*) FROM p4 WHERE y IS NOT NULL)) / (1.0 + count(*))) + 1.0 AS idf FROM c WHERE y IS NOT NULL GROUP BY term HAVING count(*) >= 2 ORDER BY count(*) DESC, term LIMIT 400),
 x AS (SELECT row_id, (1 + ln(tf)) * idf AS w FROM c JOIN v USING (term) WHERE y IS NULL),
 n AS (SELECT row_id, w / sqrt(sum(w * w) OVER (PARTITION BY row_id)) AS w FROM x) SELECT row_id, count(*) AS terms, round(sum(w), 6) AS total, round(max(w), 6) AS top FROM n GROUP BY 1""",
+    "heteroscedasticity": f"""WITH {P1}, {_OOF}, h AS (SELECT count(*) AS n, corr(pred, abs(y - pred)) AS c FROM oof WHERE pred IS NOT NULL AND y IS NOT NULL)
+SELECT n, round(c, 6) AS corr, CASE WHEN c > 0.5 THEN 'strong' WHEN c > 0.25 THEN 'moderate' ELSE 'low' END AS note FROM h""",
+    "prediction_shift": f"""WITH {P1}, {_OOF}, q AS (SELECT quantile_cont(y, 0.5) AS a50, quantile_cont(y, 0.95) AS a95, quantile_cont(pred, 0.5) AS b50, quantile_cont(pred, 0.95) AS b95 FROM oof)
+SELECT round(b50 / abs(a50), 4) AS median_ratio, round(b50 - a50, 4) AS p50_delta, round(b95 - a95, 4) AS p95_delta FROM q""",
+    "spread_ranks": f"""WITH {P1}, s AS (SELECT stddev(month(ts)) AS m, stddev(isodow(ts) - 1) AS w, stddev(CAST(substr(priority, 1, 1) AS INTEGER)) AS u, stddev(row_id % 7) AS g FROM p1)
+SELECT pair, round(r, 6) AS r FROM (SELECT 'month_no_x_urgency' AS pair, m * u AS r FROM s UNION ALL SELECT 'month_no_x_digit', m * g FROM s UNION ALL SELECT 'weekday_x_urgency', w * u FROM s UNION ALL SELECT 'weekday_x_digit', w * g FROM s) ORDER BY r DESC, pair LIMIT 3""",
+    "hand_in_types": """SELECT 'hand-in' AS stage, 'pass' AS status, 'type of predictions' AS reason, 'v' AS "column", '0' AS value UNION ALL SELECT 'hand-in', CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END, 'type of predictions', 'odd', CAST(count(*) AS VARCHAR) FROM orders
+UNION ALL SELECT 'hand-in', 'fail', 'type of predictions', 'label', 'numeric'""",
 }

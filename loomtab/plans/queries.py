@@ -633,6 +633,32 @@ def rank_correlations(s, d):
     return rounded(checks.rank_correlations(p, "y", ["coarse", "gappy", "few"]), 6)
 
 
+@query
+def heteroscedasticity(s, d):
+    return rounded(metrics.heteroscedasticity(_oof(s, d), "y", "pred"), 6)
+
+
+@query
+def prediction_shift(s, d):
+    o = _oof(s, d)
+    return rounded(metrics.prediction_shift(o, o, "y", "pred"))
+
+
+@query
+def spread_ranks(s, d):
+    """Products of calendar and low-count features, ranked without a target."""
+    p = P.orders(s, d).withColumns({"month_no": F.month("ts"), "weekday": F.weekday("ts"), "urgency": F.substring("priority", 1, 1).cast("int"), "digit": F.col("row_id") % 7})
+    return rounded(features.ranked_interactions(p, None, ["month_no", "weekday"], ["urgency", "digit"], 3), 6)
+
+
+@query
+def hand_in_types(s, d):
+    """Predictions as numbers, as text that are none, and labels of another kind than the sample's."""
+    p = P.orders(s, d).select(F.col("y").alias("v"), F.col("status").alias("label"), F.concat(F.lit("~"), F.col("row_id")).alias("odd"))
+    parts = [checks.validate_types(p, p, "v"), checks.validate_types(p, p, "odd"), checks.validate_types(p, p.withColumn("label", F.lit(1)), "label", regression=False)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def keep_best(s, d):
     o = _oof(s, d)

@@ -280,3 +280,13 @@ def test_fitted_takes_texts(spark):
     prepare = build.preparer(build.Kinds(numbers=("x",), texts=("words",)), row_id="row_id", directions=3)
     oof = models.out_of_fold(df, folds.kfold(df, "row_id", 2), "row_id", lambda t: models.logistic(100.0, 120), prepare, classes=3)
     assert oof.filter("pred = label").count() > 0.85 * 240
+
+
+def test_training_rows_do_not_see_their_own_target(spark):
+    """A key that no two rows share tells nothing of a training row, and groups' means leave the row's own fold out."""
+    df = spark.createDataFrame([(i, float(i % 2), f"k{i}", 1.0) for i in range(100)], "row_id long, label double, k string, x double")
+    train, _ = build.preparer(build.Kinds(("x",), keys=("k",)), row_id="row_id")(df, df)
+    first = {float(r.features[1]) for r in train.collect()}
+    assert len(first) <= 5 and not first & {0.0, 1.0}  # means of all other folds
+    seen, _ = build.preparer(build.Kinds(("x",), keys=("k",)))(df, df)
+    assert {float(r.features[1]) for r in seen.collect()} == {0.0, 1.0}

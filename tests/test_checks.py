@@ -167,3 +167,50 @@ def test_baselines_of_odd_tables(spark):
     many = spark.range(1500).select(F.concat(F.lit("k"), "id").alias("c"))
     with pytest.raises(ValueError):
         task.resolve_task(many, "c")
+
+
+def test_warnings_about_tables(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], "`Unnamed: 0` int, a int, _c7 int, b int")
+    twice = df.select("a", F.col("b").alias("A"), "b")
+    assert {(r.type, r.column) for r in profile.table_warnings(df).collect()} == {("unnamed_column", "Unnamed: 0"), ("unnamed_column", "_c7")}
+    assert {(r.type, r.column) for r in profile.table_warnings(twice).collect()} == {("duplicate_column", "A")}
+    assert {r.type for r in profile.table_warnings(df.select("a").limit(0)).collect()} == {"zero_rows", "single_column"}
+
+
+def test_errors_that_grow_and_shifts(spark):
+    df = spark.createDataFrame([(float(i), float(i) * (1.5 if i % 2 else 0.5)) for i in range(1, 60)] + [(1.0, None), (None, 2.0)], "y double, p double")
+    got = metrics.heteroscedasticity(df, "y", "p").first()
+    assert got.n == 59 and got.corr > 0.5 and got.note == "strong"
+    few = metrics.heteroscedasticity(df.limit(3), "y", "p").first()
+    assert few["corr"] is None and few.note is None
+    flat = metrics.heteroscedasticity(df.withColumn("p", F.col("y")), "y", "p").first()
+    assert flat["corr"] is None or abs(flat["corr"]) < 1
+    assert metrics.prediction_shift(df, df.withColumn("p", F.col("y") + 3), "y", "p").first().p95_delta == 3.0
+    assert metrics.prediction_shift(df.limit(0), df, "y", "p").first().p50_delta is None
+
+
+def test_types_of_predictions(spark):
+    numbers, words = spark.createDataFrame([("1.5",), (None,)], "t string"), spark.createDataFrame([("x",), ("2",)], "t string")
+    assert checks.validate_types(numbers, numbers, "t").first().status == "pass"
+    bad = checks.validate_types(numbers, words, "t").first()
+    assert (bad.status, bad.value) == ("fail", "1")
+    assert checks.validate_types(words, words, "t", regression=False).first().status == "pass"
+    assert checks.validate_types(words, words.withColumn("t", F.lit(True)), "t", regression=False).first().status == "fail"
+    assert checks.validate_types(words.limit(0), words.withColumn("t", F.lit(True)), "t", regression=False).first().status == "pass"
+    assert checks.validate_types(words, words, "gone").first().status == "fail"
+
+
+def test_products_without_a_target(spark):
+    df = spark.createDataFrame([(i, i % 3, 7, 1.0) for i in range(30)], "a int, b int, same int, y double")
+    by_spread = [r.pair for r in features.ranked_interactions(df, "y", ["a"], ["b", "same"]).collect()]  # the target never varies
+    assert by_spread == ["a_x_b", "a_x_same"] and features.ranked_interactions(df, None, ["a"], ["b"], 1).count() == 1
+    assert features.ranked_interactions(df.withColumn("y", F.col("a") * F.col("b")), "y", ["a"], ["b"]).first().r > 0.99
+
+
+def test_columns_that_do_not_vary_do_not_stop_a_scan(spark):
+    df = spark.createDataFrame([(i, 1.0, float(i), None, f"g{i % 2}", 0 if i % 2 else 3) for i in range(40)], "k int, same double, y double, none double, g string, b int")
+    got = {r.column: r.r for r in pattern.correlations(df, "y", ["same", "k", "none"], 2).collect()}
+    assert got.get("same") is None and abs(got["k"] - 1) < 1e-12
+    assert {r.pair for r in features.interaction_ranks(df.withColumn("zero", F.lit(0)), "y", ["k"], ["b", "zero"]).collect()} == {"k_x_b"}
+    assert {r.column for r in checks.leakage_scan(df, "y", ["same", "k", "none"], ["g"]).collect()} == {"k"}
+    assert metrics.residual_bias(df.withColumn("p", F.lit(3.0)), "y", "p").first()["spread_corr"] is None
