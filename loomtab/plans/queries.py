@@ -703,7 +703,7 @@ def leakage_scan(s, d):
     p = P.orders(s, d)
     p = p.withColumns({"twice": 2 * F.col("y"), "result_code": F.col("acctbal")})
     means = p.groupBy("nation").agg(F.avg("y").alias("nation_profile"))
-    p = p.join(means, "nation")
+    p = p.join(means, "nation").cache()
     return rounded(checks.leakage_scan(p, "y", ["twice", "acctbal", "nation_profile", "result_code"], ["nation", "segment"]), 6)
 
 
