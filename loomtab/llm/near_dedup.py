@@ -7,10 +7,12 @@ coordinates make buckets; a pair of similarity 0.85 shares no bucket with probab
 Documents with equal shingle sets form a class, and one member stands for it from there on, so copies never multiply.
 Within buckets pairs are verified on full sets in three rounds, each leaving out what the rounds before have connected:
 each class with the best hub among its buckets' (a hub is a bucket's member with most company in its own buckets); each
-bucket's hub with members of other components; then, in buckets that still hold several components, members outside the
-bucket's largest component with those of other components that could be similar enough, judging by what each set has in
-common with the bucket's hub and, beyond it, with any other set.
-No pair that shares a bucket is left unverified unless it is connected already, and no group is expanded into all pairs.
+bucket's hub with members of other components; then, in buckets that still hold several components, members of different
+ones that share a shingle among the rarest of both. Similar sets always do (prefix filtering): of a set of s shingles, only
+so many of the rarest count as a similar partner may lack, so that shingles of a template, which all members have, do not
+bring them together.
+No similar pair that shares a bucket is left unverified unless it is connected already, and no group is expanded into all
+pairs.
 Hubs are salted by their number of pairs. Components come from alternating large-star and small-star steps.
 
 Null or wordless text has no shingles and links with nothing; a text of fewer than five words is one shingle. Rows with
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -36,8 +38,10 @@ PERCENT = 85
 BANDS, ROWS = 24, 5
 SLICE = 65_536
 SALT_PAIRS = 200
-#: Members of a bucket that meet in one task of the last round.
+#: Sets that meet the others of a rare shingle in one task of the last round.
 MEET = 500
+#: A shingle is frequent if it is one in so many of all rows: fewer than so many shingles are.
+FREQUENT = 1000
 #: Slots of the filter that keeps texts which are not asked for out of a shuffle: what is broadcast is bounded by it.
 SLOTS = 1 << 20
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -188,9 +192,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return full.select("a", "b", "set_a", "set_b").transform(common.map_batches, run, "a long, b long")
 
 
-def _bounds(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, hub, inside, outside. nodes: (node, hub). inside: shingles a set has in common with the hub's set; outside: of
-    its others, those that another set of these nodes has too. Two sets share at most the lesser of each, added up."""
+def _prefixes(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(node, size, label, keys, h, pos): those shingles, rarest first, of which a partner must have one too, if another of
+    the nodes has it. nodes: (node, size, label, keys). pos: the shingle's place in that order, from 1."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,13 +202,41 @@ def _bounds(sets: DataFrame, nodes: DataFrame) -> DataFrame:
                 own = np.frombuffer(data.as_buffer(), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node)), pa.array(own)], ["node", "h"])
 
-    wanted = nodes.select("node").union(nodes.select("hub")).distinct()
-    rows = common.table(sets.join(wanted, "node", "left_semi").select("node", "shingles").transform(common.map_batches, explode, "node long, h long"), "open_shingles")
-    own = rows.join(nodes.select("node").distinct(), "node", "left_semi")
-    twice = own.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h", F.lit(True).alias("shared"))
-    hubs = rows.withColumnRenamed("node", "hub").join(nodes.select("hub").distinct(), "hub", "left_semi").withColumn("of_hub", F.lit(True))
-    met = nodes.join(own.join(twice, "h", "left"), "node").join(hubs, ["hub", "h"], "left")
-    return met.groupBy("node", "hub").agg(F.count("of_hub").alias("inside"), F.count_if(F.col("of_hub").isNull() & F.col("shared").isNotNull()).alias("outside"))
+    rows = common.table(sets.join(nodes.select("node"), "node", "left_semi").select("node", "shingles").transform(common.map_batches, explode, "node long, h long"), "open_shingles")
+    twice = common.table(rows.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "open_counts")
+    # What stands in so many sets meets them where they lie; fewer than FREQUENT shingles can be so frequent.
+    often = f"n * {FREQUENT} > {rows.count()}"
+    hot = F.broadcast(twice.filter(often))
+    met = rows.join(hot, "h").unionByName(rows.join(hot.select("h"), "h", "left_anti").join(twice.filter(f"NOT {often}"), "h"))
+    own = Window.partitionBy("node")
+    met = met.select("node", "h", F.count("*").over(own).alias("met"), F.row_number().over(own.orderBy("n", "h")).alias("nth"))
+    met = met.join(nodes, "node").withColumn("pos", F.col("size") - F.col("met") + F.col("nth"))
+    return met.filter(f"pos <= size - (({percent} * size + 99) div 100) + 1").select("node", "size", "label", "keys", "h", "pos")
+
+
+def _rare_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels and a common bucket that could be similar enough: all such pairs that are.
+
+    Sets of sizes s and t need `both`, the least number of common shingles, so one of the rarest s - both + 1 of the first
+    is among the rarest t - both + 1 of the second. The smaller set of a pair comes in by the places that this leaves it
+    whatever the partner (`given`), the larger by all of its prefix. A shingle whose sets are all connected is left out, and
+    those of its largest component do not meet each other. MEET sets at a time meet what is given."""
+    by_label = prefixes.groupBy("h", "label").agg(F.count("*").alias("n"))
+    main = by_label.groupBy("h").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels"), F.ceil(F.sum("n") / MEET).alias("salts"))
+    rows = common.table(prefixes.join(main.filter("labels > 1").drop("labels"), "h").withColumn("is_main", F.col("label") == F.col("main")).drop("main"), "prefixes")
+    x = rows.withColumn("salt", F.pmod(F.xxhash64("node"), "salts"))
+    given = rows.filter(f"pos <= size - (({2 * percent} * size + {99 + percent}) div {100 + percent}) + 1")
+    y = given.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    both = f"(({percent} * (x.size + y.size) + {99 + percent}) div {100 + percent})"
+    near = F.expr(
+        f"x.h = y.h AND x.salt = y.salt AND x.label <> y.label AND (y.size < x.size OR y.size = x.size AND y.node < x.node) AND 100 * y.size >= {percent} * x.size"
+        f" AND x.pos <= x.size - {both} + 1 AND y.pos <= y.size - {both} + 1 AND arrays_overlap(x.keys, y.keys)"
+    )
+
+    def met(x: DataFrame, y: DataFrame) -> DataFrame:
+        return x.alias("x").join(y.alias("y"), near).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+    return met(x.filter("NOT is_main"), y).unionByName(met(x.filter("is_main"), y.filter("NOT is_main"))).distinct()
 
 
 def components(edges: DataFrame, tag: str = "stars") -> DataFrame:
@@ -259,45 +291,18 @@ def link_classes(signs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> t
     stars = labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionByName(edges2)
     labels = components(stars)
 
-    # Round 3: what lies outside its bucket's largest component, with members of other components; hubs are done.
+    # Round 3: members of buckets that hold several components, by the rare shingles they share; hubs are done.
     known = common.table(labelled(labels).filter("node <> hub"), "members3")
-    counts = known.groupBy("key", "label").agg(F.count("*").alias("n"))
-    main = counts.groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels")).filter("labels > 1").select("key", "main")
-    open_ = common.table(known.join(main, "key").select("key", "node", "hub", "size", "label", (F.col("label") == F.col("main")).alias("is_main")), "open")
-    buckets = open_.groupBy("node").agg(F.collect_set("key").alias("keys"))  # BANDS at most
-    open_ = common.table(open_.join(_bounds(sets, open_.select("node", "hub").distinct()), ["node", "hub"]).join(buckets, "node"), "open_bounds")
-    left, right, near = _able(open_, percent)
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.label") != F.col("y.label")) & (F.col("y.is_main") | (F.col("x.node") < F.col("y.node")))
-    once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key")  # a pair comes from one of its buckets
-    pairs = left.alias("x").join(right.alias("y"), apart & near & once).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    counts = known.select("key", "label").distinct()
+    several = counts.groupBy("key").agg(F.count("*").alias("labels")).filter("labels > 1").select("key")
+    open_ = known.join(several, "key").groupBy("node").agg(F.first("size").alias("size"), F.first("label").alias("label"), F.collect_set("key").alias("keys"))  # BANDS keys at most
+    pairs = _rare_pairs(_prefixes(sets, common.table(open_, "open"), percent), percent)
     edges3 = common.table(verified(common.table(pairs, "pairs3"), sets, percent), "edges3")
     if not edges3.isEmpty():
         labels = components(labels.select(F.col("label").alias("a"), F.col("node").alias("b")).unionByName(edges3))
     return classes, labels
 
 
-def _able(open_: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, Column]:
-    """Members (left: outside the main component, right: all) that may find a partner in their bucket, dealt out by salt,
-    and the condition on a pair (x, y): an exact bound of what two sets can share, by way of the bucket's hub.
-
-    A pair shares at most `least(inside) + least(outside)`. So a set of size s that shares at most c with any other has
-    partners of a size up to c * (100 + percent) / percent - s only; sets for which the bucket holds none so small are left
-    out before any pair is made, and what is left meets MEET left members at a time.
-    """
-    most = F.least("x.inside", "y.inside") + F.least("x.outside", "y.outside")
-    near = 100 * most >= percent * (F.col("x.size") + F.col("y.size") - most)
-    rows = open_.withColumn("limit", F.floor((F.col("inside") + F.col("outside")) * (100 + percent) / percent + 1e-6) - F.col("size"))
-    for tag in ("able1", "able2"):
-        least = rows.groupBy("key").agg(F.min("size").alias("least"), F.max("limit").alias("widest"))
-        # A partner is small enough for this one, and this one for it.
-        rows = common.table(rows.join(least, "key").filter("limit >= least AND size <= widest").drop("least", "widest"), tag)
-    salts = rows.filter("NOT is_main").groupBy("key").agg(F.ceil(F.count("*") / MEET).alias("salts"))
-    rows = rows.join(salts, "key")
-    left = rows.filter("NOT is_main").withColumn("salt", F.pmod(F.xxhash64("node"), "salts"))
-    right = rows.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
-    return left, right, near
-
-
 def group(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """uid, doc_id, n_shingles, class_size, component_id, kept. rows: (uid, doc_id, text), doc_id a long."""
     signs = common.table(signatures(rows), "signatures")

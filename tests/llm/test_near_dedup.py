@@ -66,3 +66,50 @@ def test_repeated_and_null_ids_keep_one_row_of_a_group(spark):
     got = near_dedup.report(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(got) == 7 and sum(r.kept for r in got) == 3
     assert {r.component_id for r in got} == {7, 3}
+
+
+@pytest.fixture
+def last_round(monkeypatch):
+    """Numbers of pairs that the last round sent to verification."""
+    seen, table = [], near_dedup.common.table
+
+    def counted(df, tag):
+        out = table(df, tag)
+        if tag == "pairs3":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup.common, "table", counted)
+    return seen
+
+
+@pytest.mark.parametrize("n", [500, 2000])
+def test_a_template_does_not_bring_its_texts_together(spark, last_round, n):
+    """Texts of one template whose two other passages each stand in one text more; every tenth has a copy with an edit that
+    the hub does not show."""
+    core = [f"c{i}" for i in range(160)]
+    passage = lambda i: [f"p{i % n}x{j}" for j in range(20)]
+    rows = [(i, " ".join(core + passage(i) + passage(i + 1))) for i in range(n)]
+    rows += [(n + i, rows[i][1].rsplit(" ", 1)[0] + f" e{i}") for i in range(0, n, 10)]
+    got = {r.doc_id: r.component_id for r in near_dedup.report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: i % n for i, _ in rows}
+    assert sum(last_round) < 20 * n
+
+
+@pytest.mark.parametrize("meet, percent", [(3, 85), (500, 80), (3, 60)])
+def test_rare_shingles_bring_all_similar_sets_together(spark, monkeypatch, meet, percent):
+    monkeypatch.setattr(near_dedup, "MEET", meet)
+    monkeypatch.setattr(near_dedup, "FREQUENT", 20)
+    dice, sets = random.Random(meet), {}
+    for i in range(120):
+        own = set(range(dice.choice([0, 60, 75, 80]))) | {dice.randrange(1000, 1400) for _ in range(dice.choice([1, 5, 20]))}
+        if i % 3 == 0 and i:
+            own = set(sets[dice.randrange(i)]) | {dice.randrange(1000, 1400) for _ in range(dice.randrange(4))}
+        sets[i] = own
+    label, keys = {i: dice.choice([i, 0]) for i in sets}, {i: dice.sample(range(6), dice.randint(1, 3)) for i in sets}
+    rows = spark.createDataFrame([(i, np.array(sorted(s), np.int64).tobytes()) for i, s in sets.items()], "node long, shingles binary")
+    nodes = spark.createDataFrame([(i, len(s), label[i], keys[i]) for i, s in sets.items()], "node long, size long, label long, keys array<long>")
+    got = {(r.a, r.b) for r in near_dedup._rare_pairs(near_dedup._prefixes(rows, nodes, percent), percent).collect()}
+    able = {(a, b) for a in sets for b in sets if a < b and label[a] != label[b] and set(keys[a]) & set(keys[b])}
+    near = {(a, b) for a, b in able if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    assert near and near <= got <= able and len(got) < len(able)
