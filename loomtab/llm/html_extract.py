@@ -5,17 +5,16 @@ OPEN), furniture by tag, role or hiding (OUTSIDE), or furniture by a word of its
 pages are joined into one; its suffixes are sorted to the depth of RUN tokens, and equal neighbours show the runs that
 recur on distinct pages. Recurrence then decides:
 - OPEN: a block goes when runs that stand on two different pages of the host cover most of it; its unique runs stay.
-- ARTICLE: a block goes when it recurs on nearly all pages of a host with many different ones, and the rest of the article
-  outweighs what goes. Quoted passages and paragraphs that many stories share stay.
+- ARTICLE: stays, on however many pages of the host it recurs: quoted passages and paragraphs that stories share are text.
 - WEAK: goes, unless the page has no other text; then it is judged as OPEN.
 - OUTSIDE: goes.
 Pages are told apart by their content (the set of their blocks of a run or more), so copies of a page count as one, and a
 copied article stays however many there are. A page that would lose all is a copy too and keeps its text.
 
 A host of up to GROUP_PAGES pages is one group. A larger one is dealt out in pieces: suffix arrays of the pages at hand give
-its runs, which are merged over the host by (host, bucket of keys); each piece gets the verdicts on its own. Every run is
-exchanged where the host has pages that mark no article; else the runs that judge the blocks of articles (the first, the
-last and the one of least key, of every block). Groups only bound memory: a page's text depends on its host's pages alone.
+its runs, which are merged over the host by (host, bucket of keys); each piece gets the verdicts on its own. Runs are
+exchanged where the host has pages that mark no article. Groups only bound memory: a page's text depends on its host's
+pages alone.
 Runs are told apart by 64-bit keys within a host.
 
 Null html is the empty page: empty text. Null url is a host of its own; equal rows each give a row; null page_ids stay; an
@@ -29,7 +28,6 @@ import html as entities
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +40,6 @@ from . import common
 RUN = 8
 GROUP_PAGES = 256
 GROUP_BYTES = 8 << 20
-#: A block of an article goes when it is on this share of the pages of a host, and on so many different ones at least.
-NEARLY_ALL, WELL_FILLED = 0.9, 50
 #: An open block goes when recurring runs cover this share of its tokens.
 MOSTLY = 0.9
 
@@ -282,50 +278,6 @@ class Pages:
         keys = _run_keys(self.hashes[self.tokens], order[new])
         return order, new, keys
 
-    def probes(self, order: np.ndarray, new: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(block, key): the units that judge a block of an article: its first, last and least run; a short one whole. They
-        are counted wherever they are a block's first, last or least run, in an article or not."""
-        long = np.flatnonzero(self.counts >= RUN)
-        by_place = np.zeros(len(self.tokens), np.int64)
-        by_place[order] = keys[np.cumsum(new) - 1]
-        least = np.full(len(self.counts), np.iinfo(np.int64).max)
-        np.minimum.at(least, self.block[order], by_place[order])
-        short = np.flatnonzero((self.counts > 0) & (self.counts < RUN))
-        found = [by_place[(self.ends - self.counts)[long]], by_place[self.ends[long] - RUN], least[long], self.whole[short]]
-        return np.concatenate([long, long, long, short]), np.concatenate(found)
-
-
-def _spread(keys: np.ndarray, content: np.ndarray, n: np.ndarray, extra: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """Sums of n over equal (extra, key, content), of which each (extra, key) keeps the WELL_FILLED least contents; what the
-    others have goes to the first of them."""
-    extra = np.zeros(len(keys), np.int64) if extra is None else extra
-    order = np.lexsort((content, keys, extra))
-    keys, content, n, extra = keys[order], content[order], n[order], extra[order]
-    of_key = np.ones(len(keys), bool)
-    of_key[1:] = (keys[1:] != keys[:-1]) | (extra[1:] != extra[:-1])
-    of_pair = of_key.copy()
-    of_pair[1:] |= content[1:] != content[:-1]
-    total = np.add.reduceat(n, np.flatnonzero(of_pair)) if len(n) else n
-    keys, content, extra, first = keys[of_pair], content[of_pair], extra[of_pair], of_key[of_pair]
-    start = np.flatnonzero(first)[np.cumsum(first) - 1] if len(first) else np.zeros(0, np.int64)
-    kept = np.arange(len(keys)) - start < WELL_FILLED
-    np.add.at(total, start[~kept], total[~kept])
-    return extra[kept], keys[kept], content[kept], total[kept]
-
-
-def nearly_everywhere(keys: np.ndarray, content: np.ndarray, n: np.ndarray, n_host: int) -> np.ndarray:
-    """Keys, in order, that are on nearly all pages of a host and in enough contents. One row for each key, content and n."""
-    _, keys, _, n = _spread(keys, content, n)
-    first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0) if len(keys) else np.zeros(0, np.int64)
-    total, contents = np.add.reduceat(n, first) if len(first) else n, np.diff(np.append(first, len(keys)))
-    return keys[first][(total >= NEARLY_ALL * n_host) & (contents >= WELL_FILLED)]
-
-
-def _of_pages(block: np.ndarray, key: np.ndarray, of: Pages) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(page, key, content) of probes, each once a page."""
-    pairs = np.unique(np.stack([of.owner[block], key]), axis=1)
-    return pairs[0], pairs[1], of.content[pairs[0]]
-
 
 def _in(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     if not len(known):
@@ -333,15 +285,8 @@ def _in(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
 
 
-class Verdicts(NamedTuple):
-    """What recurs on a host: keys of units on two contents or more, and of probes that are nearly everywhere; ascending."""
-
-    shared: np.ndarray
-    everywhere: np.ndarray
-
-
-def judge_host(of: Pages, runs: tuple) -> Verdicts:
-    """Verdicts on a host whose pages are all at hand."""
+def judge_host(of: Pages, runs: tuple) -> np.ndarray:
+    """Keys of units on two contents or more, ascending; the host's pages are all at hand."""
     order, new, keys = runs
     content = of.content[of.owner[of.block[order]]]
     first, last = content[new], content[np.append(np.flatnonzero(new)[1:], len(content)) - 1] if len(content) else content
@@ -349,54 +294,39 @@ def judge_host(of: Pages, runs: tuple) -> Verdicts:
     short = np.flatnonzero((of.counts > 0) & (of.counts < RUN))
     pairs = np.unique(np.stack([of.whole[short], of.content[of.owner[short]]]), axis=1)[0]
     shared.append(pairs[1:][pairs[1:] == pairs[:-1]])
-    everywhere = np.zeros(0, np.int64)
-    if len(of.pages) >= WELL_FILLED:
-        page, key, content = _of_pages(*of.probes(*runs), of)
-        everywhere = nearly_everywhere(key, content, np.ones(len(key), np.int64), len(of.pages))
-    return Verdicts(np.unique(np.concatenate(shared)), everywhere)
+    return np.unique(np.concatenate(shared))
 
 
-def main_texts(pages: list[list[tuple[int, str]]], known: Verdicts | None = None) -> list[str]:
-    """Main text of each of the pages. They are all of their host, or known has the host's verdicts."""
+def main_texts(pages: list[list[tuple[int, str]]], known: np.ndarray | None = None) -> list[str]:
+    """Main text of each of the pages. They are all of their host, or known has the keys that recur on the host, ascending."""
     return [text for text, _, _ in _extracted(pages, known)]
 
 
-def _extracted(pages: list[list[tuple[int, str]]], known: Verdicts | None = None) -> list[tuple[str, int, int]]:
+def _extracted(pages: list[list[tuple[int, str]]], known: np.ndarray | None = None) -> list[tuple[str, int, int]]:
     """Main text of each page, and the numbers of blocks that markup and recurrence took."""
     of = Pages(pages)
     judged = len(pages) > 1 or known is not None
     runs = of.runs() if judged else (np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64))
     if known is None:
-        known = judge_host(of, runs) if judged else Verdicts(runs[2], runs[2])
+        known = judge_host(of, runs) if judged else runs[2]
     order, new, keys = runs
     shared = np.zeros(len(of.tokens), bool)
     if len(order):
-        shared = _covered(len(of.tokens), of.ends[of.block], order, _in(keys, known.shared)[np.cumsum(new) - 1].astype(np.int64)) > 0
+        shared = _covered(len(of.tokens), of.ends[of.block], order, _in(keys, known)[np.cumsum(new) - 1].astype(np.int64)) > 0
     short = of.counts < RUN
-    shared = np.where(short[of.block], _in(of.whole, known.shared)[of.block], shared)
+    shared = np.where(short[of.block], _in(of.whole, known)[of.block], shared)
     covered = np.bincount(of.block, shared, len(of.counts))
-    # A block of an article goes if none of its probes is missing among those that are nearly everywhere.
-    goes = np.zeros(len(of.counts), bool)
-    if len(known.everywhere):
-        block, key = of.probes(*runs)
-        goes[block] = True
-        goes[block[~_in(key, known.everywhere)]] = False
     out, nth = [], 0
     for page in pages:
         a, nth = nth, nth + len(page)
         kinds = of.kind[a:nth]
         if not ((kinds == ARTICLE) | (kinds == OPEN)).any():  # nothing but what a name marks: names may mislead
             kinds = np.where(kinds == WEAK, OPEN, kinds)
-        rest = (kinds == ARTICLE) & ~goes[a:nth]
-        copied = 2 * of.counts[a:nth][rest].sum() < of.counts[a:nth][kinds == ARTICLE].sum()
         kept, whole, taken = [], [], 0
         for i, (_, text) in enumerate(page, a):
             kind = kinds[i - a]
             if kind == ARTICLE:
-                if copied or not goes[i]:
-                    kept.append(text)
-                else:
-                    taken += 1
+                kept.append(text)
             elif kind == OPEN:
                 whole.append(text)
                 if covered[i] < MOSTLY * of.counts[i] or not of.counts[i]:
@@ -428,7 +358,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), kinds, text], [*names, "kinds", "blocks"])
 
 
-_SHARE = "host string, piece long, bucket long, n_host long, run array<long>, low array<long>, high array<long>, probe array<long>, content array<long>, n array<int>"
+_SHARE = "host string, piece long, bucket long, run array<long>, low array<long>, high array<long>"
 
 
 def _lists(values: np.ndarray, edges: np.ndarray) -> pa.ListArray:
@@ -436,78 +366,60 @@ def _lists(values: np.ndarray, edges: np.ndarray) -> pa.ListArray:
 
 
 def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What the pages at hand have to say of their large hosts, by host, piece and bucket of keys: runs with the least and
-    the greatest content they are in (of hosts with an open page), and probes with contents and pages."""
+    """Runs of the pages at hand, by host, piece and bucket of keys, with the least and the greatest content they are in."""
     for batch in batches:
         for chunk in common.chunks(batch, "html", GROUP_BYTES):
-            where = list(zip(*(chunk.column(c).to_pylist() for c in ("host", "piece", "pieces", "n_host", "any_open")), strict=True))
+            where = list(zip(*(chunk.column(c).to_pylist() for c in ("host", "piece", "pieces")), strict=True))
             html = common.texts(chunk.column("html"))
             turn = sorted(range(len(where)), key=where.__getitem__)
             parts = sorted(set(where))
             number = {w: i for i, w in enumerate(parts)}
             of = Pages([blocks(html[i].as_py()) for i in turn])
             part = np.array([number[where[i]] for i in turn], np.int64)  # of a page
-            runs = of.runs()
-            page, probe, content = _of_pages(*of.probes(*runs), of)
-            at, probe, content, n = _spread(probe, content, np.ones(len(probe), np.int64), part[page])
-            # Runs of hosts with open pages: each (part, run) once.
-            order, new, keys = runs
-            place_part = part[of.owner[of.block[order]]]
-            wide = np.array([w[4] for w in parts], bool)
-            use = wide[place_part]
-            short = np.flatnonzero((of.counts > 0) & (of.counts < RUN) & wide[part[of.owner]])
-            key = np.concatenate([keys[np.cumsum(new) - 1][use], of.whole[short]]) if len(order) else of.whole[short]
-            in_part = np.concatenate([place_part[use], part[of.owner[short]]])
-            text = np.concatenate([of.content[of.owner[of.block[order[use]]]], of.content[of.owner[short]]])
-            turn = np.lexsort((text, key, in_part))
-            key, in_part, text = key[turn], in_part[turn], text[turn]
+            order, new, keys = of.runs()
+            page = of.owner[of.block[order]]
+            short = np.flatnonzero((of.counts > 0) & (of.counts < RUN))
+            key = np.concatenate([keys[np.cumsum(new) - 1], of.whole[short]]) if len(order) else of.whole[short]
+            in_part = np.concatenate([part[page], part[of.owner[short]]])
+            text = np.concatenate([of.content[page], of.content[of.owner[short]]])
+            # Each (part, run) once, in order of its bucket; a part has as many buckets as its host has pieces.
+            bucket = key.view(np.uint64) % np.array([w[2] for w in parts], np.uint64)[in_part]
+            turn = np.lexsort((text, key, bucket, in_part))
+            key, in_part, text, bucket = key[turn], in_part[turn], text[turn], bucket[turn].astype(np.int64)
             first = np.flatnonzero((np.diff(key, prepend=~key[:1]) != 0) | (np.diff(in_part, prepend=-1) != 0))
             last = np.append(first[1:], len(key)) - 1 if len(first) else first
-            run, run_part, low, high = key[first], in_part[first], text[first], text[last]
-            # Buckets: as many as pieces where all runs are exchanged, else an eighth.
-            buckets = np.array([w[2] if w[4] else -(-w[2] // 8) for w in parts], np.uint64)
-            both = np.concatenate([run_part, at]), np.concatenate([run, probe]).view(np.uint64)
-            bucket = (both[1] % buckets[both[0]]).astype(np.int64) if len(both[0]) else np.zeros(0, np.int64)
-            cells, cell = np.unique(np.stack([both[0], bucket]), axis=1, return_inverse=True)
-            cell = cell.reshape(-1)
-            by_run, by_probe = np.argsort(cell[: len(run)], kind="stable"), np.argsort(cell[len(run) :], kind="stable")
-            run_ends, probe_ends = (np.concatenate([[0], np.cumsum(np.bincount(c, minlength=cells.shape[1]))]) for c in (cell[: len(run)], cell[len(run) :]))
+            cells, at = np.unique(np.stack([in_part[first], bucket[first]]), axis=1, return_index=True)
+            ends = np.append(at, len(first))
             hosts = pa.array([w[0] for w in parts], pa.string()).take(pa.array(cells[0]))
-            pieces, n_host = (pa.array(np.array([w[j] for w in parts], np.int64)[cells[0]]) for j in (1, 3))
-            values = [_lists(x[by_run], run_ends) for x in (run, low, high)] + [_lists(x[by_probe], probe_ends) for x in (probe, content, n.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([hosts, pieces, pa.array(cells[1]), n_host, *values], ["host", "piece", "bucket", "n_host", "run", "low", "high", "probe", "content", "n"])
+            pieces = pa.array(np.array([w[1] for w in parts], np.int64)[cells[0]])
+            values = [_lists(x, ends) for x in (key[first], text[first], text[last])]
+            yield pa.RecordBatch.from_arrays([hosts, pieces, pa.array(cells[1]), *values], ["host", "piece", "bucket", "run", "low", "high"])
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Verdicts on the keys of each (host, bucket), to each piece that has the key."""
+    """Keys of each (host, bucket) that recur, to each piece that has the key."""
     own, rows = None, []
 
-    def joined(j: int) -> np.ndarray:
-        return np.concatenate([r[j] for r in rows])
-
     def done() -> pa.RecordBatch:
-        run, low, high, probe, content, n = (joined(j) for j in range(2, 8))
+        run, low, high = (np.concatenate([r[j] for r in rows]) for j in (1, 2, 3))
         kinds, code = np.unique(run, return_inverse=True)
         least, most = np.full(len(kinds), np.iinfo(np.int64).max), np.full(len(kinds), np.iinfo(np.int64).min)
         np.minimum.at(least, code, low)
         np.maximum.at(most, code, high)
-        everywhere = nearly_everywhere(probe, content, n.astype(np.int64), rows[0][1])
-        pieces, out = np.unique(np.array([r[0] for r in rows], np.int64)), []
-        for keys, hit, j in ((run, (least < most)[code], 2), (probe, _in(probe, everywhere), 5)):
-            piece = np.repeat(np.array([r[0] for r in rows], np.int64), [len(r[j]) for r in rows])
-            pairs = np.unique(np.stack([piece[hit], keys[hit]]), axis=1)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(np.searchsorted(pieces, pairs[0]), minlength=len(pieces)))])
-            out.append(_lists(pairs[1], ends))
-        return pa.RecordBatch.from_arrays([pa.array([own[0]] * len(pieces), pa.string()), pa.array(pieces), *out], ["host", "piece", "shared", "everywhere"])
+        hit = (least < most)[code]
+        piece = np.repeat(np.array([r[0] for r in rows], np.int64), [len(r[1]) for r in rows])
+        pairs = np.unique(np.stack([piece[hit], run[hit]]), axis=1)
+        pieces, at = np.unique(pairs[0], return_index=True)
+        return pa.RecordBatch.from_arrays([pa.array([own[0]] * len(pieces), pa.string()), pa.array(pieces), _lists(pairs[1], np.append(at, len(pairs[0])))], ["host", "piece", "shared"])
 
     for batch in batches:
-        columns = [batch.column(c) for c in ("run", "low", "high", "probe", "content", "n")]
-        for i, (host, piece, bucket, n_host) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "piece", "bucket", "n_host")), strict=True)):
+        columns = [batch.column(c) for c in ("run", "low", "high")]
+        for i, (host, piece, bucket) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("host", "piece", "bucket")), strict=True)):
             if own != (host, bucket):
                 if rows:
                     yield done()
                 own, rows = (host, bucket), []
-            rows.append((piece, n_host, *(c[i].values.to_numpy() for c in columns)))
+            rows.append((piece, *(c[i].values.to_numpy() for c in columns)))
     if rows:
         yield done()
 
@@ -532,10 +444,10 @@ def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if own != (host, piece):
                 own, given, known = (host, piece), [], None
             if not is_page:
-                given.append(tuple(batch.column(c)[i].values.to_numpy() for c in ("shared", "everywhere")))
+                given.append(batch.column("shared")[i].values.to_numpy())
                 continue
             if known is None and piece is not None:
-                known, given = Verdicts(*(np.unique(np.concatenate([np.zeros(0, np.int64), *(g[j] for g in given)])) for j in (0, 1))), []
+                known, given = np.unique(np.concatenate([np.zeros(0, np.int64), *given])), []
             ids.append(page_id)
             urls.append(url)
             held.append(list(zip(kinds, text, strict=True)))
@@ -552,17 +464,16 @@ def extract(pages: DataFrame) -> DataFrame:
     is_open = ~F.coalesce(F.col("html").rlike(MARKED), F.lit(False))
     by_host = rows.groupBy("host").agg(F.count("*").alias("n_host"), F.sum(F.octet_length("html")).alias("bytes"), F.max(is_open).alias("any_open"))
     large = by_host.withColumn("pieces", F.ceil(F.greatest(F.col("n_host") / GROUP_PAGES, F.coalesce("bytes", F.lit(0)) / GROUP_BYTES))).filter("pieces > 1")
-    large = common.table(large.select("host", "n_host", "pieces", "any_open"), "large_hosts")
+    large = common.table(large.select("host", "pieces", "any_open"), "large_hosts")
     n_large = large.count()
     piece = F.pmod(F.xxhash64("page_id", "url", "html"), "pieces")
     marked = rows.join(F.broadcast(large) if n_large < 10_000 else large, "host", "left").withColumn("piece", piece)
     near = marked.select("page_id", "url", "host", "piece", "html").transform(common.map_batches, _parse, _PAGE)
-    none = F.lit(None).cast("array<bigint>")
-    near = near.withColumns({"is_page": F.lit(True), "shared": none, "everywhere": none})
+    near = near.withColumns({"is_page": F.lit(True), "shared": F.lit(None).cast("array<bigint>")})
     if n_large:
-        shares = marked.filter("pieces IS NOT NULL").select("host", "piece", "pieces", "n_host", "any_open", "html").transform(common.map_batches, _propose, _SHARE)
+        shares = marked.filter("any_open").select("host", "piece", "pieces", "html").transform(common.map_batches, _propose, _SHARE)
         shares = shares.repartition("host", "bucket").sortWithinPartitions("host", "bucket")
-        verdicts = shares.transform(common.map_batches, _merge, "host string, piece long, shared array<long>, everywhere array<long>")
+        verdicts = shares.transform(common.map_batches, _merge, "host string, piece long, shared array<long>")
         near = near.unionByName(verdicts.withColumn("is_page", F.lit(False)), allowMissingColumns=True)
     near = near.repartition("host", "piece").sortWithinPartitions("host", "piece", "is_page", "page_id", "url")
     return near.transform(common.map_batches, _choose, "page_id long, url string, text string, n_chars long, n_blocks long, n_by_markup long, n_by_recurrence long")

@@ -21,28 +21,19 @@ def naive(pages):
         long = frozenset(t for k, t in page if k in (H.ARTICLE, H.OPEN) and len(t.split()) >= H.RUN)
         contents.append(long or frozenset(t for _, t in page))
     where = collections.defaultdict(set)  # unit: contents
-    probes = collections.defaultdict(set)  # unit: pages
-    by_key = {}
     for i, page in enumerate(found):
         for _, text in page:
             w = text.split(" ")
             for u in units(w):
                 where[u].add(contents[i])
-            for u in probes_of(units(w), by_key):
-                probes[u].add(i)
-    nearly = {u for u, p in probes.items() if len(p) >= H.NEARLY_ALL * len(pages) and len({contents[i] for i in p}) >= H.WELL_FILLED}
     out = []
     for page in found:
         kinds = [k for k, _ in page]
         if not {H.ARTICLE, H.OPEN} & set(kinds):
             kinds = [H.OPEN if k == H.WEAK else k for k in kinds]
-        goes = [set(probes_of(units(t.split(" ")), by_key)) <= nearly for _, t in page]
-        size = [len(t.split(" ")) for _, t in page]
-        article = sum(n for n, k in zip(size, kinds) if k == H.ARTICLE)
-        copied = 2 * sum(n for n, k, g in zip(size, kinds, goes) if k == H.ARTICLE and not g) < article
         kept, whole = [], []
-        for (_, text), kind, gone in zip(page, kinds, goes):
-            if kind == H.ARTICLE and (copied or not gone):
+        for (_, text), kind in zip(page, kinds):
+            if kind == H.ARTICLE:
                 kept.append(text)
             if kind == H.OPEN:
                 whole.append(text)
@@ -65,15 +56,6 @@ def naive(pages):
     return out
 
 
-def probes_of(units, by_key):
-    """First, last and least unit of a block; the least one by the operator's own keys."""
-    for u in units:
-        if u not in by_key:
-            h = H._hashes(H.pa.array(u))
-            by_key[u] = int(H._run_keys(h, np.array([0]))[0]) if len(u) == H.RUN else 0
-    return [units[0], units[-1], min(units, key=by_key.get)]
-
-
 def page_of(dice, words, shapes):
     pick = lambda n: " ".join(dice.choice(words) for _ in range(n))
     made = []
@@ -124,9 +106,10 @@ def test_copied_articles_stay_whole(spark, copies):
         assert all(got[i] == article for i in range(copies))
 
 
-def test_a_paragraph_that_stories_share_stays_in_their_articles():
+@pytest.mark.parametrize("n", [2, 25, 49, 50, 300])
+def test_a_paragraph_that_stories_share_stays_in_their_articles(n):
     common = "this paragraph on the rules of the contest stands in every one of the stories of this host"
-    pages = [f"<article><h1>Story {i}</h1><p>{common}</p><p>" + " ".join(f"s{i}w{j}" for j in range(40)) + "</p></article>" for i in range(25)]
+    pages = [f"<article><h1>Story {i}</h1><p>{common}</p><p>" + " ".join(f"s{i}w{j}" for j in range(40)) + "</p></article>" for i in range(n)]
     assert all(common in t for t in H.main_texts([H.blocks(p) for p in pages]))
 
 
