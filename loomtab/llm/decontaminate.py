@@ -4,12 +4,14 @@ The words of all test items go into one suffix automaton. A document's words str
 for the longest suffix read so far that occurs in some item, and `length` for how long it is. A document word is hit
 when it lies inside an occurrence of a window: `window` consecutive words of an item, or a whole shorter item.
 
-The automaton is built from blocks of items of at most BLOCK_WORDS words, so what is broadcast has a fixed bound; the
-documents pass each block in turn and the hits add up. (A benchmark of usual size is one block, and one narrow pass.)
+Items are dealt to blocks of about BLOCK_WORDS words by a prefix sum of their words; longer items are cut into pieces
+that share window - 1 words, which loses no window. A task builds the automaton of a block and writes it to the shared
+folder; nothing but the files' names comes to the driver. Documents are read once: a task holds one automaton at a time and
+takes each batch of documents through all of them. (A benchmark of usual size is one block, which a worker keeps.)
 
 Null or wordless text has no words, no hits and stays. Items without words are never found. Equal items each count. Rows
 are scanned one by one, so repeated documents and equal or null doc_ids give a row each; an empty table of documents gives
-an empty result, an empty benchmark no hits; columns other than doc_id and text are carried along or not looked at, and names
+an empty result, an empty benchmark no hits; items of null id count as one of the empty id; columns other than doc_id and text are carried along or not looked at, and names
 that clash are told apart by a prefix. Texts are scanned whole: a task holds a batch or one longer text, and some 60 bytes for
 each of its words.
 """
@@ -18,12 +20,15 @@ from __future__ import annotations
 
 import hashlib
 import pickle
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
@@ -142,60 +147,79 @@ class Automaton:
         return [(a, b) for a, b in spans], items
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """Items in blocks of at most block_words words (a longer item alone), read one partition at a time."""
-    block: list[tuple[str, list[bytes]]] = []
-    size = 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    for row in rows.filter("text is not null").toLocalIterator():
-        item = words(row.text)
-        if block and size + len(item) > block_words:
-            yield block
-            block, size = [], 0
-        block.append((row.item_id or "", item))
-        size += len(item)
-    if block:
-        yield block
+def pieces(benchmark: DataFrame, window: int = WINDOW, most: int = BLOCK_WORDS) -> DataFrame:
+    """key, words (parted by spaces), n: items in lower case, cut into pieces of at most `most` words (twice the window at
+    least) that share window - 1 words with the next. Pieces that say the same of the same item stand once."""
+    most = max(most, 2 * window)
 
-
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, prefix: str = "", finish=None) -> DataFrame:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, parts = [], []
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                item = words(text)
+                last = max(len(item) - window, 0) if len(item) > most else 0  # where the last window starts
+                own = [item[at : at + most] for at in range(0, last + 1, most - window + 1)] if item else []
+                keys += [key] * len(own)
+                parts += own
+            columns = [pa.array(keys, pa.string()), pa.array([b" ".join(x).decode() for x in parts], pa.string()), pa.array(list(map(len, parts)), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "words", "n"])
+
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("key"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
+    return items.transform(common.map_batches, cut, "key string, words string, n long").distinct()
+
+
+def write_automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list[str]:
+    """Names of the files with the automata of all items, each built by a task from at most block_words words, or four times
+    the window where that is more."""
+    half = max(1, block_words // 2)  # a block is what starts in a stretch of half of its words; the last piece may reach beyond it
+    rows = common.table(pieces(benchmark, window, half).withColumn("luck", F.xxhash64("key", "words")).withColumn("slot", F.shiftright("luck", 48)), "items")
+    slots = rows.groupBy("slot").agg(F.sum("n").alias("all"))
+    base = slots.select("slot", (F.sum("all").over(Window.orderBy("slot")) - F.col("all")).alias("base"))  # over 65,536 slots at most
+    inside = Window.partitionBy("slot").orderBy("luck", "key", "words")
+    start = F.col("base") + F.sum("n").over(inside) - F.col("n")
+    dealt = rows.join(base, "slot").select(F.floor(start / half).alias("block"), "key", "words")
+    folder = common.fresh_dir(benchmark.sparkSession, "automata")
+
+    def build(block: pd.DataFrame) -> pd.DataFrame:
+        items = sorted((k, w.encode().split()) for k, w in zip(block["key"], block["words"], strict=True))
+        path = f"{folder}/{uuid.uuid4().hex}"  # of the attempt, so that a lost or second one leaves no trace in the list
+        common.write_file(path, pickle.dumps(Automaton(items, window)))
+        return pd.DataFrame({"block": block["block"].iloc[:1], "path": [path]})
+
+    built = common.spread(dealt, "block").groupBy("block").applyInPandas(build, "block long, path string")
+    return [r.path for r in built.orderBy("block").collect()]  # a line for each block of words
+
+
+def _scanner(paths: list[str]) -> Callable[[list[str | None]], list[tuple[int, list[int], list[str]]]]:
+    """What gives n_words, spans and items of each of a batch of texts, with one automaton in memory at a time."""
+
+    def scan(texts: list[str | None]) -> list[tuple[int, list[int], list[str]]]:
+        out = [(len(words(t)), [], []) for t in texts] if len(paths) != 1 else [(0, [], [])] * len(texts)
+        for path in paths:
+            automaton = common.kept(path, lambda path=path: pickle.loads(common.read_file(path)))
+            for i, text in enumerate(texts):
+                read = words(text)
+                got, found = automaton.scan(read)
+                out[i] = (len(read), _merge(got, out[i][1]), sorted({*out[i][2], *found}))
+        return out
+
+    return scan
+
+
+def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, prefix: str = "") -> DataFrame:
     """docs with n_words, spans (starts and ends of hit words, in turn) and items (ids of items found, sorted).
 
-    The three names take a prefix where docs has columns of these names. finish(batch, n_words, spans) may make the last
-    block's pass give batches of docs' own columns instead."""
-    out = docs.withColumns({f"{prefix}n_words": F.lit(-1).cast("long"), f"{prefix}spans": F.array().cast("array<int>"), f"{prefix}items": F.array().cast("array<string>")})
-    blocks = iter(_blocks(benchmark, block_words))
-    block, count = next(blocks, []), 0
-    while block is not None:
-        out = common.table(out, "hits") if count else out
-        after = next(blocks, None)
-        out, count, block = _pass(out, block, window, prefix, docs.schema, finish if after is None else None), count + 1, after
-    return out
+    The three names take a prefix where docs has columns of these names. The automata are built when this is called."""
+    scan = _scanner(write_automata(benchmark, window, block_words))
+    own = [T.StructField(prefix + "n_words", T.LongType()), T.StructField(prefix + "spans", T.ArrayType(T.IntegerType())), T.StructField(prefix + "items", T.ArrayType(T.StringType()))]
 
-
-def _pass(docs: DataFrame, block: list[tuple[str, list[bytes]]], window: int, prefix: str, schema, finish) -> DataFrame:
-    packed = pickle.dumps(Automaton(block, window))
-    shared, key = docs.sparkSession.sparkContext.broadcast(packed), f"automaton {hashlib.sha256(packed).hexdigest()}"
-    own = [prefix + c for c in ("n_words", "spans", "items")]
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = common.kept(key, lambda: pickle.loads(shared.value))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in common.chunks(batch, "text"):
-                n, spans, items = [], [], []
-                for text, old, keys in zip(common.texts(piece.column("text")).to_pylist(), piece.column(own[1]).to_pylist(), piece.column(own[2]).to_pylist(), strict=True):
-                    read = words(text)
-                    got, found = automaton.scan(read)
-                    n.append(len(read))
-                    spans.append(_merge(got, old))
-                    items.append(sorted({*keys, *found}))
-                if finish:
-                    yield finish(piece, n, spans, automaton)
-                    continue
-                new = dict(zip(own, (pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))), strict=True))
-                yield pa.RecordBatch.from_arrays([new[c] if c in own else piece.column(c) for c in piece.schema.names], piece.schema.names)
-
-    return docs.transform(common.map_batches, scan, schema if finish else docs.schema)
+            n, spans, items = map(list, zip(*scan(batch.column("text").to_pylist()), strict=True)) if batch.num_rows else ([], [], [])
+            new = [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *(f.name for f in own)])
+
+    return docs.transform(common.map_batches, run, T.StructType([*docs.schema.fields, *own]))
 
 
 def _merge(spans: list[tuple[int, int]], old: list[int]) -> list[int]:
@@ -230,60 +254,32 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_span:
     """docs with hit spans cut out of their texts; documents beyond max_span hit words in a row or max_coverage of all go.
 
     Documents without a hit pass unchanged, byte for byte; of others the spans are cut from the first character of the
-    first hit word to the last of the last one, and again what comes together over a cut, until nothing is hit. Limits are on
-    all that is cut, against the words of the whole document. Columns are those of docs.
+    first hit word to the last of the last one, and again what comes together over a cut, until nothing is hit in
+    any block. Limits are on all that is cut, against the words of the whole document. Columns are those of docs.
     """
-    names, prefix = docs.columns, common.free_name(docs, "hit_")
-
-    def cut(batch: pa.RecordBatch, n_words: list[int], spans: list[list[int]], automaton: Automaton) -> pa.RecordBatch:
-        keep, text = [], []
-        for t, n, own in zip(batch.column("text").to_pylist(), n_words, spans, strict=True):
-            total, good = 0, True
-            while own and good:
-                hit = [b - a for a, b in zip(own[::2], own[1::2])]
-                total += sum(hit)
-                good = max(hit) <= max_span and total <= max_coverage * n
-                t = cut_spans(t, own) if good else t
-                own = _merge(automaton.scan(words(t))[0], []) if good else []
-            keep.append(good)
-            text.append(t)
-        new = pa.array(text, pa.string())
-        return pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in names], names).filter(pa.array(keep, pa.bool_()))
-
-    if sum(1 for _ in _blocks(benchmark, block_words)) <= 1:
-        return find_hits(docs, benchmark, window, block_words, prefix=prefix, finish=cut)
-    return _clean_in_rounds(docs, benchmark, window, max_span, max_coverage, block_words, prefix)
-
-
-def _clean_in_rounds(docs: DataFrame, benchmark: DataFrame, window: int, max_span: int, max_coverage: float, block_words: int, prefix: str) -> DataFrame:
-    """clean() over several blocks: a round finds the hits of all blocks, cuts them, and hands on the words of the original text
-    and how many have been cut; it ends when nothing is hit."""
-    names, total, size, hit = docs.columns, f"{prefix}total", f"{prefix}size", f"{prefix}new"
-    out = docs.withColumns({total: F.lit(0).cast("long"), size: F.lit(-1).cast("long")})
+    names, scan = docs.columns, _scanner(write_automata(benchmark, window, block_words))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {c: batch.column(c).to_pylist() for c in ("text", total, size, f"{prefix}n_words", f"{prefix}spans")}
-            new: dict[str, list] = {"text": [], total: [], size: [], hit: []}
-            keep = []
-            for text, done, n, now, own in zip(*rows.values(), strict=True):
-                n, parts = n if n >= 0 else now, [b - a for a, b in zip(own[::2], own[1::2])]
-                done += sum(parts)
-                good = not parts or max(parts) <= max_span and done <= max_coverage * n
-                keep.append(good)
-                for c, v in (("text", cut_spans(text, own) if parts and good else text), (total, done), (size, n), (hit, bool(parts))):
-                    new[c].append(v)
-            made = {"text": pa.array(new["text"], pa.string()), total: pa.array(new[total], pa.int64()), size: pa.array(new[size], pa.int64()), hit: pa.array(new[hit], pa.bool_())}
-            cols = [*names, total, size, hit]
-            yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c) for c in cols], cols).filter(pa.array(keep, pa.bool_()))
-
-    while True:
-        found = find_hits(out, benchmark, window, block_words, prefix=prefix)
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema) + f", `{hit}` boolean"
-        found = common.table(found.transform(common.map_batches, cut, schema), "cut")
-        out = found.drop(hit)
-        if found.filter(F.col(hit)).isEmpty():
-            return out.select(*[F.col(f"`{c}`") for c in names])
+            text = batch.column("text").to_pylist()
+            total, n_words, keep = [0] * len(text), [0] * len(text), [True] * len(text)
+            todo, first = list(range(len(text))), True
+            while todo:
+                again = []
+                for i, (n, own, _) in zip(todo, scan([text[i] for i in todo]), strict=True):
+                    n_words[i] = n if first else n_words[i]
+                    if own:
+                        hit = [b - a for a, b in zip(own[::2], own[1::2])]
+                        total[i] += sum(hit)
+                        keep[i] = max(hit) <= max_span and total[i] <= max_coverage * n_words[i]
+                        if keep[i]:
+                            text[i] = cut_spans(text[i], own)
+                            again.append(i)
+                todo, first = again, False
+            new = pa.array(text, pa.string())
+            yield pa.RecordBatch.from_arrays([new if c == "text" else batch.column(c) for c in names], names).filter(pa.array(keep, pa.bool_()))
+
+    return docs.transform(common.map_batches, cut, docs.schema)
 
 
 def cut_spans(text: str, spans: list[int]) -> str:

@@ -47,3 +47,42 @@ def test_automaton_against_every_window():
                         found.add(key)
         spans, got = decontaminate.Automaton(items, window).scan(text)
         assert {i for a, b in spans for i in range(a, b)} == hit and got == found
+
+
+@pytest.mark.parametrize("block_words", [1, 50, 500_000])
+def test_hits_in_any_number_of_blocks_against_every_window(spark, block_words):
+    """Items longer than a block are cut into pieces; repeated items, equal ids and null ids and texts stand among them."""
+    rng = random.Random(4)
+    items = [(k % 7 if k % 5 else None, " ".join(rng.choice("abc") for _ in range(rng.choice([0, 2, 9, 30, 130])))) for k in range(14)]
+    items += [items[3], items[4], (3, None)]
+    texts = [" ".join(rng.choice("abc") for _ in range(60)) for _ in range(30)] + [items[k][1].upper() for k in range(14)] + ["", None]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {}
+    for i, text in enumerate(texts):
+        read, hit, found = (text or "").lower().split(), set(), set()
+        for key, item in items:
+            item = (item or "").split()
+            size = min(10, len(item))
+            windows = {tuple(item[a : a + size]) for a in range(len(item) - size + 1)} if size else set()
+            for at in range(len(read) - size + 1):
+                if tuple(read[at : at + size]) in windows:
+                    hit |= set(range(at, at + size))
+                    found.add("" if key is None else str(key))
+        want[i] = (len(read), hit, sorted(found))
+    got = decontaminate.find_hits(docs, bench, block_words=block_words).collect()
+    assert {r.doc_id: (r.n_words, {i for a, b in zip(r.spans[::2], r.spans[1::2]) for i in range(a, b)}, r["items"]) for r in got} == want
+
+
+def test_blocks_are_bounded_and_pieces_lose_no_window(spark):
+    long = [f"w{i}" for i in range(1000)]
+    bench = spark.createDataFrame([(1, " ".join(long)), (1, " ".join(long)), *((k, f"only {k} here") for k in range(2, 80))], "item_id long, text string")
+    cut = [r.words.split() for r in decontaminate.pieces(bench, 10, 100).collect()]
+    windows = sorted(tuple(c[a : a + 10]) for c in cut if len(c) > 9 for a in range(len(c) - 9))
+    assert windows == sorted(tuple(long[a : a + 10]) for a in range(991)) and max(map(len, cut)) == 100
+    import pickle
+
+    from loomtab.llm import common
+
+    blocks = [pickle.loads(common.read_file(p)) for p in decontaminate.write_automata(bench, block_words=200)]
+    assert 5 <= len(blocks) <= 14 and all(len(a.next) <= 2 * 200 for a in blocks)
