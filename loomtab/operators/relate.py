@@ -13,10 +13,17 @@ def same(left: str, right: str, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
-def join_keys(frames: list[DataFrame], row_id: str, target: str, declared: list[str] = ()) -> list[str]:
-    """Columns that all tables share, without row id and target, and the declared ones."""
-    shared = [c for c in frames[0].columns if all(c in f.columns for f in frames[1:]) and c not in (row_id, target)]
-    return shared + [c for c in declared if c not in shared]
+def join_keys(frames: list[DataFrame], row_id: str, target: str, declared: list[str] = (), template: DataFrame | None = None) -> list[str]:
+    """Columns that all tables share, without row id and target, and the declared ones that some table has.
+
+    frames: the table of the target first, then covariates; template: the rows to be predicted, as handed out. Where nothing is
+    common to all, the template's columns that the table of the target has are the keys."""
+    all_ = [*frames, *([template] if template is not None else [])]
+    shared = [c for c in frames[0].columns if all(c in f.columns for f in all_[1:]) and c not in (row_id, target)]
+    if not shared and template is not None:
+        shared = [c for c in template.columns if c in frames[0].columns and c not in (row_id, target)]
+    known = {c for f in all_ for c in f.columns} - {row_id, target}
+    return shared + [c for c in declared if c in known and c not in shared]
 
 
 def value_overlap(predict: DataFrame, train: DataFrame, names: list[str]) -> DataFrame:
@@ -88,6 +95,23 @@ def join_covariates(left: DataFrame, right: DataFrame, keys: list[str], suffix:
     return left.alias("l").join(named.alias("r"), same("l", "r", keys), "left").select("l.*", *[f"r.{c}" for c in added])
 
 
+def prediction_rows(predict: DataFrame, covariates: DataFrame | None, keys: list[str], row_id: str, target: str, order: str | None = None) -> tuple[DataFrame, list[str]]:
+    """The rows to be predicted with their covariates, and the keys that joined them; a placeholder of the target goes first.
+
+    Keys are the given ones that both sides have, else all columns that both have but row id and target. Where they share none,
+    rows are paired by `order` if that is named (it may be the row id), else they stay as they are and no key is told. Keys
+    that are not unique among the covariates are refused (FanOut)."""
+    rows = predict.drop(target)
+    if covariates is None:
+        return rows, []
+    covariates = covariates.drop(target)
+    both = [c for c in rows.columns if c in covariates.columns]
+    used = [k for k in keys if k in both] or [c for c in both if c != row_id]
+    if used:
+        return join_covariates(rows, covariates, used), used
+    return (join_by_order(rows, covariates, order), []) if order else (rows, [])
+
+
 def join_by_order(left: DataFrame, right: DataFrame, order: str) -> DataFrame:
     """Positional join: both sides must name their order; equal row counts are required."""
     if left.count() != right.count():

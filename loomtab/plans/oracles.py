@@ -175,6 +175,10 @@ SELECT *, (SELECT count(*) FROM t1) AS train_rows, (SELECT count(*) FROM q1) AS
     "join_train": """WITH o AS (SELECT o_orderkey AS row_id, CASE WHEN o_custkey % 5 <> 0 THEN o_custkey END AS k FROM orders), c AS (SELECT c_custkey AS k, c_acctbal AS v FROM customer WHERE c_custkey % 5 <> 0 UNION ALL SELECT NULL, -1.0)
 SELECT o.k IS NULL AS no_key, count(*) AS n, count(v) AS matched, round(sum(v), 2) AS total FROM o LEFT JOIN c ON o.k IS NOT DISTINCT FROM c.k GROUP BY 1""",
     "join_predict": f"WITH {P1} SELECT n_regionkey AS region, count(*) AS n FROM q1 LEFT JOIN nation ON nation = n_name GROUP BY 1",
+    "join_predict_common": f"""WITH {P1}, c AS (SELECT c_mktsegment AS segment, n_name AS nation, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL)
+SELECT q1.segment, count(*) AS n, CAST(sum(customers) AS BIGINT) AS customers, 'segment,nation' AS keys FROM q1 LEFT JOIN c ON q1.segment IS NOT DISTINCT FROM c.segment AND q1.nation IS NOT DISTINCT FROM c.nation GROUP BY 1""",
+    "join_keys": f"""WITH {P1}, p AS (SELECT DISTINCT 'nation' AS "column", nation AS v FROM q1 UNION SELECT DISTINCT 'segment', segment FROM q1), t AS (SELECT DISTINCT 'nation' AS "column", nation AS v FROM t1 UNION SELECT DISTINCT 'segment', segment FROM t1)
+SELECT p."column", count(*) AS "values", count(t.v) AS shared, count(t.v) / count(*) AS overlap, 'nation,segment,balance' AS keys FROM p LEFT JOIN t ON p."column" = t."column" AND p.v = t.v WHERE p.v IS NOT NULL GROUP BY 1""",
     "join_by_order": "SELECT c_mktsegment AS seg, count(*) AS rows, round(sum(c_acctbal), 2) AS total FROM customer GROUP BY 1",
     "shared_rows": f"""WITH {P1}, a AS (SELECT priority, segment, nation, status, count(*) AS n FROM t1 GROUP BY ALL), b AS (SELECT priority, segment, nation, status, count(*) AS m FROM q1 GROUP BY ALL)
 SELECT CAST(sum(n) AS BIGINT) AS left_rows, CAST(coalesce(sum(n * m), 0) AS BIGINT) AS shared FROM a LEFT JOIN b ON a.priority IS NOT DISTINCT FROM b.priority AND a.segment IS NOT DISTINCT FROM b.segment AND a.nation IS NOT DISTINCT FROM b.nation AND a.status IS NOT DISTINCT FROM b.status""",

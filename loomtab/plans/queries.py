@@ -135,6 +135,24 @@ def join_predict(s, d):
     return relate.join_covariates(q.drop("y"), n, ["nation"]).groupBy("region").agg(F.count("*").alias("n"))
 
 
+@query
+def join_predict_common(s, d):
+    """The declared key is in neither table, so all columns that both have join them."""
+    _, q = P.orders_split(s, d)
+    c = P.table(s, d, "customer").join(P.table(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("nation")).agg(F.count("*").alias("customers"), F.lit(0.0).alias("y"))
+    rows, keys = relate.prediction_rows(q.select("row_id", "segment", "nation", "y"), c, ["jurisdiction"], "row_id", "y")
+    return rows.groupBy("segment").agg(F.count("*").alias("n"), F.sum("customers").alias("customers"), F.lit(",".join(keys)).alias("keys"))
+
+
+@query
+def join_keys(s, d):
+    """Keys of orders, customers and the rows to be predicted: nothing is common to all three, so those of the first and last."""
+    t, q = P.orders_split(s, d)
+    c = P.table(s, d, "customer").select(F.col("c_custkey").alias("cust"), F.col("c_acctbal").alias("balance"))
+    names = relate.join_keys([t, c], "row_id", "y", ["balance", "elsewhere"], template=q.select("row_id", "y", "nation", "segment"))
+    return relate.value_overlap(q, t, [n for n in names if n in t.columns]).withColumn("keys", F.lit(",".join(names)))
+
+
 @query
 def join_by_order(s, d):
     c = P.table(s, d, "customer").select(F.col("c_custkey").alias("n"), F.col("c_acctbal").alias("a"))

@@ -124,3 +124,31 @@ def test_strategies_fall_back_with_reasons(spark):
         folds.dealt_folds(df.limit(0), "i", "group", group="g")
     with pytest.raises(ValueError):
         folds.strategies(df, "guess")
+
+
+def test_keys_fall_back_to_what_target_and_template_share(spark):
+    target = spark.createDataFrame([], "row_id int, day string, area string, y double")
+    weather = spark.createDataFrame([], "day string, rain double")
+    offices = spark.createDataFrame([], "office string, staff int")
+    template = spark.createDataFrame([], "row_id int, area string, day string, y double")
+    assert relate.join_keys([target, weather], "row_id", "y", template=template) == ["day"]
+    assert relate.join_keys([target, offices], "row_id", "y", template=template) == ["area", "day"]
+    assert relate.join_keys([target, offices], "row_id", "y", ["staff", "y", "nowhere"], template) == ["area", "day", "staff"]
+    assert relate.join_keys([target, offices], "row_id", "y") == []
+
+
+def test_prediction_rows_by_given_common_and_no_keys(spark):
+    new = spark.createDataFrame([(1, "a", "u", 0.0), (2, None, "u", 0.0), (3, "b", "w", 0.0)], "row_id int, g string, h string, y double")
+    cov = spark.createDataFrame([("a", 5, 9.0), (None, 6, 9.0)], "g string, v int, y double")
+    rows, keys = relate.prediction_rows(new, cov, ["h", "g"], "row_id", "y")
+    assert keys == ["g"] and rows.columns == ["row_id", "g", "h", "v"] and {(r.row_id, r.v) for r in rows.collect()} == {(1, 5), (2, 6), (3, None)}
+    rows, keys = relate.prediction_rows(new, cov, ["elsewhere"], "row_id", "y")
+    assert keys == ["g"] and rows.count() == 3
+    with pytest.raises(relate.FanOut):
+        relate.prediction_rows(new, cov.union(cov), [], "row_id", "y")
+    apart = spark.createDataFrame([(1, 7), (2, 8), (3, 9)], "row_id int, v int")
+    rows, keys = relate.prediction_rows(new, apart, [], "row_id", "y")
+    assert keys == [] and rows.columns == ["row_id", "g", "h"]
+    rows, keys = relate.prediction_rows(new, apart, [], "row_id", "y", order="row_id")
+    assert keys == [] and {(r.row_id, r.v) for r in rows.collect()} == {(1, 7), (2, 8), (3, 9)}
+    assert relate.prediction_rows(new, None, ["g"], "row_id", "y")[0].columns == ["row_id", "g", "h"]
