@@ -21,6 +21,24 @@ def target_facts(df: DataFrame, target: str) -> DataFrame:
     return one.withColumn("kind", kind)
 
 
+#: Metrics to report for each kind of task, the first one leading.
+REPORTED = {"binary": ("roc_auc", "f1_weighted", "accuracy", "confusion_matrix"), "multiclass": ("f1_weighted", "f1_macro", "accuracy", "confusion_matrix"), "regression": ("rmse", "mae", "r2")}
+
+
+def metric_advice(df: DataFrame, target: str, imbalance: float = 0.8) -> DataFrame:
+    """kind, majority_rate, imbalanced, metrics, advice of a target, in one row.
+
+    Of classes, a majority above `imbalance` is told, as accuracy says little then; numbers have no majority. A target
+    without a value has no metrics."""
+    kind = F.col("kind")
+    largest = df.filter(F.col(target).isNotNull()).groupBy(F.col(target).cast("string").alias("s")).agg(F.count("*").alias("c")).agg(F.max("c").alias("c"))
+    facts = target_facts(df, target).join(largest)  # of one row each
+    facts = facts.withColumn("majority_rate", F.when(kind != "regression", F.try_divide("c", "n")))
+    metrics = F.when(F.col("n") > 0, F.create_map(*[F.lit(x) for k, v in REPORTED.items() for x in (k, ",".join(v))])[kind])
+    out = facts.select("kind", "majority_rate", F.coalesce(F.col("majority_rate") > imbalance, F.lit(False)).alias("imbalanced"), metrics.alias("metrics"))
+    return out.withColumn("advice", F.when(F.col("imbalanced"), "one class dominates; prefer roc_auc to accuracy"))
+
+
 def candidate_targets(df: DataFrame, names: list[str]) -> DataFrame:
     """column, distinct: columns with a target's name, or with exactly two levels."""
     from loomtab.functions.exprs import name_tokens

@@ -151,6 +151,9 @@ SELECT "column", kind, "distinct", "column" = 'row_id' AS id_like, "distinct" <=
     "series_summary": _rounded(f"WITH {P1} SELECT count(gappy) AS count, count(*) - count(gappy) AS missing, avg(gappy) AS mean, stddev(gappy) AS std, min(gappy) AS min, quantile_cont(gappy, 0.5) AS median, max(gappy) AS max FROM p1", mean=4, std=4, min=4, median=4, max=4),
     "class_distribution": f"""WITH {P4}, c AS (SELECT CAST(y AS VARCHAR) AS label, count(*) AS count FROM p4 WHERE y IS NOT NULL GROUP BY 1)
 SELECT label, count, round(count / sum(count) OVER (), 6) AS fraction, round(max(count) OVER () / sum(count) OVER (), 6) AS majority_rate, max(count) OVER () / sum(count) OVER () > 0.8 AS imbalanced FROM c""",
+    "metric_advice": f"""WITH {P1}, {P4}, v AS (SELECT 'status' AS target, CAST(status AS VARCHAR) AS s FROM p1 UNION ALL SELECT 'y', CAST(y AS VARCHAR) FROM p1 UNION ALL SELECT 'quality', CAST(y AS VARCHAR) FROM p4 UNION ALL SELECT 'late', CAST(CAST(month >= '2000-07' AS INT) AS VARCHAR) FROM p1), c AS (SELECT target, s, count(*) AS c, TRY_CAST(s AS DOUBLE) AS x FROM v WHERE s IS NOT NULL GROUP BY ALL),
+f AS (SELECT target, sum(c) AS n, max(c) AS c, CASE WHEN count(*) = 2 THEN 'binary' WHEN NOT bool_and(x IS NOT NULL) THEN 'multiclass' WHEN bool_and(coalesce(x % 1 = 0, false)) AND count(*) <= 20 THEN 'multiclass' ELSE 'regression' END AS kind FROM c GROUP BY 1), g AS (SELECT *, CASE WHEN kind <> 'regression' THEN c / n END AS r FROM f)
+SELECT target, kind, round(r, 6) AS majority_rate, coalesce(r > 0.8, false) AS imbalanced, CASE kind WHEN 'binary' THEN 'roc_auc,f1_weighted,accuracy,confusion_matrix' WHEN 'multiclass' THEN 'f1_weighted,f1_macro,accuracy,confusion_matrix' ELSE 'rmse,mae,r2' END AS metrics, CASE WHEN r > 0.8 THEN 'one class dominates; prefer roc_auc to accuracy' END AS advice FROM g""",
     "datetime_detect": f"""WITH {P1}, v AS (SELECT strftime(ts, '%Y-%m-%d') AS day, CASE WHEN row_id % 4 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE 'n/a' END AS mixed, segment FROM p1), l AS ({_long('v', ['day', 'mixed', 'segment'])})
 SELECT "column", round(avg(CASE WHEN try_cast(value AS TIMESTAMP) IS NOT NULL THEN 1 ELSE 0 END), 6) AS parse_rate, avg(CASE WHEN try_cast(value AS TIMESTAMP) IS NOT NULL THEN 1 ELSE 0 END) >= 0.6 AS is_datetime FROM l WHERE value IS NOT NULL GROUP BY 1""",
     "time_of_day": "SELECT 'events' AS panel, bool_or(hour(ts) > 0 OR minute(ts) > 0 OR second(ts) > 0) AS has_time FROM events UNION ALL SELECT 'orders', bool_or(hour(o_orderdate) > 0 OR minute(o_orderdate) > 0 OR second(o_orderdate) > 0) FROM orders",

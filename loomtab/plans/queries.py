@@ -71,6 +71,13 @@ def class_distribution(s, d):
     return rounded(profile.class_distribution(P.quality(s, d), "y"), 6)
 
 
+@query
+def metric_advice(s, d):
+    o, q = P.orders(s, d), P.quality(s, d)
+    rows = {"status": (o, "status"), "y": (o, "y"), "quality": (q, "y"), "late": (o.withColumn("late", (F.col("month") >= "2000-07").cast("int")), "late")}
+    return rounded(reduce(DataFrame.unionByName, [task.metric_advice(f, c).withColumn("target", F.lit(k)) for k, (f, c) in rows.items()]), 6)
+
+
 @query
 def datetime_detect(s, d):
     p = P.orders(s, d).select(F.date_format("ts", "yyyy-MM-dd").alias("day"), F.when(F.col("row_id") % 4 != 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise("n/a").alias("mixed"), "segment")

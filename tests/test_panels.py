@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomtab.operators import encode, folds, models, profile, relate, repair, windows
+from loomtab.operators import encode, folds, models, profile, relate, repair, task, windows
 
 
 def test_group_statistics_and_unseen_fallback(spark):
@@ -152,3 +152,11 @@ def test_prediction_rows_by_given_common_and_no_keys(spark):
     rows, keys = relate.prediction_rows(new, apart, [], "row_id", "y", order="row_id")
     assert keys == [] and {(r.row_id, r.v) for r in rows.collect()} == {(1, 7), (2, 8), (3, 9)}
     assert relate.prediction_rows(new, None, ["g"], "row_id", "y")[0].columns == ["row_id", "g", "h"]
+
+
+def test_metric_advice(spark):
+    df = spark.createDataFrame([(i, int(i < 90), i % 3, i / 7, None) for i in range(100)], "i int, y int, k int, x double, e int")
+    got = {c: tuple(task.metric_advice(df, c).first()) for c in ("y", "k", "x", "e")}
+    assert got["y"][:3] == ("binary", 0.9, True) and got["y"][4] and got["y"][3].startswith("roc_auc,")
+    assert got["k"][:3] == ("multiclass", 0.34, False) and got["k"][4] is None
+    assert got["x"] == ("regression", None, False, "rmse,mae,r2", None) and got["e"][1:] == (None, False, None, None)
