@@ -5,6 +5,7 @@ coded running sums; a word's place is its id. The second level holds, context by
 it; the third, pair by pair of the second, those seen after the pair. Pointers to a context's range of successors are
 monotone and Elias-Fano coded. Successors are coded as offsets from the last member of the range before, so that a level is
 one monotone sequence, and a successor is searched relative to its context, between the context's two pointers.
+A chunk's words, pairs and triples are looked up once each, in ascending order.
 Levels lie in shard files in the shared folder; tasks memory-map them. Contexts are dealt to shards by hash with all that
 follows them; what follows words and pairs with a great share of all tokens is dealt one by one.
 
@@ -139,13 +140,25 @@ class EliasFano:
         out[hit[self.lows(out[hit]) != want[hit]]] = -1
         return out
 
-    def get(self, i: np.ndarray) -> np.ndarray:
-        """Members by index."""
+    def _one(self, k: np.ndarray) -> np.ndarray:
+        """Place of the k-th one of high."""
         if self.ones is None:
             self.ones = np.arange(len(self.high), dtype=np.int64) * 64 - self.zeros
-        word = np.searchsorted(self.ones, i, "right") - 1
-        place = word * 64 + _nth(self.high[word], i - self.ones[word])
-        return (place - i) << self.bits | self.lows(i)
+        word = np.searchsorted(self.ones, k, "right") - 1
+        return word * 64 + _nth(self.high[word], k - self.ones[word])
+
+    def get(self, i: np.ndarray) -> np.ndarray:
+        """Members by index."""
+        return (self._one(i) - i) << self.bits | self.lows(i)
+
+    def steps(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Members by index, and the members that follow them."""
+        place = self._one(i)
+        rest = self.high[place >> 6] >> (place & 63).astype(np.uint64) >> np.uint64(1)
+        after = place + 1 + np.bitwise_count((rest & (~rest + np.uint64(1))) - np.uint64(1))  # the next one, if in this word
+        far = np.flatnonzero(rest == 0)
+        after[far] = self._one(i[far] + 1)
+        return (place - i) << self.bits | self.lows(i), (after - i - 1) << self.bits | self.lows(i + 1)
 
 
 def _nth(word: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -202,9 +215,10 @@ class Model:
 
     def shard_after(self, pair: np.ndarray, home: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shards of words w after pairs with these hashes and shards; and which pairs are hot."""
-        hot = np.isin(pair, np.array(sorted(self.pairs), np.int64))
-        at = common.mix64((pair + w * 1_000_003).astype(np.uint64)) % np.uint64(self.n_shards)
-        return np.where(hot, at.astype(np.int64), home), hot
+        to, hot = home.copy(), np.isin(pair, np.array(sorted(self.pairs), np.int64))
+        at = common.mix64((pair[hot] + w[hot] * 1_000_003).astype(np.uint64)) % np.uint64(self.n_shards)
+        to[hot] = at.astype(np.int64)
+        return to, hot
 
 
 def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -225,25 +239,22 @@ class Vocabulary:
             self.opened[i] = (EliasFano.open(parts), EliasFano.open(parts))
         return self.opened[i]
 
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (-1: unknown) and counts of words."""
-        ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        home = np.searchsorted(self.first, hashes, "right") - 1
-        for i in np.unique(home[home >= 0]).tolist():
-            rows = np.nonzero(home == i)[0]
-            words, sums = self.shard(i)
-            got = words.find(hashes[rows])
-            ok = got >= 0
-            ids[rows[ok]], counts[rows[ok]] = got[ok] + self.bases[i], sums.get(got[ok] + 1) - sums.get(got[ok])
-        return ids, counts
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        """Ids of words (-1: unknown)."""
+        out = np.full(len(hashes), -1, np.int64)
+        for i, rows in _by_shard(np.searchsorted(self.first, hashes, "right") - 1):
+            if i >= 0:
+                got = self.shard(i)[0].find(hashes[rows])
+                out[rows] = np.where(got >= 0, got + self.bases[i], -1)
+        return out
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
+        """Counts of words by id (-1: 0)."""
         out = np.zeros(len(ids), np.int64)
-        home = np.searchsorted(self.bases, ids, "right") - 1
-        for i in np.unique(home).tolist():
-            rows = np.nonzero(home == i)[0]
-            sums, at = self.shard(i)[1], ids[rows] - self.bases[i]
-            out[rows] = sums.get(at + 1) - sums.get(at)
+        for i, rows in _by_shard(np.searchsorted(self.bases, ids, "right") - 1):
+            if i >= 0:
+                before, to = self.shard(i)[1].steps(ids[rows] - self.bases[i])
+                out[rows] = to - before
         return out
 
 
@@ -287,16 +298,16 @@ class Level:
         return [*EliasFano.of(pointers, len(words) + 1).sections(), *_chained(words, full).sections(), *Codes.of(share)]
 
     def ranges(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.pointers.get(context), self.pointers.get(context + 1)
+        return self.pointers.steps(context)
 
-    def find(self, begin: np.ndarray, end: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Places of w in ranges that are not empty (-1: not there)."""
+    def find(self, begin: np.ndarray, end: np.ndarray, nth: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Places of each w in the nth range (-1: not there). What comes before a range is read once for all its w."""
         base = np.zeros(len(begin), np.int64)
         later = np.flatnonzero(begin)
         base[later] = self.words.get(begin[later] - 1)
-        x = base + w + 1
-        out, near = np.full(len(begin), -1, np.int64), np.flatnonzero((end > begin) & (x <= self.last))
-        out[near] = self.words.find(x[near], begin[near], end[near])
+        x, a, b = base[nth] + w + 1, begin[nth], end[nth]
+        out, near = np.full(len(nth), -1, np.int64), np.flatnonzero((b > a) & (x <= self.last))
+        out[near] = self.words.find(x[near], a[near], b[near])
         return out
 
     @property
@@ -326,25 +337,25 @@ class Successors:
 
     def find(self, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of pairs (-1: not seen), their shares (0: not seen), and the numbers of successors of contexts u."""
-        own, back = np.unique(u, return_inverse=True)
+        own, back = _grouped(u)
         rank = self.contexts.find(own)
         begin, end = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
         here = np.flatnonzero(rank >= 0)
         begin[here], end[here] = self.pairs.ranges(rank[here])
         place, share = np.full(len(u), -1, np.int64), np.zeros(len(u))
         rows = np.flatnonzero((rank[back] >= 0) & (w >= 0))
-        place[rows] = self.pairs.find(begin[back[rows]], end[back[rows]], w[rows])
+        place[rows] = self.pairs.find(begin, end, back[rows], w[rows])
         rows = rows[place[rows] >= 0]
         share[rows] = self.pairs.share.get(place[rows])
         return place, share, (end - begin)[back]
 
     def find_after(self, pair: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shares of x after pairs at these places (0: not seen), and the pairs' numbers of successors."""
-        own, back = np.unique(pair, return_inverse=True)
+        own, back = _grouped(pair)
         begin, end = self.after.ranges(own)
         share = np.zeros(len(pair))
         rows = np.flatnonzero(x >= 0)
-        place = self.after.find(begin[back[rows]], end[back[rows]], x[rows])
+        place = self.after.find(begin, end, back[rows], x[rows])
         share[rows[place >= 0]] = self.after.share.get(place[place >= 0])
         return share, (end - begin)[back]
 
@@ -359,29 +370,70 @@ class Successors:
 
 
 def word_hashes(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the distinct words of a chunk, the places of all its words among them, and words by text."""
+    """Hashes of the end and of the distinct words of a chunk, ascending as their ids are, so that levels are searched from
+    front to back; the places of all its words among them, and words by text."""
     words, counts = common.space_words(text)
     coded = words.dictionary_encode()
-    h = np.array([xxhash.xxh3_64_intdigest(w) >> 2 or 1 for w in coded.dictionary.to_pylist()], np.int64)
-    return h, coded.indices.to_numpy().astype(np.int64), counts
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+    h = np.maximum(np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct)) >> np.uint64(2), np.uint64(1)).view(np.int64)
+    turn = np.argsort(h)
+    place = np.empty(len(h), np.int64)
+    place[turn] = np.arange(1, len(h) + 1)
+    return np.concatenate([[END], h[turn]]), place[coded.indices.to_numpy()], counts
+
+
+def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in ascending order, and their places before, ascending for equal keys. Keys that leave room for their places in
+    63 bits are sorted together with them, at a fraction of the time."""
+    room = max(len(keys) - 1, 0).bit_length()
+    if not len(keys) or keys.min() < 0 or int(keys.max()).bit_length() + room > 63:
+        order = np.argsort(keys, kind="stable")
+        return keys[order], order
+    both = keys << room | np.arange(len(keys))
+    both.sort()
+    return both >> room, both & ((1 << room) - 1)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the first place of each, the number of each key's among them, and how often they are there."""
+    ordered, order = _sorted(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    first = np.flatnonzero(new)
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[first], order[first], number, np.diff(first, append=len(keys))
+
+
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the number of each key's among them; keys that ascend already are not sorted."""
+    if (keys[1:] < keys[:-1]).any():
+        return np.unique(keys, return_inverse=True)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return keys[new], np.cumsum(new) - 1
 
 
 def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     k, c = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(k, kind="stable")
-    k, c = k[order], c[order]
+    k, order = _sorted(k)
+    c = c[order]
     first = np.nonzero(np.diff(k, prepend=k[0] - 1 if len(k) else 0))[0]
     return k[first], np.add.reduceat(c, first) if len(first) else c
 
 
 def pack(values: np.ndarray) -> bytes:
     """Non-negative integers in groups of 7 bits, the top bit marking that more follow."""
-    size = np.maximum(1, -(-np.frexp(values.astype(np.float64))[1] // 7)).astype(np.int64)
-    size += values >> np.minimum(7 * size, 62) > 0  # rounding of doubles near powers of two
+    most = int(values.max()) if len(values) else 0
+    if most < 128:
+        return values.astype(np.uint8).tobytes()
+    size = np.ones(len(values), np.int64)
+    for bits in range(7, most.bit_length(), 7):
+        size += values >> bits > 0
     ends = np.cumsum(size)
-    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
+    out = np.zeros(int(ends[-1]), np.uint8)
     start = ends - size
-    for j in range(int(size.max()) if len(size) else 0):
+    for j in range(int(size.max())):
         rows = np.nonzero(size > j)[0]
         out[start[rows] + j] = (values[rows] >> (7 * j)) & 127 | np.where(size[rows] > j + 1, 128, 0)
     return out.tobytes()
@@ -402,14 +454,11 @@ def _opened(model: Model) -> tuple[Vocabulary, Shards]:
     return common.kept(f"trie {model.key} {len(model.shards)}", lambda: (Vocabulary(model), Shards(model)))
 
 
-def _pairs(ids: np.ndarray, places: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Every token with the one before it; a text begins after, and closes with, the end."""
-    n = counts + 1
-    stream = np.full(int(n.sum()), end, np.int64)
-    stream[np.arange(len(places)) + np.repeat(np.arange(len(counts)), counts)] = ids[places]
-    before = np.roll(stream, 1)
-    before[np.cumsum(n) - n] = end
-    return before, stream
+def _pairs(places: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every token with the one before it; a text begins after, and closes with, the end, whose place is 0."""
+    stream = np.zeros(int(counts.sum()) + len(counts), np.int64)
+    stream[np.arange(len(places)) + np.repeat(np.arange(len(counts)), counts)] = places
+    return np.roll(stream, 1), stream
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -431,12 +480,12 @@ def count_words(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for piece in common.chunks(batch, "text", CHUNK):
                 h, places, n = word_hashes(common.texts(piece.column("text")))
-                keys.append(np.append(h, END))
-                counts.append(np.append(np.bincount(places, minlength=len(h)), len(n)))
-                before, token = _pairs(np.arange(len(h)), places, n, len(h))
-                code, c = np.unique(before * (len(h) + 1) + token, return_counts=True)
+                before, token = _pairs(places, n)
+                keys.append(h)
+                counts.append(np.bincount(token, minlength=len(h)))
+                code, c = np.unique(before * len(h) + token, return_counts=True)
                 often = c >= max(2, PAIR_SHARE * len(token))
-                code, h = code[often], np.append(h, END)
+                code = code[often]
                 pairs.append((pair_hash(h[code // len(h)], h[code % len(h)]), c[often]))
                 if sum(map(len, keys)) > MERGE_KEYS:
                     yield from out()
@@ -476,7 +525,7 @@ def fit(rows: DataFrame, shard_tokens: int = SHARD_TOKENS, order: int = ORDER) -
     model.n_shards = max(1, -(-tokens // shard_tokens))
     heavy = counts.filter(F.col("c") > HOT_SHARE * tokens / model.n_shards).select("h")
     hot = np.array([r.h for r in heavy.collect()], np.int64)  # at most n_shards / HOT_SHARE words
-    model.hot = dict.fromkeys(Vocabulary(model).find(hot)[0].tolist(), 1.0)
+    model.hot = dict.fromkeys(Vocabulary(model).ids(hot).tolist(), 1.0)
     if order > 2:  # as few: a pair is no more frequent than its words
         often = found.filter("is_pair").filter(F.col("c") > HOT_SHARE * tokens / model.n_shards).select("h")
         model.pairs = dict.fromkeys((r.h for r in often.collect()), 1.0)
@@ -515,16 +564,12 @@ _BLOB = ["u", "w", "n", "follow", "hashes", "x", "m"]
 
 def _shard_counts(model: Model, vocabulary: Vocabulary, h: np.ndarray, places: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     """Counts of a chunk's pairs and triples by shard. Words are numbered in the order of their ids; the end comes first."""
-    h = np.append(h, END)
-    ids = vocabulary.find(h)[0]
-    turn = np.argsort(ids, kind="stable")
-    number = np.empty(len(ids), np.int64)
-    number[turn] = np.arange(len(ids))
-    ids, h = ids[turn], h[turn]
+    ids = vocabulary.ids(h)
     kinds = len(ids)
-    before, token = _pairs(number, places, n, number[-1])
-    code, nth, count = np.unique(before * kinds + token, return_inverse=True, return_counts=True)
-    u, w = code // kinds, code % kinds
+    before, token = _pairs(places, n)
+    code, _, nth, count = _distinct(before * kinds + token)
+    u = code // kinds
+    w = code - u * kinds
     home, shards = model.shard_of(ids[u], ids[w]), np.int64(model.n_shards)
     entry, size = home * len(code) + np.arange(len(code)), count
     triple = np.zeros(0, np.int64)
@@ -533,20 +578,22 @@ def _shard_counts(model: Model, vocabulary: Vocabulary, h: np.ndarray, places: n
         later[np.cumsum(n + 1) - n - 1] = False
         at = np.flatnonzero(later)
         triple, m = np.unique(nth[at - 1] * kinds + token[at], return_counts=True)
-        pair, x = triple // kinds, ids[triple % kinds]
+        pair = triple // kinds
+        x = ids[triple - pair * kinds]
         hashes = pair_hash(h[u], h[w])
         to, hot = model.shard_after(hashes[pair], home[pair], x)
         follows = to * len(code) + pair
         # Pairs that are here for what follows them only.
-        stubs = np.setdiff1d(follows[hot], entry)
+        moved = follows[hot]
+        stubs = np.unique(moved[moved // len(code) != home[moved % len(code)]])
         entry, size = np.concatenate([entry, stubs]), np.concatenate([size, np.zeros(len(stubs), np.int64)])
-    order = np.argsort(entry, kind="stable")
-    entry, size = entry[order], size[order]
+    entry, order = _sorted(entry)
+    size = size[order]
     pairs, shard = entry % len(code), entry // len(code)
     follow, keys = np.zeros(len(entry), np.int64), np.zeros(len(entry), np.int64)
     if len(triple):
-        order = np.argsort(follows, kind="stable")
-        x, m, follows = x[order], m[order], np.searchsorted(entry, follows[order])
+        follows, order = _sorted(follows)
+        x, m, follows = x[order], m[order], np.searchsorted(entry, follows)
         follow = np.bincount(follows, minlength=len(entry))
         keys = np.where(np.isin(hashes[pairs], np.array(sorted(model.pairs), np.int64)), hashes[pairs], 0)
     else:
@@ -570,13 +617,11 @@ def _write_shard(model: Model, vocabulary: Vocabulary, path: str, blobs: list[li
     hashes = np.concatenate([np.frombuffer(p[4], np.int64) if p[4] else np.zeros(len(unpack(p[0])), np.int64) for p in parts])
     x, m = (np.concatenate([unpack(p[j]) for p in parts]) for j in (5, 6))
     del parts
-    order = np.lexsort((w, u))
-    new = np.ones(len(order), bool)
-    new[1:] = (u[order][1:] != u[order][:-1]) | (w[order][1:] != w[order][:-1])
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(new) - 1
+    own, _, nth, _ = _distinct(u)
+    key, first, rank, _ = _distinct(nth * model.kinds + w)
     n = np.bincount(rank, n).astype(np.int64)
-    u, w, hashes = u[order][new], w[order][new], hashes[order][new]
+    u = own[key // model.kinds]
+    w, hashes = key % model.kinds, hashes[first]
     key, m = _merge([np.repeat(rank, follow) * model.kinds + x], [m]) if len(x) else (x, m)
     after, x = key // model.kinds, key % model.kinds
     total = np.maximum(vocabulary.counts(u[np.diff(u, prepend=-1) != 0]), 1)
@@ -600,7 +645,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for piece in common.chunks(batch, "text", CHUNK):
                 h, places, n = word_hashes(common.texts(piece.column("text")))
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *map(pa.array, _score(model, vocabulary, shards, np.append(h, END), places, n))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *map(pa.array, _score(model, vocabulary, shards, h, places, n))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.transform(common.map_batches, run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
@@ -626,7 +671,10 @@ class Shards:
 
 
 def _by_shard(home: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(home, kind="stable")
+    if len(home) and home.max() < 65536:
+        order = np.argsort(home.astype(np.uint16), kind="stable")  # sorted by its digits; -1 comes last
+    else:
+        order = np.argsort(home, kind="stable")
     for at in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(order) else ():
         yield int(home[at[0]]), at
 
@@ -641,11 +689,13 @@ def _of(table: dict[int, float], keys: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _score(model: Model, vocabulary: Vocabulary, shards: Shards, h: np.ndarray, places: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-    ids, counts = vocabulary.find(h) if model.words else (np.full(len(h), -1, np.int64), np.zeros(len(h), np.int64))
+    ids = vocabulary.ids(h) if model.words else np.full(len(h), -1, np.int64)
+    counts = vocabulary.counts(ids) if model.words else np.zeros(len(h), np.int64)
     single = model.unigram(counts)
-    before, token = _pairs(np.arange(len(h)), places, n, len(h) - 1)  # places in h, not ids: unknown words stay apart
-    own, nth = np.unique(before * len(h) + token, return_inverse=True)
-    u, w = own // len(h), own % len(h)
+    before, token = _pairs(places, n)  # places in h, not ids: unknown words stay apart
+    own, _, nth, _ = _distinct(before * len(h) + token)
+    u = own // len(h)
+    w = own - u * len(h)
     p = single[w]
     # After a known word the unigram share shrinks to the backoff weight, and a seen pair adds its own share.
     rows = np.flatnonzero(ids[u] >= 0)
@@ -665,8 +715,9 @@ def _score(model: Model, vocabulary: Vocabulary, shards: Shards, h: np.ndarray,
         later = np.ones(len(token), bool)
         later[np.cumsum(n + 1) - n - 1] = False
         at = np.flatnonzero(later & (place[np.roll(nth, 1)] >= 0))  # after a pair that was seen
-        triple, first, back = np.unique(nth[at - 1] * len(h) + token[at], return_index=True, return_inverse=True)
-        pair, x = triple // len(h), ids[triple % len(h)]
+        triple, first, back, _ = _distinct(nth[at - 1] * len(h) + token[at])
+        pair = triple // len(h)
+        x = ids[triple - pair * len(h)]
         hashes = pair_hash(h[u], h[w])[pair]
         to, hot = model.shard_after(hashes, home[pair], x)
         seen = np.maximum(np.rint(share[pair] * counts[u[pair]] + DISCOUNT), 1)  # the pair's count

@@ -117,3 +117,61 @@ def test_rare_words_and_odd_texts_score(spark):
     assert ngram_lm.report(docs.limit(0), order=3).count() == 0
     with pytest.raises(ValueError):
         ngram_lm.fit(docs, order=4)
+
+
+def test_what_precedes_a_range_is_read_once_for_all_words_after_a_context(tmp_path, monkeypatch):
+    n = 1000
+    u, w, none = np.repeat([3, 8], n), np.tile(np.arange(n), 2), np.zeros(0, int)
+    ngram_lm.Successors.build(f"file://{tmp_path}/s", u, w, u, none, none, none, n, np.full(2 * n, 0.5), np.zeros(0))
+    shard, read, get = ngram_lm.Successors(f"file://{tmp_path}/s", n), [], ngram_lm.EliasFano.get
+    monkeypatch.setattr(ngram_lm.EliasFano, "get", lambda self, i: read.append(len(i)) or get(self, i))
+    place, share, number = shard.find(np.full(n, 8), np.arange(n))
+    assert place.tolist() == list(range(n, 2 * n)) and (number == n).all() and share == pytest.approx(0.5)
+    assert sum(read) < 10
+
+
+def test_words_of_a_chunk_ascend_as_their_ids_do():
+    h, places, n = ngram_lm.word_hashes(pa.array(["b a c", "", "a Z a", "é"]))
+    assert h[0] == ngram_lm.END and (np.diff(h) > 0).all() and n.tolist() == [3, 0, 3, 1]
+    b, a, c, z, e = places[[0, 1, 2, 4, 6]].tolist()
+    assert places.tolist() == [b, a, c, a, z, a, e] and sorted([b, a, c, z, e]) == [1, 2, 3, 4, 5]
+    before, token = ngram_lm._pairs(places, n)
+    assert token.tolist() == [b, a, c, 0, 0, a, z, a, 0, e, 0] and before.tolist() == [0, b, a, c, 0, 0, a, z, a, 0, e]
+    h, places, n = ngram_lm.word_hashes(pa.array(["", " "]))
+    assert h.tolist() == [ngram_lm.END] and not len(places) and [x.tolist() for x in ngram_lm._pairs(places, n)] == [[0, 0], [0, 0]]
+
+
+@pytest.mark.parametrize("low,high", [(0, 5), (0, 1 << 40), (0, 1 << 62), (-9, 9), (-(1 << 62), 1 << 62)])
+def test_distinct_keys_with_and_without_room_for_places(low, high):
+    dice = np.random.default_rng(3)
+    for n in (0, 1, 2, 700):
+        keys = dice.integers(low, high, max(1, n // 2), np.int64)
+        keys = keys[dice.integers(0, len(keys), n)]
+        want = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(ngram_lm._distinct(keys), want, strict=True))
+        ordered, order = ngram_lm._sorted(keys)
+        assert (order == np.argsort(keys, kind="stable")).all() and (ordered == np.sort(keys)).all()
+        for x in (keys, ordered):
+            assert all((a == b).all() for a, b in zip(ngram_lm._grouped(x), np.unique(x, return_inverse=True), strict=True))
+
+
+def test_members_with_those_that_follow():
+    dice = np.random.default_rng(8)
+    for values in (np.arange(300), np.sort(dice.integers(0, 1 << 45, 3000)), np.sort(np.concatenate([np.zeros(200, int), dice.integers(0, 90_000, 40)]))):
+        coded, i = ngram_lm.EliasFano.of(values, int(values[-1]) + 1), dice.integers(0, len(values) - 1, 500)
+        a, b = coded.steps(i)
+        assert (a == values[i]).all() and (b == values[i + 1]).all()
+
+
+def test_groups_of_a_few_and_of_very_many_shards():
+    for top in (1, 40, 70_000):
+        home = np.random.default_rng(top).integers(-1, top, 3000)
+        home[0] = top
+        got = {s: at.tolist() for s, at in ngram_lm._by_shard(home)}
+        assert got == {s: np.flatnonzero(home == s).tolist() for s in np.unique(home).tolist()}
+
+
+def test_packed_integers_of_every_width():
+    for top in (127, 128, (1 << 14) - 1, 1 << 14, 1 << 42, (1 << 62) - 1):
+        values = np.array([0, 1, top, top - 1, top // 2])
+        assert (ngram_lm.unpack(ngram_lm.pack(values)) == values).all()
