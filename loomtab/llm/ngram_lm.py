@@ -17,7 +17,7 @@ logarithms; T is the distance of two pointers. All counts cover all training doc
 Null text is the empty text: its one token is the end. Equal rows count again. With no training documents N = V = 0 and
 every token has the unknown word's probability. Words are identified by 62 bits of xxh3. Columns other than doc_id and text
 are not looked at, whatever their names. Texts are scored whole; a task holds a batch of 8 MB, or one longer text, and some
-40 bytes for each of its words.
+180 bytes for each of its words.
 """
 
 from __future__ import annotations
@@ -389,9 +389,12 @@ def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys) or keys.min() < 0 or int(keys.max()).bit_length() + room > 63:
         order = np.argsort(keys, kind="stable")
         return keys[order], order
-    both = keys << room | np.arange(len(keys))
+    both = keys << room
+    both |= np.arange(len(keys))
     both.sort()
-    return both >> room, both & ((1 << room) - 1)
+    order = both & ((1 << room) - 1)
+    both >>= room
+    return both, order
 
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -693,7 +696,8 @@ def _score(model: Model, vocabulary: Vocabulary, shards: Shards, h: np.ndarray,
     counts = vocabulary.counts(ids) if model.words else np.zeros(len(h), np.int64)
     single = model.unigram(counts)
     before, token = _pairs(places, n)  # places in h, not ids: unknown words stay apart
-    own, _, nth, _ = _distinct(before * len(h) + token)
+    own, nth = _distinct(before * len(h) + token)[::2]
+    del before
     u = own // len(h)
     w = own - u * len(h)
     p = single[w]
@@ -710,14 +714,17 @@ def _score(model: Model, vocabulary: Vocabulary, shards: Shards, h: np.ndarray,
     hot, value = _of(model.hot, a)
     backoff[rows[hot]] = value[hot]
     p = share + backoff * p
+    del own, rows, a, b, backoff, hot, value
     log = np.log10(p)[nth]
     if model.order > 2 and model.shards:
         later = np.ones(len(token), bool)
         later[np.cumsum(n + 1) - n - 1] = False
         at = np.flatnonzero(later & (place[np.roll(nth, 1)] >= 0))  # after a pair that was seen
-        triple, first, back, _ = _distinct(nth[at - 1] * len(h) + token[at])
+        triple, first, back = _distinct(nth[at - 1] * len(h) + token[at])[:3]
+        last = nth[at[first]]
         pair = triple // len(h)
         x = ids[triple - pair * len(h)]
+        del first, later
         hashes = pair_hash(h[u], h[w])[pair]
         to, hot = model.shard_after(hashes, home[pair], x)
         seen = np.maximum(np.rint(share[pair] * counts[u[pair]] + DISCOUNT), 1)  # the pair's count
@@ -732,7 +739,7 @@ def _score(model: Model, vocabulary: Vocabulary, shards: Shards, h: np.ndarray,
             weight[r] = np.where(number > 0, DISCOUNT * number / seen[r], 1.0)
         is_hot, value = _of(model.pairs, hashes)
         weight[is_hot], more[is_hot] = value[is_hot], more[is_hot] * model.tokens / seen[is_hot]
-        log[at] = np.log10(more + weight * p[nth[at[first]]])[back]
+        log[at] = np.log10(more + weight * p[last])[back]
     size = n + 1
     doc = common.row_ids(size)
     return size, np.bincount(doc, counts[token] > 0, len(n)).astype(np.int64), np.bincount(doc, np.log10(single)[token], len(n)), np.bincount(doc, log, len(n))
