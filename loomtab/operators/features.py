@@ -7,8 +7,10 @@ import math
 import numpy as np
 import pyarrow as pa
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomtab.functions.exprs import agg_columns, correlation, name_tokens, number
 from loomtab.operators.quantiles import exact_quantiles
@@ -111,46 +113,62 @@ def term_statistics(df: DataFrame, text: str, row_id: str, terms: int = 400, lea
 def text_svd(df: DataFrame, text: str, row_id: str, terms: int = 400, k: int = 16) -> DataFrame:
     """row_id, features: TF-IDF (sub-linear, L2) of words and pairs of words, projected on its first k singular directions.
 
-    The Gramian of the terms is summed over tasks and is terms x terms, so its decomposition does not grow with the rows.
+    The vocabulary is the `terms` most frequent in all, equal ones by name, of those in two rows or more. Fewer directions than
+    asked for are filled up with zeros. The Gramian of the terms is summed over tasks and is terms x terms, so its decomposition
+    does not grow with the rows. Texts are read twice, for the frequent words and for each row's counts of what is made of them
+    (once more where frequent_words has to count everything); the counts stay on the executors' disks until spark.catalog.clearCache(), and are made anew where they are gone.
     """
-    from pyspark.ml.feature import NGram, Normalizer, RegexTokenizer, SQLTransformer
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    base = df.select(row_id, F.coalesce(F.col(text), F.lit("")).alias("__t"))
-    tokens = RegexTokenizer(inputCol="__t", outputCol="__w", pattern=r"[^\p{L}\p{N}_]+", minTokenLength=2).transform(base)
-    tokens = NGram(n=2, inputCol="__w", outputCol="__p").transform(tokens)
-    tokens = SQLTransformer(statement="SELECT *, concat(__w, __p) AS __all FROM __THIS__").transform(tokens)
-    from pyspark.ml.feature import IDF, CountVectorizer
-
-    counted = CountVectorizer(inputCol="__all", outputCol="__c", vocabSize=terms, minDF=2).fit(tokens).transform(tokens)
-    idf = IDF(inputCol="__c", outputCol="__i").fit(counted)
-    weights = F.array(*[F.lit(float(x) + 1.0) for x in idf.idf.toArray()])
-    tf = F.transform(vector_to_array("__c"), lambda x: F.when(x > 0, 1 + F.log(x)).otherwise(0.0))
-    weighted = counted.select(row_id, array_to_vector(F.zip_with(tf, weights, lambda a, b: a * b)).alias("__v"))
-    unit = Normalizer(inputCol="__v", outputCol="v").transform(weighted).select(row_id, "v")
-    width = min(k, len(idf.idf.toArray()))
-    # Sums of outer products of each row's non-zero weights, in Arrow batches: terms x terms numbers from a task.
-    v = np.linalg.eigh(_gramian(unit, len(idf.idf.toArray())))[1][:, ::-1][:, :width]
-    array = vector_to_array("v")
-    parts = [F.aggregate(F.zip_with(array, F.array(*[F.lit(float(x)) for x in v[:, j]]), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x).alias(f"svd{j:02d}") for j in range(v.shape[1])]
-    return unit.select(row_id, *parts)
-
-
-def _gramian(unit: DataFrame, terms: int) -> np.ndarray:
-    from pyspark.ml.functions import vector_to_array
+    from loomtab.operators.terms import frequent_words, row_terms, top_terms
+
+    words, floor = frequent_words(df, text, terms)
+    counted = row_terms(df, text, row_id, words).persist(StorageLevel.DISK_ONLY)
+    top, total = top_terms(counted, words, terms, floor)
+    top = sorted(top, key=lambda t: t[1])
+    at, idf = np.array([t[1] for t in top], np.int64), np.array([math.log((total + 1) / (t[3] + 1)) + 1 for t in top])
+    v = np.zeros((len(top), k))
+    width = min(k, len(top))
+    v[:, :width] = np.linalg.eigh(_gramian(counted, at, idf))[1][:, ::-1][:, :width]
+    names = [f"svd{j:02d}" for j in range(k)]
+
+    def run(batches):
+        for whole in batches:
+            for a in range(0, whole.num_rows, 1000):
+                batch = whole.slice(a, 1000)
+                got = _unit_rows(batch, at, idf) @ v
+                yield pa.RecordBatch.from_arrays([batch.column(row_id), *(pa.array(got[:, j]) for j in range(k))], [row_id, *names])
+
+    return counted.mapInArrow(run, T.StructType([df.schema[row_id], *(T.StructField(n, T.DoubleType()) for n in names)]))
+
+
+def _unit_rows(batch: pa.RecordBatch, at: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Weights of the rows' terms that are in `at` (ascending), each row scaled to length 1."""
+    out = np.zeros((batch.num_rows, len(at)))
+    if len(at):
+        seen, n = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("__at", "__n"))
+        rows = np.repeat(np.arange(batch.num_rows), batch.column("__at").value_lengths().to_numpy(zero_copy_only=False))
+        place = np.minimum(np.searchsorted(at, seen), len(at) - 1)
+        known = at[place] == seen
+        out[rows[known], place[known]] = (1 + np.log(n[known])) * idf[place[known]]
+        out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-300)
+    return out
+
+
+def _gramian(counted: DataFrame, at: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    terms = len(at)
 
     def sums(batches):
         total = np.zeros((terms, terms))
         for batch in batches:
-            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, terms)
-            total += x.T @ x
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "x"])
+            for a in range(0, batch.num_rows, 1000):
+                x = _unit_rows(batch.slice(a, 1000), at, idf)
+                total += x.T @ x
+        places = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(total.ravel()[places])], ["place", "x"])
 
-    parts = unit.select(vector_to_array("v").alias("v")).mapInArrow(sums, "at long, x double")
+    parts = counted.select("__at", "__n").mapInArrow(sums, "place long, x double")
     out = np.zeros(terms * terms)
-    for r in parts.groupBy("at").agg(F.sum("x").alias("x")).collect():  # terms x terms at most
-        out[r.at] = r.x
+    for r in parts.groupBy("place").agg(F.sum("x").alias("x")).collect():  # terms x terms at most
+        out[r.place] = r.x
     return out.reshape(terms, terms)
 
 

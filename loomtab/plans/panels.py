@@ -54,6 +54,15 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_covariates(d, label, ["row_id"], check=False)
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 by row_id and text alone. A label tells nothing of these but how often its document stands there, so texts only go
+    through the join where some document has several labels; this runs a job."""
+    told = table(spark, sf_dir, "labels").groupBy("doc_id").count()
+    if told.filter("count > 1").isEmpty():
+        return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    return quality(spark, sf_dir).select("row_id", "text")
+
+
 #: The same panels as SQL common table expressions.
 P1 = """p1 AS (SELECT o_orderkey AS row_id, o_totalprice AS y, o_orderdate AS ts, strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority AS priority,
   o_orderstatus AS status, c_mktsegment AS segment, c_acctbal AS acctbal, n_name AS nation, CASE WHEN o_orderkey % 7 <> 0 THEN c_acctbal END AS gappy

@@ -1043,7 +1043,7 @@ def extra_trees_stumps(s, d):
 
 @query
 def text_svd(s, d):
-    return rounded(features.text_svd(P.quality(s, d), "text", "row_id", 100, 8).select("row_id", *[F.abs(f"svd{j:02d}").alias(f"svd{j:02d}") for j in range(2)]))
+    return rounded(features.text_svd(P.texts(s, d), "text", "row_id", 100, 8).select("row_id", *[F.abs(f"svd{j:02d}").alias(f"svd{j:02d}") for j in range(2)]))
 
 
 def flagship(s, d):
