@@ -116,7 +116,8 @@ def text_svd(df: DataFrame, text: str, row_id: str, terms: int = 400, k: int = 1
     The vocabulary is the `terms` most frequent in all, equal ones by name, of those in two rows or more. Fewer directions than
     asked for are filled up with zeros. The Gramian of the terms is summed over tasks and is terms x terms, so its decomposition
     does not grow with the rows. Texts are read twice, for the frequent words and for each row's counts of what is made of them
-    (once more where frequent_words has to count everything); the counts stay on the executors' disks until spark.catalog.clearCache(), and are made anew where they are gone.
+    (once more where frequent_words has to count everything); the counts stay on the executors' disks until
+    spark.catalog.clearCache(), and are made anew where they are gone.
     """
     from loomtab.operators.terms import frequent_words, row_terms, top_terms
 
